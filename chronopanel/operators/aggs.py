@@ -381,12 +381,12 @@ def scenario_fan(fc: DataFrame, keys=("period", "entity"), scenario: str = "scen
     w = fc.groupBy(*keys).agg(*aggs)
     if "low" in scenarios and "high" in scenarios:
         lead = cols[-1]
-        swap = F.col(f"{lead}_low") > F.col(f"{lead}_high")
+        w = w.withColumn("swapped", F.coalesce(F.col(f"{lead}_low") > F.col(f"{lead}_high"), F.lit(False)))
+        swap = F.col("swapped")
         for c in cols:
             lo, hi = F.col(f"{c}_low"), F.col(f"{c}_high")
             w = w.withColumns({f"{c}_low": F.when(swap, hi).otherwise(lo),
                                f"{c}_high": F.when(swap, lo).otherwise(hi)})
-        w = w.withColumn("swapped", F.coalesce(swap, F.lit(False)))
     return w
 
 

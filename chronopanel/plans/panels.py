@@ -219,6 +219,8 @@ def with_ctes(names, body: str, extra: str = "") -> str:
     if extra:
         parts.append(extra.strip().rstrip(","))
     b = body.strip()
+    if not parts:
+        return b if b.upper().startswith(("SELECT", "WITH", "(")) else "WITH " + b
     if not b.upper().startswith(("SELECT", "WITH", "(")):
         # the body opens with more CTEs: continue the list
         return "WITH " + ",\n".join(parts) + ",\n" + b

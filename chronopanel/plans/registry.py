@@ -38,7 +38,7 @@ def register(name: str, ops, sql: str | None = None, ctes=(), digits: dict | Non
             raise ValueError(f"duplicate query {name}")
         s = None
         if sql is not None:
-            s = with_ctes(ctes, sql) if ctes else sql
+            s = with_ctes(ctes, sql)
             s = _round_sql(s, digits or {})
         REGISTRY[name] = Query(name, tuple(ops.split()) if isinstance(ops, str) else tuple(ops),
                                fn, s, dict(digits or {}))
