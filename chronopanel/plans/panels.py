@@ -138,6 +138,37 @@ def nation_year(t: Tables) -> DataFrame:
         F.sum("sales_count").alias("sales_count"), F.sum("total_price").alias("total_price"))
 
 
+def date_text(t: Tables) -> DataFrame:
+    """Order dates written as text in the formats met in statistics files
+    (the format follows the order priority): ISO month, ISO day with
+    slashes, day-first, quarter code, month code; plus a year text that is a
+    clean year, a year with a decimal tail, or a total label."""
+    o = t("orders").select("o_orderkey", "o_orderdate", "o_orderpriority", "o_orderstatus", "o_totalprice")
+    d, pr = F.to_date("o_orderdate"), F.col("o_orderpriority")
+    txt = (F.when(pr == "1-URGENT", F.date_format(d, "yyyy-MM"))
+           .when(pr == "2-HIGH", F.date_format(d, "yyyy/MM/dd"))
+           .when(pr == "3-MEDIUM", F.date_format(d, "d/MM/yyyy"))
+           .when(pr == "4-NOT SPECIFIED", F.concat(F.year(d).cast("string"), F.lit("Q"), F.quarter(d).cast("string")))
+           .otherwise(F.concat(F.year(d).cast("string"), F.lit("M"), F.lpad(F.month(d).cast("string"), 2, "0"))))
+    st = F.col("o_orderstatus")
+    ytxt = (F.when(st == "F", F.year(d).cast("string"))
+            .when(st == "O", F.concat(F.year(d).cast("string"), F.lit(".0"))).otherwise(F.lit("Total")))
+    return o.select("o_orderkey", "o_orderdate", "o_orderpriority", "o_orderstatus", "o_totalprice",
+                    txt.alias("txt"), ytxt.alias("year_txt"))
+
+
+def ship_nation_month(t: Tables) -> DataFrame:
+    """(period=ship month, entity=supplier nation, qty, avg_discount)."""
+    l = t("lineitem").select("l_suppkey", "l_shipdate", "l_quantity", "l_discount")
+    s = t("supplier").select("s_suppkey", "s_nationkey")
+    g = (l.join(s, l["l_suppkey"] == s["s_suppkey"])
+         .groupBy(month_of("l_shipdate").alias("period"), "s_nationkey")
+         .agg(F.sum("l_quantity").alias("qty"), F.avg("l_discount").alias("avg_discount")))
+    n = t("nation").select("n_nationkey", "n_name")
+    return g.join(n, g["s_nationkey"] == n["n_nationkey"]).select(
+        "period", F.col("n_name").alias("entity"), "qty", "avg_discount")
+
+
 # ---------------------------------------------------------------------------
 # SQL (DuckDB) definitions of the same panels, for the oracle queries.
 CTE: dict[str, tuple[tuple[str, ...], str]] = {
@@ -192,6 +223,21 @@ CTE: dict[str, tuple[tuple[str, ...], str]] = {
     "nation_quarter": (("nation_month",), """
   SELECT CAST(date_trunc('quarter', period) AS DATE) AS period, entity, sum(total_price) / sum(sales_count) AS avg_price
   FROM nation_month GROUP BY 1, 2"""),
+    "date_text": ((), """
+  SELECT o_orderkey, o_orderdate, o_orderpriority, o_orderstatus, o_totalprice,
+         CASE o_orderpriority WHEN '1-URGENT' THEN strftime(o_orderdate, '%Y-%m')
+              WHEN '2-HIGH' THEN strftime(o_orderdate, '%Y/%m/%d')
+              WHEN '3-MEDIUM' THEN strftime(o_orderdate, '%-d/%m/%Y')
+              WHEN '4-NOT SPECIFIED' THEN CAST(year(o_orderdate) AS VARCHAR) || 'Q' || CAST(quarter(o_orderdate) AS VARCHAR)
+              ELSE strftime(o_orderdate, '%YM%m') END AS txt,
+         CASE o_orderstatus WHEN 'F' THEN CAST(year(o_orderdate) AS VARCHAR)
+              WHEN 'O' THEN CAST(year(o_orderdate) AS VARCHAR) || '.0' ELSE 'Total' END AS year_txt
+  FROM orders"""),
+    "ship_nation_month": ((), """
+  SELECT CAST(date_trunc('month', l.l_shipdate) AS DATE) AS period, n.n_name AS entity,
+         sum(l.l_quantity) AS qty, avg(l.l_discount) AS avg_discount
+  FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN nation n ON s.s_nationkey = n.n_nationkey
+  GROUP BY 1, 2"""),
     "nation_year": (("nation_month",), """
   SELECT year(period) AS year, entity, sum(sales_count) AS sales_count, sum(total_price) AS total_price
   FROM nation_month GROUP BY 1, 2"""),

@@ -22,6 +22,7 @@ def build_session(master: str | None = None, app: str = "chronopanel",
     master = master or os.environ.get("CHRONOPANEL_MASTER", "local[*]")
     b = (SparkSession.builder.master(master).appName(app)
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
