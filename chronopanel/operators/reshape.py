@@ -38,17 +38,17 @@ def top_k(df: DataFrame, c: str, k: int, desc: bool = True, tie=()) -> DataFrame
 
 def leaders(metrics: DataFrame, k: int = 3, entity: str = "entity") -> DataFrame:
     """Four leader lists over an entity-level metrics table: most stable,
-    highest return, most defensive (smallest drawdown), highest risk."""
-    specs = [("stable", "stability_score", True), ("return", "expected_return_base", True),
-             ("defensive", "downside_max_drawdown_low", True), ("risk", "volatility_base", True)]
-    parts = []
-    for name, metric, desc in specs:
-        o = F.desc_nulls_last(metric) if desc else F.asc_nulls_last(metric)
-        w = Window.orderBy(o, entity)
-        parts.append(metrics.filter(F.col(metric).isNotNull()).select(
-            F.lit(name).alias("board"), entity, F.col(metric).cast("double").alias("metric_value"),
-            F.row_number().over(w).alias("position")).filter(F.col("position") <= k))
-    return reduce(DataFrame.unionByName, parts)
+    highest return, most defensive (smallest drawdown), highest risk. One
+    pass: each row is fanned out to the four boards and ranked by ONE window
+    partitioned by board."""
+    specs = [("stable", "stability_score"), ("return", "expected_return_base"),
+             ("defensive", "downside_max_drawdown_low"), ("risk", "volatility_base")]
+    arr = F.array(*[F.struct(F.lit(name).alias("board"), F.col(m).cast("double").alias("metric_value"))
+                    for name, m in specs])
+    x = metrics.select(entity, F.explode(arr).alias("s")).select("s.board", entity, "s.metric_value")
+    x = x.filter(F.col("metric_value").isNotNull())
+    w = Window.partitionBy("board").orderBy(F.desc("metric_value"), entity)
+    return x.withColumn("position", F.row_number().over(w)).filter(F.col("position") <= k)
 
 
 def preview(df: DataFrame, n: int, order=()) -> DataFrame:
