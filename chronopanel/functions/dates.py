@@ -72,6 +72,43 @@ def parse_year(df: DataFrame, col: str, strict: bool = True) -> DataFrame:
     return df.withColumn(col, y).filter(F.col(col).isNotNull())
 
 
+def _shape(fmt: str) -> str:
+    """A loose regular expression that every string the datetime pattern
+    ``fmt`` can parse also matches. Used to skip hopeless parse attempts,
+    which are costly (a failed parse raises inside the JVM)."""
+    out, i = "^", 0
+    while i < len(fmt):
+        ch = fmt[i]
+        j = i
+        while j < len(fmt) and fmt[j] == ch:
+            j += 1
+        run = j - i
+        if ch == "y":
+            out += r"\d{4,}" if run >= 4 else r"\d{1,}"
+        elif ch == "M" and run == 1:
+            out += r"0*([1-9]|1[0-2])"
+        elif ch == "M" and run == 2:
+            out += r"(0[1-9]|1[0-2])"
+        elif ch == "d" and run == 1:
+            out += r"0*([1-9]|[12][0-9]|3[01])"
+        elif ch == "d" and run == 2:
+            out += r"(0[1-9]|[12][0-9]|3[01])"
+        elif ch in "ML":
+            out += r"[A-Za-z\.]+"
+        elif ch.isalpha():
+            out += r".+"
+        else:
+            out += "\\" + ch if not ch.isalnum() and ch != " " else ch * 1
+            out += "" if run == 1 else ("\\" + ch) * (run - 1)
+        i = j
+    return out + "$"
+
+
+def try_date(s: Column, fmt: str) -> Column:
+    """``try_to_date`` behind a shape test: same result, no failed parses."""
+    return F.when(s.rlike(_shape(fmt)), F.try_to_date(s, fmt))
+
+
 # Formats tried by the tolerant month parser, day-first.
 _ANY_FORMATS = ("yyyy-MM-dd", "yyyy/MM/dd", "d/M/yyyy", "d-M-yyyy", "d.M.yyyy",
                 "yyyy-MM", "yyyy/MM", "d MMM yyyy", "MMM yyyy", "MMMM yyyy")
@@ -83,7 +120,7 @@ def parse_month_any(c) -> Column:
     s = F.trim(_c(c).cast("string"))
     iso = F.regexp_extract(s, r"(20\d{2})[-/](0[1-9]|1[0-2])", 0)
     from_iso = F.when(iso != "", F.try_to_date(F.regexp_replace(iso, "/", "-"), "yyyy-MM"))
-    parsed = F.coalesce(*[F.try_to_date(s, f) for f in _ANY_FORMATS])
+    parsed = F.coalesce(*[try_date(s, f) for f in _ANY_FORMATS])
     return F.coalesce(from_iso, F.trunc(parsed, "month"))
 
 
@@ -105,7 +142,7 @@ DATE_FORMATS = {
 
 
 def _parse_rule(s: Column, fmts) -> Column:
-    return F.coalesce(*[F.try_to_date(s, f) for f in fmts])
+    return F.coalesce(*[try_date(s, f) for f in fmts])
 
 
 def best_date_format(df: DataFrame, col: str, rules: dict | None = None) -> DataFrame:
@@ -119,8 +156,9 @@ def best_date_format(df: DataFrame, col: str, rules: dict | None = None) -> Data
     aggs = []
     for i, (name, fmts) in enumerate(rules.items()):
         p = _parse_rule(s, fmts)
+        # distinct months via a set: bounded by the calendar, one pass, no Expand
         aggs.append(F.struct(F.count(p).alias("parsed"),
-                             F.count_distinct(F.trunc(p, "month")).alias("months"),
+                             F.size(F.collect_set(F.trunc(p, "month"))).cast("bigint").alias("months"),
                              F.lit(-i).alias("neg_order"), F.lit(name).alias("rule")))
     scores = df.agg(F.array(*aggs).alias("s")).select(F.explode("s").alias("s")).select("s.*")
     return scores.agg(F.max_by(F.struct("rule", "parsed", "months"),

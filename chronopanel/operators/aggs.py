@@ -261,9 +261,11 @@ def investment_metrics(fc: DataFrame, period: str = "period", entity: str = "ent
     x = (fc.select(entity, period, F.lower(F.trim(scenario)).alias("_sc"), F.col(price).cast("double").alias("_p"))
          .filter(F.col(entity).isNotNull() & F.col(period).isNotNull() & F.col("_p").isNotNull()))
     if anchor is None:
-        anchors = x.groupBy(entity).agg(F.coalesce(F.min(F.when(F.col("_sc") == "base", F.col(period))),
-                                                   F.min(period)).alias("_anchor"))
-        x = x.join(anchors, entity)
+        # per-entity window: the same hash partitioning on the entity serves
+        # this window, the scenario windows and the final aggregate (one exchange)
+        we = Window.partitionBy(entity)
+        x = x.withColumn("_anchor", F.coalesce(F.min(F.when(F.col("_sc") == "base", F.col(period))).over(we),
+                                               F.min(period).over(we)))
     else:
         x = x.withColumn("_anchor", F.lit(anchor).cast("date"))
     x = x.filter((F.col(period) >= F.col("_anchor")) & (F.col(period) <= F.add_months("_anchor", horizon)))
