@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 __all__ = [
     "norm_key", "norm_scenario", "SCENARIO_ALIASES", "narrate", "find_month",
     "find_scenario", "find_entities", "classify_intent", "INTENT_RULES",
-    "pretty_feature", "bullet_metric",
+    "pretty_feature", "bullet_metric", "cents",
 ]
 
 
@@ -53,6 +53,12 @@ def narrate(template: str, *cols) -> Column:
     return F.format_string(template, *[_c(c) for c in cols])
 
 
+def cents(c) -> Column:
+    """Round half away from zero to 2 decimals before ``%.2f`` formatting,
+    so the printed digits do not depend on the formatter's tie rule."""
+    return F.round(_c(c) * 100.0) / 100.0
+
+
 def find_month(c) -> Column:
     """P31 month slot: ``YYYY-MM`` or ``YYYY/MM`` (optionally with a day)."""
     m = F.regexp_extract(_c(c), r"\b(20\d{2})[-/](\d{2})(?:[-/]\d{2})?\b", 0)
@@ -69,15 +75,19 @@ def find_scenario(c, default: str = "base") -> Column:
 def find_entities(c, entities) -> Column:
     """P31 entity slot: entities named in the text, exact (case-free) match
     first; if none, a loose match on normalised keys. Order of the list kept.
-    ``entities`` is a short parameter list (not data)."""
+    ``entities`` is a short parameter list (not data). Plain ``contains``
+    tests (code-generated, the lowered text computed once), no lambdas."""
     t = F.lower(_c(c))
-    arr = F.array(*[F.lit(e) for e in entities])
-    exact = F.filter(arr, lambda e: F.instr(t, F.lower(e)) > 0)
+    exact = F.array_compact(F.array(*[F.when(t.contains(e.lower()), F.lit(e)) for e in entities]))
     tk = norm_key(t)
-    loose = F.filter(arr, lambda e: F.instr(tk, F.regexp_replace(F.lower(e), r"[^\p{L}\p{N}]", "")) > 0)
+    loose = F.array_compact(F.array(*[F.when(tk.contains(_key(e)), F.lit(e)) for e in entities]))
     return F.when(F.size(exact) > 0, exact).otherwise(loose)
 
 
+def _key(s: str) -> str:
+    return "".join(ch for ch in s.strip().lower() if ch.isalnum())
+
+
 # Keyword rules of the intent classifier.
 INTENT_RULES = {
     "investment_triggers": ("invest", "investment", "investing", "risk", "return", "risk-return",
@@ -93,7 +103,10 @@ INTENT_RULES = {
 
 
 def _any_substr(t: Column, words) -> Column:
-    return F.exists(F.array(*[F.lit(w) for w in words]), lambda w: F.instr(t, w) > 0)
+    out = None
+    for w in words:
+        out = t.contains(w) if out is None else (out | t.contains(w))
+    return out
 
 
 def classify_intent(c, rules: dict | None = None) -> Column:

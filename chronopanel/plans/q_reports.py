@@ -1 +1,291 @@
-"""Registered queries."""
+"""Registered composite queries (Q01-Q10) and the text-rule queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from .. import functions as fn
+from ..functions.text import INTENT_RULES
+from ..operators import aggs as A
+from ..operators import windows as W
+from . import panels as P
+from . import reports as Rp
+from .registry import register
+from .q_aggs import model_metrics
+
+D6 = 6
+# Entity names of the nation panel (a rule, not data): NATION_0 .. NATION_24.
+NATIONS = [f"NATION_{i}" for i in range(25)]
+
+
+def questions(t):
+    """Questions derived from the forecast table: one per (period, entity,
+    scenario) row, worded by scenario (explain / compare / invest)."""
+    fc = P.scenario_fc(t)
+    m = F.date_format("period", "yyyy-MM")
+    txt = (F.when(F.col("scenario") == "base",
+                  F.format_string("Why will %s move in %s? Explain the drivers.", "entity", m))
+           .when(F.col("scenario") == "low",
+                 F.format_string("Compare %s vs NATION_0 in %s under the low scenario", "entity", m))
+           .otherwise(F.format_string("Which district is best to invest for a stable return in %s, high case?", m)))
+    return fc.select("period", "entity", F.col("scenario").alias("src"), txt.alias("text"))
+
+
+_Q_SQL = """questions AS (
+  SELECT period, entity, scenario AS src,
+         CASE scenario WHEN 'base' THEN printf('Why will %s move in %s? Explain the drivers.', entity, strftime(period, '%Y-%m'))
+              WHEN 'low' THEN printf('Compare %s vs NATION_0 in %s under the low scenario', entity, strftime(period, '%Y-%m'))
+              ELSE printf('Which district is best to invest for a stable return in %s, high case?', strftime(period, '%Y-%m')) END AS text
+  FROM scenario_fc)"""
+
+
+def _lst(words):
+    return "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in words) + "]"
+
+
+def _any_sql(t, words):
+    return f"len(list_filter({_lst(words)}, lambda w: instr({t}, w) > 0)) > 0"
+
+
+def _intent_sql(col):
+    t = f"lower(trim({col}))"
+    r = INTENT_RULES
+    return (f"CASE WHEN {t} IS NULL OR {t} = '' THEN 'empty' "
+            f"WHEN {_any_sql(t, r['investment_triggers'])} AND {_any_sql(t, r['investment_choice'])} THEN 'investment' "
+            f"WHEN {_any_sql(t, r['compare'])} THEN 'compare' WHEN {_any_sql(t, r['explain'])} THEN 'explain' "
+            f"ELSE 'forecast' END")
+
+
+def _entities_sql(col):
+    t = f"lower({col})"
+    exact = f"list_filter({_lst(NATIONS)}, lambda e: instr({t}, lower(e)) > 0)"
+    tk = f"regexp_replace(lower(trim({t})), '[^\\pL\\pN]', '', 'g')"
+    loose = f"list_filter({_lst(NATIONS)}, lambda e: instr({tk}, regexp_replace(lower(e), '[^\\pL\\pN]', '', 'g')) > 0)"
+    return f"CASE WHEN len({exact}) > 0 THEN {exact} ELSE {loose} END"
+
+
+_MONTH_SQL = r"""CASE WHEN regexp_extract({c}, '\b(20\d{{2}})[-/](\d{{2}})(?:[-/]\d{{2}})?\b', 0) <> ''
+  THEN substr(regexp_extract({c}, '\b(20\d{{2}})[-/](\d{{2}})(?:[-/]\d{{2}})?\b', 0), 1, 4) || '-' ||
+       substr(regexp_extract({c}, '\b(20\d{{2}})[-/](\d{{2}})(?:[-/]\d{{2}})?\b', 0), 6, 2) END"""
+_SCEN_SQL = r"""CASE WHEN regexp_matches(lower({c}), '\blow\b') THEN 'low' WHEN regexp_matches(lower({c}), '\bhigh\b') THEN 'high'
+  WHEN regexp_matches(lower({c}), '\bbase\b') THEN 'base' ELSE 'base' END"""
+
+
+@register("classify_intent", "P32", sql=f"""
+SELECT 'conversations' AS src, conv_id AS id, turn, {_intent_sql('text')} AS intent FROM conversations
+UNION ALL SELECT 'documents', doc_id, CAST(0 AS BIGINT), {_intent_sql('text')} FROM documents""")
+def classify_intent(t):
+    c = t("conversations").select(F.lit("conversations").alias("src"), F.col("conv_id").alias("id"), "turn",
+                                  fn.classify_intent("text").alias("intent"))
+    d = t("documents").select(F.lit("documents").alias("src"), F.col("doc_id").alias("id"),
+                              F.lit(0).cast("bigint").alias("turn"), fn.classify_intent("text").alias("intent"))
+    return c.unionByName(d)
+
+
+@register("extract_slots", "P31", ctes=["scenario_fc"], sql=_Q_SQL + f""",
+s AS (SELECT period, entity, src, {_MONTH_SQL.format(c='text')} AS month, {_SCEN_SQL.format(c='text')} AS scenario,
+             {_entities_sql('text')} AS ents FROM questions)
+SELECT period, entity, src, month, scenario, CAST(len(ents) AS BIGINT) AS n_entities, ents[1] AS entity_1,
+       ents[2] AS entity_2 FROM s""")
+def extract_slots(t):
+    q = questions(t)
+    e = fn.find_entities(F.col("text"), NATIONS)
+    return q.select("period", "entity", "src", fn.find_month("text").alias("month"),
+                    fn.find_scenario("text").alias("scenario"), F.size(e).cast("bigint").alias("n_entities"),
+                    F.try_element_at(e, F.lit(1)).alias("entity_1"), F.try_element_at(e, F.lit(2)).alias("entity_2"))
+
+
+@register("route_questions", "Q08 P31 P32", ctes=["scenario_fc"], sql=_Q_SQL + f""",
+s AS (SELECT period, entity, src, text, {_intent_sql('text')} AS intent,
+             coalesce({_MONTH_SQL.format(c='text')}, '2001-01') AS month, {_SCEN_SQL.format(c='text')} AS scenario,
+             {_entities_sql('text')} AS ents FROM questions)
+SELECT period, entity, src, text, intent, month, scenario,
+       CASE WHEN intent = 'investment' THEN 'investment_insight'
+            WHEN intent = 'compare' AND len(ents) >= 2 THEN 'compare_entities'
+            WHEN intent = 'explain' THEN 'auto_summary'
+            WHEN len(ents) >= 1 THEN 'forecast_report' ELSE 'predict_slice' END AS route,
+       CAST(len(ents) AS BIGINT) AS n_entities, ents[1] AS entity_1, ents[2] AS entity_2
+FROM s""")
+def route_questions(t):
+    return Rp.route_questions(questions(t), NATIONS, default_month="2001-01")
+
+
+@register("parse_bullets", "P33 P30", ctes=["nation_month"], digits={"value": 2}, sql=r"""
+b AS (SELECT entity, printf('- Mean price: %.2f', round(avg(avg_price) * 100.0) / 100.0) || chr(10) || printf('- Months: %d', count(*)) || chr(10) ||
+             printf('- Orders: %d', sum(sales_count)) || chr(10) || 'no bullet here' AS text
+      FROM nation_month GROUP BY entity),
+l AS (SELECT entity, unnest(string_split(text, chr(10))) AS line FROM b)
+SELECT entity, trim(regexp_extract(line, '^\s*[-*•]\s*([^:]+):\s*([-+]?[0-9][0-9,]*\.?[0-9]*)\s*(%?)', 1)) AS name,
+       TRY_CAST(replace(regexp_extract(line, '^\s*[-*•]\s*([^:]+):\s*([-+]?[0-9][0-9,]*\.?[0-9]*)\s*(%?)', 2), ',', '') AS DOUBLE) AS value,
+       regexp_extract(line, '^\s*[-*•]\s*([^:]+):\s*([-+]?[0-9][0-9,]*\.?[0-9]*)\s*(%?)', 3) = '%' AS is_percent
+FROM l WHERE trim(regexp_extract(line, '^\s*[-*•]\s*([^:]+):\s*([-+]?[0-9][0-9,]*\.?[0-9]*)\s*(%?)', 1)) <> ''""")
+def parse_bullets(t):
+    g = P.nation_month(t).groupBy("entity").agg(F.avg("avg_price").alias("m"), F.count("*").alias("n"),
+                                                F.sum("sales_count").alias("s"))
+    text = F.concat_ws("\n", fn.narrate("- Mean price: %.2f", fn.cents("m")), fn.narrate("- Months: %d", "n"),
+                       fn.narrate("- Orders: %d", "s"), F.lit("no bullet here"))
+    lines = g.select("entity", F.explode(F.split(text, "\n")).alias("line"))
+    b = lines.select("entity", fn.bullet_metric("line").alias("b")).filter(F.col("b").isNotNull())
+    return b.select("entity", "b.name", "b.value", "b.is_percent")
+
+
+@register("predict_slice", "Q01 P23 P24 P25 L04", ctes=["scenario_fc"], digits={"pred": 4, "pred_log": 9}, sql=r"""
+s AS (SELECT * FROM scenario_fc WHERE scenario = 'low'
+      AND regexp_replace(lower(trim(entity)), '[^\pL\pN]', '', 'g') IN ('nation1', 'nation2', 'nation13'))
+SELECT period, entity, scenario, pred, pred_log, (SELECT count(*) FROM s) AS total_rows
+FROM s ORDER BY entity, period LIMIT 20""")
+def predict_slice(t):
+    return Rp.predict_slice(P.scenario_fc(t), " Lower ", ["nation 1", "NATION_2", "nation_13", "", "string"], n=20)
+
+
+@register("auto_summary", "Q02 A15 P30", ctes=["attrib_long"], digits={"magnitude": 9, "shap_mean": 9}, sql="""
+g AS (SELECT entity, scenario, period, trim(feature) AS feature, avg(abs_shap) AS magnitude, avg(shap_value) AS shap_mean
+      FROM attrib_long WHERE abs_shap IS NOT NULL GROUP BY 1, 2, 3, 4),
+r AS (SELECT *, row_number() OVER (PARTITION BY entity, scenario, period ORDER BY magnitude DESC, feature) AS rank FROM g)
+SELECT entity, scenario, period, feature, magnitude, shap_mean, CAST(rank AS BIGINT) AS rank,
+       CASE WHEN shap_mean > 0 THEN 'up' WHEN shap_mean < 0 THEN 'down' END AS direction,
+       printf('%s pushes the forecast %s (mean attribution %.4f)', feature,
+              coalesce(CASE WHEN shap_mean > 0 THEN 'up' WHEN shap_mean < 0 THEN 'down' END, 'nowhere'), shap_mean) AS text
+FROM r WHERE rank <= 3""")
+def auto_summary(t):
+    return Rp.auto_summary(P.attrib_long(t), k=3)
+
+
+_REPORT_SQL = """
+path AS (SELECT entity, scenario, min(period) AS start_period, max(period) AS end_period, arg_max(pred, period) AS future_price
+         FROM scenario_fc GROUP BY 1, 2),
+st AS (SELECT entity, min(start_period) AS start FROM path GROUP BY 1),
+hj AS (SELECT h.entity, h.period, h.avg_price, st.start FROM nation_month h JOIN st ON h.entity = st.entity),
+anc AS (SELECT entity, CASE WHEN max(period) FILTER (WHERE period < start) IS NOT NULL THEN max(period) FILTER (WHERE period < start) ELSE max(period) END AS anchor_period,
+               CASE WHEN max(period) FILTER (WHERE period < start) IS NOT NULL THEN arg_max(avg_price, period) FILTER (WHERE period < start)
+                    ELSE arg_max(avg_price, period) END AS current_price FROM hj GROUP BY 1),
+rep0 AS (SELECT p.*, a.anchor_period, a.current_price,
+                CASE WHEN a.current_price IS NOT NULL AND a.current_price <> 0 THEN p.future_price / a.current_price - 1 END AS change
+         FROM path p LEFT JOIN anc a ON p.entity = a.entity),
+hg AS (SELECT entity, scenario, feature, avg(shap_value) AS mean_shap, avg(abs(shap_value)) AS mean_abs_shap FROM attrib_long GROUP BY 1, 2, 3),
+hs AS (SELECT *, CASE WHEN mean_shap > 0 THEN 'up' WHEN mean_shap < 0 THEN 'down' END AS side FROM hg),
+hd AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY entity, scenario, side ORDER BY mean_abs_shap DESC, feature) AS rank
+                      FROM hs WHERE side IS NOT NULL) WHERE rank <= 3),
+lists AS (SELECT entity, scenario,
+                 array_to_string(list(feature ORDER BY rank) FILTER (WHERE side = 'up'), ', ') AS drivers_up,
+                 array_to_string(list(feature ORDER BY rank) FILTER (WHERE side = 'down'), ', ') AS drivers_down
+          FROM hd GROUP BY 1, 2),
+ct AS (SELECT entity, scenario, sum(abs(mean_abs_shap)) AS tot FROM hd GROUP BY 1, 2),
+cards AS (SELECT hd.entity, hd.scenario,
+                 count_if(CASE WHEN tot > 0 THEN abs(mean_abs_shap) / tot END >= 0.25) AS n_high,
+                 count_if(CASE WHEN tot > 0 THEN abs(mean_abs_shap) / tot END < 0.25 AND CASE WHEN tot > 0 THEN abs(mean_abs_shap) / tot END >= 0.10) AS n_medium
+          FROM hd JOIN ct ON hd.entity = ct.entity AND hd.scenario = ct.scenario GROUP BY 1, 2),
+rep AS (SELECT r.*,
+               CASE WHEN change IS NULL THEN 'unknown' WHEN change >= 0.03 THEN 'increase' WHEN change <= -0.03 THEN 'decrease' ELSE 'stable' END AS direction,
+               CASE WHEN change IS NULL THEN 'unknown' WHEN change >= 0.08 OR change <= -0.08 THEN 'strong'
+                    WHEN change >= 0.03 OR change <= -0.03 THEN 'moderate' ELSE 'weak' END AS strength,
+               l.drivers_up, l.drivers_down, coalesce(c.n_high, 0) AS n_high, coalesce(c.n_medium, 0) AS n_medium
+        FROM rep0 r LEFT JOIN lists l ON r.entity = l.entity AND r.scenario = l.scenario
+             LEFT JOIN cards c ON r.entity = c.entity AND r.scenario = c.scenario)"""
+
+
+@register("forecast_report", "Q03 J07 A16 P27 P28 W10 P30", ctes=["nation_month", "scenario_fc", "attrib_long"],
+          digits={"current_price": 4, "future_price": 4, "change": 9}, sql=_REPORT_SQL + """
+SELECT entity, scenario, start_period, end_period, anchor_period, current_price, future_price, change, direction, strength,
+       drivers_up, drivers_down, n_high, n_medium,
+       printf('%s (%s): %s %s move to %.2f by %s', entity, scenario, strength, direction, round(future_price * 100.0) / 100.0,
+              strftime(end_period, '%Y-%m')) AS text
+FROM rep""")
+def forecast_report(t):
+    return Rp.forecast_report(P.scenario_fc(t), P.nation_month(t).select("entity", "period", "avg_price"),
+                              P.attrib_long(t))
+
+
+@register("compare_entities", "Q04 Q03", ctes=["nation_month", "scenario_fc", "attrib_long"],
+          digits={"change_a": 9, "change_b": 9}, sql=_REPORT_SQL + """,
+g AS (SELECT scenario, max(CASE WHEN entity = 'NATION_1' THEN change END) AS change_a,
+             max(CASE WHEN entity = 'NATION_2' THEN change END) AS change_b
+      FROM rep WHERE entity IN ('NATION_1', 'NATION_2') GROUP BY scenario)
+SELECT scenario, 'NATION_1' AS entity_a, 'NATION_2' AS entity_b, change_a, change_b,
+       CASE WHEN change_a IS NULL OR change_b IS NULL THEN NULL WHEN change_a > change_b THEN 'NATION_1'
+            WHEN change_b > change_a THEN 'NATION_2' ELSE 'tie' END AS winner
+FROM g""")
+def compare_entities(t):
+    rep = Rp.forecast_report(P.scenario_fc(t), P.nation_month(t).select("entity", "period", "avg_price"),
+                             P.attrib_long(t))
+    return Rp.compare_entities(rep, "NATION_1", "NATION_2")
+
+
+@register("investment_insight", "Q05 W09 L03 A14", ctes=["scenario_fc"], sql=None)
+def investment_insight(t):
+    return Rp.investment_insight(A.investment_metrics(P.scenario_fc(t)), k=3)
+
+
+@register("dataset_summary", "Q06 A10 A11 A19 J11 P37", ctes=["nation_lags"], sql="""
+x AS (SELECT * FROM nation_lags),
+cal AS (SELECT CAST(unnest(generate_series(min(period), max(period), INTERVAL 1 MONTH)) AS DATE) AS period FROM x),
+mm AS (SELECT count(*) AS n FROM cal WHERE period NOT IN (SELECT period FROM x)),
+gaps AS (SELECT datediff('day', lag(period) OVER (ORDER BY period), period) AS gap FROM (SELECT DISTINCT period FROM x)),
+fr AS (SELECT CASE WHEN (SELECT count(DISTINCT period) FROM x) < 3 THEN 'Unknown'
+                   WHEN quantile_cont(gap, 0.5) BETWEEN 25 AND 35 THEN 'Monthly' ELSE 'Irregular' END AS f FROM gaps),
+ms AS (SELECT 'avg_price_lag12' AS c, count_if(avg_price_lag12 IS NULL) AS n FROM x)
+SELECT count(*) AS rows, CAST(10 AS BIGINT) AS cols, min(period) AS period_min, max(period) AS period_max,
+       count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM x)) AS duplicate_rows,
+       (SELECT n FROM mm) AS missing_months, (SELECT f FROM fr) AS frequency, CAST(12 AS BIGINT) AS max_lag,
+       CAST(min(period) - INTERVAL 12 MONTH AS DATE) AS raw_start,
+       (SELECT c FROM ms) AS most_missing_column, (SELECT n FROM ms) AS most_missing_count
+FROM x""")
+def dataset_summary(t):
+    return Rp.dataset_summary(P.nation_lags(t))
+
+
+@register("spatial_table", "Q07 J07 P27", ctes=["nation_month", "scenario_fc"], digits={
+    "current_price": 4, "future_price": 4, "change": 4, "change_pct": 6}, sql="""
+f AS (SELECT entity, arg_max(pred, period) AS future_price FROM scenario_fc
+      WHERE scenario = 'high' AND period = (SELECT max(period) FROM scenario_fc) GROUP BY 1),
+st AS (SELECT entity, min(period) AS start FROM scenario_fc WHERE scenario = 'high' GROUP BY 1),
+hj AS (SELECT h.entity, h.period, h.avg_price, st.start FROM nation_month h JOIN st ON h.entity = st.entity),
+anc AS (SELECT entity, CASE WHEN max(period) FILTER (WHERE period < start) IS NOT NULL
+                            THEN arg_max(avg_price, period) FILTER (WHERE period < start) ELSE arg_max(avg_price, period) END AS current_price
+        FROM hj GROUP BY 1)
+SELECT n.n_name AS entity, a.current_price, f.future_price, f.future_price - a.current_price AS change,
+       CASE WHEN a.current_price IS NOT NULL AND a.current_price <> 0 THEN f.future_price / a.current_price - 1 END * 100 AS change_pct,
+       CASE WHEN a.current_price IS NULL AND f.future_price IS NULL THEN 'no history and no forecast'
+            WHEN a.current_price IS NULL THEN 'no history' WHEN f.future_price IS NULL THEN 'no forecast' END AS reason
+FROM nation n LEFT JOIN anc a ON n.n_name = a.entity LEFT JOIN f ON n.n_name = f.entity""")
+def spatial_table(t):
+    fc = P.scenario_fc(t)
+    last = fc.select(F.max("period")).scalar()
+    ents = t("nation").select(F.col("n_name").alias("entity"))
+    hist = P.nation_month(t).select("entity", "period", "avg_price")
+    f = fc.filter(F.col("period") == last)
+    x = Rp.spatial_table(f, hist, ents, "high")
+    # the anchor is taken before the scenario's first month, not the chosen month
+    starts = fc.filter(F.col("scenario") == "high").groupBy("entity").agg(F.min("period").alias("start"))
+    from ..operators.joins import asof_anchor
+    anc = asof_anchor(hist, starts, value="avg_price").select("entity", F.col("anchor_value").alias("_cp"))
+    x = x.join(anc, "entity", "left").withColumn("current_price", F.col("_cp")).drop("_cp")
+    reason = (F.when(F.col("current_price").isNull() & F.col("future_price").isNull(), "no history and no forecast")
+              .when(F.col("current_price").isNull(), "no history").when(F.col("future_price").isNull(), "no forecast"))
+    return x.select("entity", "current_price", "future_price",
+                    (F.col("future_price") - F.col("current_price")).alias("change"),
+                    (fn.pct_change_of("future_price", "current_price") * 100).alias("change_pct"),
+                    reason.alias("reason"))
+
+
+@register("model_report", "Q09 A24 P29 P30", ctes=["nation_month"], sql=None)
+def model_report(t):
+    m = model_metrics(t)
+    return Rp.model_report(m.filter("split = 'test'"), m.filter("split = 'train'"), "naive")
+
+
+@register("driver_bars", "Q10 A15 P36", ctes=["attrib_long", "nation_month"], digits={"shap_value": 9}, sql="""
+g AS (SELECT entity, scenario, period, feature, avg(shap_value) AS shap_value FROM attrib_long GROUP BY 1, 2, 3, 4),
+rg AS (SELECT DISTINCT entity, region FROM nation_month),
+k AS (SELECT g.*, CASE WHEN shap_value > 0 THEN 'up' WHEN shap_value < 0 THEN 'down' END AS side
+      FROM g LEFT JOIN rg ON g.entity = rg.entity
+      WHERE NOT starts_with(feature, 'cat__Region_') OR feature = 'cat__Region_' || rg.region),
+r AS (SELECT *, row_number() OVER (PARTITION BY entity, scenario, period, side
+                                   ORDER BY CASE WHEN side = 'up' THEN -shap_value ELSE shap_value END, feature) AS bar_rank
+      FROM k WHERE side IS NOT NULL)
+SELECT entity, scenario, period, feature, shap_value, side, CAST(bar_rank AS BIGINT) AS bar_rank,
+       regexp_replace(feature, '^(num|cat|remainder)__', '') AS label
+FROM r WHERE bar_rank <= 5""")
+def driver_bars(t):
+    regions = P.nation_month(t).select("entity", "region").distinct()
+    return Rp.driver_bars(P.attrib_long(t), regions, k=5)

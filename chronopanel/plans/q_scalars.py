@@ -304,13 +304,13 @@ def gap_band(t):
 
 
 @register("narrate_metrics", "P30", ctes=["nation_month"], sql="""
-SELECT entity, printf('%s: mean price %.2f over %d months, %d orders', entity, avg(avg_price), count(*),
+SELECT entity, printf('%s: mean price %.2f over %d months, %d orders', entity, round(avg(avg_price) * 100.0) / 100.0, count(*),
                       sum(sales_count)) AS text
 FROM nation_month GROUP BY entity""")
 def narrate_metrics(t):
     g = P.nation_month(t).groupBy("entity").agg(F.avg("avg_price").alias("m"), F.count("*").alias("n"),
                                                 F.sum("sales_count").alias("s"))
-    return g.select("entity", fn.narrate("%s: mean price %.2f over %d months, %d orders", "entity", "m", "n", "s")
+    return g.select("entity", fn.narrate("%s: mean price %.2f over %d months, %d orders", "entity", fn.cents("m"), "n", "s")
                     .alias("text"))
 
 
