@@ -1 +1,150 @@
-"""Registered queries."""
+"""Registered modelling, forecasting and attribution queries."""
+
+from __future__ import annotations
+
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import RandomForestRegressor
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from ..operators import explain as X
+from ..operators import forecast as FC
+from ..operators import models as M
+from ..operators import windows as W
+from . import panels as P
+from .registry import register
+
+FEATURES = ["l1", "l12", "ls"]
+
+
+def model_panel(t, complete: bool = False):
+    """(period, entity, region, y = log price, l1, l12 = log price lags,
+    ls = log order count) from the nation panel; ``complete`` drops rows
+    with a missing lag (training rows)."""
+    x = P.nation_lags(t)
+    if complete:
+        x = x.dropna(subset=["avg_price_lag1", "avg_price_lag12"])
+    return x.select("period", "entity", "region", F.log("avg_price").alias("y"),
+                    F.log("avg_price_lag1").alias("l1"), F.log("avg_price_lag12").alias("l12"),
+                    F.log("sales_count").alias("ls"))
+
+
+def scenario_features(t):
+    """Scenario rows with model features: l1 = log of the previous month of
+    the same scenario path, with history prepended for the first month (the
+    corrected default; Spark trees reject missing features), l12 and ls
+    from history."""
+    fc = P.scenario_fc(t)
+    w = Window.partitionBy("entity", "scenario").orderBy("period")
+    fc = fc.withColumn("_l1p", F.lag("pred_log").over(w))
+    h = model_panel(t).select("period", "entity", F.col("l1").alias("_l1h"), "l12", "ls")
+    x = fc.join(h, ["period", "entity"], "left")
+    return x.withColumn("l1", F.coalesce("_l1p", "_l1h")).drop("_l1p", "_l1h").dropna(subset=FEATURES)
+
+
+@register("ols_simple", "M01", ctes=["nation_lags"], digits={"coef": 6, "std_err": 6, "t_stat": 4}, sql="""
+x AS (SELECT ln(avg_price) AS y, ln(avg_price_lag1) AS x FROM nation_lags WHERE avg_price_lag1 IS NOT NULL),
+s AS (SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a, regr_count(y, x) AS n, regr_sxx(y, x) AS sxx,
+             regr_syy(y, x) AS syy, regr_sxy(y, x) AS sxy, regr_avgx(y, x) AS mx FROM x),
+e AS (SELECT *, (syy - b * sxy) / (n - 2) AS s2 FROM s)
+SELECT 'x' AS name, b AS coef, sqrt(s2 / sxx) AS std_err, b / sqrt(s2 / sxx) AS t_stat FROM e
+UNION ALL SELECT 'const', a, sqrt(s2 * (1.0 / n + mx * mx / sxx)), a / sqrt(s2 * (1.0 / n + mx * mx / sxx)) FROM e""")
+def ols_simple(t):
+    x = P.nation_lags(t).select(F.log("avg_price").alias("y"), F.log("avg_price_lag1").alias("x"))
+    return M.ols(x, "y", ["x"]).select("name", "coef", "std_err", "t_stat")
+
+
+@register("ols", "M01 S11")
+def ols(t):
+    return M.ols(model_panel(t), "y", FEATURES)
+
+
+@register("lasso_select", "M02 W13")
+def lasso_select(t):
+    x = W.add_lags(P.nation_month(t).select("period", "entity", "avg_price", "sales_count"), "entity", "period",
+                   ["avg_price", "sales_count"], [1, 2, 3, 6, 12])
+    x = x.select("period", "entity", F.log("avg_price").alias("y"),
+                 *[F.log(c).alias(c) for c in x.columns if "_lag" in c])
+    feats = [c for c in x.columns if "_lag" in c]
+    return M.lasso_select(x, "y", feats, order=["period", "entity"], n_splits=5, n_alphas=200)
+
+
+@register("align_features", "M03 M04", ctes=["nation_lags"], digits={"avg_price_lag1": 6, "avg_price_lag12": 6}, sql="""
+SELECT period, entity, avg_price_lag12, avg_price_lag1, 0.0::DOUBLE AS not_in_data FROM nation_lags""")
+def align_features(t):
+    x, absent = M.select_features(P.nation_lags(t), ["avg_price_lag1", "avg_price_lag12", "not_in_data"],
+                                   keep=["period", "entity"])
+    return M.align_features(x, ["avg_price_lag12", "avg_price_lag1", "not_in_data"], fill=0.0,
+                            keep=["period", "entity"])
+
+
+def _stages():
+    return M.feature_pipeline(cat=["region"], num=FEATURES, scale=False)
+
+
+@register("feature_pipeline", "M05")
+def feature_pipeline(t):
+    from pyspark.ml import Pipeline
+    d = model_panel(t)
+    model = Pipeline(stages=M.feature_pipeline(cat=["region"], num=FEATURES, scale=True)).fit(d)
+    out = model.transform(d)
+    return out.select("period", "entity", F.col("features").cast("string").alias("features"))
+
+
+@register("tune_forest", "M06 M08 W12")
+def tune_forest(t):
+    res = M.tune_forest(model_panel(t, complete=True), "y", _stages(), {"numTrees": [10, 20], "maxDepth": [4]},
+                        n_splits=3, min_train=36, val=6)
+    return M.cv_table(res)
+
+
+@register("tune_gbt", "M07 M08 W12")
+def tune_gbt(t):
+    res = M.tune_gbt(model_panel(t, complete=True), "y", _stages(), {"maxIter": [10, 20], "maxDepth": [3], "stepSize": [0.1]},
+                     n_splits=3, min_train=36, val=6)
+    return M.cv_table(res)
+
+
+def _forest(t, num_trees=20, depth=4):
+    d = model_panel(t, complete=True).filter(F.col("y").isNotNull())
+    stages = [VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="keep")]
+    est = RandomForestRegressor(featuresCol="features", labelCol="y", numTrees=num_trees, maxDepth=depth, seed=42)
+    return M.refit(d, "y", stages, est)
+
+
+@register("score_scenarios", "M09 M10 A22")
+def score_scenarios(t):
+    model = _forest(t)
+    return M.score_scenarios(model, scenario_features(t))
+
+
+@register("tree_shap", "M14 J09 A20")
+def tree_shap(t):
+    model = _forest(t)
+    scored = model.transform(scenario_features(t))
+    return X.tree_shap(model.stages[-1], scored, FEATURES, ["period", "entity", "scenario"])
+
+
+@register("bvar_forecast", "M12 W03 W07")
+def bvar_forecast(t):
+    nm = P.nation_month(t).select("period", "entity", "avg_price", "sales_count")
+    nm = W.log_return(nm, "entity", "period", "avg_price", out="dlog_price")
+    nm = nm.withColumn("log_sales", F.log("sales_count"))
+    fc = FC.bvar_forecast(nm, "entity", "period", ["dlog_price", "log_sales"], p=2, horizon=12)
+    last = nm.groupBy("entity").agg(F.max_by("avg_price", "period").alias("anchor"))
+    fc = fc.join(last, "entity")
+    return W.levels_from_dlog(fc, "entity", "period", "dlog_price", "anchor", out="price_level").drop("anchor")
+
+
+@register("seasonal_grid", "M13 L02")
+def seasonal_grid(t):
+    nm = P.nation_month(t).groupBy("period", "region").agg(F.sum("sales_count").cast("double").alias("sales"))
+    res, _ = FC.seasonal_grid(nm, "region", "period", "sales", horizon=12)
+    return res
+
+
+@register("seasonal_forecast", "M13 U09")
+def seasonal_forecast(t):
+    nm = P.nation_month(t).groupBy("period", "region").agg(F.sum("sales_count").cast("double").alias("sales"))
+    _, fc = FC.seasonal_grid(nm, "region", "period", "sales", horizon=12)
+    return fc
