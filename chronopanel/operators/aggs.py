@@ -87,7 +87,7 @@ def trailing_shares(df: DataFrame, period: str, entity: str, value: str, months:
     recent = df.filter(F.col(period) >= F.add_months(last, -(months - 1)))
     per = recent.groupBy(entity).agg(F.sum(value).alias("total"))
     grand = recent.select(F.sum(value)).scalar()
-    return per.select(entity, (F.col("total") / grand).alias(out))
+    return per.select(entity, F.try_divide(F.col("total"), grand).alias(out))
 
 
 # A04 / A05 -----------------------------------------------------------------
@@ -214,7 +214,7 @@ def regression_metrics(df: DataFrame, y: str, yhat: str, by=(), log_scale: bool
     def block(a: Column, b: Column, sfx: str):
         e = a - b
         return [F.sqrt(F.avg(e * e)).alias(f"rmse{sfx}"), F.avg(F.abs(e)).alias(f"mae{sfx}"),
-                (1 - F.sum(e * e) / (F.count(e) * F.var_pop(a))).alias(f"r2{sfx}")]
+                (1 - F.try_divide(F.sum(e * e), F.count(e) * F.var_pop(a))).alias(f"r2{sfx}")]
     d = df.filter(F.col(y).isNotNull() & F.col(yhat).isNotNull())
     aggs = [F.count("*").alias("n")]
     if log_scale:
@@ -238,7 +238,7 @@ def benchmark_profile(entity_df: DataFrame, bench_df: DataFrame, period: str, en
     j = e.join(b, on=period, how="inner")
     w = Window.partitionBy(entity).orderBy(period)
     j = j.withColumn("_lr", F.log("_v") - F.log(F.lag("_v").over(w)))
-    ratio = F.col("_v") / F.col("_b")
+    ratio = F.try_divide(F.col("_v"), F.col("_b"))
     both = F.col("_lr").isNotNull() & F.col("_blr").isNotNull()
     g = j.groupBy(entity).agg(
         F.count("*").alias("n_common"), F.avg(ratio).alias("avg_ratio"),
@@ -270,8 +270,8 @@ def investment_metrics(fc: DataFrame, period: str = "period", entity: str = "ent
         x = x.withColumn("_anchor", F.lit(anchor).cast("date"))
     x = x.filter((F.col(period) >= F.col("_anchor")) & (F.col(period) <= F.add_months("_anchor", horizon)))
     w = Window.partitionBy(entity, "_sc").orderBy(period)
-    x = (x.withColumn("_ret", F.col("_p") / F.lag("_p").over(w) - 1)
-         .withColumn("_dd", F.col("_p") / F.max("_p").over(w.rowsBetween(Window.unboundedPreceding, 0)) - 1))
+    x = (x.withColumn("_ret", F.try_divide(F.col("_p"), F.lag("_p").over(w)) - 1)
+         .withColumn("_dd", F.try_divide(F.col("_p"), F.max("_p").over(w.rowsBetween(Window.unboundedPreceding, 0))) - 1))
     base, low, high = (F.col("_sc") == "base"), (F.col("_sc") == "low"), (F.col("_sc") == "high")
     g = x.groupBy(entity).agg(
         F.min("_anchor").alias("anchor"),
@@ -399,7 +399,7 @@ def weighted_mean(df: DataFrame, pairs, by=(), out: str = "weighted_mean") -> Da
     num = sum((F.coalesce(F.col(v) * F.col(w), F.lit(0.0)) for v, w in pairs), F.lit(0.0))
     den = sum((F.when(F.col(v).isNotNull(), F.coalesce(F.col(w), F.lit(0.0))).otherwise(0.0) for v, w in pairs),
               F.lit(0.0))
-    return df.groupBy(*as_list(by)).agg((F.sum(num) / F.sum(den)).alias(out))
+    return df.groupBy(*as_list(by)).agg(F.try_divide(F.sum(num), F.sum(den)).alias(out))
 
 
 # A24 -----------------------------------------------------------------------

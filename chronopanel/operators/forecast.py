@@ -87,7 +87,7 @@ def bvar_forecast(df: DataFrame, by, order: str, cols, p: int = 1, horizon: int
         for j, c in enumerate(cols):
             lagc[(lag, j)] = F.lag(c, lag).over(w)
     d = d.withColumns({f"_l{lag}_{j}": e for (lag, j), e in lagc.items()}).withColumn(
-        "_T", F.count("*").over(Window.partitionBy(*by)))
+        "_nrows", F.count("*").over(Window.partitionBy(*by)))
     xs = ([F.lit(1.0)] if intercept else []) + [F.col(f"_l{lag}_{j}") for lag in range(1, p + 1) for j in range(k)]
     m = len(xs)
     inb = F.col("_t") >= p
@@ -101,7 +101,7 @@ def bvar_forecast(df: DataFrame, by, order: str, cols, p: int = 1, horizon: int
                F.sum(F.when(has, yl * yl)), F.sum(F.when(has, F.col(c) * yl)),
                F.sum(F.when(has, F.col(c) * F.col(c))), F.count("*").cast("double"), F.sum(c),
                F.sum(F.col(c) * F.col(c))]
-    tail = [F.max_by(F.col(c), F.when(F.col("_t") == F.col("_T") - p + i, F.col("_t")))
+    tail = [F.max_by(F.col(c), F.when(F.col("_t") == F.col("_nrows") - p + i, F.col("_t")))
             for i in range(p) for c in cols]
     agg = d.groupBy(*by).agg(F.array(*xtx).alias("xtx"), F.array(*xty).alias("xty"),
                              F.array(*ar).alias("ar"), F.array(*tail).alias("tail"),

@@ -80,7 +80,7 @@ def drawdown(df: DataFrame, by, order: str, c: str) -> DataFrame:
     """Running maximum and drawdown ``c / running_max - 1`` (<= 0)."""
     w = _w(by, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (df.withColumn(f"{c}_runmax", F.max(c).over(w))
-              .withColumn(f"{c}_drawdown", F.col(c) / F.col(f"{c}_runmax") - 1))
+              .withColumn(f"{c}_drawdown", F.try_divide(F.col(c), F.col(f"{c}_runmax")) - 1))
 
 
 # W07 -----------------------------------------------------------------------
