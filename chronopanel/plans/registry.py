@@ -1,13 +1,16 @@
 """Registry of named queries: each pairs a Spark builder ``(spark, sf_dir)
 -> DataFrame`` with an equivalent DuckDB SQL oracle over the same tables.
 
-Floating columns are rounded identically on both sides as
-``round(x * 10^d) / 10^d`` (the same IEEE operations in both engines);
-integer columns are widened to BIGINT so schemas agree.
+Floating columns are rounded identically on both sides to a binary grid,
+``round(x * 2^b) / 2^b`` with 2^-b just below 10^-d: scaling by a power of
+two is exact, so both engines perform the same IEEE operations, and values
+that are round in decimal (prices, their averages) never sit on a rounding
+tie. Integer columns are widened to BIGINT so schemas agree.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 from typing import Callable
 
@@ -46,10 +49,14 @@ def register(name: str, ops, sql: str | None = None, ctes=(), digits: dict | Non
     return deco
 
 
+def _scale(d: int) -> float:
+    return float(2 ** math.ceil(d * math.log2(10)))
+
+
 def _round_sql(sql: str, digits: dict) -> str:
     if not digits:
         return sql
-    rep = ", ".join(f"round({c} * 1e{d}) / 1e{d} AS {c}" for c, d in digits.items())
+    rep = ", ".join(f"round({c} * {_scale(d)!r}) / {_scale(d)!r} AS {c}" for c, d in digits.items())
     return f"SELECT * REPLACE ({rep}) FROM (\n{sql}\n) _q"
 
 
@@ -58,8 +65,8 @@ def finalize(df: DataFrame, digits: dict) -> DataFrame:
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if f.name in digits:
-            d = digits[f.name]
-            exprs.append((F.round(c.cast("double") * float(10 ** d)) / float(10 ** d)).alias(f.name))
+            k = _scale(digits[f.name])
+            exprs.append((F.round(c.cast("double") * k) / k).alias(f.name))
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             exprs.append(c.cast("bigint").alias(f.name))
         else:
