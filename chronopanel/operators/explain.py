@@ -142,6 +142,10 @@ def tree_shap(model, df: DataFrame, features, keys, feature_col: str = "features
     base = float(sum(t["weight"] * expected_value(t) for t in trees))
     nfeat = len(features)
     x = df.select(*keys, *features, F.col("prediction").alias("pred"))
+    # explaining a row costs O(trees x leaves x depth^2) Python steps: spread
+    # the rows over all task slots (hash of the keys) rather than inheriting
+    # the few partitions of a small scored table
+    x = x.repartition(max(x.sparkSession.sparkContext.defaultParallelism, 1), *[F.col(k) for k in keys])
     key_types = dict(x.dtypes)
     schema = ", ".join([f"`{k}` {key_types[k]}" for k in keys] +
                        ["feature string", "feature_value double", "shap_value double", "abs_shap double",

@@ -29,19 +29,51 @@ SCENARIO_MONTHS = 12
 
 
 class Tables:
-    """Lazy access to the input tables of one data folder."""
+    """Lazy access to the input tables of one data folder. Tables and
+    panels are memoised per query build: every use of a panel inside one
+    plan is the SAME DataFrame, so Spark reuses its exchanges (and the
+    stage cache serves scalar subqueries) instead of recomputing the
+    fact-table join and aggregate for each use."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize=()):
         self.spark, self.sf_dir = spark, sf_dir
+        self._memo: dict = {}
+        self.materialize = set(materialize)
 
     def __call__(self, name: str) -> DataFrame:
-        return table(self.spark, self.sf_dir, name)
+        key = ("table", name)
+        if key not in self._memo:
+            self._memo[key] = table(self.spark, self.sf_dir, name)
+        return self._memo[key]
+
+    def memo(self, name: str, build):
+        key = ("panel", name)
+        if key not in self._memo:
+            df = build(self)
+            if name in self.materialize:
+                # a panel used many times by one query is computed once and
+                # written to the shared checkpoint folder (cuts the lineage;
+                # survives executor loss), then read back by every use
+                from ..session import checkpoint_dir
+                checkpoint_dir(self.spark)
+                df = df.checkpoint(eager=True)
+            self._memo[key] = df
+        return self._memo[key]
+
+
+def panel(fn):
+    """Memoise a panel builder on the ``Tables`` object."""
+    def wrapped(t: Tables) -> DataFrame:
+        return t.memo(fn.__name__, fn) if isinstance(t, Tables) else fn(t)
+    wrapped.__name__, wrapped.__doc__ = fn.__name__, fn.__doc__
+    return wrapped
 
 
 def month_of(c: str):
     return F.trunc(F.to_date(F.col(c)), "month")
 
 
+@panel
 def nation_month(t: Tables) -> DataFrame:
     """(period, entity=nation, region, avg_price, sales_count, total_price,
     avg_price_high, avg_price_low) from orders x customer, aggregated by
@@ -61,12 +93,14 @@ def nation_month(t: Tables) -> DataFrame:
                      "avg_price", "sales_count", "total_price", "avg_price_high", "avg_price_low"))
 
 
+@panel
 def market_month(t: Tables) -> DataFrame:
     """Benchmark series: all orders by month."""
     return (t("orders").groupBy(month_of("o_orderdate").alias("period"))
             .agg(F.avg("o_totalprice").alias("avg_price"), F.count("*").alias("sales_count")))
 
 
+@panel
 def supplier_month(t: Tables) -> DataFrame:
     """(period=ship month, entity=supplier key, qty, revenue, avg_discount,
     line_count): a panel whose entity count grows with the data."""
@@ -77,10 +111,12 @@ def supplier_month(t: Tables) -> DataFrame:
                  F.avg("l_discount").alias("avg_discount"), F.count("*").alias("line_count")))
 
 
+@panel
 def nation_lags(t: Tables) -> DataFrame:
     return add_lags(nation_month(t), "entity", "period", ["avg_price"], [1, 12])
 
 
+@panel
 def scenario_fc(t: Tables) -> DataFrame:
     """Prediction long table (period, entity, scenario, pred, pred_log):
     the last 12 months of the nation panel, base = all orders, low / high =
@@ -94,6 +130,7 @@ def scenario_fc(t: Tables) -> DataFrame:
     return x.filter(F.col("pred").isNotNull()).withColumn("pred_log", F.log("pred"))
 
 
+@panel
 def attrib_long(t: Tables) -> DataFrame:
     """Attribution long table of a linear model over scenario_fc rows:
     shap = weight * (x - mean x); region one-hot dummies ``cat__Region_<r>``."""
@@ -119,12 +156,14 @@ def attrib_long(t: Tables) -> DataFrame:
                        shap.alias("shap_value"), F.abs(shap).alias("abs_shap")))
 
 
+@panel
 def event_day(t: Tables) -> DataFrame:
     """(period=day, entity=event type, events, value_sum)."""
     return (t("events").groupBy(F.to_date("ts").alias("period"), F.col("event_type").alias("entity"))
             .agg(F.count("*").alias("events"), F.sum("value").alias("value_sum")))
 
 
+@panel
 def nation_quarter(t: Tables) -> DataFrame:
     """Quarterly view of the nation panel: (period=quarter start, entity, avg_price)."""
     nm = nation_month(t)
@@ -132,12 +171,14 @@ def nation_quarter(t: Tables) -> DataFrame:
             .agg((F.sum("total_price") / F.sum("sales_count")).alias("avg_price")))
 
 
+@panel
 def nation_year(t: Tables) -> DataFrame:
     nm = nation_month(t)
     return nm.groupBy(F.year("period").alias("year"), "entity").agg(
         F.sum("sales_count").alias("sales_count"), F.sum("total_price").alias("total_price"))
 
 
+@panel
 def date_text(t: Tables) -> DataFrame:
     """Order dates written as text in the formats met in statistics files
     (the format follows the order priority): ISO month, ISO day with
@@ -157,6 +198,7 @@ def date_text(t: Tables) -> DataFrame:
                     txt.alias("txt"), ytxt.alias("year_txt"))
 
 
+@panel
 def ship_nation_month(t: Tables) -> DataFrame:
     """(period=ship month, entity=supplier nation, qty, avg_discount)."""
     l = t("lineitem").select("l_suppkey", "l_shipdate", "l_quantity", "l_discount")

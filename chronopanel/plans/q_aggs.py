@@ -163,7 +163,7 @@ def benchmark_profile(t):
     return A.benchmark_profile(P.nation_month(t), P.market_month(t), "period", "entity", "avg_price", "avg_price")
 
 
-@register("investment_metrics", "A14 W05 W06", ctes=["scenario_fc"], digits={
+@register("investment_metrics", "A14 W05 W06", materialize=["nation_month"], ctes=["scenario_fc"], digits={
     "current_price_base": 4, "forecast_price_base_h": 4, "expected_return_base": 9, "volatility_base": 9,
     "downside_max_drawdown_low": 9, "scenario_spread_high_minus_low": 4, "stability_score": 9}, sql="""
 x AS (SELECT entity, period, lower(trim(scenario)) AS sc, pred AS p FROM scenario_fc),
@@ -191,7 +191,7 @@ def investment_metrics(t):
     return A.investment_metrics(P.scenario_fc(t))
 
 
-@register("top_drivers", "A15", ctes=["attrib_long"], digits={"magnitude": 9, "shap_mean": 9}, sql="""
+@register("top_drivers", "A15", materialize=["nation_month"], ctes=["attrib_long"], digits={"magnitude": 9, "shap_mean": 9}, sql="""
 g AS (SELECT entity, scenario, trim(feature) AS feature, avg(abs_shap) AS magnitude, avg(shap_value) AS shap_mean
       FROM attrib_long WHERE abs_shap IS NOT NULL GROUP BY 1, 2, 3),
 r AS (SELECT *, row_number() OVER (PARTITION BY entity, scenario ORDER BY magnitude DESC, feature) AS rank FROM g)
@@ -202,7 +202,7 @@ def top_drivers(t):
     return A.top_drivers(P.attrib_long(t), k=5, keys=["entity", "scenario"])
 
 
-@register("horizon_drivers", "A16", ctes=["attrib_long"], digits={"mean_shap": 9, "mean_abs_shap": 9}, sql="""
+@register("horizon_drivers", "A16", materialize=["nation_month"], ctes=["attrib_long"], digits={"mean_shap": 9, "mean_abs_shap": 9}, sql="""
 g AS (SELECT entity, scenario, feature, avg(shap_value) AS mean_shap, avg(abs(shap_value)) AS mean_abs_shap
       FROM attrib_long GROUP BY 1, 2, 3),
 s AS (SELECT *, CASE WHEN mean_shap > 0 THEN 'up' WHEN mean_shap < 0 THEN 'down' END AS side FROM g),
@@ -213,7 +213,7 @@ def horizon_drivers(t):
     return A.horizon_drivers(P.attrib_long(t), ["entity", "scenario"], k=3)
 
 
-@register("rank_entities", "A17", ctes=["scenario_fc"], digits={"score": 4}, sql="""
+@register("rank_entities", "A17", materialize=["nation_month"], ctes=["scenario_fc"], digits={"score": 4}, sql="""
 SELECT entity, avg(pred) AS score FROM scenario_fc WHERE scenario = 'base'
 GROUP BY entity HAVING avg(pred) IS NOT NULL ORDER BY score DESC, entity LIMIT 5""")
 def rank_entities(t):
@@ -221,7 +221,7 @@ def rank_entities(t):
     return A.rank_entities(fc, "pred", how="mean", k=5)
 
 
-@register("rank_entities_last", "A17", ctes=["scenario_fc"], digits={"score": 4}, sql="""
+@register("rank_entities_last", "A17", materialize=["nation_month"], ctes=["scenario_fc"], digits={"score": 4}, sql="""
 SELECT entity, arg_max(pred, period) AS score FROM scenario_fc WHERE scenario = 'high'
 GROUP BY entity ORDER BY score ASC, entity LIMIT 5""")
 def rank_entities_last(t):
@@ -250,13 +250,13 @@ def infer_frequency(t):
     return a.unionByName(b)
 
 
-@register("importance", "A20", ctes=["attrib_long"], digits={"mean_abs_shap": 9}, sql="""
+@register("importance", "A20", materialize=["nation_month"], ctes=["attrib_long"], digits={"mean_abs_shap": 9}, sql="""
 SELECT feature, avg(abs(shap_value)) AS mean_abs_shap FROM attrib_long GROUP BY feature""")
 def importance(t):
     return A.importance(P.attrib_long(t))
 
 
-@register("available_values", "A21", ctes=["scenario_fc"], sql="""
+@register("available_values", "A21", materialize=["nation_month"], ctes=["scenario_fc"], sql="""
 SELECT 'entity' AS "column", count(DISTINCT entity) AS n_values, min(entity) AS first_value, max(entity) AS last_value
 FROM scenario_fc
 UNION ALL SELECT 'scenario', count(DISTINCT scenario), min(scenario), max(scenario) FROM scenario_fc
@@ -270,7 +270,7 @@ def available_values(t):
     return av.select(F.explode(arr).alias("s")).select("s.*")
 
 
-@register("scenario_fan", "A22", ctes=["scenario_fc"], digits={
+@register("scenario_fan", "A22", materialize=["nation_month"], ctes=["scenario_fc"], digits={
     f"{c}_{s}": (9 if c == "pred_log" else 4) for s in ("base", "low", "high") for c in ("pred_log", "pred")}, sql="""
 w AS (SELECT period, entity,
              max(CASE WHEN scenario = 'base' THEN pred_log END) AS pred_log_base, max(CASE WHEN scenario = 'base' THEN pred END) AS pred_base,
@@ -358,7 +358,7 @@ def split_summary(t):
     return A.split_summary(s, "split", "period")
 
 
-@register("forecast_path", "A26", ctes=["scenario_fc"], digits={"value_last": 4, "value_at": 4}, sql="""
+@register("forecast_path", "A26", materialize=["nation_month"], ctes=["scenario_fc"], digits={"value_last": 4, "value_at": 4}, sql="""
 SELECT entity, scenario, count(*) AS path_len, min(period) AS first_period, max(period) AS last_period,
        arg_max(pred, period) AS value_last,
        avg(CASE WHEN period = (SELECT max(period) FROM scenario_fc) THEN pred END) AS value_at

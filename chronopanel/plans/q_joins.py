@@ -72,7 +72,7 @@ def align_periods(t):
     return f(a, "orders").unionByName(f(b, "shipments"))
 
 
-@register("asof_anchor", "J07", ctes=["nation_month", "scenario_fc"], digits={"anchor_value": D6}, sql="""
+@register("asof_anchor", "J07", materialize=["nation_month"], ctes=["nation_month", "scenario_fc"], digits={"anchor_value": D6}, sql="""
 s AS (SELECT entity, min(period) AS start FROM scenario_fc GROUP BY entity),
 j AS (SELECT h.entity, h.period, h.avg_price, s.start FROM nation_month h JOIN s ON h.entity = s.entity),
 g AS (SELECT entity, arg_max(avg_price, period) FILTER (WHERE period < start) AS vb,

@@ -82,7 +82,7 @@ def classify_intent(t):
     return c.unionByName(d)
 
 
-@register("extract_slots", "P31", ctes=["scenario_fc"], sql=_Q_SQL + f""",
+@register("extract_slots", "P31", materialize=["nation_month"], ctes=["scenario_fc"], sql=_Q_SQL + f""",
 s AS (SELECT period, entity, src, {_MONTH_SQL.format(c='text')} AS month, {_SCEN_SQL.format(c='text')} AS scenario,
              {_entities_sql('text')} AS ents FROM questions)
 SELECT period, entity, src, month, scenario, CAST(len(ents) AS BIGINT) AS n_entities, ents[1] AS entity_1,
@@ -95,7 +95,7 @@ def extract_slots(t):
                     F.try_element_at(e, F.lit(1)).alias("entity_1"), F.try_element_at(e, F.lit(2)).alias("entity_2"))
 
 
-@register("route_questions", "Q08 P31 P32", ctes=["scenario_fc"], sql=_Q_SQL + f""",
+@register("route_questions", "Q08 P31 P32", materialize=["nation_month"], ctes=["scenario_fc"], sql=_Q_SQL + f""",
 s AS (SELECT period, entity, src, text, {_intent_sql('text')} AS intent,
              coalesce({_MONTH_SQL.format(c='text')}, '2001-01') AS month, {_SCEN_SQL.format(c='text')} AS scenario,
              {_entities_sql('text')} AS ents FROM questions)
@@ -129,7 +129,7 @@ def parse_bullets(t):
     return b.select("entity", "b.name", "b.value", "b.is_percent")
 
 
-@register("predict_slice", "Q01 P23 P24 P25 L04", ctes=["scenario_fc"], digits={"pred": 4, "pred_log": 9}, sql=r"""
+@register("predict_slice", "Q01 P23 P24 P25 L04", materialize=["nation_month"], ctes=["scenario_fc"], digits={"pred": 4, "pred_log": 9}, sql=r"""
 s AS (SELECT * FROM scenario_fc WHERE scenario = 'low'
       AND regexp_replace(lower(trim(entity)), '[^\pL\pN]', '', 'g') IN ('nation1', 'nation2', 'nation13'))
 SELECT period, entity, scenario, pred, pred_log, (SELECT count(*) FROM s) AS total_rows
@@ -138,7 +138,7 @@ def predict_slice(t):
     return Rp.predict_slice(P.scenario_fc(t), " Lower ", ["nation 1", "NATION_2", "nation_13", "", "string"], n=20)
 
 
-@register("auto_summary", "Q02 A15 P30", ctes=["attrib_long"], digits={"magnitude": 9, "shap_mean": 9}, sql="""
+@register("auto_summary", "Q02 A15 P30", materialize=["nation_month"], ctes=["attrib_long"], digits={"magnitude": 9, "shap_mean": 9}, sql="""
 g AS (SELECT entity, scenario, period, trim(feature) AS feature, avg(abs_shap) AS magnitude, avg(shap_value) AS shap_mean
       FROM attrib_long WHERE abs_shap IS NOT NULL GROUP BY 1, 2, 3, 4),
 r AS (SELECT *, row_number() OVER (PARTITION BY entity, scenario, period ORDER BY magnitude DESC, feature) AS rank FROM g)
@@ -184,7 +184,7 @@ rep AS (SELECT r.*,
              LEFT JOIN cards c ON r.entity = c.entity AND r.scenario = c.scenario)"""
 
 
-@register("forecast_report", "Q03 J07 A16 P27 P28 W10 P30", ctes=["nation_month", "scenario_fc", "attrib_long"],
+@register("forecast_report", "Q03 J07 A16 P27 P28 W10 P30", materialize=["nation_month"], ctes=["nation_month", "scenario_fc", "attrib_long"],
           digits={"current_price": 4, "future_price": 4, "change": 9}, sql=_REPORT_SQL + """
 SELECT entity, scenario, start_period, end_period, anchor_period, current_price, future_price, change, direction, strength,
        drivers_up, drivers_down, n_high, n_medium,
@@ -196,7 +196,7 @@ def forecast_report(t):
                               P.attrib_long(t))
 
 
-@register("compare_entities", "Q04 Q03", ctes=["nation_month", "scenario_fc", "attrib_long"],
+@register("compare_entities", "Q04 Q03", materialize=["nation_month"], ctes=["nation_month", "scenario_fc", "attrib_long"],
           digits={"change_a": 9, "change_b": 9}, sql=_REPORT_SQL + """,
 g AS (SELECT scenario, max(CASE WHEN entity = 'NATION_1' THEN change END) AS change_a,
              max(CASE WHEN entity = 'NATION_2' THEN change END) AS change_b
@@ -211,7 +211,7 @@ def compare_entities(t):
     return Rp.compare_entities(rep, "NATION_1", "NATION_2")
 
 
-@register("investment_insight", "Q05 W09 L03 A14", ctes=["scenario_fc"], sql=None)
+@register("investment_insight", "Q05 W09 L03 A14", materialize=["nation_month"], ctes=["scenario_fc"], sql=None)
 def investment_insight(t):
     return Rp.investment_insight(A.investment_metrics(P.scenario_fc(t)), k=3)
 
@@ -244,7 +244,7 @@ def dataset_summary(t):
     return Rp.dataset_summary(P.nation_lags(t))
 
 
-@register("spatial_table", "Q07 J07 P27", ctes=["nation_month", "scenario_fc"], digits={
+@register("spatial_table", "Q07 J07 P27", materialize=["nation_month"], ctes=["nation_month", "scenario_fc"], digits={
     "current_price": 4, "future_price": 4, "change": 4, "change_pct": 6}, sql="""
 f AS (SELECT entity, arg_max(pred, period) AS future_price FROM scenario_fc
       WHERE scenario = 'high' AND period = (SELECT max(period) FROM scenario_fc) GROUP BY 1),
@@ -284,7 +284,7 @@ def model_report(t):
     return Rp.model_report(m.filter("split = 'test'"), m.filter("split = 'train'"), "naive")
 
 
-@register("driver_bars", "Q10 A15 P36", ctes=["attrib_long", "nation_month"], digits={"shap_value": 9}, sql="""
+@register("driver_bars", "Q10 A15 P36", materialize=["nation_month"], ctes=["attrib_long", "nation_month"], digits={"shap_value": 9}, sql="""
 g AS (SELECT entity, scenario, period, feature, avg(shap_value) AS shap_value FROM attrib_long GROUP BY 1, 2, 3, 4),
 rg AS (SELECT DISTINCT entity, region FROM nation_month),
 k AS (SELECT g.*, CASE WHEN shap_value > 0 THEN 'up' WHEN shap_value < 0 THEN 'down' END AS side

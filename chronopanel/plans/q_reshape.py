@@ -61,12 +61,12 @@ def _leaders_sql(k=3):
     return "b AS (" + "\nUNION ALL\n".join(parts) + f")\nSELECT board, entity, metric_value, position FROM b WHERE position <= {k}"
 
 
-@register("leaders", "L03 A14", ctes=["scenario_fc"], digits={"metric_value": 9}, sql=_INV_SQL + ",\n" + _leaders_sql())
+@register("leaders", "L03 A14", materialize=["nation_month"], ctes=["scenario_fc"], digits={"metric_value": 9}, sql=_INV_SQL + ",\n" + _leaders_sql())
 def leaders(t):
     return R.leaders(A.investment_metrics(P.scenario_fc(t)), k=3)
 
 
-@register("preview", "L04", ctes=["scenario_fc"], digits={"pred": 4}, sql="""
+@register("preview", "L04", materialize=["nation_month"], ctes=["scenario_fc"], digits={"pred": 4}, sql="""
 SELECT period, entity, pred, (SELECT count(*) FROM scenario_fc WHERE scenario = 'base') AS total_rows
 FROM scenario_fc WHERE scenario = 'base' ORDER BY entity, period LIMIT 10""")
 def preview(t):
@@ -110,7 +110,7 @@ def union_splits(t):
     return R.union_splits(a, b, drop_missing_cols=["avg_price_lag1"])
 
 
-@register("union_first", "U04 L03", ctes=["scenario_fc"], digits={"metric_value": 9}, sql=_INV_SQL + ",\n" + _leaders_sql(3)
+@register("union_first", "U04 L03", materialize=["nation_month"], ctes=["scenario_fc"], digits={"metric_value": 9}, sql=_INV_SQL + ",\n" + _leaders_sql(3)
           .replace("SELECT board, entity, metric_value, position FROM b WHERE position <= 3", """,
 lb AS (SELECT *, CASE board WHEN 'stable' THEN 0 WHEN 'return' THEN 1 WHEN 'defensive' THEN 2 ELSE 3 END AS src
        FROM b WHERE position <= 3),
@@ -123,7 +123,7 @@ def union_first(t):
                          order=["_board_order", "position"]).drop("_board_order")
 
 
-@register("stitch", "U05", ctes=["nation_month", "scenario_fc"], digits={"avg_price": D6}, sql="""
+@register("stitch", "U05", materialize=["nation_month"], ctes=["nation_month", "scenario_fc"], digits={"avg_price": D6}, sql="""
 SELECT period, entity, avg_price, 'history' AS series FROM nation_month
 WHERE period < (SELECT min(period) FROM scenario_fc)
 UNION ALL SELECT period, entity, pred, 'forecast' FROM scenario_fc WHERE scenario = 'base'""")
@@ -153,7 +153,7 @@ def make_scenarios(t):
                             start=F.add_months(last, 1), by=["entity"])
 
 
-@register("split_scenarios", "U07", ctes=["scenario_fc"], sql="""
+@register("split_scenarios", "U07", materialize=["nation_month"], ctes=["scenario_fc"], sql="""
 SELECT scenario, count(*) AS rows FROM scenario_fc GROUP BY scenario""")
 def split_scenarios(t):
     return R.split_scenarios(P.scenario_fc(t))

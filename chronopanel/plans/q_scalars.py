@@ -182,7 +182,7 @@ def log_guard(t):
     return C.log_guard(P.nation_month(t), ["avg_price_low", "avg_price"]).select("column", "bad")
 
 
-@register("level_of", "P15", ctes=["scenario_fc"], digits={"level": 4}, sql="""
+@register("level_of", "P15", materialize=["nation_month"], ctes=["scenario_fc"], digits={"level": 4}, sql="""
 SELECT period, entity, scenario, coalesce(CASE WHEN scenario <> 'low' THEN pred END, exp(pred_log)) AS level
 FROM scenario_fc""")
 def level_of(t):
@@ -230,7 +230,7 @@ def norm_key(t):
     return t("part").select("p_partkey", fn.norm_key("p_name").alias("name_key"))
 
 
-@register("norm_scenario", "P24", ctes=["scenario_fc"], sql="""
+@register("norm_scenario", "P24", materialize=["nation_month"], ctes=["scenario_fc"], sql="""
 SELECT period, entity, CASE WHEN lower(trim(raw)) IN ('base', 'baseline', 'central', 'mid', 'middle') THEN 'base'
        WHEN lower(trim(raw)) IN ('low', 'lower', 'down', 'pessimistic') THEN 'low'
        WHEN lower(trim(raw)) IN ('high', 'higher', 'up', 'optimistic') THEN 'high' ELSE 'base' END AS scenario
@@ -251,7 +251,7 @@ def filter_in(t):
     return C.filter_in(nm, "entity", keys, key=fn.norm_key)
 
 
-@register("direction_flags", "P26", ctes=["attrib_long"], sql="""
+@register("direction_flags", "P26", materialize=["nation_month"], ctes=["attrib_long"], sql="""
 SELECT period, entity, scenario, feature, CASE WHEN shap_value >= 0 THEN 'up' ELSE 'down' END AS dir_up,
        CASE WHEN shap_value > 0 THEN 'up' WHEN shap_value < 0 THEN 'down' END AS dir_none
 FROM attrib_long""")
@@ -261,7 +261,7 @@ def direction_flags(t):
                     fn.direction("shap_value", "none").alias("dir_none"))
 
 
-@register("trend_band", "P27 P28", ctes=["scenario_fc"], digits={"change": 9}, sql="""
+@register("trend_band", "P27 P28", materialize=["nation_month"], ctes=["scenario_fc"], digits={"change": 9}, sql="""
 x AS (SELECT entity, scenario, arg_min(pred, period) AS p0, arg_max(pred, period) AS p1 FROM scenario_fc GROUP BY 1, 2),
 y AS (SELECT entity, scenario, CASE WHEN p0 IS NOT NULL AND p0 <> 0 THEN p1 / p0 - 1 END AS change FROM x)
 SELECT entity, scenario, change,
@@ -321,7 +321,7 @@ def coalesce_columns(t):
     return C.coalesce_columns(nm, {"price": ["avg_price_high", "avg_price_low", "avg_price"]}).drop("avg_price")
 
 
-@register("pretty_feature", "P36", ctes=["attrib_long"], sql="""
+@register("pretty_feature", "P36", materialize=["nation_month"], ctes=["attrib_long"], sql="""
 SELECT DISTINCT feature, regexp_replace(feature, '^(num|cat|remainder)__', '') AS pretty FROM attrib_long""")
 def pretty_feature(t):
     return P.attrib_long(t).select("feature", fn.pretty_feature("feature").alias("pretty")).distinct()

@@ -150,7 +150,7 @@ def rank_columns(t):
     return W.rank_columns(s, {"mean_price": True, "sales": True, "price_std": False})
 
 
-@register("driver_cards", "W10 A15", ctes=["attrib_long"], digits={"magnitude": 9, "share": 9}, sql="""
+@register("driver_cards", "W10 A15", materialize=["nation_month"], ctes=["attrib_long"], digits={"magnitude": 9, "share": 9}, sql="""
 m AS (SELECT entity, scenario, feature, avg(abs_shap) AS magnitude FROM attrib_long GROUP BY 1, 2, 3),
 tot AS (SELECT entity, scenario, sum(abs(magnitude)) AS tot FROM m GROUP BY 1, 2)
 SELECT m.entity, m.scenario, m.feature, m.magnitude,

@@ -28,12 +28,13 @@ class Query:
     build: Callable[[Tables], DataFrame]
     sql: str | None
     digits: dict = field(default_factory=dict)
+    materialize: tuple = ()
 
 
 REGISTRY: dict[str, Query] = {}
 
 
-def register(name: str, ops, sql: str | None = None, ctes=(), digits: dict | None = None):
+def register(name: str, ops, sql: str | None = None, ctes=(), digits: dict | None = None, materialize=()):
     """Decorator. ``digits`` maps floating output columns to decimals (the
     rounding applied to both engines); ``ctes`` are panel names for the SQL."""
     def deco(fn):
@@ -44,7 +45,7 @@ def register(name: str, ops, sql: str | None = None, ctes=(), digits: dict | Non
             s = with_ctes(ctes, sql)
             s = _round_sql(s, digits or {})
         REGISTRY[name] = Query(name, tuple(ops.split()) if isinstance(ops, str) else tuple(ops),
-                               fn, s, dict(digits or {}))
+                               fn, s, dict(digits or {}), tuple(materialize))
         return fn
     return deco
 
@@ -76,7 +77,7 @@ def finalize(df: DataFrame, digits: dict) -> DataFrame:
 
 def runner(q: Query) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return finalize(q.build(Tables(spark, sf_dir)), q.digits)
+        return finalize(q.build(Tables(spark, sf_dir, q.materialize)), q.digits)
     run.__name__ = q.name
     return run
 
