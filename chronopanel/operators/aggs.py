@@ -20,7 +20,8 @@ __all__ = [
     "overview", "regression_metrics", "benchmark_profile", "investment_metrics",
     "top_drivers", "horizon_drivers", "rank_entities", "coverage", "infer_frequency",
     "importance", "available", "scenario_fan", "weighted_mean", "model_selection",
-    "split_summary", "forecast_path", "quantile",
+    "split_summary", "forecast_path", "quantile", "exact_quantiles", "quantile_table", "resolve_method",
+    "MAP_ROW_LIMIT",
 ]
 
 
@@ -91,20 +92,37 @@ def trailing_shares(df: DataFrame, period: str, entity: str, value: str, months:
 
 
 # A04 / A05 -----------------------------------------------------------------
-def winsorized_mean(df: DataFrame, value: str, limit: float, by=(), method: str = "exact",
+def _clip_bounds(df: DataFrame, value: str, lo_p: float, hi_p: float, by, method: str) -> DataFrame:
+    """Rows of ``df`` (non-missing ``value``) with the group's lower and upper
+    quantiles attached as ``_lo`` / ``_hi``."""
+    by = as_list(by)
+    x = df.select(*by, value).filter(F.col(value).isNotNull())
+    m = resolve_method(x, by, method)
+    if m != "sort":
+        return with_group_stats(x, by, {"_lo": quantile(value, lo_p, m), "_hi": quantile(value, hi_p, m)})
+    qt = exact_quantiles(x, value, [lo_p, hi_p], by)
+    if not by:
+        return x.withColumns({"_lo": qt.filter(F.col("p") == lo_p).select("q").scalar(),
+                              "_hi": qt.filter(F.col("p") == hi_p).select("q").scalar()})
+    b = qt.groupBy(*by).agg(F.max(F.when(F.col("p") == lo_p, F.col("q"))).alias("_lo"),
+                            F.max(F.when(F.col("p") == hi_p, F.col("q"))).alias("_hi"))
+    return x.join(b, by, "left")
+
+
+def winsorized_mean(df: DataFrame, value: str, limit: float, by=(), method: str = "auto",
                     out: str = "winsorized_mean") -> DataFrame:
-    """Mean after clipping at the ``limit`` and ``1-limit`` quantiles."""
-    x = with_group_stats(df.select(*as_list(by), value).filter(F.col(value).isNotNull()), by,
-                         {"_lo": quantile(value, limit, method), "_hi": quantile(value, 1 - limit, method)})
+    """Mean after clipping at the ``limit`` and ``1-limit`` quantiles.
+    ``method``: "auto" (map-based exact for proven-small groups, sort-based
+    exact otherwise), "exact", "sort" or "approx"."""
+    x = _clip_bounds(df, value, limit, 1 - limit, by, method)
     clipped = F.greatest(F.col("_lo"), F.least(F.col("_hi"), F.col(value)))
     return x.groupBy(*as_list(by)).agg(F.avg(clipped).alias(out))
 
 
-def trimmed_mean(df: DataFrame, value: str, ratio: float, by=(), method: str = "exact",
+def trimmed_mean(df: DataFrame, value: str, ratio: float, by=(), method: str = "auto",
                  out: str = "trimmed_mean") -> DataFrame:
     """Mean of the values between the ``ratio`` and ``1-ratio`` quantiles."""
-    x = with_group_stats(df.select(*as_list(by), value).filter(F.col(value).isNotNull()), by,
-                         {"_lo": quantile(value, ratio, method), "_hi": quantile(value, 1 - ratio, method)})
+    x = _clip_bounds(df, value, ratio, 1 - ratio, by, method)
     keep = (F.col(value) >= F.col("_lo")) & (F.col(value) <= F.col("_hi"))
     return x.groupBy(*as_list(by)).agg(F.avg(F.when(keep, F.col(value))).alias(out))
 
@@ -113,35 +131,51 @@ def trimmed_mean(df: DataFrame, value: str, ratio: float, by=(), method: str = "
 DESCRIBE_PROBS = (0.01, 0.05, 0.5, 0.95, 0.99)
 
 
-def describe_numeric(df: DataFrame, cols, probs=DESCRIBE_PROBS, method: str = "exact") -> DataFrame:
+def describe_numeric(df: DataFrame, cols, probs=DESCRIBE_PROBS, method: str = "auto") -> DataFrame:
     """count, mean, std, min, quantiles, max per column, in ONE aggregate;
-    the result is unpivoted to one row per column."""
+    the result is unpivoted to one row per column. Large inputs switch the
+    quantiles to the sort-based exact method (see ``resolve_method``)."""
     cols = as_list(cols)
+    m = resolve_method(df.select(*cols), (), method)
     structs = []
     for c in cols:
-        q = (F.percentile(c, list(probs)) if method == "exact"
-             else F.percentile_approx(c, list(probs), 10000))
+        q = (F.percentile(c, list(probs)) if m == "exact"
+             else F.percentile_approx(c, list(probs), 10000) if m == "approx" else F.array(F.lit(None)))
         structs.append(F.struct(F.lit(c).alias("column"), F.count(c).cast("bigint").alias("count"),
                                 F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
                                 F.min(F.col(c).cast("double")).alias("min"), q.alias("_q"),
                                 F.max(F.col(c).cast("double")).alias("max")))
     wide = df.agg(F.array(*structs).alias("a"))
     long = wide.select(F.explode("a").alias("s")).select("s.*")
-    qcols = [F.col("_q")[i].alias(f"p{int(round(p * 100))}") for i, p in enumerate(probs)]
-    return long.select("column", "count", "mean", "std", "min", *qcols, "max")
+    names = [f"p{int(round(p * 100))}" for p in probs]
+    if m != "sort":
+        qcols = [F.col("_q")[i].alias(n) for i, n in enumerate(names)]
+        return long.select("column", "count", "mean", "std", "min", *qcols, "max")
+    from functools import reduce
+    qs = reduce(DataFrame.unionByName, [exact_quantiles(df, c, list(probs)).withColumn("column", F.lit(c))
+                                        for c in cols])
+    qw = qs.groupBy("column").agg(*[F.max(F.when(F.col("p") == float(p), F.col("q"))).alias(n)
+                                    for p, n in zip(probs, names)])
+    return long.drop("_q").join(qw, "column").select("column", "count", "mean", "std", "min", *names, "max")
 
 
 # A07 -----------------------------------------------------------------------
-def group_stats(df: DataFrame, entity: str, value: str, method: str = "exact") -> DataFrame:
+def group_stats(df: DataFrame, entity: str, value: str, method: str = "auto") -> DataFrame:
     """n, mean, median, std, min, max, quartiles, IQR and coefficient of
     variation per entity (missing values dropped first)."""
-    q = (F.percentile(value, [0.25, 0.5, 0.75]) if method == "exact"
-         else F.percentile_approx(value, [0.25, 0.5, 0.75], 10000))
-    g = (df.filter(F.col(value).isNotNull() & F.col(entity).isNotNull())
-         .groupBy(F.col(entity).cast("string").alias(entity))
-         .agg(F.count("*").alias("n"), F.avg(value).alias("mean"), q.alias("_q"),
-              F.stddev_samp(value).alias("std"), F.min(value).alias("min"),
-              F.max(value).alias("max")))
+    d = df.filter(F.col(value).isNotNull() & F.col(entity).isNotNull()).select(
+        F.col(entity).cast("string").alias(entity), value)
+    m = resolve_method(d, [entity], method)
+    q = (F.percentile(value, [0.25, 0.5, 0.75]) if m == "exact"
+         else F.percentile_approx(value, [0.25, 0.5, 0.75], 10000) if m == "approx" else F.array(F.lit(None)))
+    g = d.groupBy(entity).agg(F.count("*").alias("n"), F.avg(value).alias("mean"), q.alias("_q"),
+                              F.stddev_samp(value).alias("std"), F.min(value).alias("min"),
+                              F.max(value).alias("max"))
+    if m == "sort":
+        qt = exact_quantiles(d, value, [0.25, 0.5, 0.75], [entity])
+        qa = qt.groupBy(entity).agg(F.array(*[F.max(F.when(F.col("p") == p, F.col("q"))) for p in (0.25, 0.5, 0.75)])
+                                    .alias("_q2"))
+        g = g.join(qa, entity).withColumn("_q", F.col("_q2")).drop("_q2")
     return g.select(entity, "n", "mean", F.col("_q")[1].alias("median"), "std", "min", "max",
                     F.col("_q")[0].alias("q25"), F.col("_q")[2].alias("q75"),
                     (F.col("_q")[2] - F.col("_q")[0]).alias("iqr"),
@@ -438,3 +472,72 @@ def forecast_path(fc: DataFrame, keys=("entity", "scenario"), period: str = "per
     if at is not None:
         aggs.append(F.avg(F.when(F.col(period) == F.lit(at).cast("date"), F.col(value))).alias("value_at"))
     return fc.groupBy(*keys).agg(*aggs)
+
+
+# Exact quantiles at scale ----------------------------------------------------
+def exact_quantiles(df: DataFrame, value: str, probs, by=()) -> DataFrame:
+    """Exact linear-interpolated quantiles without per-group value maps.
+
+    ``percentile`` keeps a map of every distinct value of a group in one
+    aggregation buffer: at scale a global quantile (or a hot group) lands in
+    one task. Here rows are sorted by (group, value) with range
+    partitioning, so a hot group spreads over many partitions; per-partition
+    counts (one small row per partition and group) give every row its rank
+    inside its group, and only the rows at the needed ranks are kept.
+    Output: by..., p, q.
+    """
+    from ..session import checkpoint_dir
+    by, probs = as_list(by), [float(p) for p in as_list(probs)]
+    if not by:
+        return exact_quantiles(df.withColumn("_all", F.lit(0)), value, probs, ["_all"]).drop("_all")
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    v = F.col(value).cast("double")
+    x = df.select(*by, v.alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    s = (x.orderBy(*by, "_v").withColumn("_pid", F.spark_partition_id())
+           .withColumn("_mid", F.monotonically_increasing_id())).checkpoint(eager=True)
+    cnt = s.groupBy(*by, "_pid").agg(F.count("*").alias("_c"), F.min("_mid").alias("_first"))
+    wo = Window.partitionBy(*by).orderBy("_pid")
+    cnt = cnt.withColumn("_off", F.coalesce(F.sum("_c").over(wo.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    n = cnt.groupBy(*by).agg(F.sum("_c").alias("_n"))
+    need = n.select(*by, "_n", F.explode(F.array(*[F.lit(p) for p in probs])).alias("p"))
+    need = need.withColumn("_h", (F.col("_n") - 1) * F.col("p"))
+    need = need.select(*by, "p", F.floor("_h").cast("long").alias("_lo"), F.ceil("_h").cast("long").alias("_hi"),
+                       (F.col("_h") - F.floor("_h")).alias("_f"))
+    ranks = need.select(*by, F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("_rank")).distinct()
+    ranked = s.join(F.broadcast(cnt.select(*by, "_pid", "_off", "_first")), by + ["_pid"]) \
+              .withColumn("_rank", F.col("_off") + F.col("_mid") - F.col("_first"))
+    picked = ranked.join(F.broadcast(ranks), by + ["_rank"], "left_semi").select(*by, "_rank", "_v")
+    j = need.join(picked, by, "left")
+    g = j.groupBy(*by, "p").agg(F.max(F.when(F.col("_rank") == F.col("_lo"), F.col("_v"))).alias("_vl"),
+                                F.max(F.when(F.col("_rank") == F.col("_hi"), F.col("_v"))).alias("_vh"),
+                                F.first("_f").alias("_f"))
+    return g.select(*by, "p", (F.col("_vl") + (F.col("_vh") - F.col("_vl")) * F.col("_f")).alias("q"))
+
+
+# Largest group for which the map-based ``percentile`` aggregate is used.
+MAP_ROW_LIMIT = 2_000_000
+
+
+def resolve_method(df: DataFrame, by=(), method: str = "auto") -> str:
+    """"auto" picks the map-based exact ``percentile`` when every group is
+    proven small (one partial-aggregated count per group, max to the
+    driver), else the sort-based exact quantiles."""
+    if method != "auto":
+        return method
+    by = as_list(by)
+    g = df.groupBy(*by).agg(F.count("*").alias("_n")) if by else df.agg(F.count("*").alias("_n"))
+    n = g.agg(F.max("_n")).first()[0] or 0
+    return "exact" if n <= MAP_ROW_LIMIT else "sort"
+
+
+def quantile_table(df: DataFrame, value: str, probs, by=(), method: str = "auto") -> DataFrame:
+    """(by..., p, q) for every probability, by the chosen method."""
+    by, probs = as_list(by), [float(p) for p in as_list(probs)]
+    m = resolve_method(df.select(*by, value), by, method)
+    if m == "sort":
+        return exact_quantiles(df, value, probs, by)
+    q = (F.percentile(value, probs) if m == "exact" else F.percentile_approx(value, probs, 10000))
+    g = df.groupBy(*by).agg(q.alias("_q")) if by else df.agg(q.alias("_q"))
+    return g.select(*by, F.posexplode("_q").alias("_i", "q")).select(
+        *by, F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("_i") + 1).alias("p"), "q")

@@ -155,3 +155,18 @@ def test_capped_sample_deterministic(spark):
     a = {r.id for r in R.capped_sample(df, 5, ["id"], by=["g"]).collect()}
     b = {r.id for r in R.capped_sample(df.repartition(7), 5, ["id"], by=["g"]).collect()}
     assert a == b and len(a) == 15
+
+
+def test_sort_based_quantiles_match_map_based_with_hot_group(spark):
+    # one key holds a third of the rows
+    df = spark.range(3000).select(F.when(F.col("id") < 1000, "hot").otherwise(
+        F.concat(F.lit("k"), (F.col("id") % 7).cast("string"))).alias("g"),
+        (F.sin(F.col("id")) * 100).alias("v")).repartition(6)
+    probs = [0.0, 0.01, 0.25, 0.5, 0.9, 1.0]
+    a = {(r.g, r.p): r.q for r in A.quantile_table(df, "v", probs, ["g"], method="exact").collect()}
+    b = {(r.g, r.p): r.q for r in A.quantile_table(df, "v", probs, ["g"], method="sort").collect()}
+    assert a.keys() == b.keys()
+    assert all(abs(a[k] - b[k]) < 1e-9 for k in a)
+    w1 = A.winsorized_mean(df, "v", 0.05, method="exact").first()[0]
+    w2 = A.winsorized_mean(df, "v", 0.05, method="sort").first()[0]
+    assert abs(w1 - w2) < 1e-9
