@@ -54,3 +54,27 @@ def test_trailing_shares_golden(spark):
     exp = pd.read_csv(os.path.join(FIXTURES, "shares_expected.csv")).set_index("District")["sales_share"]
     for d, v in exp.items():
         assert math.isclose(got[d], v, rel_tol=1e-9), d
+
+
+def test_bvar_and_level_recovery_golden(spark):
+    from chronopanel.operators import forecast as FC
+    from chronopanel.operators import windows as W
+    lv = read_table(spark, os.path.join(FIXTURES, "macro_levels.csv"),
+                    schema="Month date, CPI double, CGPI double, OCR double, R2 double, U double")
+    lv = lv.withColumn("g", F.lit("all"))
+    x = W.log_return(lv, "g", "Month", "CPI", out="dCPI")
+    x = W.log_return(x, "g", "Month", "CGPI", out="dCGPI")
+    cols = ["dCPI", "dCGPI", "OCR", "R2", "U"]
+    fc = FC.bvar_forecast(x, "g", "Month", cols, p=1, horizon=12, lambda1=0.18, lambda2=0.5, lambda3=1.0)
+    got = fc.orderBy("step").toPandas()
+    exp = pd.read_csv(os.path.join(FIXTURES, "bvar_expected.csv"))
+    assert len(got) == 12
+    for mine, theirs in zip(cols, ["dlog_CPI", "dlog_CGPI_Dwelling", "OCR", "2YearFixedRate", "unemployment_rate"]):
+        assert ((got[mine] - exp[theirs]).abs() <= 1e-9 * exp[theirs].abs().clip(lower=1e-3)).all(), mine
+    assert [str(d) for d in got["Month"]] == list(exp["Month"])
+    # levels from the cumulated log differences, anchored at the last observed level
+    last = lv.agg(F.max_by("CPI", "Month").alias("a")).first().a
+    lev = W.levels_from_dlog(fc.withColumn("anchor", F.lit(last)), "g", "Month", "dCPI", "anchor", out="CPI")
+    lp = lev.orderBy("step").toPandas()
+    el = pd.read_csv(os.path.join(FIXTURES, "bvar_levels_expected.csv"))
+    assert ((lp["CPI"] - el["CPI"]).abs() <= 1e-9 * el["CPI"].abs()).all()
