@@ -78,3 +78,21 @@ def test_bvar_and_level_recovery_golden(spark):
     lp = lev.orderBy("step").toPandas()
     el = pd.read_csv(os.path.join(FIXTURES, "bvar_levels_expected.csv"))
     assert ((lp["CPI"] - el["CPI"]).abs() <= 1e-9 * el["CPI"].abs()).all()
+
+
+def test_winsorized_scenarios_golden(spark):
+    from chronopanel.operators import columns as C
+    from chronopanel.operators import reshape as R
+    m = read_table(spark, os.path.join(FIXTURES, "migration_monthly.csv"),
+                   schema="Month string, District string, v double")
+    m = m.select(F.to_date("Month", "yyyy-MM").alias("period"), "v")
+    # the panel calendar: 2018-08 .. 2025-06 without the two months absent from the price panel
+    m = C.period_filter(m, "period", "2018-08-01", "2025-06-01", exclude=["2018-11-01", "2020-07-01"])
+    assert m.count() == 567
+    for method in ("exact", "sort"):
+        base = A.winsorized_mean(m, "v", 0.10, method=method, out="value").first().value
+        assert math.isclose(base, 174.22183421516755, rel_tol=1e-12)
+    sc = R.make_scenarios(A.winsorized_mean(m, "v", 0.10, out="value"), {"Base": 1.0, "High": 1.1, "Low": 0.9},
+                          12, value="value", start=F.lit("2025-07-01").cast("date"))
+    got = {r.scenario: r.value for r in sc.filter("period = '2026-06-01'").collect()}
+    assert math.isclose(got["High"], 174.22183421516755 * 1.1, rel_tol=1e-12) and sc.count() == 36
