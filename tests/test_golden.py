@@ -96,3 +96,28 @@ def test_winsorized_scenarios_golden(spark):
                           12, value="value", start=F.lit("2025-07-01").cast("date"))
     got = {r.scenario: r.value for r in sc.filter("period = '2026-06-01'").collect()}
     assert math.isclose(got["High"], 174.22183421516755 * 1.1, rel_tol=1e-12) and sc.count() == 36
+
+
+def test_benchmark_profile_golden(spark):
+    import json
+    from chronopanel.operators import columns as C
+    from chronopanel.operators import joins as J
+    reg = read_table(spark, os.path.join(FIXTURES, "region_price.csv"),
+                     schema="Month string, Area string, Median_Price double")
+    dis = read_table(spark, os.path.join(FIXTURES, "price_panel.csv"),
+                     schema="Month string, District string, Median_Price double")
+    reg = reg.select(F.to_date("Month", "yyyy-MM").alias("period"), F.col("Median_Price").alias("b"))
+    dis = dis.select(F.to_date("Month", "yyyy-MM").alias("period"), F.col("District").alias("entity"),
+                     F.col("Median_Price").alias("v"))
+    reg = C.period_filter(reg, "period", "2018-08-01", "2025-06-01")
+    dis = C.period_filter(dis, "period", "2018-08-01", "2025-06-01")
+    reg, dis = J.align_periods(reg, dis)
+    got = {r.entity: r for r in A.benchmark_profile(dis, reg, "period", "entity", "v", "b").collect()}
+    exp = json.load(open(os.path.join(FIXTURES, "benchmark_summary.json")))["district_metrics"]
+    assert len(exp) == 7 and set(got) == {e["district"] for e in exp}
+    for e in exp:
+        g = got[e["district"]]
+        assert math.isclose(g.avg_ratio, e["avg_ratio_to_region"], rel_tol=1e-12)
+        assert math.isclose(g.median_ratio, e["median_ratio_to_region"], rel_tol=1e-12)
+        assert math.isclose(g.volatility, e["volatility_log_return_std"], rel_tol=1e-10)
+        assert math.isclose(g.corr_log_return, e["corr_with_region_log_return"], rel_tol=1e-10)
