@@ -121,3 +121,18 @@ def test_benchmark_profile_golden(spark):
         assert math.isclose(g.median_ratio, e["median_ratio_to_region"], rel_tol=1e-12)
         assert math.isclose(g.volatility, e["volatility_log_return_std"], rel_tol=1e-10)
         assert math.isclose(g.corr_log_return, e["corr_with_region_log_return"], rel_tol=1e-10)
+
+
+def test_upsample_golden(spark):
+    from chronopanel.operators import windows as W
+    m = read_table(spark, os.path.join(FIXTURES, "unemployment_monthly.csv"),
+                   schema="Month string, District string, u double")
+    m = m.select(F.to_date("Month", "yyyy-MM").alias("period"), F.col("District").alias("entity"), "u")
+    # quarterly observations sit on the third month of each quarter (the series starts 2016-03);
+    # the monthly series is their linear interpolation
+    q = m.filter(F.month("period").isin(3, 6, 9, 12))
+    up = W.upsample_linear(q, "entity", "period", ["u"], digits=2)
+    j = up.join(m.withColumnRenamed("u", "expected"), ["entity", "period"])
+    assert j.count() == up.count() > 700
+    bad = j.filter(F.abs(F.col("u") - F.col("expected")) > 1e-9).count()
+    assert bad == 0
