@@ -19,7 +19,7 @@ __all__ = [
     "describe_numeric", "group_stats", "skewness_g1", "corr_matrix", "missing_summary",
     "overview", "regression_metrics", "benchmark_profile", "investment_metrics",
     "top_drivers", "horizon_drivers", "rank_entities", "coverage", "infer_frequency",
-    "importance", "available", "scenario_fan", "weighted_mean", "model_selection",
+    "importance", "available", "available_long", "scenario_fan", "weighted_mean", "model_selection",
     "split_summary", "forecast_path", "quantile", "exact_quantiles", "quantile_table", "resolve_method",
     "MAP_ROW_LIMIT",
 ]
@@ -402,9 +402,23 @@ def importance(long: DataFrame, feature: str = "feature", shap: str = "shap_valu
     return long.groupBy(feature).agg(F.avg(F.abs(shap)).alias("mean_abs_shap"))
 
 
-def available(df: DataFrame, cols) -> DataFrame:
-    """Sorted distinct values of each column (one row)."""
-    return df.agg(*[F.array_sort(F.collect_set(c)).alias(c) for c in as_list(cols)])
+def available(df: DataFrame, cols, max_values: int = 100_000) -> DataFrame:
+    """Sorted distinct values of each column as arrays (one row), for menus
+    and validation. The distinct counts are checked first (one aggregate):
+    a column with more than ``max_values`` values raises, use
+    ``available_long`` (distributed rows) for those."""
+    cols = as_list(cols)
+    n = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
+    big = [c for c in cols if (n[c] or 0) > max_values]
+    if big:
+        raise ValueError(f"too many distinct values in {big}; use available_long")
+    return df.agg(*[F.array_sort(F.collect_set(c)).alias(c) for c in cols])
+
+
+def available_long(df: DataFrame, cols) -> DataFrame:
+    """(column, value) rows of the distinct values of each column, distributed."""
+    arr = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in as_list(cols)])
+    return df.select(F.explode(arr).alias("s")).select("s.*").distinct()
 
 
 # A22 -----------------------------------------------------------------------

@@ -21,31 +21,47 @@ __all__ = ["export_trees", "tree_shap_row", "expected_value", "tree_shap", "cond
 
 
 def export_trees(model) -> list[dict]:
-    """Flatten every tree of a Spark regression tree model / forest to arrays:
-    left, right (-1 at leaves), feature, threshold, value, cover; ``weight``
-    is the tree's weight in the ensemble average."""
-    trees = model.trees if hasattr(model, "trees") else [model]
+    """Flatten every tree of a Spark regression tree model / forest / GBT to
+    arrays: left, right (-1 at leaves), feature, threshold, value, cover;
+    ``weight`` is the tree's weight in the ensemble (1/n for a forest).
+
+    The model is written with Spark ML's own writer to the shared checkpoint
+    folder and its node table is read back with one Spark job, so a forest
+    of hundreds of deep trees is exported without per-node driver calls.
+    Splits must be continuous (``x <= threshold`` goes left)."""
+    import uuid
+
+    from pyspark.sql import SparkSession
+
+    from ..session import checkpoint_dir
+    spark = SparkSession.getActiveSession()
+    path = checkpoint_dir(spark).rstrip("/") + f"/model-export-{uuid.uuid4().hex}"
+    model.write().overwrite().save(path)
+    nodes = spark.read.parquet(path + "/data")
+    if "treeID" not in nodes.columns:
+        nodes = nodes.select(F.lit(0).alias("treeID"), F.struct(*nodes.columns).alias("nodeData"))
+    rows = nodes.select("treeID", "nodeData.id", "nodeData.prediction", "nodeData.impurityStats",
+                        "nodeData.leftChild", "nodeData.rightChild", "nodeData.split.featureIndex",
+                        "nodeData.split.leftCategoriesOrThreshold", "nodeData.split.numCategories").toPandas()
+    if (rows["numCategories"].fillna(-1) >= 0).any():
+        raise ValueError("categorical splits are not supported; assemble numeric features")
+    n_trees = int(rows["treeID"].max()) + 1
     weights = list(model.treeWeights) if hasattr(model, "treeWeights") else [1.0]
     is_forest = type(model).__name__.startswith("RandomForest")
     out = []
-    for t, wt in zip(trees, weights):
-        left, right, feat, thr, val, cov = [], [], [], [], [], []
-
-        def visit(node):
-            i = len(left)
-            left.append(-1), right.append(-1), feat.append(-1), thr.append(0.0)
-            val.append(float(node.prediction())), cov.append(float(node.impurityStats().count()))
-            if node.getClass().getSimpleName() == "InternalNode":
-                sp = node.split()
-                feat[i] = int(sp.featureIndex())
-                thr[i] = float(sp.threshold())
-                left[i] = visit(node.leftChild())
-                right[i] = visit(node.rightChild())
-            return i
-        visit(t._java_obj.rootNode())
-        out.append(dict(left=np.array(left), right=np.array(right), feature=np.array(feat),
-                        threshold=np.array(thr), value=np.array(val), cover=np.array(cov),
-                        weight=(1.0 / len(trees)) if is_forest else float(wt)))
+    for tid in range(n_trees):
+        t = rows[rows["treeID"] == tid].sort_values("id")
+        n = len(t)
+        left = t["leftChild"].to_numpy().astype(int)
+        right = t["rightChild"].to_numpy().astype(int)
+        leaf = left < 0
+        feat = np.where(leaf, -1, t["featureIndex"].fillna(-1).to_numpy().astype(int))
+        thr = np.array([float(v[0]) if (v is not None and len(v)) else 0.0 for v in t["leftCategoriesOrThreshold"]])
+        cover = np.array([float(v[0]) for v in t["impurityStats"]])
+        assert (t["id"].to_numpy() == np.arange(n)).all()
+        out.append(dict(left=left, right=right, feature=feat, threshold=np.where(leaf, 0.0, thr),
+                        value=t["prediction"].to_numpy().astype(float), cover=cover,
+                        weight=(1.0 / n_trees) if is_forest else float(weights[tid])))
     return out
 
 
