@@ -185,3 +185,15 @@ def tree_shap(model, df: DataFrame, features, keys, feature_col: str = "features
             yield pd.DataFrame(rows, columns=keys + ["feature", "feature_value", "shap_value", "abs_shap",
                                                      "direction", "pred", "base_value"])
     return x.mapInPandas(explain, schema)
+
+
+# Python workers must not need this package installed: functions of this
+# module travel by value inside the task closures.
+def _ship_by_value() -> None:
+    import sys
+
+    from pyspark import cloudpickle
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+_ship_by_value()

@@ -267,3 +267,15 @@ def seasonal_grid(df: DataFrame, by, order: str, value: str, orders=None, horizo
     fc = best.select(*by, "pdq", "pdqs", "_last", F.posexplode("forecast").alias("_i", "forecast")).select(
         *by, "pdq", "pdqs", F.add_months("_last", F.col("_i") + 1).alias(order), "forecast")
     return res.drop("forecast"), fc
+
+
+# Python workers must not need this package installed: functions of this
+# module travel by value inside the task closures.
+def _ship_by_value() -> None:
+    import sys
+
+    from pyspark import cloudpickle
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+_ship_by_value()
