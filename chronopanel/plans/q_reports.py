@@ -11,7 +11,8 @@ from ..operators import windows as W
 from . import panels as P
 from . import reports as Rp
 from .registry import register
-from .q_aggs import model_metrics
+from .q_aggs import _PRED_SQL, model_metrics
+from .q_reshape import _INV_SQL, _leaders_sql
 
 D6 = 6
 # Entity names of the nation panel (a rule, not data): NATION_0 .. NATION_24.
@@ -211,7 +212,21 @@ def compare_entities(t):
     return Rp.compare_entities(rep, "NATION_1", "NATION_2")
 
 
-@register("investment_insight", "Q05 W09 L03 A14", materialize=["nation_month"], ctes=["scenario_fc"], sql=None)
+@register("investment_insight", "Q05 W09 L03 A14", materialize=["nation_month"], ctes=["scenario_fc"],
+          sql=_INV_SQL + ",\n" + _leaders_sql(3) .replace(
+              "SELECT board, entity, metric_value, position FROM b WHERE position <= 3", """,
+lb AS (SELECT entity, array_to_string(list_sort(list(board)), ',') AS boards FROM b WHERE position <= 3 GROUP BY entity),
+rk AS (SELECT entity,
+              CASE WHEN stability_score IS NOT NULL THEN rank() OVER (PARTITION BY stability_score IS NULL ORDER BY stability_score DESC) END AS rank_stability_score,
+              CASE WHEN expected_return_base IS NOT NULL THEN rank() OVER (PARTITION BY expected_return_base IS NULL ORDER BY expected_return_base DESC) END AS rank_expected_return_base,
+              CASE WHEN downside_max_drawdown_low IS NOT NULL THEN rank() OVER (PARTITION BY downside_max_drawdown_low IS NULL ORDER BY downside_max_drawdown_low DESC) END AS rank_downside_max_drawdown_low
+       FROM inv)
+SELECT rk.entity, rank_stability_score, rank_expected_return_base, rank_downside_max_drawdown_low,
+       CAST(rank_stability_score + rank_expected_return_base + rank_downside_max_drawdown_low AS BIGINT) AS rank_sum,
+       coalesce(lb.boards, '') AS boards,
+       CASE WHEN rank_stability_score = 1 THEN 'most stable' WHEN rank_expected_return_base = 1 THEN 'highest return'
+            WHEN rank_downside_max_drawdown_low = 1 THEN 'most defensive' ELSE 'balanced' END AS profile
+FROM rk LEFT JOIN lb ON rk.entity = lb.entity"""))
 def investment_insight(t):
     return Rp.investment_insight(A.investment_metrics(P.scenario_fc(t)), k=3)
 
@@ -278,7 +293,22 @@ def spatial_table(t):
                     reason.alias("reason"))
 
 
-@register("model_report", "Q09 A24 P29 P30", ctes=["nation_month"], sql=None)
+@register("model_report", "Q09 A24 P29 P30", ctes=["nation_month"], sql=_PRED_SQL + """,
+te AS (SELECT model, rmse FROM met WHERE split = 'test'), tr AS (SELECT model, rmse FROM met WHERE split = 'train'),
+base AS (SELECT rmse AS b FROM te WHERE model = 'naive'),
+sel AS (SELECT te.model, te.rmse AS test_metric,
+               CASE WHEN (SELECT b FROM base) <> 0 THEN ((SELECT b FROM base) - te.rmse) / (SELECT b FROM base) * 100 END AS improvement_pct,
+               CASE WHEN tr.rmse <> 0 THEN (te.rmse - tr.rmse) / tr.rmse * 100 END AS gap_pct,
+               te.rmse = (SELECT min(rmse) FROM te) AS is_best, te.rmse = (SELECT max(rmse) FROM te) AS is_worst
+        FROM te LEFT JOIN tr ON te.model = tr.model)
+SELECT model, 'evaluation' AS block, 'info' AS tone,
+       printf('%s: test RMSE %.4f (%s)', model, round(test_metric * 10000.0) / 10000.0,
+              CASE WHEN is_best THEN 'best' WHEN is_worst THEN 'worst' ELSE 'middle' END) AS text FROM sel
+UNION ALL SELECT model, 'selection', CASE WHEN improvement_pct > 0 THEN 'success' ELSE 'info' END,
+       printf('%s improves on %s by %.1f%%', model, 'naive', round(improvement_pct * 10.0) / 10.0) FROM sel
+UNION ALL SELECT model, 'generalisation',
+       CASE WHEN gap_pct IS NULL THEN 'unknown' WHEN gap_pct <= 10 THEN 'success' WHEN gap_pct <= 25 THEN 'info' ELSE 'warning' END,
+       printf('%s: train to test RMSE difference %.1f%%', model, round(gap_pct * 10.0) / 10.0) FROM sel""")
 def model_report(t):
     m = model_metrics(t)
     return Rp.model_report(m.filter("split = 'test'"), m.filter("split = 'train'"), "naive")

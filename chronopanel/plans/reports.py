@@ -184,10 +184,12 @@ def model_report(test: DataFrame, train: DataFrame, baseline: str, info: float =
     """Evaluation, selection and generalisation blocks (tone + text) per model."""
     sel = A.model_selection(test, train, baseline, metric="rmse")
     tone = fn.gap_band("gap_pct", info, warn)
-    ev = fn.narrate("%s: test RMSE %.4f (%s)", "model", "test_metric",
+    def r(c, d):  # round half away from zero before printf, so formatters agree
+        return F.round(F.col(c) * float(10 ** d)) / float(10 ** d)
+    ev = fn.narrate("%s: test RMSE %.4f (%s)", "model", r("test_metric", 4),
                     F.when(F.col("is_best"), "best").when(F.col("is_worst"), "worst").otherwise("middle"))
-    se = fn.narrate("%s improves on %s by %.1f%%", "model", F.lit(baseline), "improvement_pct")
-    ge = fn.narrate("%s: train to test RMSE difference %.1f%%", "model", "gap_pct")
+    se = fn.narrate("%s improves on %s by %.1f%%", "model", F.lit(baseline), r("improvement_pct", 1))
+    ge = fn.narrate("%s: train to test RMSE difference %.1f%%", "model", r("gap_pct", 1))
     arr = F.array(F.struct(F.lit("evaluation").alias("block"), F.lit("info").alias("tone"), ev.alias("text")),
                   F.struct(F.lit("selection").alias("block"),
                            F.when(F.col("improvement_pct") > 0, "success").otherwise("info").alias("tone"),
