@@ -79,7 +79,7 @@ def trend_band(c, strong: float = 0.08, moderate: float = 0.03) -> Column:
     return F.struct(d.alias("direction"), s.alias("strength"))
 
 
-def gap_band(c, info: float = 10.0, warn: float = 25.0) -> Column:
+def gap_band(c, info: float = 30.0, warn: float = 80.0) -> Column:
     """Tone of a train-to-test gap in percent: success / info / warning."""
     c = _c(c)
     return (F.when(c.isNull(), "unknown").when(c <= info, "success")

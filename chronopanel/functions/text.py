@@ -24,9 +24,9 @@ def norm_key(c) -> Column:
 
 # Scenario labels and their aliases.
 SCENARIO_ALIASES = {
-    "base": ("base", "baseline", "central", "mid", "middle"),
-    "low": ("low", "lower", "down", "pessimistic"),
-    "high": ("high", "higher", "up", "optimistic"),
+    "base": ("base",),
+    "low": ("low", "lower"),
+    "high": ("high", "higher"),
 }
 
 
@@ -98,7 +98,7 @@ INTENT_RULES = {
                           "safer", "stable", "stability"),
     "compare": ("compare", "vs", "versus", "difference", "differences", "between",
                 "which is higher", "which is lower"),
-    "explain": ("why", "driver", "drivers", "explain", "because", "reason", "factor", "factors"),
+    "explain": ("explain", "driver", "drivers", "shap", "why", "contribution", "impact", "feature"),
 }
 
 

@@ -307,7 +307,7 @@ SELECT model, 'evaluation' AS block, 'info' AS tone,
 UNION ALL SELECT model, 'selection', CASE WHEN improvement_pct > 0 THEN 'success' ELSE 'info' END,
        printf('%s improves on %s by %.1f%%', model, 'naive', round(improvement_pct * 10.0) / 10.0) FROM sel
 UNION ALL SELECT model, 'generalisation',
-       CASE WHEN gap_pct IS NULL THEN 'unknown' WHEN gap_pct <= 10 THEN 'success' WHEN gap_pct <= 25 THEN 'info' ELSE 'warning' END,
+       CASE WHEN gap_pct IS NULL THEN 'unknown' WHEN gap_pct <= 30 THEN 'success' WHEN gap_pct <= 80 THEN 'info' ELSE 'warning' END,
        printf('%s: train to test RMSE difference %.1f%%', model, round(gap_pct * 10.0) / 10.0) FROM sel""")
 def model_report(t):
     m = model_metrics(t)

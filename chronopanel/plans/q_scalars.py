@@ -231,9 +231,9 @@ def norm_key(t):
 
 
 @register("norm_scenario", "P24", materialize=["nation_month"], ctes=["scenario_fc"], sql="""
-SELECT period, entity, CASE WHEN lower(trim(raw)) IN ('base', 'baseline', 'central', 'mid', 'middle') THEN 'base'
-       WHEN lower(trim(raw)) IN ('low', 'lower', 'down', 'pessimistic') THEN 'low'
-       WHEN lower(trim(raw)) IN ('high', 'higher', 'up', 'optimistic') THEN 'high' ELSE 'base' END AS scenario
+SELECT period, entity, CASE WHEN lower(trim(raw)) IN ('base') THEN 'base'
+       WHEN lower(trim(raw)) IN ('low', 'lower') THEN 'low'
+       WHEN lower(trim(raw)) IN ('high', 'higher') THEN 'high' ELSE 'base' END AS scenario
 FROM (SELECT period, entity, CASE scenario WHEN 'base' THEN ' Mid ' WHEN 'low' THEN 'LOWER' ELSE ' HIGH ' END AS raw
       FROM scenario_fc)""")
 def norm_scenario(t):
@@ -292,8 +292,8 @@ g AS (SELECT a.model, a.rmse AS rmse_train, b.rmse AS rmse_test,
              CASE WHEN a.rmse <> 0 THEN (b.rmse - a.rmse) / abs(a.rmse) * 100 END AS rmse_gap_pct
       FROM met a LEFT JOIN met b ON a.model = b.model AND b.split = 'test' WHERE a.split = 'train')
 SELECT model, rmse_train, rmse_test, rmse_gap_pct,
-       CASE WHEN rmse_gap_pct IS NULL THEN 'unknown' WHEN rmse_gap_pct <= 10 THEN 'success'
-            WHEN rmse_gap_pct <= 25 THEN 'info' ELSE 'warning' END AS tone
+       CASE WHEN rmse_gap_pct IS NULL THEN 'unknown' WHEN rmse_gap_pct <= 30 THEN 'success'
+            WHEN rmse_gap_pct <= 80 THEN 'info' ELSE 'warning' END AS tone
 FROM g""")
 def gap_band(t):
     from ..operators.joins import train_test_gap

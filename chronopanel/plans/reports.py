@@ -180,7 +180,7 @@ def route_questions(messages: DataFrame, entities, text: str = "text", default_m
 
 
 # Q09 -----------------------------------------------------------------------
-def model_report(test: DataFrame, train: DataFrame, baseline: str, info: float = 10.0, warn: float = 25.0) -> DataFrame:
+def model_report(test: DataFrame, train: DataFrame, baseline: str, info: float = 30.0, warn: float = 80.0) -> DataFrame:
     """Evaluation, selection and generalisation blocks (tone + text) per model."""
     sel = A.model_selection(test, train, baseline, metric="rmse")
     tone = fn.gap_band("gap_pct", info, warn)
