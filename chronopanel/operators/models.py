@@ -78,21 +78,40 @@ def _centered(s):
     return C, c, mx, my
 
 
-def _cd(C, c, alpha, b0=None, tol=1e-10, max_iter=100_000):
-    """Coordinate descent for 1/2 b'Cb - c'b + alpha |b|_1 (covariance form)."""
+def _yy(s) -> float:
+    return float(s["syy"] / s["n"] - (s["sy"] / s["n"]) ** 2)
+
+
+def _cd(C, c, alpha, b0=None, yy=None, tol=1e-4, max_iter=50_000):
+    """Coordinate descent for 1/2 b'Cb - c'b + alpha |b|_1 (covariance form,
+    C = X'X/n and c = X'y/n of centred data). Stops on the duality gap
+    relative to ``yy`` = y'y/n (as scikit-learn's ``tol``), or on tiny
+    updates when ``yy`` is not given."""
     k = len(c)
     b = np.zeros(k) if b0 is None else b0.copy()
     d = np.diag(C).copy()
     d[d <= 0] = 1.0
     for _ in range(max_iter):
-        delta = 0.0
+        w_max = d_max = 0.0
         for j in range(k):
             r = c[j] - C[j] @ b + C[j, j] * b[j]
             nb = np.sign(r) * max(abs(r) - alpha, 0.0) / d[j]
-            delta = max(delta, abs(nb - b[j]))
+            d_max = max(d_max, abs(nb - b[j]))
+            w_max = max(w_max, abs(nb))
             b[j] = nb
-        if delta < tol:
-            break
+        if yy is None:
+            if d_max < 1e-10:
+                break
+            continue
+        if w_max == 0.0 or d_max / w_max < tol:
+            xta = c - C @ b                          # X'R / n
+            r2 = yy + b @ C @ b - 2 * c @ b          # R'R / n
+            dual = np.max(np.abs(xta)) if k else 0.0
+            const = alpha / dual if dual > alpha else 1.0
+            gap = 0.5 * r2 * (1 + const ** 2) if dual > alpha else r2
+            gap += alpha * np.abs(b).sum() - const * (yy - c @ b)
+            if gap < tol * yy:
+                break
     return b
 
 
@@ -102,10 +121,14 @@ def _sse(s, b, intercept):
     return (syy - 2 * b @ sxy - 2 * intercept * sy + b @ G @ b + 2 * intercept * (b @ sx) + n * intercept ** 2)
 
 
-def lasso_path_cv(stats: dict, n_splits: int, n_alphas: int = 200, eps: float = 1e-3):
+def lasso_path_cv(stats: dict, n_splits: int, n_alphas: int = 200, eps: float = 1e-3,
+                  scale_in_fold: bool = False):
     """LASSO over a log-spaced alpha path with expanding row folds. ``stats``
     maps block 0..n_splits to sufficient statistics. Returns (alphas,
-    mean validation MSE per alpha, best alpha, coefficients on all rows)."""
+    mean validation MSE per alpha, best alpha, coefficients on all rows,
+    validation MSE per fold at the best alpha). ``scale_in_fold``
+    re-standardises each training fold by its own spread (no information
+    from the validation rows), instead of the all-rows scaling."""
     full = _merge(stats.values())
     C, c, _, _ = _centered(full)
     amax = float(np.max(np.abs(c))) if len(c) else 0.0
@@ -118,16 +141,21 @@ def lasso_path_cv(stats: dict, n_splits: int, n_alphas: int = 200, eps: float =
             mse[f] = np.nan
             continue
         Ct, ct, mx, my = _centered(tr)
+        sd = np.sqrt(np.clip(np.diag(Ct), 1e-300, None)) if scale_in_fold else np.ones(len(ct))
+        Cs, cs = Ct / np.outer(sd, sd), ct / sd
         b = np.zeros(len(ct))
+        yy = _yy(tr)
         for a_i, a in enumerate(alphas):
-            b = _cd(Ct, ct, a, b)
-            icpt = my - mx @ b
-            mse[f, a_i] = _sse(va, b, icpt) / va["n"]
+            b = _cd(Cs, cs, a, b, yy=yy)
+            braw = b / sd
+            icpt = my - mx @ braw
+            mse[f, a_i] = _sse(va, braw, icpt) / va["n"]
     mean = np.nanmean(mse, axis=0)
     best = int(np.nanargmin(mean))
     b = np.zeros(len(c))
+    yy = _yy(full)
     for a in alphas[: best + 1]:
-        b = _cd(C, c, a, b)
+        b = _cd(C, c, a, b, yy=yy)
     return alphas, mean, float(alphas[best]), b, mse[:, best]
 
 
@@ -139,6 +167,8 @@ def lasso_select(df: DataFrame, y: str, xs, order, n_splits: int = 5, n_alphas:
     sort), are standardised (``scale="all"`` fits the scaler on all rows as
     the reference does) and summed into per-block Gram statistics; the
     alpha path and the coordinate descent run on the k x k statistics.
+    ``scale="fold"`` also re-standardises inside each training fold (the
+    corrected default of SURVEY X16 is available; "all" reproduces).
     Output: feature, coef (standardised scale), abs_coef, selected, alpha,
     cv_rmse mean and spread (population std over folds).
     """
@@ -154,7 +184,7 @@ def lasso_select(df: DataFrame, y: str, xs, order, n_splits: int = 5, n_alphas:
     first = n - n_splits * t
     blk = F.when(F.col("_idx") < first, 0).otherwise(F.floor((F.col("_idx") - first) / t) + 1).cast("int")
     stats = gram_blocks(zi.withColumn("_blk", blk), y, xs, "_blk")
-    alphas, mean, best, b, fold_mse = lasso_path_cv(stats, n_splits, n_alphas, eps)
+    alphas, mean, best, b, fold_mse = lasso_path_cv(stats, n_splits, n_alphas, eps, scale_in_fold=(scale == "fold"))
     rmse = np.sqrt(fold_mse)
     rows = [(x, float(c), float(abs(c)), bool(abs(c) > 0), best, float(np.mean(rmse)), float(np.std(rmse)))
             for x, c in zip(xs, b)]

@@ -54,11 +54,14 @@ def auto_summary(shap: DataFrame, k: int = 3, keys=("entity", "scenario", "perio
 
 # Q03 -----------------------------------------------------------------------
 def forecast_report(fc: DataFrame, hist: DataFrame, shap: DataFrame, value: str = "avg_price",
-                    k: int = 3, strong: float = 0.08, moderate: float = 0.03) -> DataFrame:
+                    k: int = 3, strong: float = 0.08, moderate: float = 0.03,
+                    percent_thresholds: bool = False) -> DataFrame:
     """For every (entity, scenario): anchor level (last history month before
     the forecast start), forecast level at the horizon end, change, trend
     band, top upward / downward drivers, driver-card count by importance,
-    and a one-line text."""
+    and a one-line text. The change is a fraction compared with fractional
+    thresholds; ``percent_thresholds=True`` reproduces the reference's unit
+    mix-up (a percent compared with fractional thresholds, SURVEY X13)."""
     keys = ["entity", "scenario"]
     path = fc.groupBy(*keys).agg(F.min("period").alias("start_period"), F.max("period").alias("end_period"),
                                  F.max_by("pred", "period").alias("future_price"))
@@ -67,7 +70,8 @@ def forecast_report(fc: DataFrame, hist: DataFrame, shap: DataFrame, value: str
     rep = path.join(anchor.select("entity", "anchor_period", F.col("anchor_value").alias("current_price")),
                     "entity", "left")
     change = fn.pct_change_of("future_price", "current_price")
-    rep = rep.withColumn("change", change).withColumn("band", fn.trend_band("change", strong, moderate))
+    banded = F.col("change") * 100 if percent_thresholds else F.col("change")
+    rep = rep.withColumn("change", change).withColumn("band", fn.trend_band(banded, strong, moderate))
     hd = A.horizon_drivers(shap, keys, k=k)
     lists = hd.groupBy(*keys).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("side") == "up", F.struct("rank", "feature")))),

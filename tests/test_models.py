@@ -155,3 +155,17 @@ def test_seasonal_grid_keeps_failures(spark):
     assert (r[r.s == "short"].status.str.startswith("failed")).all()
     assert (r[r.s == "long"].status == "ok").any()
     assert fc.filter("s = 'long'").count() == 6
+
+
+def test_lasso_scale_in_fold_runs_and_differs_only_in_scaling(spark):
+    rng = np.random.default_rng(2)
+    n = 90
+    Xm = rng.normal(size=(n, 3)) * np.array([1.0, 5.0, 0.2]) + np.linspace(0, 3, n)[:, None]
+    y = Xm[:, 0] - 0.3 * Xm[:, 1] + rng.normal(scale=0.2, size=n)
+    pdf = pd.DataFrame(Xm, columns=["a", "b", "c"])
+    pdf["y"], pdf["t"] = y, range(n)
+    df = spark.createDataFrame(pdf)
+    a = M.lasso_select(df, "y", ["a", "b", "c"], order=["t"], n_alphas=30, scale="all").toPandas()
+    f = M.lasso_select(df, "y", ["a", "b", "c"], order=["t"], n_alphas=30, scale="fold").toPandas()
+    assert set(a[a.selected].feature) >= {"a", "b"} and set(f[f.selected].feature) >= {"a", "b"}
+    assert np.all(np.isfinite(f["cv_rmse_mean"]))
