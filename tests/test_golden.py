@@ -136,3 +136,15 @@ def test_upsample_golden(spark):
     assert j.count() == up.count() > 700
     bad = j.filter(F.abs(F.col("u") - F.col("expected")) > 1e-9).count()
     assert bad == 0
+
+
+def test_yearly_repeat_and_trimmed_mean_golden(spark):
+    from chronopanel.operators import columns as C
+    from chronopanel.operators import reshape as R
+    y = read_table(spark, os.path.join(FIXTURES, "rent_yearly.csv"), schema="Year int, District string, rent double")
+    m = R.yearly_to_monthly(y, "Year", "rent", how="repeat")
+    m = C.period_filter(m, "period", "2018-08-01", "2025-06-01", exclude=["2018-11-01", "2020-07-01"])
+    assert m.count() == 567
+    for method in ("exact", "sort"):
+        v = A.trimmed_mean(m, "rent", 0.10, method=method).first()[0]
+        assert math.isclose(v, 580.6789587852495, rel_tol=1e-12), method
