@@ -148,3 +148,18 @@ def test_yearly_repeat_and_trimmed_mean_golden(spark):
     for method in ("exact", "sort"):
         v = A.trimmed_mean(m, "rent", 0.10, method=method).first()[0]
         assert math.isclose(v, 580.6789587852495, rel_tol=1e-12), method
+
+
+def test_weighted_mean_golden(spark):
+    df = read_table(spark, os.path.join(FIXTURES, "income_weighted.csv"))
+    areas = [c[:-len("_income")] for c in df.columns if c.endswith("_income") and not c.endswith("weighted")]
+    pairs = [(f"{a}_income", f"{a}_pop") for a in areas]
+    assert len(pairs) == 6
+    got = {r.Year: r.weighted_mean for r in A.weighted_mean(df, pairs, by=["Year"]).collect()}
+    exp = {r.Year: r[df.columns[-1]] for r in df.collect()}
+    assert len(exp) == 20
+    for y, v in exp.items():
+        if v is None or (isinstance(v, float) and math.isnan(v)):
+            assert got[y] is None, y          # years without incomes stay missing
+        else:
+            assert math.isclose(got[y], v, rel_tol=1e-12), y
