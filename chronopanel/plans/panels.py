@@ -281,7 +281,7 @@ CTE: dict[str, tuple[tuple[str, ...], str]] = {
   FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN nation n ON s.s_nationkey = n.n_nationkey
   GROUP BY 1, 2"""),
     "nation_year": (("nation_month",), """
-  SELECT year(period) AS year, entity, sum(sales_count) AS sales_count, sum(total_price) AS total_price
+  SELECT year(period) AS year, entity, CAST(sum(sales_count) AS BIGINT) AS sales_count, sum(total_price) AS total_price
   FROM nation_month GROUP BY 1, 2"""),
 }
 

@@ -14,7 +14,7 @@ D6 = 6
 
 
 @register("collapse_series", "A01", ctes=["nation_month"], digits={"total_price": 2, "avg_price": D6}, sql="""
-SELECT period, coalesce(sum(sales_count), 0) AS sales_count, coalesce(sum(total_price), 0) AS total_price,
+SELECT period, CAST(coalesce(sum(sales_count), 0) AS BIGINT) AS sales_count, coalesce(sum(total_price), 0) AS total_price,
        avg(avg_price) AS avg_price
 FROM nation_month GROUP BY period""")
 def collapse_series(t):
@@ -115,7 +115,7 @@ def corr_matrix(t):
 
 
 @register("missing_summary", "A10", ctes=["nation_lags"], digits={"missing_pct": 9}, sql="\nUNION ALL\n".join(
-    f"""SELECT '{c}' AS "column", count_if({c} IS NULL{" OR isnan(" + c + ")" if d else ""}) AS missing_count,
+    f"""SELECT '{c}' AS "column", CAST(count_if({c} IS NULL{" OR isnan(" + c + ")" if d else ""}) AS BIGINT) AS missing_count,
        count_if({c} IS NULL{" OR isnan(" + c + ")" if d else ""}) / count(*) AS missing_pct FROM nation_lags"""
     for c, d in (("period", 0), ("entity", 0), ("region", 0), ("avg_price", 1), ("sales_count", 0),
                  ("total_price", 1), ("avg_price_high", 1), ("avg_price_low", 1), ("avg_price_lag1", 1),
@@ -179,7 +179,7 @@ g AS (SELECT entity, min(anchor) AS anchor, count_if(sc = 'base') AS nb, count_i
              min(dd) FILTER (WHERE sc = 'low') AS dd,
              arg_max(p, period) FILTER (WHERE sc = 'high') AS hi_last, arg_max(p, period) FILTER (WHERE sc = 'low') AS lo_last
       FROM r GROUP BY entity)
-SELECT entity, strftime(anchor, '%Y-%m') AS anchor_month, 12 AS horizon_months,
+SELECT entity, strftime(anchor, '%Y-%m') AS anchor_month, CAST(12 AS BIGINT) AS horizon_months,
        p0 AS current_price_base, pt AS forecast_price_base_h,
        CASE WHEN p0 <> 0 THEN (pt - p0) / p0 END AS expected_return_base,
        CASE WHEN nr >= 2 THEN vol END AS volatility_base,

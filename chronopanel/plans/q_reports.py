@@ -188,7 +188,7 @@ rep AS (SELECT r.*,
 @register("forecast_report", "Q03 J07 A16 P27 P28 W10 P30", materialize=["nation_month"], ctes=["nation_month", "scenario_fc", "attrib_long"],
           digits={"current_price": 4, "future_price": 4, "change": 9}, sql=_REPORT_SQL + """
 SELECT entity, scenario, start_period, end_period, anchor_period, current_price, future_price, change, direction, strength,
-       drivers_up, drivers_down, n_high, n_medium,
+       drivers_up, drivers_down, CAST(n_high AS BIGINT) AS n_high, CAST(n_medium AS BIGINT) AS n_medium,
        printf('%s (%s): %s %s move to %.2f by %s', entity, scenario, strength, direction, round(future_price * 100.0) / 100.0,
               strftime(end_period, '%Y-%m')) AS text
 FROM rep""")
@@ -238,16 +238,16 @@ mm AS (SELECT count(*) AS n FROM cal WHERE period NOT IN (SELECT period FROM x))
 gaps AS (SELECT datediff('day', lag(period) OVER (ORDER BY period), period) AS gap FROM (SELECT DISTINCT period FROM x)),
 fr AS (SELECT CASE WHEN (SELECT count(DISTINCT period) FROM x) < 3 THEN 'Unknown'
                    WHEN quantile_cont(gap, 0.5) BETWEEN 25 AND 35 THEN 'Monthly' ELSE 'Irregular' END AS f FROM gaps),
-ms0 AS (SELECT 'period' AS c, count_if(period IS NULL) AS n FROM x
-  UNION ALL SELECT 'entity' AS c, count_if(entity IS NULL) AS n FROM x
-  UNION ALL SELECT 'region' AS c, count_if(region IS NULL) AS n FROM x
-  UNION ALL SELECT 'avg_price' AS c, count_if(avg_price IS NULL OR isnan(avg_price)) AS n FROM x
-  UNION ALL SELECT 'sales_count' AS c, count_if(sales_count IS NULL) AS n FROM x
-  UNION ALL SELECT 'total_price' AS c, count_if(total_price IS NULL OR isnan(total_price)) AS n FROM x
-  UNION ALL SELECT 'avg_price_high' AS c, count_if(avg_price_high IS NULL OR isnan(avg_price_high)) AS n FROM x
-  UNION ALL SELECT 'avg_price_low' AS c, count_if(avg_price_low IS NULL OR isnan(avg_price_low)) AS n FROM x
-  UNION ALL SELECT 'avg_price_lag1' AS c, count_if(avg_price_lag1 IS NULL OR isnan(avg_price_lag1)) AS n FROM x
-  UNION ALL SELECT 'avg_price_lag12' AS c, count_if(avg_price_lag12 IS NULL OR isnan(avg_price_lag12)) AS n FROM x),
+ms0 AS (SELECT 'period' AS c, CAST(count_if(period IS NULL) AS BIGINT) AS n FROM x
+  UNION ALL SELECT 'entity' AS c, CAST(count_if(entity IS NULL) AS BIGINT) AS n FROM x
+  UNION ALL SELECT 'region' AS c, CAST(count_if(region IS NULL) AS BIGINT) AS n FROM x
+  UNION ALL SELECT 'avg_price' AS c, CAST(count_if(avg_price IS NULL OR isnan(avg_price)) AS BIGINT) AS n FROM x
+  UNION ALL SELECT 'sales_count' AS c, CAST(count_if(sales_count IS NULL) AS BIGINT) AS n FROM x
+  UNION ALL SELECT 'total_price' AS c, CAST(count_if(total_price IS NULL OR isnan(total_price)) AS BIGINT) AS n FROM x
+  UNION ALL SELECT 'avg_price_high' AS c, CAST(count_if(avg_price_high IS NULL OR isnan(avg_price_high)) AS BIGINT) AS n FROM x
+  UNION ALL SELECT 'avg_price_low' AS c, CAST(count_if(avg_price_low IS NULL OR isnan(avg_price_low)) AS BIGINT) AS n FROM x
+  UNION ALL SELECT 'avg_price_lag1' AS c, CAST(count_if(avg_price_lag1 IS NULL OR isnan(avg_price_lag1)) AS BIGINT) AS n FROM x
+  UNION ALL SELECT 'avg_price_lag12' AS c, CAST(count_if(avg_price_lag12 IS NULL OR isnan(avg_price_lag12)) AS BIGINT) AS n FROM x),
 ms AS (SELECT c, n FROM ms0 ORDER BY n DESC, c LIMIT 1)
 SELECT count(*) AS rows, CAST(10 AS BIGINT) AS cols, min(period) AS period_min, max(period) AS period_max,
        count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM x)) AS duplicate_rows,

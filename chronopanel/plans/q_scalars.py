@@ -176,8 +176,8 @@ def log_columns(t):
 
 
 @register("log_guard", "P14", ctes=["nation_month"], sql="""
-SELECT 'avg_price_low' AS "column", count_if(avg_price_low IS NULL OR avg_price_low <= 0) AS bad FROM nation_month
-UNION ALL SELECT 'avg_price', count_if(avg_price IS NULL OR avg_price <= 0) FROM nation_month""")
+SELECT 'avg_price_low' AS "column", CAST(count_if(avg_price_low IS NULL OR avg_price_low <= 0) AS BIGINT) AS bad FROM nation_month
+UNION ALL SELECT 'avg_price', CAST(count_if(avg_price IS NULL OR avg_price <= 0) AS BIGINT) FROM nation_month""")
 def log_guard(t):
     return C.log_guard(P.nation_month(t), ["avg_price_low", "avg_price"]).select("column", "bad")
 

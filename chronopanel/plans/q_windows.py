@@ -134,7 +134,7 @@ def tail_per_group(t):
 
 
 @register("rank_columns", "W09", ctes=["nation_month"], digits={"mean_price": D6, "price_std": D6}, sql="""
-s AS (SELECT entity, avg(avg_price) AS mean_price, sum(sales_count) AS sales, stddev_samp(avg_price) AS price_std
+s AS (SELECT entity, avg(avg_price) AS mean_price, CAST(sum(sales_count) AS BIGINT) AS sales, stddev_samp(avg_price) AS price_std
       FROM nation_month GROUP BY entity)
 SELECT entity, mean_price, sales, price_std,
        rank() OVER (ORDER BY mean_price DESC) AS rank_mean_price,
