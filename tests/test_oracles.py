@@ -12,6 +12,8 @@ from chronopanel.session import TABLES
 from .conftest import SMALL
 
 REG = load_all()
+SPARK_TO_DUCK = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+                 "boolean": "BOOLEAN", "int": "INTEGER", "timestamp_ntz": "TIMESTAMP"}
 
 
 @pytest.fixture(scope="module")
@@ -39,10 +41,12 @@ def test_query(spark, con, name):
     assert len(cols) == len(set(cols))
     if q.sql is None:
         return
-    cur = con.execute(q.sql)
-    drows = cur.fetchall()
-    dcols = [d[0] for d in cur.description]
+    rel = con.sql(q.sql)
+    dtypes = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    drows = rel.fetchall()
+    dcols = list(rel.columns)
     assert sorted(cols) == sorted(dcols)
+    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes} == dtypes
     order = sorted(cols)
     a = sorted((tuple(_norm(r[cols.index(c)]) for c in order) for r in rows), key=repr)
     b = sorted((tuple(_norm(r[dcols.index(c)]) for c in order) for r in drows), key=repr)
