@@ -21,7 +21,7 @@ from ._util import as_list
 from .windows import _global_index, month_folds
 
 __all__ = ["ols", "gram_blocks", "lasso_path_cv", "lasso_select", "select_features", "align_features",
-           "feature_pipeline", "cv_fits", "tune_forest", "tune_gbt", "cv_table", "refit", "score_scenarios"]
+           "feature_pipeline", "feature_map", "cv_fits", "tune_forest", "tune_gbt", "cv_table", "refit", "score_scenarios"]
 
 
 # M01 -----------------------------------------------------------------------
@@ -233,6 +233,20 @@ def feature_pipeline(cat=(), num=(), scale: bool = False, out: str = "features")
     return stages
 
 
+def feature_map(df: DataFrame, vector_col: str = "features") -> DataFrame:
+    """(index, name) of every slot of an assembled feature vector, read
+    from the ML attribute metadata Spark keeps in the schema (no job). One-hot
+    slots are named ``<column>_<category>``."""
+    meta = df.schema[vector_col].metadata.get("ml_attr", {})
+    rows = []
+    for kind in ("numeric", "binary", "nominal"):
+        for a in meta.get("attrs", {}).get(kind, []):
+            rows.append((int(a["idx"]), str(a.get("name", f"f_{a['idx']}")), kind))
+    if not rows:
+        rows = [(i, f"f_{i}", "numeric") for i in range(int(meta.get("num_attrs", 0)))]
+    return df.sparkSession.createDataFrame(sorted(rows), "index int, name string, kind string")
+
+
 # M06-M08 -------------------------------------------------------------------
 def _rmse(pred: DataFrame, y: str) -> tuple[float, int]:
     r = pred.agg(F.sqrt(F.avg((F.col(y) - F.col("prediction")) ** 2)).alias("r"), F.count("*").alias("n")).first()

@@ -91,6 +91,14 @@ def feature_pipeline(t):
     return out.select("period", "entity", F.col("features").cast("string").alias("features"))
 
 
+@register("feature_map", "P36 M05")
+def feature_map(t):
+    from pyspark.ml import Pipeline
+    d = model_panel(t, complete=True)
+    model = Pipeline(stages=_stages()).fit(d)
+    return M.feature_map(model.transform(d), "features")
+
+
 @register("tune_forest", "M06 M08 W12")
 def tune_forest(t):
     res = M.tune_forest(model_panel(t, complete=True), "y", _stages(), {"numTrees": [10, 20], "maxDepth": [4]},

@@ -169,3 +169,12 @@ def test_lasso_scale_in_fold_runs_and_differs_only_in_scaling(spark):
     f = M.lasso_select(df, "y", ["a", "b", "c"], order=["t"], n_alphas=30, scale="fold").toPandas()
     assert set(a[a.selected].feature) >= {"a", "b"} and set(f[f.selected].feature) >= {"a", "b"}
     assert np.all(np.isfinite(f["cv_rmse_mean"]))
+
+
+def test_feature_map_from_metadata(spark):
+    from pyspark.ml import Pipeline
+    df = spark.createDataFrame([("a", 1.0, 2.0), ("b", 3.0, 4.0), ("a", 5.0, 6.0)], "g string, x double, y double")
+    m = Pipeline(stages=M.feature_pipeline(cat=["g"], num=["x"])).fit(df)
+    fm = M.feature_map(m.transform(df)).toPandas()
+    assert list(fm["index"]) == list(range(len(fm)))
+    assert fm["name"].iloc[-1] == "x" and any(n.startswith("g_oh_") for n in fm["name"])
