@@ -79,7 +79,9 @@ def bvar_forecast(df: DataFrame, by, order: str, cols, p: int = 1, horizon: int
     after the last one), one column per variable."""
     by, cols = as_list(by), as_list(cols)
     k = len(cols)
-    d = df.select(*by, order, *cols).dropna()
+    # one row per (group, period) (duplicates averaged), so the lag window of
+    # a group is bounded by its calendar
+    d = df.select(*by, order, *cols).dropna().groupBy(*by, order).agg(*[F.avg(c).alias(c) for c in cols])
     w = Window.partitionBy(*by).orderBy(order)
     d = d.withColumn("_t", F.row_number().over(w) - 1)
     lagc = {}
@@ -237,7 +239,10 @@ def seasonal_grid(df: DataFrame, by, order: str, value: str, orders=None, horizo
     spark = df.sparkSession
     og = spark.createDataFrame([(i, str(o), str(so)) for i, (o, so) in enumerate(orders)],
                                "order_id int, pdq string, pdqs string")
-    series = df.select(*by, order, F.col(value).cast("double").alias("_y")).filter(F.col("_y").isNotNull())
+    # one row per (series, period): a group never exceeds the calendar length,
+    # whatever the number of raw rows behind a hot series
+    series = (df.filter(F.col(value).isNotNull()).groupBy(*by, order)
+                .agg(F.avg(F.col(value).cast("double")).alias("_y")))
     from .joins import repeat_for_each
     x = repeat_for_each(series, og)
     types = dict(df.dtypes)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ._util import as_list, col
 
 __all__ = [
-    "add_lags", "yoy", "log_return", "rebase", "pct_change", "drawdown",
+    "add_lags", "yoy", "log_return", "rebase", "pct_change", "drawdown", "global_rank", "RANK_WINDOW_LIMIT",
     "levels_from_dlog", "tail_per_group", "rank_columns", "driver_cards",
     "upsample_linear", "month_folds", "row_folds", "fold_table",
 ]
@@ -99,16 +99,49 @@ def tail_per_group(df: DataFrame, by, order: str, n: int) -> DataFrame:
 
 
 # W09 -----------------------------------------------------------------------
-def rank_columns(df: DataFrame, specs: dict, by=(), total: str | None = "rank_sum") -> DataFrame:
+# Largest table ranked with a single ordered window.
+RANK_WINDOW_LIMIT = 1_000_000
+
+
+def global_rank(df: DataFrame, c: str, desc: bool = False, out: str | None = None) -> DataFrame:
+    """``rank()`` ("min" method) of ``c`` over the whole table without a
+    single-partition window: the distinct values and their counts are
+    range-sorted, each value's rank is 1 + the count of strictly better
+    rows (per-partition totals give the offsets), and the ranks are joined
+    back on the value. NULL values get no rank."""
+    from ..session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    out = out or f"rank_{c}"
+    g = df.filter(F.col(c).isNotNull()).groupBy(c).agg(F.count("*").alias("_cnt"))
+    key = F.desc(c) if desc else F.asc(c)
+    s = g.orderBy(key).withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
+    tot = s.groupBy("_pid").agg(F.sum("_cnt").alias("_ptot"))
+    tot = tot.withColumn("_off", F.coalesce(F.sum("_ptot").over(
+        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    within = Window.partitionBy("_pid").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+    r = (s.join(F.broadcast(tot.select("_pid", "_off")), "_pid")
+           .withColumn(out, (1 + F.col("_off") + F.coalesce(F.sum("_cnt").over(within), F.lit(0))).cast("bigint"))
+           .select(c, out))
+    return df.join(r, c, "left")
+
+
+def rank_columns(df: DataFrame, specs: dict, by=(), total: str | None = "rank_sum",
+                 window_limit: int = RANK_WINDOW_LIMIT) -> DataFrame:
     """``rank()`` ("min" method) of each column; spec value ``True`` means
-    descending. Missing values get no rank. Optional rank sum. Run it on an
-    aggregated (entity-level) table: without ``by`` the window is global."""
+    descending. Missing values get no rank. Optional rank sum. With group
+    keys the window is partitioned by them; a global ranking uses one
+    ordered window only when the table is proven small (bounded count),
+    otherwise ``global_rank`` (distributed)."""
     by = as_list(by)
     out = df
+    small = bool(by) or df.limit(window_limit + 1).count() <= window_limit
     for c, desc in specs.items():
-        o = F.desc(c) if desc else F.asc(c)
-        w = Window.partitionBy(*by, F.col(c).isNull()).orderBy(o)
-        out = out.withColumn(f"rank_{c}", F.when(F.col(c).isNotNull(), F.rank().over(w)).cast("bigint"))
+        if small:
+            o = F.desc(c) if desc else F.asc(c)
+            w = Window.partitionBy(*by, F.col(c).isNull()).orderBy(o)
+            out = out.withColumn(f"rank_{c}", F.when(F.col(c).isNotNull(), F.rank().over(w)).cast("bigint"))
+        else:
+            out = global_rank(out, c, desc)
     if total:
         out = out.withColumn(total, sum((F.col(f"rank_{c}") for c in specs), F.lit(0)).cast("bigint"))
     return out

@@ -170,3 +170,11 @@ def test_sort_based_quantiles_match_map_based_with_hot_group(spark):
     w1 = A.winsorized_mean(df, "v", 0.05, method="exact").first()[0]
     w2 = A.winsorized_mean(df, "v", 0.05, method="sort").first()[0]
     assert abs(w1 - w2) < 1e-9
+
+
+def test_global_rank_matches_window_rank(spark):
+    df = spark.range(500).select((F.col("id") % 37).cast("double").alias("v"), "id").union(
+        spark.createDataFrame([(None, 999)], "v double, id long")).repartition(5)
+    a = {r.id: r.rank_v for r in W.rank_columns(df, {"v": True}, total=None).collect()}
+    b = {r.id: r.rank_v for r in W.rank_columns(df, {"v": True}, total=None, window_limit=10).collect()}
+    assert a == b and a[999] is None
