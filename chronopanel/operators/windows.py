@@ -42,12 +42,22 @@ def add_lags(df: DataFrame, by, order: str, cols, lags, mode: str = "rows",
         return df.withColumns({name.format(col=c, k=k): F.lag(c, k).over(w) for c in cols for k in lags})
     if mode != "calendar":
         raise ValueError(mode)
-    out = df
-    for k in lags:
-        shifted = df.select(*by, F.add_months(order, k).alias(order),
-                            *[F.col(c).alias(name.format(col=c, k=k)) for c in cols])
-        out = out.join(shifted, on=by + [order], how="left")
-    return out
+    if len(lags) <= 2:
+        out = df
+        for k in lags:
+            shifted = df.select(*by, F.add_months(order, k).alias(order),
+                                *[F.col(c).alias(name.format(col=c, k=k)) for c in cols])
+            out = out.join(shifted, on=by + [order], how="left")
+        return out
+    # many lags: densify the monthly calendar of each entity once (explode of
+    # its month range + one left join), take row lags over the dense
+    # calendar (one window sort), then keep the original rows
+    rng = df.groupBy(*by).agg(F.min(order).alias("_a"), F.max(order).alias("_b"))
+    cal = rng.select(*by, F.explode(F.sequence("_a", "_b", F.expr("interval 1 month"))).alias(order))
+    dense = cal.join(df.withColumn("_present", F.lit(True)), on=by + [order], how="left")
+    w = _w(by, order)
+    dense = dense.withColumns({name.format(col=c, k=k): F.lag(c, k).over(w) for c in cols for k in lags})
+    return dense.filter(F.col("_present")).drop("_present")
 
 
 # W02-W05 -------------------------------------------------------------------

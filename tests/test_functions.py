@@ -178,3 +178,16 @@ def test_global_rank_matches_window_rank(spark):
     a = {r.id: r.rank_v for r in W.rank_columns(df, {"v": True}, total=None).collect()}
     b = {r.id: r.rank_v for r in W.rank_columns(df, {"v": True}, total=None, window_limit=10).collect()}
     assert a == b and a[999] is None
+
+
+def test_calendar_lags_dense_path_matches_joins(spark):
+    rows = [("a", D(2020, m, 1), float(m)) for m in (1, 2, 4, 5, 7, 8, 9)] + [("b", D(2020, m, 1), 10.0 + m) for m in (2, 3, 6)]
+    df = spark.createDataFrame(rows, "entity string, period date, v double")
+    many = W.add_lags(df, "entity", "period", ["v"], [1, 2, 3], mode="calendar")
+    few = {k: {(r.entity, r.period): r[f"v_lag{k}"] for r in
+               W.add_lags(df, "entity", "period", ["v"], [k], mode="calendar").collect()} for k in (1, 2, 3)}
+    got = many.collect()
+    assert len(got) == len(rows)
+    for r in got:
+        for k in (1, 2, 3):
+            assert r[f"v_lag{k}"] == few[k][(r.entity, r.period)]
