@@ -480,6 +480,9 @@ def forecast_path(fc: DataFrame, keys=("entity", "scenario"), period: str = "per
     """Per key: ordered path (array of (period, value)), first and last
     month, value at the last month and, with ``at``, the mean at that month."""
     keys = as_list(keys)
+    # one point per (key, period) first: the path of a key is bounded by its
+    # calendar, however many raw rows a hot key has
+    fc = fc.groupBy(*keys, period).agg(F.avg(value).alias(value))
     aggs = [F.array_sort(F.collect_list(F.struct(F.col(period), F.col(value)))).alias("path"),
             F.min(period).alias("first_period"), F.max(period).alias("last_period"),
             F.max_by(value, period).alias("value_last")]

@@ -18,11 +18,12 @@ __all__ = [
 
 
 def log_guard(df: DataFrame, cols) -> DataFrame:
-    """Count of missing or non-positive values per column (one aggregate)
-    and up to 5 sample offenders each."""
+    """Count of missing or non-positive values per column, with the smallest
+    and largest non-positive value (one aggregate, constant-size state)."""
     structs = [F.struct(F.lit(c).alias("column"),
                         F.count_if(F.col(c).isNull() | (F.col(c) <= 0)).cast("bigint").alias("bad"),
-                        F.slice(F.collect_list(F.when(F.col(c) <= 0, F.col(c).cast("double"))), 1, 5).alias("samples"))
+                        F.min(F.when(F.col(c) <= 0, F.col(c).cast("double"))).alias("min_bad"),
+                        F.max(F.when(F.col(c) <= 0, F.col(c).cast("double"))).alias("max_bad"))
                for c in as_list(cols)]
     return df.agg(F.array(*structs).alias("a")).select(F.explode("a").alias("s")).select("s.*")
 
@@ -35,7 +36,10 @@ def log_columns(df: DataFrame, cols, drop_raw: bool = False, prefix: str = "log_
     if check:
         bad = [r for r in log_guard(df, cols).collect() if r["bad"]]
         if bad:
-            raise ValueError(f"non-positive or missing values before log: {[r.asDict() for r in bad]}")
+            samples = {r["column"]: [x[0] for x in df.filter(F.col(r["column"]).isNull() | (F.col(r["column"]) <= 0))
+                                     .select(r["column"]).limit(5).collect()] for r in bad}
+            raise ValueError(f"non-positive or missing values before log: {[r.asDict() for r in bad]}, "
+                             f"samples {samples}")
     out = df.withColumns({prefix + c: F.when(F.col(c) > 0, F.log(c)) for c in cols})
     return out.drop(*cols) if drop_raw else out
 
