@@ -28,8 +28,9 @@ def predict_slice(fc: DataFrame, scenario: str, entities=None, n: int = 20, enti
                   on_unknown: str = "error") -> DataFrame:
     """Forecast rows of one scenario (aliases allowed) and optional entities
     (loose keys), the first ``n`` by (entity, period), with the slice count."""
-    sc = fc.sparkSession.range(1).select(fn.norm_scenario(F.lit(scenario), on_unknown=(
-        "base" if on_unknown == "base" else "null")).alias("s")).first()["s"]
+    raw = str(scenario).strip().lower()
+    sc = next((k for k, names in fn.SCENARIO_ALIASES.items() if raw in names),
+              "base" if on_unknown == "base" else None)
     if sc is None:
         raise ValueError(f"unknown scenario {scenario!r}")
     x = fc.filter(F.col("scenario") == sc)
