@@ -7,6 +7,8 @@ they are safe under ANSI mode.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -98,8 +100,7 @@ def _shape(fmt: str) -> str:
         elif ch.isalpha():
             out += r".+"
         else:
-            out += "\\" + ch if not ch.isalnum() and ch != " " else ch * 1
-            out += "" if run == 1 else ("\\" + ch) * (run - 1)
+            out += re.escape(ch * run)
         i = j
     return out + "$"
 
