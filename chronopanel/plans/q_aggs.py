@@ -36,7 +36,7 @@ def series_first(t):
     return A.series_by(s, ["region"], "avg_price", "first", order="period")
 
 
-@register("trailing_shares", "A03", ctes=["nation_month"], digits={"share": 12}, sql="""
+@register("trailing_shares", "A03", materialize=["nation_month"], ctes=["nation_month"], digits={"share": 12}, sql="""
 r AS (SELECT * FROM nation_month
       WHERE period >= CAST((SELECT max(period) FROM nation_month) - INTERVAL 11 MONTH AS DATE))
 SELECT entity, sum(sales_count) / (SELECT sum(sales_count) FROM r) AS share FROM r GROUP BY entity""")
@@ -327,13 +327,13 @@ def model_metrics(t):
     return A.regression_metrics(p, "y", "yhat", by=["model", "split"], log_scale=False)
 
 
-@register("compare_models", "M11 A12", ctes=["nation_month"], digits={"rmse": 9, "mae": 9, "r2": 9}, sql=_PRED_SQL + """
+@register("compare_models", "M11 A12", materialize=["nation_month"], ctes=["nation_month"], digits={"rmse": 9, "mae": 9, "r2": 9}, sql=_PRED_SQL + """
 SELECT model, split, n, rmse, mae, r2 FROM met""")
 def compare_models(t):
     return model_metrics(t).select("model", "split", "n", "rmse", "mae", "r2")
 
 
-@register("model_selection", "A24", ctes=["nation_month"], digits={
+@register("model_selection", "A24", materialize=["nation_month"], ctes=["nation_month"], digits={
     "test_metric": 9, "train_metric": 9, "improvement_pct": 6, "gap_pct": 6}, sql=_PRED_SQL + """,
 te AS (SELECT model, rmse FROM met WHERE split = 'test'), tr AS (SELECT model, rmse FROM met WHERE split = 'train')
 SELECT te.model, te.rmse AS test_metric, tr.rmse AS train_metric,

@@ -59,7 +59,7 @@ def duplicate_keys(t):
     return J.duplicate_keys(o, ["o_custkey", "period"])
 
 
-@register("align_periods", "J06", ctes=["nation_month", "ship_nation_month"], sql="""
+@register("align_periods", "J06", materialize=["nation_month"], ctes=["nation_month", "ship_nation_month"], sql="""
 SELECT 'orders' AS side, count(*) AS rows, min(period) AS first_period, max(period) AS last_period FROM nation_month
 WHERE period IN (SELECT period FROM ship_nation_month)
 UNION ALL
@@ -86,7 +86,7 @@ def asof_anchor(t):
     return J.asof_anchor(P.nation_month(t), starts, value="avg_price")
 
 
-@register("disaggregate", "J08 A03", ctes=["nation_month", "market_month"], digits={"sales_count": 6}, sql="""
+@register("disaggregate", "J08 A03", materialize=["nation_month"], ctes=["nation_month", "market_month"], digits={"sales_count": 6}, sql="""
 r AS (SELECT * FROM nation_month WHERE period >= CAST((SELECT max(period) FROM nation_month) - INTERVAL 11 MONTH AS DATE)),
 sh AS (SELECT entity, sum(sales_count) / (SELECT sum(sales_count) FROM r) AS share FROM r GROUP BY entity)
 SELECT m.period, m.avg_price IS NOT NULL AS has_price, sh.entity, m.sales_count * sh.share AS sales_count

@@ -120,20 +120,20 @@ def _forest(t, num_trees=20, depth=4):
     return M.refit(d, "y", stages, est)
 
 
-@register("score_scenarios", "M09 M10 A22")
+@register("score_scenarios", "M09 M10 A22", materialize=["nation_month"])
 def score_scenarios(t):
     model = _forest(t)
     return M.score_scenarios(model, scenario_features(t))
 
 
-@register("tree_shap", "M14 J09 A20")
+@register("tree_shap", "M14 J09 A20", materialize=["nation_month"])
 def tree_shap(t):
     model = _forest(t)
     scored = model.transform(scenario_features(t))
     return X.tree_shap(model.stages[-1], scored, FEATURES, ["period", "entity", "scenario"])
 
 
-@register("bvar_forecast", "M12 W03 W07")
+@register("bvar_forecast", "M12 W03 W07", materialize=["nation_month"])
 def bvar_forecast(t):
     nm = P.nation_month(t).select("period", "entity", "avg_price", "sales_count")
     nm = W.log_return(nm, "entity", "period", "avg_price", out="dlog_price")
@@ -144,14 +144,14 @@ def bvar_forecast(t):
     return W.levels_from_dlog(fc, "entity", "period", "dlog_price", "anchor", out="price_level").drop("anchor")
 
 
-@register("seasonal_grid", "M13 L02")
+@register("seasonal_grid", "M13 L02", materialize=["nation_month"])
 def seasonal_grid(t):
     nm = P.nation_month(t).groupBy("period", "region").agg(F.sum("sales_count").cast("double").alias("sales"))
     res, _ = FC.seasonal_grid(nm, "region", "period", "sales", horizon=12)
     return res
 
 
-@register("seasonal_forecast", "M13 U09")
+@register("seasonal_forecast", "M13 U09", materialize=["nation_month"])
 def seasonal_forecast(t):
     nm = P.nation_month(t).groupBy("period", "region").agg(F.sum("sales_count").cast("double").alias("sales"))
     _, fc = FC.seasonal_grid(nm, "region", "period", "sales", horizon=12)

@@ -231,7 +231,7 @@ def investment_insight(t):
     return Rp.investment_insight(A.investment_metrics(P.scenario_fc(t)), k=3)
 
 
-@register("dataset_summary", "Q06 A10 A11 A19 J11 P37", ctes=["nation_lags"], sql="""
+@register("dataset_summary", "Q06 A10 A11 A19 J11 P37", materialize=["nation_month"], ctes=["nation_lags"], sql="""
 x AS (SELECT * FROM nation_lags),
 cal AS (SELECT CAST(unnest(generate_series(min(period), max(period), INTERVAL 1 MONTH)) AS DATE) AS period FROM x),
 mm AS (SELECT count(*) AS n FROM cal WHERE period NOT IN (SELECT period FROM x)),
@@ -293,7 +293,7 @@ def spatial_table(t):
                     reason.alias("reason"))
 
 
-@register("model_report", "Q09 A24 P29 P30", ctes=["nation_month"], sql=_PRED_SQL + """,
+@register("model_report", "Q09 A24 P29 P30", materialize=["nation_month"], ctes=["nation_month"], sql=_PRED_SQL + """,
 te AS (SELECT model, rmse FROM met WHERE split = 'test'), tr AS (SELECT model, rmse FROM met WHERE split = 'train'),
 base AS (SELECT rmse AS b FROM te WHERE model = 'naive'),
 sel AS (SELECT te.model, te.rmse AS test_metric,

@@ -99,7 +99,7 @@ def to_long(t):
     return R.to_long(P.nation_month(t), ["period", "entity"], ["avg_price", "avg_price_high", "avg_price_low"])
 
 
-@register("union_splits", "U03 D01", ctes=["nation_lags"], digits={"avg_price": D6, "avg_price_lag1": D6}, sql="""
+@register("union_splits", "U03 D01", materialize=["nation_month"], ctes=["nation_lags"], digits={"avg_price": D6, "avg_price_lag1": D6}, sql="""
 SELECT period, entity, avg_price, avg_price_lag1 FROM nation_lags
 WHERE avg_price_lag1 IS NOT NULL AND period BETWEEN DATE '1995-01-01' AND DATE '2001-12-31'""")
 def union_splits(t):
@@ -135,7 +135,7 @@ def stitch(t):
     return R.stitch(hist, f)
 
 
-@register("make_scenarios", "U06 A04", ctes=["nation_month"], digits={"value": 9}, sql="""
+@register("make_scenarios", "U06 A04", materialize=["nation_month"], ctes=["nation_month"], digits={"value": 9}, sql="""
 r AS (SELECT entity, sales_count FROM nation_month
       WHERE period >= CAST((SELECT max(period) FROM nation_month) - INTERVAL 23 MONTH AS DATE)),
 q AS (SELECT entity, quantile_cont(sales_count, 0.1) AS lo, quantile_cont(sales_count, 0.9) AS hi FROM r GROUP BY 1),

@@ -278,7 +278,7 @@ def trend_band(t):
         "entity", "scenario", "change", "b.direction", "b.strength")
 
 
-@register("gap_band", "P29 J10", ctes=["nation_month"], digits={"rmse_train": 9, "rmse_test": 9, "rmse_gap_pct": 6},
+@register("gap_band", "P29 J10", materialize=["nation_month"], ctes=["nation_month"], digits={"rmse_train": 9, "rmse_test": 9, "rmse_gap_pct": 6},
           sql="""
 lg AS (SELECT period, entity, ln(avg_price) AS y, ln(lag(avg_price, 1) OVER w) AS l1,
               ln(lag(avg_price, 12) OVER w) AS l12, ln(lag(avg_price, 3) OVER w) AS l3

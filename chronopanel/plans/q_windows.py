@@ -44,7 +44,7 @@ def lag_features(t):
     return W.add_lags(P.supplier_month(t), "entity", "period", ["qty", "revenue"], [1, 2, 3, 12])
 
 
-@register("lag_features_calendar", "W01", ctes=["nation_month"], digits={
+@register("lag_features_calendar", "W01", materialize=["nation_month"], ctes=["nation_month"], digits={
     "avg_price": D6, "avg_price_lag1": D6, "avg_price_lag12": D6}, sql="""
 SELECT a.period, a.entity, a.avg_price, b.avg_price AS avg_price_lag1, c.avg_price AS avg_price_lag12
 FROM nation_month a
