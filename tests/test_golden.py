@@ -163,3 +163,31 @@ def test_weighted_mean_golden(spark):
             assert got[y] is None, y          # years without incomes stay missing
         else:
             assert math.isclose(got[y], v, rel_tol=1e-12), y
+
+
+def test_row_lags_golden(spark):
+    """Row lags over the panel calendar (two months absent) equal the
+    committed lag columns, including lags that reach across the gaps."""
+    from chronopanel.operators import columns as C
+    from chronopanel.operators import windows as W
+    s = read_table(spark, os.path.join(FIXTURES, "sales_panel.csv"), schema="Month string, District string, sales_count long")
+    s = s.select(F.to_date("Month", "yyyy-MM").alias("period"), F.col("District").alias("entity"), "sales_count")
+    s = C.trim_before(s, "period", "2025-07-01")
+    lags = [1, 3, 6, 9, 12]
+    got = W.add_lags(s, "entity", "period", ["sales_count"], lags)
+    exp = read_table(spark, os.path.join(FIXTURES, "split_test.csv"))
+    exp = exp.select(F.to_date("Month").alias("period"), F.col("District").alias("entity"),
+                     *[F.col(f"sales_count_lag{k}").cast("double").alias(f"e{k}") for k in lags])
+    j = exp.join(got, ["period", "entity"])
+    assert j.count() == exp.count() == 126
+    for k in lags:
+        assert j.filter(~F.col(f"sales_count_lag{k}").cast("double").eqNullSafe(F.col(f"e{k}"))).count() == 0, k
+
+
+def test_time_split_golden(spark):
+    from chronopanel.operators import reshape as R
+    s = read_table(spark, os.path.join(FIXTURES, "sales_panel.csv"), schema="Month string, District string, sales_count long")
+    s = s.select(F.to_date("Month", "yyyy-MM").alias("period"), F.col("District").alias("entity"))
+    sp = R.time_split(s, "period", {"train": ("2018-08-01", "2023-12-01"), "test": ("2024-01-01", "2025-06-01")})
+    summ = {r.split: (r.rows, str(r.start), str(r.end)) for r in A.split_summary(sp, "split", "period").collect()}
+    assert summ == {"train": (441, "2018-08-01", "2023-12-01"), "test": (126, "2024-01-01", "2025-06-01")}
