@@ -191,3 +191,31 @@ def test_time_split_golden(spark):
     sp = R.time_split(s, "period", {"train": ("2018-08-01", "2023-12-01"), "test": ("2024-01-01", "2025-06-01")})
     summ = {r.split: (r.rows, str(r.start), str(r.end)) for r in A.split_summary(sp, "split", "period").collect()}
     assert summ == {"train": (441, "2018-08-01", "2023-12-01"), "test": (126, "2024-01-01", "2025-06-01")}
+
+
+def test_disaggregate_golden(spark):
+    from chronopanel.operators import joins as J
+    tot = read_table(spark, os.path.join(FIXTURES, "total_forecast.csv"),
+                     schema="Month date, Consents_forecast double, sales_count_forecast double")
+    sh = read_table(spark, os.path.join(FIXTURES, "shares_expected.csv"),
+                    schema="District string, consents_share double, sales_share double")
+    got = J.disaggregate(tot, sh.withColumnRenamed("District", "entity"),
+                         ["Consents_forecast", "sales_count_forecast"], ["consents_share", "sales_share"])
+    exp = pd.read_csv(os.path.join(FIXTURES, "forecast_by_entity_expected.csv"))
+    g = got.toPandas()
+    g["Month"] = g["Month"].astype(str)
+    m = g.merge(exp, left_on=["Month", "entity"], right_on=["Month", "District"], suffixes=("", "_e"))
+    assert len(m) == len(exp) == 84
+    for c in ("Consents_forecast", "sales_count_forecast"):
+        assert ((m[c] - m[c + "_e"]).abs() <= 1e-9 * m[c + "_e"].abs()).all(), c
+
+
+def test_collapse_golden(spark):
+    from chronopanel.operators import columns as C
+    s = read_table(spark, os.path.join(FIXTURES, "sales_panel.csv"), schema="Month string, District string, sales_count long")
+    s = C.trim_before(s.select(F.to_date("Month", "yyyy-MM").alias("period"), "District", "sales_count"),
+                      "period", "2025-07-01")
+    got = {str(r.period): r.sales_count for r in A.collapse(s, "period", ["sales_count"], "sum").collect()}
+    exp = pd.read_csv(os.path.join(FIXTURES, "series_expected.csv"))
+    assert len(got) == len(exp) == 81
+    assert all(got[m] == v for m, v in zip(exp["Month"], exp["sales_count"]))
