@@ -129,10 +129,12 @@ def split_scenarios(df: DataFrame, path: str | None = None, scenario: str = "sce
 
 
 def yearly_to_monthly(df: DataFrame, year: str, value: str, how: str = "repeat",
-                      out: str = "period") -> DataFrame:
-    """Twelve monthly rows per yearly row: the value repeated, or divided by 12."""
+                      out: str = "period", digits: int | None = None) -> DataFrame:
+    """Twelve monthly rows per yearly row: the value repeated, or divided by
+    12; ``digits`` rounds half-even (as pandas does)."""
     x = df.withColumn("_m", F.explode(F.sequence(F.lit(1), F.lit(12))))
     v = F.col(value) if how == "repeat" else F.col(value) / 12.0
+    v = F.bround(v, digits) if digits is not None else v
     return x.withColumn(out, F.make_date(F.col(year).cast("int"), F.col("_m"), F.lit(1))) \
             .withColumn(value, v).drop("_m")
 

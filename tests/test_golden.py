@@ -219,3 +219,56 @@ def test_collapse_golden(spark):
     exp = pd.read_csv(os.path.join(FIXTURES, "series_expected.csv"))
     assert len(got) == len(exp) == 81
     assert all(got[m] == v for m, v in zip(exp["Month"], exp["sales_count"]))
+
+
+def _train(df):
+    from chronopanel.operators import columns as C
+    return C.period_filter(df, "period", "2018-08-01", "2023-12-01")
+
+
+def _panel(spark, name, value, vtype="double"):
+    d = read_table(spark, os.path.join(FIXTURES, name), schema=f"Month string, District string, {value} {vtype}")
+    return d.select(F.to_date("Month", "yyyy-MM").alias("period"), F.col("District").alias("entity"), value)
+
+
+def test_group_stats_golden(spark):
+    prices = _train(_panel(spark, "price_panel.csv", "Median_Price"))
+    got = {r.entity: r for r in A.group_stats(prices, "entity", "Median_Price").collect()}
+    exp = pd.read_csv(os.path.join(FIXTURES, "group_stats_expected.csv"), encoding="utf-8-sig")
+    assert len(exp) == len(got) == 7
+    for _, e in exp.iterrows():
+        g = got[e["District"]]
+        assert g.n == e["n"]
+        for c in ("mean", "median", "std", "min", "max", "q25", "q75", "iqr", "cv"):
+            assert math.isclose(g[c], e[c], rel_tol=1e-12), (e["District"], c)
+
+
+def test_skewness_golden(spark):
+    from chronopanel.operators import reshape as R
+    exp = pd.read_csv(os.path.join(FIXTURES, "skewness_expected.csv"), encoding="utf-8-sig", index_col=0)["skewness"]
+    price = _train(_panel(spark, "price_panel.csv", "Median_Price"))
+    sales = _train(_panel(spark, "sales_panel.csv", "sales_count", "long"))
+    mig = _train(_panel(spark, "migration_monthly.csv", "Net_migration_monthly"))
+    rent = R.yearly_to_monthly(read_table(spark, os.path.join(FIXTURES, "rent_yearly.csv"),
+                                          schema="Year int, District string, weeklyrent double"), "Year", "weeklyrent",
+                               digits=2)
+    rent = _train(rent.select("period", F.col("District").alias("entity"), "weeklyrent"))
+    # the training rows are the months of the price panel (two months absent)
+    keys = price.select("period", "entity")
+    for df, col in ((price, "Median_Price"), (sales, "sales_count"), (mig, "Net_migration_monthly"),
+                    (rent, "weeklyrent")):
+        d = df.join(keys, ["period", "entity"], "left_semi")
+        assert d.count() == 441
+        got = A.skewness_g1(d, [col]).first().skewness
+        assert math.isclose(got, exp[col], rel_tol=1e-9), col
+
+
+def test_yearly_apportion_golden(spark):
+    from chronopanel.operators import reshape as R
+    y = read_table(spark, os.path.join(FIXTURES, "migration_yearly.csv"), schema="Year int, District string, m double")
+    got = R.yearly_to_monthly(y, "Year", "m", how="apportion", digits=2).select(
+        "period", F.col("District").alias("entity"), "m")
+    exp = _panel(spark, "migration_monthly.csv", "Net_migration_monthly")
+    j = got.join(exp, ["period", "entity"])
+    assert j.count() == exp.count() == 672
+    assert j.filter(F.abs(F.col("m") - F.col("Net_migration_monthly")) > 1e-9).count() == 0
