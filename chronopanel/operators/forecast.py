@@ -185,7 +185,8 @@ def css_fit(y, order, seasonal):
     res, _ = _residuals(z, c, phi, ar, theta, ma)
     nobs = len(res)
     sigma2 = float(np.mean(res ** 2))
-    llf = -0.5 * nobs * (np.log(2 * np.pi * sigma2) + 1.0)
+    with np.errstate(divide="ignore"):       # a perfect fit has sigma2 = 0, llf = +inf
+        llf = -0.5 * nobs * (np.log(2 * np.pi * sigma2) + 1.0)
     kp = 1 + len(ar) + len(ma) + 1
     return dict(c=float(c), phi=phi, theta=theta, ar=ar, ma=ma, sigma2=sigma2, llf=float(llf), nobs=nobs,
                 aic=float(-2 * llf + 2 * kp), bic=float(-2 * llf + kp * np.log(nobs)),
