@@ -5,13 +5,43 @@ from __future__ import annotations
 
 from chronopanel.session import table
 
+from . import quality_rules, warc
+from .language_id import predicted_languages
+from .sharding import sharded_documents
+from .subword_viterbi import encoded_documents
+from .token_counts import line_token_counts
 from .token_output import token_output
 
 
+def op1_resharding(spark, sf_dir):
+    return sharded_documents(spark, table(spark, sf_dir, "documents"))
+
+
+def op2_language_id(spark, sf_dir):
+    return predicted_languages(spark, table(spark, sf_dir, "documents"))
+
+
+def op3_quality_rules(spark, sf_dir):
+    return quality_rules.quality_table(table(spark, sf_dir, "documents"))
+
+
+def op4_token_counts(spark, sf_dir):
+    return line_token_counts(spark, table(spark, sf_dir, "documents"))
+
+
 def op5_token_output(spark, sf_dir):
     return token_output(spark, table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op5_token_output": op5_token_output}
+def op6_warc_bundles(spark, sf_dir):
+    return warc.warc_bundles(spark, table(spark, sf_dir, "pages"))
+
+
+def op8_subword_viterbi(spark, sf_dir):
+    return encoded_documents(spark, table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_resharding, op2_language_id, op3_quality_rules, op4_token_counts, op5_token_output,
+                                   op6_warc_bundles, op8_subword_viterbi)}
 
-SQL = {}
+SQL = {"op3_quality_rules": quality_rules.SQL, "op6_warc_bundles": warc.SQL}

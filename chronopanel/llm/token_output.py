@@ -25,7 +25,7 @@ from .seekable import SeekableReader, SeekableWriter
 from .store import commit_file, filesystem, shared_folder, worker_cache, written
 from .words import slices
 
-CACHE_WORDS = 300_000
+CACHE_WORDS = 600_000
 CACHE_BYTES = 64 << 20
 FRAME_IDS = 1 << 28
 _INDEX = np.dtype([("has_id", "u1"), ("doc_id", "<i8"), ("n", "<i8"), ("first_frame", "<i8")])
