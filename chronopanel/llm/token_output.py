@@ -13,6 +13,7 @@ longer than one frame (2^28 ids) takes several frames.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -23,50 +24,80 @@ from pyspark.sql import functions as F
 
 from .seekable import SeekableReader, SeekableWriter
 from .store import commit_file, filesystem, shared_folder, worker_cache, written
-from .words import slices
+from .words import RaggedMemo, Words, flat, slices
 
-CACHE_WORDS = 600_000
-CACHE_BYTES = 64 << 20
+MEMO_WORDS = 1_500_000
 FRAME_IDS = 1 << 28
 _INDEX = np.dtype([("has_id", "u1"), ("doc_id", "<i8"), ("n", "<i8"), ("first_frame", "<i8")])
 
 
 class WordEncoder:
-    """Encodes texts with a tokenizer that drops white space and never joins
-    what white space separates (checked by ``splits_at_spaces``): a text's ids
-    are its words' ids in order, so each word is encoded once by the
-    tokenizers library and remembered, within a bound."""
+    """Encodes texts with a tokenizer that drops white space and cuts between
+    letters and marks: a text's ids are its words' ids in order, so each word
+    is encoded once by the tokenizers library and remembered, within a bound.
+
+    ``cuts_words`` checks that of the tokenizer; A-Z may be lower-cased for
+    the same reason (the tokenizer does so itself). Texts that hold a special
+    token's string are encoded whole."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        if not self.splits_at_spaces():
-            raise ValueError("the tokenizer does not drop white space; its words cannot be encoded alone")
-        self.words: dict[str, bytes] = {"": b""}
-        self.held = 0
-
-    def splits_at_spaces(self) -> bool:
-        probe = "it's a  x1\n\n<|endoftext|> , y\n é"
-        whole = self.tok.encode(probe, add_special_tokens=False).ids
-        parts = [self.tok.encode(w, add_special_tokens=False).ids for w in probe.replace("\n", " ").split(" ")]
-        return whole == sum(parts, [])
-
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        if len(self.words) > CACHE_WORDS or self.held > CACHE_BYTES:
-            self.words, self.held = {"": b""}, 0
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        known = self.words
-        new = list(set().union(*split).difference(known))
-        for k in range(0, len(new), 4096):
-            part = new[k: k + 4096]
-            for w, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False)):
-                known[w] = ids = np.array(e.ids, "<u4").tobytes()
-                self.held += len(ids) + len(w)
-        get = known.__getitem__
-        for ws in split:
-            yield b"".join(map(get, ws))
+        vocab = self.tok.get_vocab(with_added_tokens=True)
+        self.special = [t.content.encode() for t in self.tok.get_added_tokens_decoder().values()]
+        self.ends_word = np.zeros(max(vocab.values()) + 1, bool)
+        for token, k in vocab.items():
+            self.ends_word[k] = token.endswith("</w>")
+        self.memo = RaggedMemo(MEMO_WORDS)
+        if not self.cuts_words():
+            raise ValueError("this tokenizer's words cannot be encoded alone")
+
+    def whole(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def cuts_words(self) -> bool:
+        probe = "It's A  x1\n\n, (We'll) \t\x0b\x0c\ry.** Z--é 'tis!'s ..\"q\" ÀB\u0301 3.14 a.b"
+        return self.whole([probe])[0] == self.encode(pa.array([probe]))[0].tolist()
+
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of single words, one after the other, and where each word's
+        begin and how many they are. Words of letters only are one unit for
+        the tokenizer and end with one word-end token: many go in one text."""
+        begin, count = np.empty(len(words), np.int64), np.empty(len(words), np.int64)
+        letters = np.fromiter(map(str.isalpha, words), bool, len(words))
+        plain, other = np.flatnonzero(letters), np.flatnonzero(~letters).tolist()
+        groups = [plain[a: a + 200] for a in range(0, len(plain), 200)]
+        flat_ids, at = [], 0
+        for g, ids in zip(groups, self.whole([" ".join([words[k] for k in g]) for g in groups])):
+            a = np.array(ids, np.uint32)
+            cut = np.flatnonzero(self.ends_word[a]) + 1
+            if len(cut) == len(g):
+                begin[g] = np.concatenate([[0], cut[:-1]]) + at
+                count[g] = np.diff(cut, prepend=0)
+                flat_ids.append(a)
+                at += len(a)
+            else:
+                other += g.tolist()
+        for k, ids in zip(other, self.whole([words[k] for k in other])):
+            begin[k], count[k] = at, len(ids)
+            flat_ids.append(np.array(ids, np.uint32))
+            at += len(ids)
+        return np.concatenate(flat_ids), begin, count
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """32-bit ids of each text; a null has none."""
+        raw, offs = flat(texts)
+        low = raw.tobytes().lower()
+        apart = {int(np.searchsorted(offs, m.start(), "right")) - 1 for s in self.special for m in re.finditer(re.escape(s), low)}
+        w = Words(texts, lower=True, marks=True)
+        make = lambda where: self._words([low[a:b].decode() for a, b in zip(w.start[where].tolist(), w.end[where].tolist())])
+        ids, size = self.memo.get(w.hash, make) if len(w.hash) else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
+        cut = np.concatenate([[0], np.cumsum(size)])[w.first]
+        out = [ids[a:b] for a, b in zip(cut[:-1], cut[1:])]
+        for k in apart:
+            out[k] = np.array(self.whole([texts[k].as_py()])[0], np.uint32)
+        return out
 
 
 def _write_partition(folder: str, tokenizer: str, end_id: int, level: int):
@@ -75,7 +106,7 @@ def _write_partition(folder: str, tokenizer: str, end_id: int, level: int):
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         encoder = worker_cache("encoder:" + tokenizer, lambda: WordEncoder(tokenizer))
-        end = np.array([end_id], "<u4").tobytes()
+        end = np.uint32(end_id)
         width = "<u2" if encoder.tok.get_vocab_size() <= 1 << 16 and end_id < 1 << 16 else "<u4"
         batches = (b for b in batches if b.num_rows)
         first = next(batches, None)
@@ -93,10 +124,9 @@ def _write_partition(folder: str, tokenizer: str, end_id: int, level: int):
                 yield from batches
 
             for batch in every():
-                for piece in slices(batch, "text"):
-                    texts = [t or "" for t in piece.column("text").to_pylist()]
-                    for doc_id, ids in zip(piece.column("doc_id").to_pylist(), encoder.encode(texts)):
-                        a = np.frombuffer(ids + end, "<u4").astype(width)
+                for piece in slices(batch, "text", 8 << 20):
+                    for doc_id, ids in zip(piece.column("doc_id").to_pylist(), encoder.encode(piece.column("text"))):
+                        a = np.append(ids, end).astype(width)
                         index.append((doc_id is not None, doc_id or 0, len(a), len(file.frames)))
                         total += len(a)
                         for k in range(0, len(a), FRAME_IDS):

@@ -14,6 +14,12 @@ import xxhash
 BLOCK = 1 << 20
 LONG_WORD = 1 << 16
 
+# 1: ASCII letter, 2: ASCII mark other than the apostrophe, 0: anything else
+MARK_KIND = np.zeros(256, np.uint8)
+MARK_KIND[33:48] = MARK_KIND[58:65] = MARK_KIND[91:97] = MARK_KIND[123:127] = 2
+MARK_KIND[65:91] = MARK_KIND[97:123] = 1
+MARK_KIND[39] = 0
+
 
 def _mix(x: np.ndarray) -> np.ndarray:
     """Finaliser of splitmix64 (public domain)."""
@@ -49,7 +55,9 @@ class Words:
 
     tables: dict = {}
 
-    def __init__(self, texts: pa.Array, lower: bool = False):
+    def __init__(self, texts: pa.Array, lower: bool = False, marks: bool = False):
+        """``marks``: also cut between an ASCII letter and an ASCII mark other
+        than the apostrophe."""
         data, offs = flat(texts)
         if lower not in self.tables:
             self.tables[lower] = _tables(lower)
@@ -60,9 +68,11 @@ class Words:
         before[1:] = is_sep[:-1]
         cut = offs[(offs > 0) & (offs < n)]
         before[cut] = True
+        if marks and n:
+            kind = MARK_KIND[data]
+            before[1:] |= (kind[1:] | kind[:-1]) == 3
         after = np.ones(n, bool)
-        after[:-1] = is_sep[1:]
-        after[cut - 1] = True
+        after[:-1] = before[1:] | is_sep[1:]
         self.start = np.flatnonzero(before & ~is_sep)
         self.end = np.flatnonzero(after & ~is_sep) + 1
         self.data, self.offs, self.lower = data, offs, lower
@@ -119,6 +129,42 @@ class Words:
         return [distinct(h[a:b]) for a, b in zip(cut[:-1], cut[1:])]
 
 
+class RaggedMemo:
+    """Remembers a short array of numbers for each 64-bit key, as sorted keys
+    over one flat store. Starts anew when it holds ``most`` keys."""
+
+    def __init__(self, most: int):
+        self.most = most
+        self.clear()
+
+    def clear(self) -> None:
+        self.keys, self.start, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.store = np.zeros(0, np.uint32)
+
+    def get(self, keys: np.ndarray, make) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of each key, one after the other, and how many each has.
+        ``make(where)`` gives (numbers, begins, counts) of the keys at
+        ``where``, for keys that are not held."""
+        if len(self.keys) > self.most:
+            self.clear()
+        uniq, first, inv = np.unique(keys, return_index=True, return_inverse=True)
+        at = np.searchsorted(self.keys, uniq)
+        hit = at < len(self.keys)
+        hit[hit] = self.keys[at[hit]] == uniq[hit]
+        if not hit.all():
+            numbers, begin, counts = make(first[~hit])
+            begin = begin + len(self.store)
+            order = np.argsort(np.concatenate([self.keys, uniq[~hit]]), kind="stable")
+            self.keys, self.start, self.size = (np.concatenate(x)[order] for x in ((self.keys, uniq[~hit]), (self.start, begin), (self.size, counts)))
+            self.store = np.concatenate([self.store, numbers])
+            at = np.searchsorted(self.keys, uniq)
+        size = self.size[at][inv]
+        ends = np.cumsum(size)
+        where = np.repeat(self.start[at][inv] - ends + size, size)
+        where += np.arange(len(where))
+        return self.store[where], size
+
+
 def distinct(h: np.ndarray) -> np.ndarray:
     if len(h) < 2:
         return h.copy()
