@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from chronopanel.session import table
 
-from . import quality_rules, warc
+from . import decontaminate, quality_rules, warc
 from .language_id import predicted_languages
 from .sharding import sharded_documents
 from .subword_viterbi import encoded_documents
@@ -37,11 +37,16 @@ def op6_warc_bundles(spark, sf_dir):
     return warc.warc_bundles(spark, table(spark, sf_dir, "pages"))
 
 
+def op7_decontamination(spark, sf_dir):
+    return decontaminate.contaminated_pairs(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_subword_viterbi(spark, sf_dir):
     return encoded_documents(spark, table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (op1_resharding, op2_language_id, op3_quality_rules, op4_token_counts, op5_token_output,
-                                   op6_warc_bundles, op8_subword_viterbi)}
+                                   op6_warc_bundles, op7_decontamination, op8_subword_viterbi)}
 
-SQL = {"op3_quality_rules": quality_rules.SQL, "op6_warc_bundles": warc.SQL}
+SQL = {"op3_quality_rules": quality_rules.SQL, "op6_warc_bundles": warc.SQL,
+       "op7_decontamination": decontaminate.SQL}
