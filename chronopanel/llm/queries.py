@@ -6,6 +6,7 @@ from __future__ import annotations
 from chronopanel.session import table
 
 from . import decontaminate, quality_rules, warc
+from .kneser_ney import scored_documents
 from .language_id import predicted_languages
 from .sharding import sharded_documents
 from .subword_viterbi import encoded_documents
@@ -45,8 +46,12 @@ def op8_subword_viterbi(spark, sf_dir):
     return encoded_documents(spark, table(spark, sf_dir, "documents"))
 
 
+def op10_kneser_ney(spark, sf_dir):
+    return scored_documents(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_resharding, op2_language_id, op3_quality_rules, op4_token_counts, op5_token_output,
-                                   op6_warc_bundles, op7_decontamination, op8_subword_viterbi)}
+                                   op6_warc_bundles, op7_decontamination, op8_subword_viterbi, op10_kneser_ney)}
 
 SQL = {"op3_quality_rules": quality_rules.SQL, "op6_warc_bundles": warc.SQL,
        "op7_decontamination": decontaminate.SQL}
