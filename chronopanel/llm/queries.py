@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from chronopanel.session import table
 
-from . import decontaminate, quality_rules, warc
+from . import decontaminate, jaccard_join, quality_rules, warc
 from .kneser_ney import scored_documents
 from .language_id import predicted_languages
 from .sharding import sharded_documents
@@ -46,12 +46,16 @@ def op8_subword_viterbi(spark, sf_dir):
     return encoded_documents(spark, table(spark, sf_dir, "documents"))
 
 
+def op9_jaccard_join(spark, sf_dir):
+    return jaccard_join.near_duplicates(spark, table(spark, sf_dir, "documents"))
+
+
 def op10_kneser_ney(spark, sf_dir):
     return scored_documents(spark, table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (op1_resharding, op2_language_id, op3_quality_rules, op4_token_counts, op5_token_output,
-                                   op6_warc_bundles, op7_decontamination, op8_subword_viterbi, op10_kneser_ney)}
+                                   op6_warc_bundles, op7_decontamination, op8_subword_viterbi, op9_jaccard_join, op10_kneser_ney)}
 
 SQL = {"op3_quality_rules": quality_rules.SQL, "op6_warc_bundles": warc.SQL,
-       "op7_decontamination": decontaminate.SQL}
+       "op7_decontamination": decontaminate.SQL, "op9_jaccard_join": jaccard_join.SQL}

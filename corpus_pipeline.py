@@ -1,12 +1,77 @@
-"""The corpus pipeline: language, quality, near duplicates, decontamination and
-subword encoding, each stage over all that the one before it kept."""
+"""The corpus pipeline over ``documents``.
+
+Each stage takes all that the stage before it kept and returns the columns of
+``documents``; the last returns the encoded documents. ``run`` writes every
+stage's rows to the shared folder and reads them back as the next one's input,
+so a lost executor costs one stage's tasks and no stage is computed twice.
+
+Defined cases: rows without id pass the stages that decide by id (near
+duplicates, decontamination) and are judged by their text in the others; of
+rows that share an id one stays after the near-duplicate stage; empty tables
+give empty results; further columns pass through to the last stage.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from chronopanel.llm import decontaminate, jaccard_join, language_id, quality_rules, subword_viterbi
+from chronopanel.llm.store import written
+from chronopanel.session import table
+
+#: A document whose best language has a smaller mean probability than this is
+#: in no learned language.
+MIN_SCORE = 0.35
+
+
+def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents without letters or without a likely language."""
+    net = language_id.train(docs.where(~language_id.held_out()))
+    told = language_id.label(docs, net, out_col="_language")
+    return told.where((F.col("_language.lang_pred") != "und") & (F.col("_language.score") >= MIN_SCORE)).drop("_language")
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that a rule of the cascade rejects."""
+    return docs.where(quality_rules.cascade(docs))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of each group of near
+    duplicates."""
+    found = written(jaccard_join.near_components(docs), "pipeline-near")
+    gone = found.where("component_id <> doc_id").select("doc_id").distinct()
+    repeated = written(found.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"), "pipeline-repeated")
+    kept = docs.join(gone, "doc_id", "left_anti")
+    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.join(repeated, "doc_id", "left_anti").unionByName(once).select(docs.columns)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that hold a benchmark item."""
+    leaks = decontaminate.leaks(docs, table(spark, sf_dir, "benchmark"))
+    return docs.join(leaks.select(F.col("doc").alias("doc_id")).distinct(), "doc_id", "left_anti").select(docs.columns)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The ids of every document's text, and what they decode to being equal
+    to it or not."""
+    model = subword_viterbi.model_path()
+    return (subword_viterbi.encode(docs.select("doc_id", "lang", "source", "text"), model)
+            .select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_ids"), "ids"))
+
+
+STAGES = [("language id", languages), ("quality rules", quality), ("near duplicates", near_duplicates),
+          ("decontamination", decontaminated), ("subword encoding", encoded)]
 
+#: SQL cannot express the trained language model; tests/llm compares the other
+#: stages with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)
