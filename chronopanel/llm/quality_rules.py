@@ -89,17 +89,17 @@ class Rule:
     fails: object
 
 
-def rules(min_words: int = 10, max_repeat: int = 20, max_symbols: int = 10, max_dup_lines: int = 30,
+def rules(min_words: int = 10, max_repeat: int = 20, max_symbols: int = 10, max_dup_lines: int = 30, least_dup_lines: int = 3,
           short_word: int = 2, long_word: int = 15) -> list[Rule]:
     """The rules in percent and counts: too few words; words inside repeated
-    windows; symbol characters a word character; repeated lines; mean word
-    length out of range."""
+    windows; symbol characters a word character; repeated lines (a single one
+    in a short text is no fault); mean word length out of range."""
     n_lines = lambda t: F.size(F.split(F.coalesce(t, F.lit("")), "\n"))
     return [
         Rule("few_words", lambda t, w: F.size(w) < min_words),
         Rule("mean_word", lambda t, w: (word_chars(w) < short_word * F.size(w)) | (word_chars(w) > long_word * F.size(w))),
         Rule("symbols", lambda t, w: 100 * n_symbols(t) > max_symbols * word_chars(w)),
-        Rule("dup_lines", lambda t, w: 100 * n_dup_lines(t) > max_dup_lines * n_lines(t)),
+        Rule("dup_lines", lambda t, w: _with(n_dup_lines(t), lambda d: (d >= least_dup_lines) & (100 * d > max_dup_lines * n_lines(t)))),
         Rule("repeats", lambda t, w: 100 * n_repeat_words(w) > max_repeat * F.size(w)),
     ]
 
@@ -186,6 +186,6 @@ m AS (SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_
 f AS (SELECT *, (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND NOT (word_chars < 2 * n_words OR word_chars > 15 * n_words) AND NOT 100 * n_symbols > 10 * word_chars
-  AND NOT 100 * n_dup_lines > 30 * n_lines AS kept
+  AND NOT (n_dup_lines >= 3 AND 100 * n_dup_lines > 30 * n_lines) AS kept
 FROM f
 """
