@@ -21,7 +21,6 @@ other columns pass through ``encode`` untouched.
 
 from __future__ import annotations
 
-import re
 import zlib
 from array import array
 from collections.abc import Iterable, Iterator
@@ -31,12 +30,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from .store import worker_cache
-from .words import slices
+from .words import RaggedMemo, Words, flat, slices
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
-MEMO_SEGMENTS = 600_000
-MEMO_CHARS = 16 << 20
+MEMO_SEGMENTS = 2_000_000
 
 
 class Vocabulary:
@@ -178,59 +176,85 @@ class TextEncoder:
     """Ids of whole texts: a space mark before the text, spaces as marks."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self.v, self.memo, self.held = vocabulary, {}, 0
-        self.segments = re.compile(f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n") if vocabulary.space_begins and "\n" not in vocabulary.chars else None
-
-    def _segment(self, s: str) -> bytes:
-        got = self.memo.get(s)
-        if got is None:
-            got = array("I")
-            v = StreamingViterbi(self.v)
-            for a in range(0, len(s), 4096):
-                got.extend(v.feed(s[a: a + 4096]))
-            got.extend(v.finish())
-            got = got.tobytes()
-            if len(self.memo) >= MEMO_SEGMENTS or self.held > MEMO_CHARS:
-                self.memo, self.held = {}, 0
-            self.memo[s] = got
-            self.held += len(s)
-        return got
-
-    def encode(self, text: str | None) -> bytes:
-        """Little-endian 32-bit ids."""
-        if not text:
-            return b""
-        marked = SPACE + text.replace(" ", SPACE)
-        if self.segments is None:
-            return self._segment(marked)
-        parts = self.segments.findall(marked)
-        try:
-            return b"".join(map(self.memo.__getitem__, parts))
-        except KeyError:
-            return b"".join(map(self._segment, parts))
+        self.v, self.memo = vocabulary, RaggedMemo(MEMO_SEGMENTS)
+        # may texts be cut before a space and around a line end?
+        self.cuts = vocabulary.space_begins and "\n" not in vocabulary.chars
+
+    def ids(self, marked: str) -> array:
+        """Ids of a text whose spaces are marks, fed in chunks."""
+        out, v = array("I"), StreamingViterbi(self.v)
+        for a in range(0, len(marked), 4096):
+            out.extend(v.feed(marked[a: a + 4096]))
+        out.extend(v.finish())
+        return out
+
+    def whole(self, text: str | None) -> np.ndarray:
+        return np.array(self.ids(SPACE + text.replace(" ", SPACE)) if text else [], np.uint32)
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """32-bit ids of each text."""
+        data, offs = flat(texts)
+        if not self.cuts:
+            return [self.whole(t) for t in texts.to_pylist()]
+        apart = _odd_spaces(data, offs)
+        w = Words(texts, spaces=b" ", alone=10)
+        begins = np.zeros(len(data) + 1, bool)
+        begins[offs[:-1]] = True
+        spaced = begins[w.start] | (data[np.maximum(w.start, 1) - 1] == 32)
+        raw = data.tobytes()
+
+        def make(where):
+            ids, count = array("I"), np.empty(len(where), np.int64)
+            for i, (a, b, mark) in enumerate(zip(w.start[where].tolist(), w.end[where].tolist(), spaced[where].tolist())):
+                got = self.ids((SPACE if mark else "") + raw[a:b].decode())
+                ids.extend(got)
+                count[i] = len(got)
+            return np.array(ids, np.uint32), np.cumsum(count) - count, count
+
+        ids, size = self.memo.get(w.hash ^ (spaced * np.uint64(0xA5A5A5A5A5A5A5A5)), make) if len(w.hash) else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
+        cut = np.concatenate([[0], np.cumsum(size)])[w.first]
+        out = [ids[a:b] for a, b in zip(cut[:-1], cut[1:])]
+        for k in apart:
+            out[k] = self.whole(texts[k].as_py())
+        return out
 
     def decode(self, ids: np.ndarray) -> str:
         t = b"".join(map(self.v.text.__getitem__, ids.tolist())).decode("utf-8", "replace")
         return t[1:] if t[:1] == " " else t
 
 
+def _odd_spaces(data: np.ndarray, offs: np.ndarray) -> list[int]:
+    """Texts whose spaces do not each stand between two words: their runs of
+    marks are encoded with the whole text."""
+    if not len(data):
+        return []
+    space, line = data == 32, data == 10
+    ends = np.zeros(len(data), bool)
+    ends[offs[1:][np.diff(offs) > 0] - 1] = True
+    begins = np.zeros(len(data), bool)
+    begins[offs[:-1][np.diff(offs) > 0]] = True
+    odd = space & ends
+    odd[:-1] |= space[:-1] & (space[1:] | line[1:]) & ~ends[:-1]
+    odd |= begins & (space | line)
+    return np.unique(np.searchsorted(offs, np.flatnonzero(odd), "right") - 1).tolist()
+
+
 def _encode(model: str, text_col: str, out_col: str, digest: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = worker_cache("pieces:" + model, lambda: TextEncoder(Vocabulary(model)))
         for whole in batches:
             for batch in slices(whole, text_col):
-                texts = batch.column(text_col).to_pylist()
-                raw = [enc.encode(t) for t in texts]
+                ids = enc.encode(batch.column(text_col))
+                count = np.array([len(x) for x in ids], np.int64)
                 keep = [c for c in batch.schema.names if c != out_col and not (digest and c == text_col)]
                 cols, names = [batch.column(c) for c in keep], list(keep)
                 if digest:
-                    cols += [pa.array([len(r) // 4 for r in raw], pa.int64()), pa.array([zlib.crc32(r) for r in raw], pa.int64()),
-                             pa.array([enc.decode(np.frombuffer(r, "<u4")) == (t or "") for r, t in zip(raw, texts)], pa.bool_())]
+                    cols += [pa.array(count), pa.array([zlib.crc32(np.ascontiguousarray(x, "<u4")) for x in ids], pa.int64()),
+                             pa.array([enc.decode(x) == (t or "") for x, t in zip(ids, batch.column(text_col).to_pylist())], pa.bool_())]
                     names += ["n_ids", "ids_crc32", "round_trip"]
                 else:
-                    ids = np.frombuffer(b"".join(raw), "<i4")
-                    cut = np.concatenate([[0], np.cumsum([len(r) // 4 for r in raw])]).astype(np.int32)
-                    cols.append(pa.ListArray.from_arrays(pa.array(cut), pa.array(ids)))
+                    cut = np.concatenate([[0], np.cumsum(count)]).astype(np.int32)
+                    cols.append(pa.ListArray.from_arrays(pa.array(cut), pa.array(np.concatenate(ids).astype(np.int32))))
                     names.append(out_col)
                 yield pa.record_batch(cols, names=names)
 

@@ -31,10 +31,10 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _tables(lower: bool):
+def _tables(lower: bool, spaces: bytes):
     t = _mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     sep = np.zeros(256, bool)
-    sep[[0x20, 9, 10, 11, 12, 13]] = True
+    sep[list(spaces)] = True
     t[sep] = 0
     if lower:
         t[65:91] = t[97:123]
@@ -55,13 +55,13 @@ class Words:
 
     tables: dict = {}
 
-    def __init__(self, texts: pa.Array, lower: bool = False, marks: bool = False):
+    def __init__(self, texts: pa.Array, lower: bool = False, marks: bool = False, spaces: bytes = b" \t\n\x0b\x0c\r", alone: int | None = None):
         """``marks``: also cut between an ASCII letter and an ASCII mark other
-        than the apostrophe."""
+        than the apostrophe. ``alone``: a byte that is a word by itself."""
         data, offs = flat(texts)
-        if lower not in self.tables:
-            self.tables[lower] = _tables(lower)
-        self.t, self.sep, self.pow, self.inv = self.tables[lower]
+        if (lower, spaces) not in self.tables:
+            self.tables[lower, spaces] = _tables(lower, spaces)
+        self.t, self.sep, self.pow, self.inv = self.tables[lower, spaces]
         n = len(data)
         is_sep = self.sep[data]
         before = np.ones(n, bool)
@@ -71,6 +71,10 @@ class Words:
         if marks and n:
             kind = MARK_KIND[data]
             before[1:] |= (kind[1:] | kind[:-1]) == 3
+        if alone is not None and n:
+            single = data == alone
+            before |= single
+            before[1:] |= single[:-1]
         after = np.ones(n, bool)
         after[:-1] = before[1:] | is_sep[1:]
         self.start = np.flatnonzero(before & ~is_sep)
