@@ -270,7 +270,7 @@ def split_large(large: DataFrame, sets: DataFrame, unit: int, salts: int = 32) -
     units (unit, doc) in which the remaining pairs meet."""
     salted = large.join(sets, "doc").select("pivot", F.pmod(F.xxhash64("doc"), F.lit(salts)).alias("salt"), "doc", F.lit(1).alias("is_member"), "n", "set")
     centers = (large.select("pivot").distinct().join(sets, F.col("pivot") == F.col("doc"))
-               .select("pivot", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long").alias("salt"), "doc", F.lit(0).alias("is_member"),
+               .select("pivot", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("salt"), "doc", F.lit(0).alias("is_member"),
                        F.lit(0).cast("long").alias("n"), "set"))
     parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     balls = written(salted.unionByName(centers).repartition(parts, "pivot", "salt").sortWithinPartitions("pivot", "salt", "is_member")
@@ -341,8 +341,8 @@ def near_components(documents: DataFrame, id_col: str = "doc_id", text_col: str
     often = spark.sparkContext.broadcast(frequent(told))
     reps = docs.where("doc_id is not null").join(copies, "doc_id", "left_anti")
     found = cells(reps, often)
-    sizes = known.select(F.col("doc_id").alias("doc"), "n", "counts").dropDuplicates(["doc"])
-    members = written(pruned(found, sizes), "near-members")
+    sizes = known.select(F.col("doc_id").alias("doc"), "n", "counts")
+    members = written(pruned(found, sizes).groupBy("pivot", "doc").agg(F.max("n").alias("n")), "near-members")
     wanted = written(members.select("doc").distinct(), "near-wanted")
     sets = written(reps.join(wanted.withColumnRenamed("doc", "doc_id"), "doc_id", "left_semi").mapInArrow(_sets, "doc long, set binary"), "near-shingles")
     edges = join_cells(members, sets, unit)
