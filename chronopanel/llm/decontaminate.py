@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .quality_rules import _with, windows, words
-from .store import written
+from .store import sized, written
 
 SHINGLE = 5
 THRESHOLD_PERCENT = 75
@@ -60,11 +60,6 @@ def _hashes(df: DataFrame, id_col: str, text_col: str, name: str) -> DataFrame:
     return df.select(F.col(id_col).alias(name), shingles(F.col(text_col)).alias("s")).where(F.col(name).isNotNull())
 
 
-def _sized(df: DataFrame) -> DataFrame:
-    """Hint a broadcast only for a table counted to be small."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def item_tables(items: DataFrame, id_col: str, text_col: str, percent: int) -> tuple[DataFrame, DataFrame]:
     """All item shingles (item, h, q) and the sketches (item, h, need, part)."""
     every = (_hashes(items, id_col, text_col, "item").select("item", F.explode("s").alias("h")).distinct())
@@ -85,14 +80,14 @@ def candidates(documents: DataFrame, sketch: DataFrame, id_col: str, text_col: s
     top = reduce(F.greatest, [F.when(F.col("n") >= p["need"], F.lit(p["top"])).otherwise(low) for p in parts])
     probes = (docs.where(F.col("n") >= min(p["need"] for p in parts)).withColumn("top", top)
               .select("doc", "n", F.explode(F.filter("s", lambda h: h <= F.col("top"))).alias("h")))
-    return probes.join(_sized(sketch.select("item", "need", "h")), "h").where(F.col("n") >= F.col("need")).select("doc", "item").distinct()
+    return probes.join(sized(sketch.select("item", "need", "h"), BROADCAST_ROWS), "h").where(F.col("n") >= F.col("need")).select("doc", "item").distinct()
 
 
 def verified(documents: DataFrame, every: DataFrame, pairs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
     """Of the candidate pairs, those that share enough: (doc, item, n_common, q)."""
     some = documents.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")).join(pairs.select("doc").distinct(), "doc", "left_semi")
     rows = _hashes(some, "doc", "text", "doc").select("doc", F.explode("s").alias("h"))
-    shared = rows.join(_sized(every), "h").join(pairs, ["doc", "item"], "left_semi")
+    shared = rows.join(sized(every, BROADCAST_ROWS), "h").join(pairs, ["doc", "item"], "left_semi")
     return (shared.groupBy("doc", "item").agg(F.count_distinct("h").alias("n_common"), F.first("q").cast("long").alias("q"))
             .where(100 * F.col("n_common") >= percent * F.col("q")))
 

@@ -20,7 +20,8 @@ chosen where documents come near each other at all:
    is moved: with the slices U_j of the hash range as pivots in the metric of
    the symmetric difference, |x ^ y| >= sum_j | |x & U_j| - |y & U_j| |, and
    linked sets differ in at most (|x| + |y|) / 7 shingles. Documents without
-   a possible partner leave the cell.
+   a possible partner leave the cell. A set of n shingles has about n / 8
+   slices, at four bits each.
 5. A cell that is too large for one task is split again by its pivot's ball:
    the members within eps of the pivot are linked through it and need no
    comparison with each other; the others meet each other, and those within
@@ -46,14 +47,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .store import written
+from .store import sized, written
 from .words import Words, _mix, slices
 
 SHINGLE = 5
-SLICES = 128
+SLICES = 128              # slices of a small set
 SAMPLE_DOCS = 5000        # documents of the sample that finds frequent shingles
 SAMPLE_SHINGLES = 2000    # at most so many of each
 FREQUENT = 3              # found in so many of the sample's documents
@@ -84,10 +85,22 @@ def _describe(share: float):
     return run
 
 
+def n_slices(n: int) -> int:
+    """A power of two, n / 8 or more."""
+    return max(SLICES, 1 << (max(n - 1, 0) // 8).bit_length())
+
+
 def slice_counts(s: np.ndarray) -> bytes:
-    """Shingles in each slice of the hash range; counts stop at 255, which
-    keeps differences at or below the true ones."""
-    return np.minimum(np.bincount((s >> np.uint64(57)).astype(np.int64), minlength=SLICES), 255).astype(np.uint8).tobytes()
+    """Shingles in each slice of the hash range, two counts a byte. Counts
+    stop at 15: that keeps differences at or below the true ones."""
+    k = n_slices(len(s))
+    c = np.minimum(np.bincount((s >> np.uint64(64 - k.bit_length() + 1)).astype(np.int64), minlength=k), 15).astype(np.uint8)
+    return (c[::2] | c[1::2] << 4).tobytes()
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    b = np.frombuffer(raw, np.uint8)
+    return np.stack([b & 15, b >> 4], axis=1).ravel().astype(np.int16)
 
 
 def describe(docs: DataFrame) -> DataFrame:
@@ -138,39 +151,57 @@ def _regions(often):
             for b in slices(whole, "text"):
                 first = [prefix(s, h, rank) if len(s) else s for s in Words(b.column("text"), lower=True).shingle_sets(SHINGLE)]
                 ids = np.repeat(b.column("doc_id").to_numpy(), [len(x) for x in first])
-                yield pa.record_batch([pa.array(np.concatenate(first).view(np.int64)), pa.array(ids)], names=["s", "doc"])
+                s = np.concatenate(first)
+                hot = np.isin(s, h, assume_unique=False) if len(h) else np.zeros(len(s), bool)
+                yield pa.record_batch([pa.array(s.view(np.int64)), pa.array(ids), pa.array(hot)], names=["s", "doc", "hot"])
 
     return run
 
 
 def cells(reps: DataFrame, often) -> DataFrame:
-    """(pivot, doc) for all cells of two documents or more."""
-    regions = written(reps.mapInArrow(_regions(often), "s long, doc long"), "near-regions")
-    pivots = regions.groupBy("s").agg(F.min("doc").alias("pivot"), F.max("doc").alias("other")).where("pivot < other").select("s", "pivot")
-    return written(regions.join(pivots, "s").select("pivot", "doc").distinct(), "near-cells")
-
-
-def possible(n: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Members of a cell for which the slices allow a linked partner."""
+    """(pivot, doc) for all cells of two documents or more. A region of a
+    shingle that is not frequent is read once, in order, behind one shuffle.
+    Frequent shingles can have regions of any size (a group of copies may hold
+    a third of all rows): their smallest document is found by partial
+    aggregation, and the join with it is split where a region is large."""
+    regions = written(reps.mapInArrow(_regions(often), "s long, doc long, hot boolean"), "near-regions")
+    so_far = Window.partitionBy("s").orderBy("doc").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rare = regions.where("not hot").select("doc", F.first("doc").over(so_far).alias("pivot"))
+    hot = regions.where("hot").select("s", "doc")
+    low = hot.groupBy("s").agg(F.min("doc").alias("pivot"))
+    near = written(rare.where("pivot <> doc").select("pivot", "doc")
+                   .unionByName(hot.join(low, "s").where("pivot <> doc").select("pivot", "doc")).distinct(), "near-cells")
+    return near.unionByName(near.select("pivot", F.col("pivot").alias("doc")).distinct())
+
+
+def possible(n: np.ndarray, counts: list[bytes]) -> np.ndarray:
+    """Members of a cell for which the slices allow a linked partner. Sets of
+    4/3 of a set's size have as many slices or twice as many; those are summed
+    in pairs."""
     order = np.argsort(n, kind="stable")
-    n, c = n[order], counts[order].astype(np.int16)
-    out = np.zeros(len(n), bool)
+    n, c = n[order], [unpacked(counts[k]) for k in order]
+    out, width, rows, base = np.zeros(len(n), bool), 0, None, 0
     for i in range(len(n) - 1):
         stop = int(np.searchsorted(n, 4 * n[i] // 3, "right"))
-        if stop > i + 1:
-            j = slice(i + 1, stop)
-            differ = np.abs(c[j] - c[i]).sum(axis=1, dtype=np.int64)
-            ok = 7 * np.maximum(differ, n[j] - n[i]) <= n[j] + n[i]
-            out[j] |= ok
-            out[i] |= ok.any()
+        if stop == i + 1:
+            continue
+        if len(c[i]) != width or base + len(rows) < stop:
+            width, base = len(c[i]), i
+            last = int(np.searchsorted(n, 2 * max(n[i], 8 * width), "right"))
+            rows = np.stack([x if len(x) == width else x.reshape(width, -1).sum(axis=1, dtype=np.int16) for x in c[i:max(last, stop)]])
+        j = slice(i + 1, stop)
+        differ = np.abs(rows[i + 1 - base: stop - base] - rows[i - base]).sum(axis=1, dtype=np.int64)
+        ok = 7 * np.maximum(differ, n[j] - n[i]) <= n[j] + n[i]
+        out[j] |= ok
+        out[i] |= ok.any()
     back = np.empty_like(out)
     back[order] = out
     return back
 
 
 def _prune(table: pa.Table) -> pa.Table:
-    counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), np.uint8).reshape(-1, SLICES)
-    return table.filter(pa.array(possible(table.column("n").to_numpy(), counts))).select(["pivot", "doc", "n"])
+    keep = possible(table.column("n").to_numpy(), table.column("counts").to_pylist())
+    return table.filter(pa.array(keep)).select(["pivot", "doc", "n"])
 
 
 def pruned(found: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -302,7 +333,9 @@ def join_cells(members: DataFrame, sets: DataFrame, unit: int = UNIT_SHINGLES) -
         links, more = split_large(large, sets, unit)
         edges.append(links)
         units = units.unionByName(more)
-    edges.append(units.join(sets, "doc").groupBy("unit").applyInArrow(_join_unit, "a long, b long"))
+    # names of units only; the sets move once, to their units
+    units = written(units, "near-units")
+    edges.append(sets.join(sized(units), "doc").select("unit", "doc", "set").groupBy("unit").applyInArrow(_join_unit, "a long, b long"))
     out = edges[0]
     for e in edges[1:]:
         out = out.unionByName(e)
@@ -339,12 +372,12 @@ def near_components(documents: DataFrame, id_col: str = "doc_id", text_col: str
     classes = written(known.groupBy("n", "k1", "k2").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "near-classes")
     copies = written(known.join(classes.where("copies > 1"), ["n", "k1", "k2"]).where("doc_id <> rep").select("doc_id").distinct(), "near-copies")
     often = spark.sparkContext.broadcast(frequent(told))
-    reps = docs.where("doc_id is not null").join(copies, "doc_id", "left_anti")
+    reps = docs.where("doc_id is not null").join(sized(copies), "doc_id", "left_anti")
     found = cells(reps, often)
     sizes = known.select(F.col("doc_id").alias("doc"), "n", "counts")
     members = written(pruned(found, sizes).groupBy("pivot", "doc").agg(F.max("n").alias("n")), "near-members")
     wanted = written(members.select("doc").distinct(), "near-wanted")
-    sets = written(reps.join(wanted.withColumnRenamed("doc", "doc_id"), "doc_id", "left_semi").mapInArrow(_sets, "doc long, set binary"), "near-shingles")
+    sets = written(docs.join(sized(wanted.withColumnRenamed("doc", "doc_id")), "doc_id", "left_semi").mapInArrow(_sets, "doc long, set binary"), "near-shingles")
     edges = join_cells(members, sets, unit)
     # rows that share an id join the classes of all their texts
     same = known.join(classes, ["n", "k1", "k2"]).where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))

@@ -8,6 +8,7 @@ import uuid
 
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from chronopanel.session import checkpoint_dir
 
@@ -26,6 +27,12 @@ def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sized(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """Hint a broadcast for a narrow table that was counted to have at most
+    ``rows`` rows. A larger one is joined by a shuffle."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
     """File system and inner path of a folder URI or a plain path."""
     if "://" in path or path.startswith("file:"):
