@@ -103,13 +103,14 @@ def unigram_model():
     return sp
 
 
-def test_best_score_of_the_library(vocabulary):
-    """Ties may fall differently, so the scores of the paths are compared."""
+def test_no_worse_than_the_library(vocabulary):
+    """No path that the library finds has a better score than ours."""
     sp, e = unigram_model(), S.TextEncoder(vocabulary)
+    plain = sentencepiece.SentencePieceProcessor(model_file=S.model_path())
     for t in ["Hello world", "the quick brown fox jumps", "Thnterononshth, oning oferndenan", "internationalization of words", "Nicht aulich für"]:
         ours, theirs = e.whole(t).tolist(), sp.encode(t)
         score = lambda ids: sum(sp.get_score(k) for k in ids)
-        assert score(ours) == score(theirs)
+        assert score(ours) >= max(score(theirs), score(plain.encode(t)))
         assert sp.decode(ours) == t
 
 
