@@ -85,7 +85,7 @@ def candidates(documents: DataFrame, sketch: DataFrame, id_col: str, text_col: s
 
 def verified(documents: DataFrame, every: DataFrame, pairs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
     """Of the candidate pairs, those that share enough: (doc, item, n_common, q)."""
-    some = documents.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")).join(pairs.select("doc").distinct(), "doc", "left_semi")
+    some = documents.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")).join(sized(pairs.select("doc").distinct()), "doc", "left_semi")
     rows = _hashes(some, "doc", "text", "doc").select("doc", F.explode("s").alias("h"))
     shared = rows.join(sized(every, BROADCAST_ROWS), "h").join(pairs, ["doc", "item"], "left_semi")
     return (shared.groupBy("doc", "item").agg(F.count_distinct("h").alias("n_common"), F.first("q").cast("long").alias("q"))

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronopanel.llm import decontaminate, jaccard_join, language_id, quality_rules, subword_viterbi
-from chronopanel.llm.store import written
+from chronopanel.llm.store import sized, written
 from chronopanel.session import table
 
 #: A document whose best language has a smaller mean probability than this is
@@ -41,9 +41,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Keeps the document with the smallest id of each group of near
     duplicates."""
     found = written(jaccard_join.near_components(docs), "pipeline-near")
-    gone = found.where("component_id <> doc_id").select("doc_id").distinct()
-    repeated = written(found.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"), "pipeline-repeated")
-    kept = docs.join(gone, "doc_id", "left_anti")
+    gone = written(found.where("component_id <> doc_id").select("doc_id").distinct(), "pipeline-gone")
+    repeated = sized(written(found.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"),
+                             "pipeline-repeated"))
+    kept = docs.join(sized(gone), "doc_id", "left_anti")
     once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return kept.join(repeated, "doc_id", "left_anti").unionByName(once).select(docs.columns)
 
@@ -51,7 +52,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a benchmark item."""
     leaks = decontaminate.leaks(docs, table(spark, sf_dir, "benchmark"))
-    return docs.join(leaks.select(F.col("doc").alias("doc_id")).distinct(), "doc_id", "left_anti").select(docs.columns)
+    bad = written(leaks.select(F.col("doc").alias("doc_id")).distinct(), "pipeline-leaks")
+    return docs.join(sized(bad), "doc_id", "left_anti").select(docs.columns)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
