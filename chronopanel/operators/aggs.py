@@ -2,36 +2,28 @@
 
 Every operator is one or two ``groupBy`` / ``agg`` stages. Group totals are
 attached with scalar subqueries or a keyed join, never with an unpartitioned
-window over fact rows. Exact percentiles (``percentile``) reproduce linear
-interpolation; ``method="approx"`` switches to ``percentile_approx`` for
-very large groups.
+window over fact rows. Quantiles of fact columns are exact with linear
+interpolation and have one code path, ``exact_quantiles``; ``percentile`` is
+used only where a group is bounded by the calendar (one row per period).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._util import as_list, col, with_group_stats
+from ._util import as_list
 
 __all__ = [
     "collapse", "series_by", "trailing_shares", "winsorized_mean", "trimmed_mean",
     "describe_numeric", "group_stats", "skewness_g1", "corr_matrix", "missing_summary",
     "overview", "regression_metrics", "benchmark_profile", "investment_metrics",
     "top_drivers", "horizon_drivers", "rank_entities", "coverage", "infer_frequency",
-    "importance", "available", "available_long", "scenario_fan", "weighted_mean", "model_selection",
-    "split_summary", "forecast_path", "quantile", "exact_quantiles", "quantile_table", "resolve_method",
-    "MAP_ROW_LIMIT",
+    "importance", "available", "scenario_fan", "weighted_mean", "model_selection",
+    "split_summary", "forecast_path", "exact_quantiles", "quantile_table",
 ]
 
 
-def quantile(c, p, method: str = "exact") -> Column:
-    """Linear-interpolated quantile (pandas default) or its approximation."""
-    if method == "approx":
-        return F.percentile_approx(col(c), p, 10000)
-    return F.percentile(col(c), p)
-
-
 # A01 -----------------------------------------------------------------------
 def collapse(df: DataFrame, period: str, cols, how="sum") -> DataFrame:
     """Collapse a panel to one series row per period. ``how`` is one
@@ -65,7 +57,9 @@ def series_by(df: DataFrame, keys, value: str, agg: str = "mean", order: str | N
     if agg == "mean":
         a = F.avg(v)
     elif agg == "median":
-        a = F.percentile(v, 0.5)
+        g = df.groupBy(*as_list(keys)).agg(F.count(v).alias("_n"))
+        q = exact_quantiles(df, value, [0.5], keys).select(*as_list(keys), F.col("q").alias(out))
+        return _join_keys(g, q, as_list(keys)).select(*as_list(keys), out)
     elif agg == "sum":
         a = F.coalesce(F.sum(v), F.lit(0))
     elif agg in ("min", "max", "count"):
@@ -92,37 +86,36 @@ def trailing_shares(df: DataFrame, period: str, entity: str, value: str, months:
 
 
 # A04 / A05 -----------------------------------------------------------------
-def _clip_bounds(df: DataFrame, value: str, lo_p: float, hi_p: float, by, method: str) -> DataFrame:
-    """Rows of ``df`` (non-missing ``value``) with the group's lower and upper
-    quantiles attached as ``_lo`` / ``_hi``."""
+def _clip_bounds(df: DataFrame, value: str, lo_p: float, hi_p: float, by) -> DataFrame:
+    """Rows of ``df`` (``value`` present, not NaN) with the group's lower and
+    upper quantiles attached as ``_lo`` / ``_hi``."""
     by = as_list(by)
-    x = df.select(*by, value).filter(F.col(value).isNotNull())
-    m = resolve_method(x, by, method)
-    if m != "sort":
-        return with_group_stats(x, by, {"_lo": quantile(value, lo_p, m), "_hi": quantile(value, hi_p, m)})
+    x = df.select(*by, value).filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
     qt = exact_quantiles(x, value, [lo_p, hi_p], by)
+    at = lambda p: F.max(F.when(F.col("p") == p, F.col("q")))
     if not by:
-        return x.withColumns({"_lo": qt.filter(F.col("p") == lo_p).select("q").scalar(),
-                              "_hi": qt.filter(F.col("p") == hi_p).select("q").scalar()})
-    b = qt.groupBy(*by).agg(F.max(F.when(F.col("p") == lo_p, F.col("q"))).alias("_lo"),
-                            F.max(F.when(F.col("p") == hi_p, F.col("q"))).alias("_hi"))
-    return x.join(b, by, "left")
-
-
-def winsorized_mean(df: DataFrame, value: str, limit: float, by=(), method: str = "auto",
-                    out: str = "winsorized_mean") -> DataFrame:
-    """Mean after clipping at the ``limit`` and ``1-limit`` quantiles.
-    ``method``: "auto" (map-based exact for proven-small groups, sort-based
-    exact otherwise), "exact", "sort" or "approx"."""
-    x = _clip_bounds(df, value, limit, 1 - limit, by, method)
+        return x.withColumn("_b", qt.agg(F.struct(at(lo_p).alias("lo"), at(hi_p).alias("hi")).alias("b")).select("b").scalar()).select(
+            value, F.col("_b.lo").alias("_lo"), F.col("_b.hi").alias("_hi"))
+    return _join_keys(x, qt.groupBy(*by).agg(at(lo_p).alias("_lo"), at(hi_p).alias("_hi")), by)
+
+
+def _join_keys(left: DataFrame, right: DataFrame, by: list[str], how: str = "left") -> DataFrame:
+    """Join on keys where NULL equals NULL, as in a grouping."""
+    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in by], *[c for c in right.columns if c not in by])
+    cond = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in by]
+    return left.join(r, cond, how).drop(*[f"_r_{k}" for k in by])
+
+
+def winsorized_mean(df: DataFrame, value: str, limit: float, by=(), out: str = "winsorized_mean") -> DataFrame:
+    """Mean after clipping at the exact ``limit`` and ``1-limit`` quantiles."""
+    x = _clip_bounds(df, value, limit, 1 - limit, by)
     clipped = F.greatest(F.col("_lo"), F.least(F.col("_hi"), F.col(value)))
     return x.groupBy(*as_list(by)).agg(F.avg(clipped).alias(out))
 
 
-def trimmed_mean(df: DataFrame, value: str, ratio: float, by=(), method: str = "auto",
-                 out: str = "trimmed_mean") -> DataFrame:
-    """Mean of the values between the ``ratio`` and ``1-ratio`` quantiles."""
-    x = _clip_bounds(df, value, ratio, 1 - ratio, by, method)
+def trimmed_mean(df: DataFrame, value: str, ratio: float, by=(), out: str = "trimmed_mean") -> DataFrame:
+    """Mean of the values between the exact ``ratio`` and ``1-ratio`` quantiles."""
+    x = _clip_bounds(df, value, ratio, 1 - ratio, by)
     keep = (F.col(value) >= F.col("_lo")) & (F.col(value) <= F.col("_hi"))
     return x.groupBy(*as_list(by)).agg(F.avg(F.when(keep, F.col(value))).alias(out))
 
@@ -131,55 +124,37 @@ def trimmed_mean(df: DataFrame, value: str, ratio: float, by=(), method: str = "
 DESCRIBE_PROBS = (0.01, 0.05, 0.5, 0.95, 0.99)
 
 
-def describe_numeric(df: DataFrame, cols, probs=DESCRIBE_PROBS, method: str = "auto") -> DataFrame:
-    """count, mean, std, min, quantiles, max per column, in ONE aggregate;
-    the result is unpivoted to one row per column. Large inputs switch the
-    quantiles to the sort-based exact method (see ``resolve_method``)."""
+def describe_numeric(df: DataFrame, cols, probs=DESCRIBE_PROBS) -> DataFrame:
+    """count, mean, std, min, quantiles, max per column, one row per column.
+    The moments come from one aggregate; the quantiles of all columns from one
+    ``exact_quantiles`` over (column, value) pairs. A column without any value
+    keeps its row."""
     cols = as_list(cols)
-    m = resolve_method(df.select(*cols), (), method)
-    structs = []
-    for c in cols:
-        q = (F.percentile(c, list(probs)) if m == "exact"
-             else F.percentile_approx(c, list(probs), 10000) if m == "approx" else F.array(F.lit(None)))
-        structs.append(F.struct(F.lit(c).alias("column"), F.count(c).cast("bigint").alias("count"),
-                                F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
-                                F.min(F.col(c).cast("double")).alias("min"), q.alias("_q"),
-                                F.max(F.col(c).cast("double")).alias("max")))
-    wide = df.agg(F.array(*structs).alias("a"))
-    long = wide.select(F.explode("a").alias("s")).select("s.*")
+    structs = [F.struct(F.lit(c).alias("column"), F.count(c).cast("bigint").alias("count"), F.avg(c).alias("mean"),
+                        F.stddev_samp(c).alias("std"), F.min(F.col(c).cast("double")).alias("min"),
+                        F.max(F.col(c).cast("double")).alias("max")) for c in cols]
+    long = df.agg(F.array(*structs).alias("a")).select(F.explode("a").alias("s")).select("s.*")
+    pairs = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols])).alias("s"))
     names = [f"p{int(round(p * 100))}" for p in probs]
-    if m != "sort":
-        qcols = [F.col("_q")[i].alias(n) for i, n in enumerate(names)]
-        return long.select("column", "count", "mean", "std", "min", *qcols, "max")
-    from functools import reduce
-    qs = reduce(DataFrame.unionByName, [exact_quantiles(df, c, list(probs)).withColumn("column", F.lit(c))
-                                        for c in cols])
-    qw = qs.groupBy("column").agg(*[F.max(F.when(F.col("p") == float(p), F.col("q"))).alias(n)
-                                    for p, n in zip(probs, names)])
-    return long.drop("_q").join(qw, "column").select("column", "count", "mean", "std", "min", *names, "max")
+    q = exact_quantiles(pairs.select("s.column", "s.v"), "v", probs, ["column"]).groupBy("column").agg(
+        *[F.max(F.when(F.col("p") == float(p), F.col("q"))).alias(n) for p, n in zip(probs, names)])
+    return long.join(q, "column", "left").select("column", "count", "mean", "std", "min", *names, "max")
 
 
 # A07 -----------------------------------------------------------------------
-def group_stats(df: DataFrame, entity: str, value: str, method: str = "auto") -> DataFrame:
+def group_stats(df: DataFrame, entity: str, value: str) -> DataFrame:
     """n, mean, median, std, min, max, quartiles, IQR and coefficient of
     variation per entity (missing values dropped first)."""
     d = df.filter(F.col(value).isNotNull() & F.col(entity).isNotNull()).select(
         F.col(entity).cast("string").alias(entity), value)
-    m = resolve_method(d, [entity], method)
-    q = (F.percentile(value, [0.25, 0.5, 0.75]) if m == "exact"
-         else F.percentile_approx(value, [0.25, 0.5, 0.75], 10000) if m == "approx" else F.array(F.lit(None)))
-    g = d.groupBy(entity).agg(F.count("*").alias("n"), F.avg(value).alias("mean"), q.alias("_q"),
-                              F.stddev_samp(value).alias("std"), F.min(value).alias("min"),
-                              F.max(value).alias("max"))
-    if m == "sort":
-        qt = exact_quantiles(d, value, [0.25, 0.5, 0.75], [entity])
-        qa = qt.groupBy(entity).agg(F.array(*[F.max(F.when(F.col("p") == p, F.col("q"))) for p in (0.25, 0.5, 0.75)])
-                                    .alias("_q2"))
-        g = g.join(qa, entity).withColumn("_q", F.col("_q2")).drop("_q2")
-    return g.select(entity, "n", "mean", F.col("_q")[1].alias("median"), "std", "min", "max",
-                    F.col("_q")[0].alias("q25"), F.col("_q")[2].alias("q75"),
-                    (F.col("_q")[2] - F.col("_q")[0]).alias("iqr"),
-                    F.when(F.col("mean") != 0, F.col("std") / F.col("mean")).alias("cv"))
+    g = d.groupBy(entity).agg(F.count("*").alias("n"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"),
+                              F.min(value).alias("min"), F.max(value).alias("max"))
+    at = lambda p: F.max(F.when(F.col("p") == p, F.col("q")))
+    q = exact_quantiles(d, value, [0.25, 0.5, 0.75], [entity]).groupBy(entity).agg(
+        at(0.25).alias("q25"), at(0.5).alias("median"), at(0.75).alias("q75"))
+    return g.join(q, entity, "left").select(
+        entity, "n", "mean", "median", "std", "min", "max", "q25", "q75", (F.col("q75") - F.col("q25")).alias("iqr"),
+        F.when(F.col("mean") != 0, F.col("std") / F.col("mean")).alias("cv"))
 
 
 # A08 -----------------------------------------------------------------------
@@ -290,8 +265,9 @@ def investment_metrics(fc: DataFrame, period: str = "period", entity: str = "ent
     """Per entity, over the window [anchor, anchor + horizon months]:
     base return first-to-last available, std of base monthly returns, max
     drawdown of the low path, high-minus-low spread at the last available
-    month of each, and return / volatility. The anchor is the first base
-    month of the entity (or a fixed month)."""
+    month of each, and return / volatility, with return and drawdown also in
+    percent. The anchor is the first base month of the entity (or a fixed
+    month). Rows come by stability, then return, highest first."""
     x = (fc.select(entity, period, F.lower(F.trim(scenario)).alias("_sc"), F.col(price).cast("double").alias("_p"))
          .filter(F.col(entity).isNotNull() & F.col(period).isNotNull() & F.col("_p").isNotNull()))
     if anchor is None:
@@ -327,7 +303,10 @@ def investment_metrics(fc: DataFrame, period: str = "period", entity: str = "ent
         ret.alias("expected_return_base"), vol.alias("volatility_base"),
         F.when(F.col("_nl") >= 2, F.col("_dd")).alias("downside_max_drawdown_low"),
         (F.col("_hi_last") - F.col("_lo_last")).alias("scenario_spread_high_minus_low"),
-        F.when(vol > 0, ret / vol).alias("stability_score"))
+        F.when(vol > 0, ret / vol).alias("stability_score"),
+        F.bround(ret * 100, 2).alias("expected_return_base_pct"),
+        F.bround(F.when(F.col("_nl") >= 2, F.col("_dd")) * 100, 2).alias("downside_max_drawdown_low_pct")).orderBy(
+        F.desc_nulls_last("stability_score"), F.desc_nulls_last("expected_return_base"), entity)
 
 
 # A15 / A16 -----------------------------------------------------------------
@@ -348,13 +327,14 @@ def top_drivers(long: DataFrame, k: int = 6, keys=(), feature: str = "feature",
 def horizon_drivers(long: DataFrame, keys, k: int = 5, feature: str = "feature",
                     shap: str = "shap_value") -> DataFrame:
     """Mean attribution per (slice, feature) over all periods, split into
-    the top ``k`` upward (>0) and top ``k`` downward (<0) drivers."""
+    the top ``k`` upward (>0) drivers by mean magnitude and the top ``k``
+    downward (<0) drivers by mean attribution, lowest first."""
     keys = as_list(keys)
     g = long.groupBy(*keys, feature).agg(F.avg(shap).alias("mean_shap"),
                                          F.avg(F.abs(shap)).alias("mean_abs_shap"))
     g = g.withColumn("side", F.when(F.col("mean_shap") > 0, "up").when(F.col("mean_shap") < 0, "down"))
     g = g.filter(F.col("side").isNotNull())
-    w = Window.partitionBy(*keys, "side").orderBy(F.desc("mean_abs_shap"), feature)
+    w = Window.partitionBy(*keys, "side").orderBy(F.when(F.col("side") == "up", -F.col("mean_abs_shap")).otherwise(F.col("mean_shap")), feature)
     return g.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
@@ -402,21 +382,9 @@ def importance(long: DataFrame, feature: str = "feature", shap: str = "shap_valu
     return long.groupBy(feature).agg(F.avg(F.abs(shap)).alias("mean_abs_shap"))
 
 
-def available(df: DataFrame, cols, max_values: int = 100_000) -> DataFrame:
-    """Sorted distinct values of each column as arrays (one row), for menus
-    and validation. The distinct counts are checked first (one aggregate):
-    a column with more than ``max_values`` values raises, use
-    ``available_long`` (distributed rows) for those."""
-    cols = as_list(cols)
-    n = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
-    big = [c for c in cols if (n[c] or 0) > max_values]
-    if big:
-        raise ValueError(f"too many distinct values in {big}; use available_long")
-    return df.agg(*[F.array_sort(F.collect_set(c)).alias(c) for c in cols])
-
-
-def available_long(df: DataFrame, cols) -> DataFrame:
-    """(column, value) rows of the distinct values of each column, distributed."""
+def available(df: DataFrame, cols) -> DataFrame:
+    """(column, value) rows of the distinct values of each column, for menus
+    and validation; as many rows as there are values."""
     arr = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in as_list(cols)])
     return df.select(F.explode(arr).alias("s")).select("s.*").distinct()
 
@@ -493,15 +461,14 @@ def forecast_path(fc: DataFrame, keys=("entity", "scenario"), period: str = "per
 
 # Exact quantiles at scale ----------------------------------------------------
 def exact_quantiles(df: DataFrame, value: str, probs, by=()) -> DataFrame:
-    """Exact linear-interpolated quantiles without per-group value maps.
-
-    ``percentile`` keeps a map of every distinct value of a group in one
-    aggregation buffer: at scale a global quantile (or a hot group) lands in
-    one task. Here rows are sorted by (group, value) with range
-    partitioning, so a hot group spreads over many partitions; per-partition
-    counts (one small row per partition and group) give every row its rank
-    inside its group, and only the rows at the needed ranks are kept.
+    """Exact linear-interpolated quantiles; missing values and NaN dropped.
     Output: by..., p, q.
+
+    Equal values of a group become one row with their count (summed before the
+    shuffle), so a value that a third of the rows share is one row. Those rows
+    are range-sorted by (group, value): a large group spreads over many
+    partitions, and the totals of each partition and group give every row its
+    first and last rank. Only rows that hold a wanted rank are kept.
     """
     from ..session import checkpoint_dir
     by, probs = as_list(by), [float(p) for p in as_list(probs)]
@@ -509,52 +476,29 @@ def exact_quantiles(df: DataFrame, value: str, probs, by=()) -> DataFrame:
         return exact_quantiles(df.withColumn("_all", F.lit(0)), value, probs, ["_all"]).drop("_all")
     spark = df.sparkSession
     checkpoint_dir(spark)
-    v = F.col(value).cast("double")
-    x = df.select(*by, v.alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    s = (x.orderBy(*by, "_v").withColumn("_pid", F.spark_partition_id())
-           .withColumn("_mid", F.monotonically_increasing_id())).checkpoint(eager=True)
-    cnt = s.groupBy(*by, "_pid").agg(F.count("*").alias("_c"), F.min("_mid").alias("_first"))
-    wo = Window.partitionBy(*by).orderBy("_pid")
-    cnt = cnt.withColumn("_off", F.coalesce(F.sum("_c").over(wo.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    n = cnt.groupBy(*by).agg(F.sum("_c").alias("_n"))
-    need = n.select(*by, "_n", F.explode(F.array(*[F.lit(p) for p in probs])).alias("p"))
-    need = need.withColumn("_h", (F.col("_n") - 1) * F.col("p"))
-    need = need.select(*by, "p", F.floor("_h").cast("long").alias("_lo"), F.ceil("_h").cast("long").alias("_hi"),
-                       (F.col("_h") - F.floor("_h")).alias("_f"))
-    ranks = need.select(*by, F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("_rank")).distinct()
-    ranked = s.join(F.broadcast(cnt.select(*by, "_pid", "_off", "_first")), by + ["_pid"]) \
-              .withColumn("_rank", F.col("_off") + F.col("_mid") - F.col("_first"))
-    picked = ranked.join(F.broadcast(ranks), by + ["_rank"], "left_semi").select(*by, "_rank", "_v")
-    j = need.join(picked, by, "left")
-    g = j.groupBy(*by, "p").agg(F.max(F.when(F.col("_rank") == F.col("_lo"), F.col("_v"))).alias("_vl"),
-                                F.max(F.when(F.col("_rank") == F.col("_hi"), F.col("_v"))).alias("_vh"),
-                                F.first("_f").alias("_f"))
+    x = df.select(*by, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    s = (x.groupBy(*by, "_v").agg(F.count("*").alias("_c")).repartitionByRange(n, *by, "_v")
+          .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
+    per = s.groupBy(*by, "_pid").agg(F.sum("_c").alias("_pc"))
+    earlier = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    every = Window.partitionBy(*by)
+    rank = lambda p, f: f((F.col("_n") - 1) * p).cast("long")
+    per = (per.withColumns({"_before": F.coalesce(F.sum("_pc").over(earlier), F.lit(0)), "_n": F.sum("_pc").over(every)})
+              .select(*by, "_pid", "_before", "_n"))
+    inside = Window.partitionBy(*by, "_pid").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = _join_keys(s.withColumn("_upto", F.sum("_c").over(inside)), per, by + ["_pid"], "inner")
+    rows = rows.withColumns({"_last": F.col("_before") + F.col("_upto") - 1, "_first": F.col("_before") + F.col("_upto") - F.col("_c")})
+    held = lambda r: (r >= F.col("_first")) & (r <= F.col("_last"))
+    wants = [F.struct(F.lit(p).alias("p"), (rank(p, F.floor)).alias("lo"), (rank(p, F.ceil)).alias("hi"),
+                      ((F.col("_n") - 1) * p - F.floor((F.col("_n") - 1) * p)).alias("f")) for p in probs]
+    hits = rows.withColumn("w", F.explode(F.filter(F.array(*wants), lambda w: held(w["lo"]) | held(w["hi"]))))
+    g = hits.groupBy(*by, F.col("w.p").alias("p")).agg(
+        F.max(F.when(held(F.col("w.lo")), F.col("_v"))).alias("_vl"), F.max(F.when(held(F.col("w.hi")), F.col("_v"))).alias("_vh"),
+        F.max("w.f").alias("_f"))
     return g.select(*by, "p", (F.col("_vl") + (F.col("_vh") - F.col("_vl")) * F.col("_f")).alias("q"))
 
 
-# Largest group for which the map-based ``percentile`` aggregate is used.
-MAP_ROW_LIMIT = 2_000_000
-
-
-def resolve_method(df: DataFrame, by=(), method: str = "auto") -> str:
-    """"auto" picks the map-based exact ``percentile`` when every group is
-    proven small (one partial-aggregated count per group, max to the
-    driver), else the sort-based exact quantiles."""
-    if method != "auto":
-        return method
-    by = as_list(by)
-    g = df.groupBy(*by).agg(F.count("*").alias("_n")) if by else df.agg(F.count("*").alias("_n"))
-    n = g.agg(F.max("_n")).first()[0] or 0
-    return "exact" if n <= MAP_ROW_LIMIT else "sort"
-
-
-def quantile_table(df: DataFrame, value: str, probs, by=(), method: str = "auto") -> DataFrame:
-    """(by..., p, q) for every probability, by the chosen method."""
-    by, probs = as_list(by), [float(p) for p in as_list(probs)]
-    m = resolve_method(df.select(*by, value), by, method)
-    if m == "sort":
-        return exact_quantiles(df, value, probs, by)
-    q = (F.percentile(value, probs) if m == "exact" else F.percentile_approx(value, probs, 10000))
-    g = df.groupBy(*by).agg(q.alias("_q")) if by else df.agg(q.alias("_q"))
-    return g.select(*by, F.posexplode("_q").alias("_i", "q")).select(
-        *by, F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("_i") + 1).alias("p"), "q")
+def quantile_table(df: DataFrame, value: str, probs, by=()) -> DataFrame:
+    """(by..., p, q) for every probability."""
+    return exact_quantiles(df, value, probs, by)

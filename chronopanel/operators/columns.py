@@ -175,15 +175,11 @@ def filter_or_all(df: DataFrame, cond: Column) -> DataFrame:
 
 
 def filter_in(df: DataFrame, c: Column | str, values, key=None) -> DataFrame:
-    """P25: keep rows whose (normalised) key is in a list; short lists become
-    an IN predicate (pushed to the scan), long lists a semi join."""
+    """P25: keep rows whose key is in a list. The list is a parameter of the
+    call and becomes one IN predicate. On a plain column Spark pushes it to
+    the scan; with a normalising ``key`` it is evaluated on every row."""
     cc = F.col(c) if isinstance(c, str) else c
-    k = key(cc) if key else cc
-    vals = list(dict.fromkeys(values))
-    if len(vals) <= 1000:
-        return df.filter(k.isin(vals))
-    keys = df.sparkSession.createDataFrame([(v,) for v in vals], "_k string")
-    return df.join(F.broadcast(keys), k == F.col("_k"), "left_semi")
+    return df.filter((key(cc) if key else cc).isin(list(dict.fromkeys(values))))
 
 
 def map_labels(df: DataFrame, c: str, mapping: dict) -> DataFrame:

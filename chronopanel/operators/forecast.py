@@ -9,8 +9,9 @@ worker.
 M13 (seasonal ARIMA grid): each (series, order) pair is fitted in
 ``applyInPandas`` on the aggregated monthly series (one row per period, so
 the group size is bounded by the calendar, not by the raw rows). The fit is
-conditional least squares (Hannan-Rissanen), so BIC values are not the
-exact-likelihood values of a state-space fit.
+conditional least squares over the points that every order of the grid can
+use, so the orders' BIC values compare; they are not the exact-likelihood
+values of a state-space fit.
 """
 
 from __future__ import annotations
@@ -26,49 +27,51 @@ __all__ = ["bvar_forecast", "bvar_solve", "seasonal_grid", "DEFAULT_ORDERS", "cs
 
 
 # M12 -----------------------------------------------------------------------
+def _scales(sums: np.ndarray) -> np.ndarray:
+    """Residual standard deviation of each variable's own AR(1). ``sums`` per
+    variable: (n, sum y, sum x, sum xx, sum xy, sum yy, N, sum z, sum zz), with
+    x the lag of y and z all values. Where the AR(1) fits exactly or has no
+    degrees of freedom, the standard deviation of the values."""
+    n, y, x, xx, xy, yy, m, z, zz = np.asarray(sums, float).T
+    gram = np.stack([np.stack([n, x], -1), np.stack([x, xx], -1)], -2)
+    rhs = np.stack([y, xy], -1)[..., None]
+    beta = np.linalg.pinv(gram) @ rhs
+    fit = (yy[:, None, None] - 2 * beta.mT @ rhs + beta.mT @ gram @ beta)[:, 0, 0]
+    sd = np.sqrt(np.divide(np.maximum(fit, 0), n - 2, out=np.zeros_like(n), where=n > 2))
+    spread = np.sqrt(np.maximum(np.divide(zz - z * z / np.where(m > 0, m, 1), m - 1, out=np.zeros_like(m), where=m > 1), 0))
+    return np.where(sd > 1e-12, sd, spread)
+
+
+def minnesota_precision(sigma: np.ndarray, p: int, l1: float, l2: float, l3: float) -> np.ndarray:
+    """Prior precisions, (equation, lag, regressor): the prior variance is
+    l1^2 / lag^(2 l3) times the ratio of the variances of equation and
+    regressor, times l2^2 for other variables' lags."""
+    var = sigma ** 2
+    ratio = np.divide(var[:, None], var, out=np.full((len(var), len(var)), np.inf), where=var > 0)
+    decay = l1 ** 2 / np.arange(1, p + 1) ** (2.0 * l3)
+    cross = np.where(np.eye(len(var), dtype=bool), 1.0, l2 ** 2)
+    return 1.0 / np.maximum(decay[None, :, None] * (cross * ratio)[:, None, :], 1e-12)
+
+
 def bvar_solve(xtx, xty, ar, tail, k, p, horizon, l1, l2, l3, intercept=True):
-    """Posterior-mean coefficients and the recursive forecast of one group.
-    ``ar`` rows per variable: (n, sum y, sum y_lag, sum y_lag^2, sum y*y_lag,
-    sum y^2, T, sum_all y, sum_all y^2)."""
-    m = (1 if intercept else 0) + k * p
-    XtX = np.asarray(xtx, float).reshape(m, m)
-    XtY = np.asarray(xty, float).reshape(m, k)
-    sigma = np.zeros(k)
-    for i in range(k):
-        n, sy, sl, sll, syl, syy, T, sa, saa = ar[i]
-        A = np.array([[n, sl], [sl, sll]])
-        b = np.array([sy, syl])
-        beta = np.linalg.lstsq(A, b, rcond=None)[0]
-        rss = syy - 2 * beta @ b + beta @ A @ beta
-        sigma[i] = np.sqrt(max(rss, 0.0) / (n - 2)) if n > 2 else 0.0
-        if sigma[i] <= 1e-12:
-            var = (saa - sa * sa / T) / (T - 1) if T > 1 else 0.0
-            sigma[i] = np.sqrt(max(var, 0.0))
-    off = 1 if intercept else 0
-    B0 = np.zeros((m, k))
-    for i in range(k):
-        B0[off + i, i] = 1.0
-    B = np.zeros((m, k))
-    for i in range(k):
-        prec = np.zeros(m)
-        if intercept:
-            prec[0] = 1.0 / 100.0
-        for lag in range(1, p + 1):
-            base = l1 ** 2 / lag ** (2.0 * l3)
-            for j in range(k):
-                scale = sigma[i] ** 2 / sigma[j] ** 2 if sigma[j] > 0 else np.inf
-                v = base * scale if i == j else base * l2 ** 2 * scale
-                prec[off + (lag - 1) * k + j] = 1.0 / max(v, 1e-12)
-        Om = np.diag(prec)
-        B[:, i] = np.linalg.solve(XtX + Om, XtY[:, i] + Om @ B0[:, i])
-    hist = [list(r) for r in np.asarray(tail, float).reshape(p, k)]  # oldest first
-    out = []
-    for _ in range(horizon):
-        x = ([1.0] if intercept else []) + [v for lag in range(1, p + 1) for v in hist[-lag]]
-        nxt = np.asarray(x) @ B
-        out.append(nxt)
-        hist.append(list(nxt))
-    return np.vstack(out), B
+    """Posterior-mean coefficients and the forecast of one group, from its
+    sufficient statistics. The prior mean is a random walk for every variable;
+    a constant has variance 100. All k equations are solved as one batch, and
+    the forecast is the power of the companion matrix on the last p rows."""
+    c, m = int(intercept), int(intercept) + k * p
+    gram, moment = np.asarray(xtx, float).reshape(m, m), np.asarray(xty, float).reshape(m, k)
+    prior = np.hstack([np.full((k, c), 0.01), minnesota_precision(_scales(ar), p, l1, l2, l3).reshape(k, k * p)])
+    walk = np.hstack([np.zeros((k, c)), np.eye(k), np.zeros((k, k * (p - 1)))])
+    beta = np.linalg.solve(gram + prior[:, None, :] * np.eye(m), (moment.T + prior * walk)[..., None])[..., 0].T
+    # state: the last p rows, newest first, and a constant 1
+    size = k * p + 1
+    step = np.zeros((size, size))
+    step[:k, :k * p] = beta[c:].T
+    step[:k, -1] = beta[0] if c else 0.0
+    step[k:k * p, : k * (p - 1)] = np.eye(k * (p - 1))
+    step[-1, -1] = 1.0
+    state = np.append(np.asarray(tail, float).reshape(p, k)[::-1].ravel(), 1.0)
+    return np.stack([(np.linalg.matrix_power(step, h) @ state)[:k] for h in range(1, horizon + 1)]), beta
 
 
 def bvar_forecast(df: DataFrame, by, order: str, cols, p: int = 1, horizon: int = 12,
@@ -140,95 +143,101 @@ def _difference(y, d, D, s):
     return z
 
 
-def _lags(p, q, P, Q, s):
-    ar = list(range(1, p + 1)) + [s * i for i in range(1, P + 1)]
-    ma = list(range(1, q + 1)) + [s * i for i in range(1, Q + 1)]
-    return sorted(set(ar)), sorted(set(ma))
+def _product(short: np.ndarray, seasonal: np.ndarray, s: int, sign: float) -> np.ndarray:
+    """Coefficients of (1 + sign sum a_i L^i)(1 + sign sum b_j L^(s j)), the
+    leading 1 left out and the sign taken off again."""
+    one = np.r_[1.0, sign * short]
+    two = np.zeros(s * len(seasonal) + 1)
+    two[0] = 1.0
+    two[s::s] = sign * seasonal
+    return sign * np.convolve(one, two)[1:]
+
 
+def _filtered(z: np.ndarray, c: float, phi: np.ndarray, theta: np.ndarray) -> np.ndarray:
+    """Residuals with zero residuals before the first usable point."""
+    e = np.zeros(len(z))
+    if len(z) > len(phi):
+        e[len(phi):] = z[len(phi):] - c - sum((f * z[len(phi) - i: len(z) - i] for i, f in enumerate(phi, 1) if f), np.zeros(1))
+    lags = [(i, f) for i, f in enumerate(theta, 1) if f]
+    for t in range(len(phi), len(z)) if lags else ():
+        e[t] -= sum(f * e[t - i] for i, f in lags if t >= i)
+    return e
 
-def _residuals(z, c, phi, ar, theta, ma):
-    n = len(z)
-    e = np.zeros(n)
-    start = max(ar + ma + [0])
-    for t in range(start, n):
-        v = z[t] - c - sum(phi[i] * z[t - L] for i, L in enumerate(ar)) - sum(theta[i] * e[t - L] for i, L in enumerate(ma))
-        e[t] = v
-    return e[start:], e
 
+def max_lag_of(orders) -> int:
+    """Largest lag of the autoregressive part over a grid of orders."""
+    return max((p + s * P for (p, _, _), (P, _, _, s) in orders), default=0)
 
-def css_fit(y, order, seasonal):
-    """Hannan-Rissanen estimate of a seasonal ARMA on the differenced series
-    (seasonal terms additive in the lag set), residuals by conditional sums.
-    Returns dict(params, sigma2, llf, aic, bic, hqic, nobs) or raises."""
+
+def css_fit(y, order, seasonal, start: int | None = None, steps: int = 30):
+    """Conditional least squares of a seasonal ARMA with product polynomials
+    on the differenced series, by damped Gauss-Newton steps from zero
+    coefficients and the mean. ``start`` is the first scored point; with the
+    grid's largest lag all orders are scored on the same points. Returns
+    dict(c, phi, theta, sigma2, llf, aic, bic, hqic, nobs) or raises."""
     p, d, q = order
     P, D, Q, s = seasonal
     z = _difference(y, d, D, s)
-    ar, ma = _lags(p, q, P, Q, s)
-    n = len(z)
-    need = max(ar + ma + [0]) + 3
-    if n < need + 5:
+    start = max(p + s * P, start or 0)
+    nobs, k = len(z) - start, p + q + P + Q
+    if nobs < k + 8:
         raise ValueError("series too short")
-    e_hat = np.zeros(n)
-    if ma:
-        m = min(max(ar + ma + [1]) * 2, n // 3)
-        X = np.column_stack([np.ones(n - m)] + [z[m - L:n - L] for L in range(1, m + 1)])
-        b = np.linalg.lstsq(X, z[m:], rcond=None)[0]
-        e_hat[m:] = z[m:] - X @ b
-        st = m + max(ma + [0])
-    else:
-        st = max(ar + [0])
-    st = max(st, max(ar + [0]))
-    cols = [np.ones(n - st)] + [z[st - L:n - L] for L in ar] + [e_hat[st - L:n - L] for L in ma]
-    X = np.column_stack(cols)
-    beta = np.linalg.lstsq(X, z[st:], rcond=None)[0]
-    c, phi, theta = beta[0], beta[1:1 + len(ar)], beta[1 + len(ar):]
-    res, _ = _residuals(z, c, phi, ar, theta, ma)
-    nobs = len(res)
-    sigma2 = float(np.mean(res ** 2))
+
+    def unpack(x):
+        a, b, m, n = np.split(x[1:], np.cumsum([p, P, q]))
+        return x[0], _product(a, b, s, -1.0), _product(m, n, s, 1.0)
+
+    residuals = lambda x: _filtered(z, *unpack(x))[start:]
+    x = np.r_[z.mean(), np.zeros(k)]
+    e, damp = residuals(x), 1e-3
+    for _ in range(steps if k else 0):
+        jac = np.stack([(residuals(x + h) - e) / 1e-6 for h in 1e-6 * np.eye(k + 1)], axis=1)
+        grad, hess = jac.T @ e, jac.T @ jac
+        while True:
+            move = np.linalg.solve(hess + damp * np.diag(np.diag(hess) + 1e-12), -grad)
+            trial = x + move
+            trial[1:] = np.clip(trial[1:], -0.999, 0.999)
+            new = residuals(trial)
+            if new @ new < e @ e or damp > 1e6:
+                break
+            damp *= 10
+        gain = e @ e - new @ new
+        if gain <= 0:
+            break
+        x, e, damp = trial, new, damp / 10
+        if gain <= 1e-10 * (e @ e):
+            break
+    if not k:  # the mean is the least-squares constant over the scored points
+        x = np.r_[z[start:].mean()]
+        e = residuals(x)
+    c, phi, theta = unpack(x)
+    sigma2 = float(np.mean(e ** 2))
     with np.errstate(divide="ignore"):       # a perfect fit has sigma2 = 0, llf = +inf
-        llf = -0.5 * nobs * (np.log(2 * np.pi * sigma2) + 1.0)
-    kp = 1 + len(ar) + len(ma) + 1
-    return dict(c=float(c), phi=phi, theta=theta, ar=ar, ma=ma, sigma2=sigma2, llf=float(llf), nobs=nobs,
-                aic=float(-2 * llf + 2 * kp), bic=float(-2 * llf + kp * np.log(nobs)),
-                hqic=float(-2 * llf + 2 * kp * np.log(np.log(nobs))))
+        llf = float(-0.5 * nobs * (np.log(2 * np.pi * sigma2) + 1.0))
+    used = k + 2
+    return dict(c=float(c), phi=phi, theta=theta, sigma2=sigma2, llf=llf, nobs=nobs, aic=-2 * llf + 2 * used,
+                bic=-2 * llf + used * float(np.log(nobs)), hqic=-2 * llf + 2 * used * float(np.log(np.log(nobs))))
 
 
 def css_forecast(y, fit, order, seasonal, horizon):
-    """Recursive forecast of the differenced series (future shocks 0), then
-    the differences are integrated back to levels."""
-    p, d, q = order
-    P, D, Q, s = seasonal
-    y = np.asarray(y, float)
+    """Forecast with future shocks 0. The differences are undone by one
+    recursion: (1 - L)^d (1 - L^s)^D y = z."""
+    (_, d, _), (_, D, _, s) = order, seasonal
+    y, phi, theta = np.asarray(y, float), fit["phi"], fit["theta"]
     z = _difference(y, d, D, s)
-    _, e = _residuals(z, fit["c"], fit["phi"], fit["ar"], fit["theta"], fit["ma"])
-    zz, ee = list(z), list(e)
-    for _ in range(horizon):
-        t = len(zz)
-        v = fit["c"] + sum(fit["phi"][i] * zz[t - L] for i, L in enumerate(fit["ar"])) \
-            + sum(fit["theta"][i] * ee[t - L] for i, L in enumerate(fit["ma"]))
-        zz.append(v)
-        ee.append(0.0)
-    fz = np.asarray(zz[len(z):])
-    # undo the differences: seasonal first (inner), then regular
-    levels = [y]
-    for _ in range(d):
-        levels.append(np.diff(levels[-1]))
-    series = levels[-1]           # after regular differences
-    seas = [series]
-    for _ in range(D):
-        seas.append(seas[-1][s:] - seas[-1][:-s])
-    cur = fz
-    for lvl in range(D, 0, -1):
-        base = list(seas[lvl - 1])
-        ext = []
-        for v in cur:
-            val = v + (base + ext)[len(base) + len(ext) - s]
-            ext.append(val)
-        cur = np.asarray(ext)
-    for lvl in range(d, 0, -1):
-        last = levels[lvl - 1][-1]
-        cur = last + np.cumsum(cur)
-    return cur
+    e = np.r_[_filtered(z, fit["c"], phi, theta), np.zeros(horizon)]
+    z = np.r_[z, np.zeros(horizon)]
+    back = np.ones(1)
+    for unit in [np.array([1.0, -1.0])] * d + [np.r_[1.0, np.zeros(s - 1), -1.0]] * D:
+        back = np.convolve(back, unit)
+    back = -back[1:]
+    levels = np.r_[y, np.zeros(horizon)]
+    last = lambda x, t, w: float(x[t - len(w): t][::-1] @ w) if len(w) else 0.0
+    for h in range(horizon):
+        t = len(z) - horizon + h
+        z[t] = fit["c"] + last(z, t, phi) + last(e, t, theta)
+        levels[len(y) + h] = z[t] + last(levels, len(y) + h, back)
+    return levels[len(y):]
 
 
 def seasonal_grid(df: DataFrame, by, order: str, value: str, orders=None, horizon: int = 12) -> tuple[DataFrame, DataFrame]:
@@ -237,6 +246,7 @@ def seasonal_grid(df: DataFrame, by, order: str, value: str, orders=None, horizo
     Returns (grid results, forecasts)."""
     by = as_list(by)
     orders = orders or DEFAULT_ORDERS
+    common = max_lag_of(orders)
     spark = df.sparkSession
     og = spark.createDataFrame([(i, str(o), str(so)) for i, (o, so) in enumerate(orders)],
                                "order_id int, pdq string, pdqs string")
@@ -257,7 +267,7 @@ def seasonal_grid(df: DataFrame, by, order: str, value: str, orders=None, horizo
         o, so = orders[oid]
         key = [pdf[b].iloc[0] for b in by]
         try:
-            f = css_fit(pdf["_y"].to_numpy(), o, so)
+            f = css_fit(pdf["_y"].to_numpy(), o, so, common)
             fc = css_forecast(pdf["_y"].to_numpy(), f, o, so, horizon)
             row = key + [oid, str(o), str(so), f["bic"], f["aic"], f["hqic"], f["nobs"], "ok", list(map(float, fc))]
         except Exception as ex:  # noqa: BLE001 - failures are kept as rows

@@ -16,41 +16,34 @@ from pyspark.sql import functions as F
 from ._util import as_list
 
 __all__ = [
-    "broadcast_if_small", "repeat_for_each", "expand_entities", "merge_panel", "inner_panel", "assert_unique",
+    "repeat_for_each", "expand_entities", "merge_panel", "inner_panel", "assert_unique",
     "duplicate_keys", "checked_join", "align_periods", "asof_anchor", "disaggregate",
-    "attach_values", "train_test_gap", "missing_periods", "BROADCAST_ROW_LIMIT",
+    "attach_values", "train_test_gap", "missing_periods",
 ]
 
-# Largest row count a side may have to be broadcast explicitly.
-BROADCAST_ROW_LIMIT = 1_000_000
+# Blocks and copies of ``repeat_for_each``.
+BLOCKS, COPIES = 8, 16
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Broadcast hint only when the side is proven small: a bounded count
-    (``limit(limit+1)``) stops scanning after ``limit+1`` rows. Otherwise the
-    frame is returned unhinted and the planner picks a shuffle join."""
-    n = df.limit(limit + 1).count()
-    return F.broadcast(df) if n <= limit else df
+def repeat_for_each(df: DataFrame, small: DataFrame) -> DataFrame:
+    """Repeat every row of ``df`` once per row of ``small``, of any size.
 
-
-def repeat_for_each(df: DataFrame, small: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Repeat every row of ``df`` once per row of ``small``.
-
-    ``small`` (an entity list, a share table, a scenario table) is checked to
-    hold at most ``limit`` rows, folded into ONE array by a scalar subquery
-    and exploded next to each row: no cross join, nothing through the driver.
+    An equi-join on (block, copy): the rows of ``small`` are dealt over
+    ``BLOCKS`` blocks and stand in each of ``COPIES`` copies; a row of ``df``
+    meets every block in one copy. Spark broadcasts ``small`` where its
+    statistics allow and shuffles evenly by (block, copy) where they do not.
     """
-    n = small.limit(limit + 1).count()
-    if n > limit:
-        raise ValueError(f"dimension table has more than {limit} rows; join it on a key instead")
-    arr = small.agg(F.collect_list(F.struct(*small.columns)).alias("_a")).scalar()
-    return df.withColumn("_d", F.explode(arr)).select(*df.columns, "_d.*")
+    deal = lambda cols, n: F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in cols]), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = df.withColumn("_copy", deal(df.columns, COPIES)).withColumn("_block", every(BLOCKS))
+    right = small.withColumn("_block", deal(small.columns, BLOCKS)).withColumn("_copy", every(COPIES))
+    return left.join(right, ["_block", "_copy"]).drop("_block", "_copy")
 
 
 # J01 -----------------------------------------------------------------------
 def expand_entities(series: DataFrame, entities) -> DataFrame:
     """Repeat a national series for every entity. ``entities`` is a list of
-    names (parameter) or a one-column dimension DataFrame (checked small)."""
+    names (parameter) or a one-column dimension DataFrame."""
     if isinstance(entities, DataFrame):
         return repeat_for_each(series, entities)
     return series.withColumn("entity", F.explode(F.array(*[F.lit(e) for e in entities])))

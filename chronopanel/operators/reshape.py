@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from ._util import as_list, col
 from .joins import repeat_for_each
+from .windows import rank_columns
 
 __all__ = [
-    "sort_output", "top_k", "leaders", "preview", "union_entities", "to_long",
+    "sort_output", "top_k", "investment_ranks", "leaders", "preview", "union_entities", "to_long",
     "union_splits", "union_first", "stitch", "make_scenarios", "split_scenarios",
     "yearly_to_monthly", "future_periods", "time_split", "capped_sample",
 ]
@@ -36,19 +37,38 @@ def top_k(df: DataFrame, c: str, k: int, desc: bool = True, tie=()) -> DataFrame
     return df.orderBy(o, *[F.asc(t) for t in as_list(tie)]).limit(k)
 
 
+def investment_ranks(metrics: DataFrame) -> DataFrame:
+    """Ranks of an entity-level metrics table: stability and return (highest
+    first), volatility, size of the drawdown and scenario spread (lowest
+    first), and the sum of the last three."""
+    x = metrics.withColumn("downside_abs", F.abs("downside_max_drawdown_low"))
+    named = {"rank_stability": ("stability_score", True), "rank_return": ("expected_return_base", True), "rank_vol": ("volatility_base", False),
+             "rank_downside": ("downside_abs", False), "rank_spread": ("scenario_spread_high_minus_low", False)}
+    x = rank_columns(x, dict(named.values()), total=None)
+    x = x.withColumnsRenamed({f"rank_{c}": r for r, (c, _) in named.items()})
+    return x.withColumn("defensive_rank_sum", F.col("rank_vol") + F.col("rank_downside") + F.col("rank_spread"))
+
+
 def leaders(metrics: DataFrame, k: int = 3, entity: str = "entity") -> DataFrame:
-    """Four leader lists over an entity-level metrics table: most stable,
-    highest return, most defensive (smallest drawdown), highest risk. One
-    pass: each row is fanned out to the four boards and ranked by ONE window
-    partitioned by board."""
-    specs = [("stable", "stability_score"), ("return", "expected_return_base"),
-             ("defensive", "downside_max_drawdown_low"), ("risk", "volatility_base")]
-    arr = F.array(*[F.struct(F.lit(name).alias("board"), F.col(m).cast("double").alias("metric_value"))
-                    for name, m in specs])
-    x = metrics.select(entity, F.explode(arr).alias("s")).select("s.board", entity, "s.metric_value")
-    x = x.filter(F.col("metric_value").isNotNull())
-    w = Window.partitionBy("board").orderBy(F.desc("metric_value"), entity)
-    return x.withColumn("position", F.row_number().over(w)).filter(F.col("position") <= k)
+    """Leader boards over an entity-level metrics table: the ``k`` most stable
+    (ties by return), highest return (ties by stability) and most defensive
+    (smallest sum of the volatility, drawdown and spread ranks, ties by
+    stability), and the one with the highest risk (drawdown size, spread,
+    volatility). Missing metrics come last. One pass: each row is fanned out
+    to the boards and ranked by one window partitioned by board, of which
+    Spark keeps ``k`` rows a task before the shuffle."""
+    x = investment_ranks(metrics)
+    neg = lambda c: -F.col(c)
+    specs = [("stable", F.col("stability_score"), [neg("stability_score"), neg("expected_return_base")], k),
+             ("return", F.col("expected_return_base"), [neg("expected_return_base"), neg("stability_score")], k),
+             ("defensive", F.col("defensive_rank_sum"), [F.col("defensive_rank_sum"), neg("stability_score")], k),
+             ("risk", F.col("downside_abs"), [neg("downside_abs"), neg("scenario_spread_high_minus_low"), neg("volatility_base")], 1)]
+    arr = F.array(*[F.struct(F.lit(name).alias("board"), m.cast("double").alias("metric_value"), F.lit(n).alias("_k"),
+                             *[(o[i] if i < len(o) else F.lit(0.0)).cast("double").alias(f"_o{i}") for i in range(3)]) for name, m, o, n in specs])
+    x = x.select(entity, F.explode(arr).alias("s")).select(entity, "s.*")
+    w = Window.partitionBy("board").orderBy(*[F.asc_nulls_last(f"_o{i}") for i in range(3)], entity)
+    return (x.withColumn("position", F.row_number().over(w)).filter((F.col("position") <= k) & (F.col("position") <= F.col("_k")))
+             .select("board", entity, "metric_value", "position"))
 
 
 def preview(df: DataFrame, n: int, order=()) -> DataFrame:

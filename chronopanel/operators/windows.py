@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ._util import as_list, col
 
 __all__ = [
-    "add_lags", "yoy", "log_return", "rebase", "pct_change", "drawdown", "global_rank", "RANK_WINDOW_LIMIT",
+    "add_lags", "yoy", "log_return", "rebase", "pct_change", "drawdown", "global_rank",
     "levels_from_dlog", "tail_per_group", "rank_columns", "driver_cards",
     "upsample_linear", "month_folds", "row_folds", "fold_table",
 ]
@@ -42,22 +42,16 @@ def add_lags(df: DataFrame, by, order: str, cols, lags, mode: str = "rows",
         return df.withColumns({name.format(col=c, k=k): F.lag(c, k).over(w) for c in cols for k in lags})
     if mode != "calendar":
         raise ValueError(mode)
-    if len(lags) <= 2:
-        out = df
-        for k in lags:
-            shifted = df.select(*by, F.add_months(order, k).alias(order),
-                                *[F.col(c).alias(name.format(col=c, k=k)) for c in cols])
-            out = out.join(shifted, on=by + [order], how="left")
-        return out
-    # many lags: densify the monthly calendar of each entity once (explode of
-    # its month range + one left join), take row lags over the dense
-    # calendar (one window sort), then keep the original rows
-    rng = df.groupBy(*by).agg(F.min(order).alias("_a"), F.max(order).alias("_b"))
-    cal = rng.select(*by, F.explode(F.sequence("_a", "_b", F.expr("interval 1 month"))).alias(order))
-    dense = cal.join(df.withColumn("_present", F.lit(True)), on=by + [order], how="left")
-    w = _w(by, order)
-    dense = dense.withColumns({name.format(col=c, k=k): F.lag(c, k).over(w) for c in cols for k in lags})
-    return dense.filter(F.col("_present")).drop("_present")
+    # every row offers its values to the dates k months later; offers are
+    # gathered by (entity, date), one column per lag, and joined once
+    offers = F.array(*[F.struct(F.lit(k).alias("k"), F.add_months(order, k).alias("d")) for k in lags])
+    src = df.select(*by, *cols, F.explode(offers).alias("_s"))
+    picked = src.groupBy(*by, F.col("_s.d").alias(order)).agg(
+        *[F.max(F.when(F.col("_s.k") == k, F.col(c))).alias(name.format(col=c, k=k)) for k in lags for c in cols])
+    r = picked.select(*[F.col(x).alias(f"_r_{x}") for x in [*by, order]], *[name.format(col=c, k=k) for k in lags for c in cols])
+    # the join key is the row's own date as a date, so that dates off the month grid find theirs too
+    cond = [df[x].eqNullSafe(F.col(f"_r_{x}")) for x in by] + [F.to_date(df[order]) == F.col(f"_r_{order}")]
+    return df.join(r, cond, "left").drop(*[f"_r_{x}" for x in [*by, order]])
 
 
 # W02-W05 -------------------------------------------------------------------
@@ -109,10 +103,6 @@ def tail_per_group(df: DataFrame, by, order: str, n: int) -> DataFrame:
 
 
 # W09 -----------------------------------------------------------------------
-# Largest table ranked with a single ordered window.
-RANK_WINDOW_LIMIT = 1_000_000
-
-
 def global_rank(df: DataFrame, c: str, desc: bool = False, out: str | None = None) -> DataFrame:
     """``rank()`` ("min" method) of ``c`` over the whole table without a
     single-partition window: the distinct values and their counts are
@@ -135,18 +125,15 @@ def global_rank(df: DataFrame, c: str, desc: bool = False, out: str | None = Non
     return df.join(r, c, "left")
 
 
-def rank_columns(df: DataFrame, specs: dict, by=(), total: str | None = "rank_sum",
-                 window_limit: int = RANK_WINDOW_LIMIT) -> DataFrame:
+def rank_columns(df: DataFrame, specs: dict, by=(), total: str | None = "rank_sum") -> DataFrame:
     """``rank()`` ("min" method) of each column; spec value ``True`` means
     descending. Missing values get no rank. Optional rank sum. With group
-    keys the window is partitioned by them; a global ranking uses one
-    ordered window only when the table is proven small (bounded count),
-    otherwise ``global_rank`` (distributed)."""
+    keys the window is partitioned by them; a ranking over the whole table is
+    always distributed (``global_rank``)."""
     by = as_list(by)
     out = df
-    small = bool(by) or df.limit(window_limit + 1).count() <= window_limit
     for c, desc in specs.items():
-        if small:
+        if by:
             o = F.desc(c) if desc else F.asc(c)
             w = Window.partitionBy(*by, F.col(c).isNull()).orderBy(o)
             out = out.withColumn(f"rank_{c}", F.when(F.col(c).isNotNull(), F.rank().over(w)).cast("bigint"))
@@ -204,17 +191,19 @@ def fold_table(periods: DataFrame, period: str, n_splits: int, min_train: int, v
     DataFrame of distinct periods (small: one row per month)."""
     p = periods.select(period).distinct()
     p = p.withColumn("_pos", F.dense_rank().over(Window.orderBy(period)) - 1)
-    total = p.select(F.count("*")).scalar()
+    p = p.withColumn("_total", p.select(F.count("*")).scalar())
+    total = F.col("_total")
     max_end = total - val
-    folds = p.sparkSession.range(n_splits).select(F.col("id").cast("int").alias("fold"))
     # train_end = int(linspace(min_train, max_end, n_splits)[fold]) (truncation toward 0)
-    step = F.when(F.lit(n_splits) > 1, (max_end - F.lit(min_train)) / F.lit(max(n_splits - 1, 1))).otherwise(0)
-    te = F.when(F.col("fold") == n_splits - 1, F.lit(max_end)).otherwise(
-        F.floor(F.lit(min_train) + step * F.col("fold")))
-    folds = folds.withColumn("train_end", te.cast("int"))
-    j = folds.join(p, (p["_pos"] < folds["train_end"] + val))
-    role = F.when(F.col("_pos") < F.col("train_end"), "train").otherwise("validation")
-    return j.select("fold", period, role.alias("role"), "train_end")
+    step = (max_end - F.lit(min_train)) / F.lit(max(n_splits - 1, 1)) if n_splits > 1 else F.lit(0)
+    ends = [F.when(F.lit(i == n_splits - 1), max_end).otherwise(F.floor(F.lit(min_train) + step * i)).cast("int") for i in range(n_splits)]
+    few = F.raise_error(F.format_string("%s months are too few for %s folds with %s training and %s validation months",
+                                        total, F.lit(n_splits), F.lit(min_train), F.lit(val)))
+    folds = F.array(*[F.struct(F.lit(i).cast("int").alias("fold"), e.alias("train_end")) for i, e in enumerate(ends)])
+    p = p.withColumn("_folds", F.when(max_end >= min_train, folds).otherwise(few.cast("array<struct<fold:int,train_end:int>>")))
+    j = p.withColumn("_f", F.explode(F.filter("_folds", lambda f: F.col("_pos") < f["train_end"] + val)))
+    role = F.when(F.col("_pos") < F.col("_f.train_end"), "train").otherwise("validation")
+    return j.select(F.col("_f.fold").alias("fold"), period, role.alias("role"), F.col("_f.train_end").alias("train_end"))
 
 
 def month_folds(df: DataFrame, period: str, n_splits: int = 5, min_train: int = 24, val: int = 6) -> DataFrame:
@@ -252,9 +241,9 @@ def row_folds(df: DataFrame, order, n_splits: int = 5, index: str = "row_idx") -
     x = _global_index(df, order, index)
     n = x.select(F.count("*")).scalar()
     t = F.floor(n / (n_splits + 1))
-    folds = df.sparkSession.range(n_splits).select(F.col("id").cast("int").alias("fold"))
-    start = n - (F.lit(n_splits) - F.col("fold")) * t
-    folds = folds.withColumn("val_start", start.cast("bigint")).withColumn("val_end", (start + t).cast("bigint"))
-    j = x.join(F.broadcast(folds), x[index] < folds["val_end"])
-    role = F.when(F.col(index) < F.col("val_start"), "train").otherwise("validation")
-    return j.withColumn("role", role).drop("val_start", "val_end")
+    x = x.withColumn("_t", t.cast("bigint")).withColumn("_n", n)
+    start = [F.col("_n") - F.lit(n_splits - i) * F.col("_t") for i in range(n_splits)]
+    folds = F.array(*[F.struct(F.lit(i).cast("int").alias("fold"), v.alias("val_start")) for i, v in enumerate(start)])
+    j = x.withColumn("_f", F.explode(F.filter(folds, lambda f: F.col(index) < f["val_start"] + F.col("_t"))))
+    role = F.when(F.col(index) < F.col("_f.val_start"), "train").otherwise("validation")
+    return j.withColumn("fold", F.col("_f.fold")).withColumn("role", role).drop("_f", "_t", "_n")

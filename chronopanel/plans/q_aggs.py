@@ -165,7 +165,8 @@ def benchmark_profile(t):
 
 @register("investment_metrics", "A14 W05 W06", materialize=["nation_month"], ctes=["scenario_fc"], digits={
     "current_price_base": 4, "forecast_price_base_h": 4, "expected_return_base": 9, "volatility_base": 9,
-    "downside_max_drawdown_low": 9, "scenario_spread_high_minus_low": 4, "stability_score": 9}, sql="""
+    "downside_max_drawdown_low": 9, "scenario_spread_high_minus_low": 4, "stability_score": 9, "expected_return_base_pct": 2,
+    "downside_max_drawdown_low_pct": 2}, sql="""
 x AS (SELECT entity, period, lower(trim(scenario)) AS sc, pred AS p FROM scenario_fc),
 a AS (SELECT entity, coalesce(min(CASE WHEN sc = 'base' THEN period END), min(period)) AS anchor FROM x GROUP BY 1),
 w AS (SELECT x.*, a.anchor FROM x JOIN a ON x.entity = a.entity
@@ -185,7 +186,9 @@ SELECT entity, strftime(anchor, '%Y-%m') AS anchor_month, CAST(12 AS BIGINT) AS
        CASE WHEN nr >= 2 THEN vol END AS volatility_base,
        CASE WHEN nl >= 2 THEN dd END AS downside_max_drawdown_low,
        hi_last - lo_last AS scenario_spread_high_minus_low,
-       CASE WHEN nr >= 2 AND vol > 0 THEN (CASE WHEN p0 <> 0 THEN (pt - p0) / p0 END) / vol END AS stability_score
+       CASE WHEN nr >= 2 AND vol > 0 THEN (CASE WHEN p0 <> 0 THEN (pt - p0) / p0 END) / vol END AS stability_score,
+       round_even(CASE WHEN p0 <> 0 THEN (pt - p0) / p0 END * 100, 2) AS expected_return_base_pct,
+       round_even(CASE WHEN nl >= 2 THEN dd END * 100, 2) AS downside_max_drawdown_low_pct
 FROM g WHERE nb >= 2""")
 def investment_metrics(t):
     return A.investment_metrics(P.scenario_fc(t))
@@ -206,7 +209,7 @@ def top_drivers(t):
 g AS (SELECT entity, scenario, feature, avg(shap_value) AS mean_shap, avg(abs(shap_value)) AS mean_abs_shap
       FROM attrib_long GROUP BY 1, 2, 3),
 s AS (SELECT *, CASE WHEN mean_shap > 0 THEN 'up' WHEN mean_shap < 0 THEN 'down' END AS side FROM g),
-r AS (SELECT *, row_number() OVER (PARTITION BY entity, scenario, side ORDER BY mean_abs_shap DESC, feature) AS rank
+r AS (SELECT *, row_number() OVER (PARTITION BY entity, scenario, side ORDER BY CASE WHEN side = 'up' THEN -mean_abs_shap ELSE mean_shap END, feature) AS rank
       FROM s WHERE side IS NOT NULL)
 SELECT entity, scenario, feature, mean_shap, mean_abs_shap, side, CAST(rank AS BIGINT) AS rank FROM r WHERE rank <= 3""")
 def horizon_drivers(t):
@@ -263,11 +266,8 @@ UNION ALL SELECT 'scenario', count(DISTINCT scenario), min(scenario), max(scenar
 UNION ALL SELECT 'period', count(DISTINCT period), CAST(min(period) AS VARCHAR), CAST(max(period) AS VARCHAR) FROM scenario_fc""")
 def available_values(t):
     fc = P.scenario_fc(t).withColumn("period", F.col("period").cast("string"))
-    av = A.available(fc, ["entity", "scenario", "period"])
-    arr = F.array(*[F.struct(F.lit(c).alias("column"), F.size(c).cast("bigint").alias("n_values"),
-                             F.element_at(c, 1).alias("first_value"), F.element_at(c, -1).alias("last_value"))
-                    for c in ("entity", "scenario", "period")])
-    return av.select(F.explode(arr).alias("s")).select("s.*")
+    return A.available(fc, ["entity", "scenario", "period"]).groupBy("column").agg(
+        F.count("value").alias("n_values"), F.min("value").alias("first_value"), F.max("value").alias("last_value"))
 
 
 @register("scenario_fan", "A22", materialize=["nation_month"], ctes=["scenario_fc"], digits={

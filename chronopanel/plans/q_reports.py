@@ -165,7 +165,7 @@ rep0 AS (SELECT p.*, a.anchor_period, a.current_price,
          FROM path p LEFT JOIN anc a ON p.entity = a.entity),
 hg AS (SELECT entity, scenario, feature, avg(shap_value) AS mean_shap, avg(abs(shap_value)) AS mean_abs_shap FROM attrib_long GROUP BY 1, 2, 3),
 hs AS (SELECT *, CASE WHEN mean_shap > 0 THEN 'up' WHEN mean_shap < 0 THEN 'down' END AS side FROM hg),
-hd AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY entity, scenario, side ORDER BY mean_abs_shap DESC, feature) AS rank
+hd AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY entity, scenario, side ORDER BY CASE WHEN side = 'up' THEN -mean_abs_shap ELSE mean_shap END, feature) AS rank
                       FROM hs WHERE side IS NOT NULL) WHERE rank <= 3),
 lists AS (SELECT entity, scenario,
                  array_to_string(list(feature ORDER BY rank) FILTER (WHERE side = 'up'), ', ') AS drivers_up,
@@ -213,19 +213,12 @@ def compare_entities(t):
 
 
 @register("investment_insight", "Q05 W09 L03 A14", materialize=["nation_month"], ctes=["scenario_fc"],
-          sql=_INV_SQL + ",\n" + _leaders_sql(3) .replace(
-              "SELECT board, entity, metric_value, position FROM b WHERE position <= 3", """,
-lb AS (SELECT entity, array_to_string(list_sort(list(board)), ',') AS boards FROM b WHERE position <= 3 GROUP BY entity),
-rk AS (SELECT entity,
-              CASE WHEN stability_score IS NOT NULL THEN rank() OVER (PARTITION BY stability_score IS NULL ORDER BY stability_score DESC) END AS rank_stability_score,
-              CASE WHEN expected_return_base IS NOT NULL THEN rank() OVER (PARTITION BY expected_return_base IS NULL ORDER BY expected_return_base DESC) END AS rank_expected_return_base,
-              CASE WHEN downside_max_drawdown_low IS NOT NULL THEN rank() OVER (PARTITION BY downside_max_drawdown_low IS NULL ORDER BY downside_max_drawdown_low DESC) END AS rank_downside_max_drawdown_low
-       FROM inv)
-SELECT rk.entity, rank_stability_score, rank_expected_return_base, rank_downside_max_drawdown_low,
-       CAST(rank_stability_score + rank_expected_return_base + rank_downside_max_drawdown_low AS BIGINT) AS rank_sum,
-       coalesce(lb.boards, '') AS boards,
-       CASE WHEN rank_stability_score = 1 THEN 'most stable' WHEN rank_expected_return_base = 1 THEN 'highest return'
-            WHEN rank_downside_max_drawdown_low = 1 THEN 'most defensive' ELSE 'balanced' END AS profile
+          sql=_INV_SQL + _leaders_sql(3, """,
+lb AS (SELECT entity, array_to_string(list_sort(list(board)), ',') AS boards,
+              min(CASE WHEN position = 1 THEN CASE board WHEN 'stable' THEN 0 WHEN 'return' THEN 1 WHEN 'defensive' THEN 2 ELSE 3 END END) AS first_board
+       FROM b WHERE keep GROUP BY entity)
+SELECT rk.entity, rank_stability, rank_return, rank_vol, rank_downside, rank_spread, defensive_rank_sum, coalesce(lb.boards, '') AS boards,
+       CASE first_board WHEN 0 THEN 'most stable' WHEN 1 THEN 'highest return' WHEN 2 THEN 'most defensive' WHEN 3 THEN 'highest risk' ELSE 'balanced' END AS profile
 FROM rk LEFT JOIN lb ON rk.entity = lb.entity"""))
 def investment_insight(t):
     return Rp.investment_insight(A.investment_metrics(P.scenario_fc(t)), k=3)

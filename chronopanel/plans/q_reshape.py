@@ -43,7 +43,8 @@ r AS (SELECT *, p / lag(p) OVER (PARTITION BY entity, sc ORDER BY period) - 1 AS
 g AS (SELECT entity, count_if(sc = 'base') AS nb, count_if(sc = 'low') AS nl,
              arg_min(p, period) FILTER (WHERE sc = 'base') AS p0, arg_max(p, period) FILTER (WHERE sc = 'base') AS pt,
              stddev_samp(ret) FILTER (WHERE sc = 'base') AS vol, count(ret) FILTER (WHERE sc = 'base') AS nr,
-             min(dd) FILTER (WHERE sc = 'low') AS dd
+             min(dd) FILTER (WHERE sc = 'low') AS dd,
+             arg_max(p, period) FILTER (WHERE sc = 'high') - arg_max(p, period) FILTER (WHERE sc = 'low') AS spread
       FROM r GROUP BY entity),
 inv AS (SELECT entity, CASE WHEN p0 <> 0 THEN (pt - p0) / p0 END AS expected_return_base,
                CASE WHEN nr >= 2 THEN vol END AS volatility_base,
@@ -52,16 +53,28 @@ inv AS (SELECT entity, CASE WHEN p0 <> 0 THEN (pt - p0) / p0 END AS expected_ret
         FROM g WHERE nb >= 2)"""
 
 
-def _leaders_sql(k=3):
-    parts = []
-    for name, m in (("stable", "stability_score"), ("return", "expected_return_base"),
-                    ("defensive", "downside_max_drawdown_low"), ("risk", "volatility_base")):
-        parts.append(f"""SELECT '{name}' AS board, entity, {m} AS metric_value,
-       row_number() OVER (ORDER BY {m} DESC NULLS LAST, entity) AS position FROM inv WHERE {m} IS NOT NULL""")
-    return "b AS (" + "\nUNION ALL\n".join(parts) + f")\nSELECT board, entity, metric_value, position FROM b WHERE position <= {k}"
+# Ranks count the better rows; a missing metric has no rank.
+_RANKS = ("rank_stability", "stability_score", "DESC"), ("rank_return", "expected_return_base", "DESC"), ("rank_vol", "volatility_base", ""), \
+    ("rank_downside", "downside_abs", ""), ("rank_spread", "spread", "")
 
 
-@register("leaders", "L03 A14", materialize=["nation_month"], ctes=["scenario_fc"], digits={"metric_value": 9}, sql=_INV_SQL + ",\n" + _leaders_sql())
+def _leaders_sql(k=3, then="\nSELECT board, entity, metric_value, position FROM b WHERE keep"):
+    ranks = ", ".join(f"CASE WHEN {c} IS NOT NULL THEN rank() OVER (PARTITION BY {c} IS NULL ORDER BY {c} {d}) END AS {r}" for r, c, d in _RANKS)
+    boards = "\nUNION ALL ".join(
+        f"SELECT '{name}' AS board, entity, CAST({m} AS DOUBLE) AS metric_value, row_number() OVER (ORDER BY {o}, entity) AS position, {n} AS k FROM rk"
+        for name, m, o, n in (("stable", "stability_score", "stability_score DESC NULLS LAST, expected_return_base DESC NULLS LAST", k),
+                              ("return", "expected_return_base", "expected_return_base DESC NULLS LAST, stability_score DESC NULLS LAST", k),
+                              ("defensive", "defensive_rank_sum", "defensive_rank_sum NULLS LAST, stability_score DESC NULLS LAST", k),
+                              ("risk", "downside_abs", "downside_abs DESC NULLS LAST, spread DESC NULLS LAST, volatility_base DESC NULLS LAST", 1)))
+    return f""",
+iv AS (SELECT inv.*, abs(downside_max_drawdown_low) AS downside_abs, g.spread FROM inv JOIN g ON g.entity = inv.entity),
+rk0 AS (SELECT *, {ranks} FROM iv),
+rk AS (SELECT *, CAST(rank_vol + rank_downside + rank_spread AS BIGINT) AS defensive_rank_sum FROM rk0),
+b0 AS ({boards}),
+b AS (SELECT *, position <= k AS keep FROM b0)""" + then
+
+
+@register("leaders", "L03 A14", materialize=["nation_month"], ctes=["scenario_fc"], digits={"metric_value": 9}, sql=_INV_SQL + _leaders_sql())
 def leaders(t):
     return R.leaders(A.investment_metrics(P.scenario_fc(t)), k=3)
 
@@ -110,10 +123,8 @@ def union_splits(t):
     return R.union_splits(a, b, drop_missing_cols=["avg_price_lag1"])
 
 
-@register("union_first", "U04 L03", materialize=["nation_month"], ctes=["scenario_fc"], digits={"metric_value": 9}, sql=_INV_SQL + ",\n" + _leaders_sql(3)
-          .replace("SELECT board, entity, metric_value, position FROM b WHERE position <= 3", """,
-lb AS (SELECT *, CASE board WHEN 'stable' THEN 0 WHEN 'return' THEN 1 WHEN 'defensive' THEN 2 ELSE 3 END AS src
-       FROM b WHERE position <= 3),
+@register("union_first", "U04 L03", materialize=["nation_month"], ctes=["scenario_fc"], digits={"metric_value": 9}, sql=_INV_SQL + _leaders_sql(3, """,
+lb AS (SELECT *, CASE board WHEN 'stable' THEN 0 WHEN 'return' THEN 1 WHEN 'defensive' THEN 2 ELSE 3 END AS src FROM b WHERE keep),
 f AS (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY src, position) AS rn FROM lb)
 SELECT board, entity, metric_value, position FROM f WHERE rn = 1 ORDER BY src, position, entity LIMIT 6"""))
 def union_first(t):

@@ -162,21 +162,35 @@ def test_sort_based_quantiles_match_map_based_with_hot_group(spark):
     df = spark.range(3000).select(F.when(F.col("id") < 1000, "hot").otherwise(
         F.concat(F.lit("k"), (F.col("id") % 7).cast("string"))).alias("g"),
         (F.sin(F.col("id")) * 100).alias("v")).repartition(6)
+    # and repeated values, missing values and a missing group key
+    df = df.union(df.select("g", F.round("v", -1).alias("v"))).union(
+        spark.createDataFrame([("hot", None), (None, 1.0), (None, 2.0), ("hot", float("nan"))], "g string, v double"))
     probs = [0.0, 0.01, 0.25, 0.5, 0.9, 1.0]
-    a = {(r.g, r.p): r.q for r in A.quantile_table(df, "v", probs, ["g"], method="exact").collect()}
-    b = {(r.g, r.p): r.q for r in A.quantile_table(df, "v", probs, ["g"], method="sort").collect()}
-    assert a.keys() == b.keys()
-    assert all(abs(a[k] - b[k]) < 1e-9 for k in a)
-    w1 = A.winsorized_mean(df, "v", 0.05, method="exact").first()[0]
-    w2 = A.winsorized_mean(df, "v", 0.05, method="sort").first()[0]
-    assert abs(w1 - w2) < 1e-9
+    d = df.where("v is not null and not isnan(v)")
+    a = {r.g: r.q for r in d.groupBy("g").agg(F.percentile("v", probs).alias("q")).collect()}
+    b = {(r.g, r.p): r.q for r in A.quantile_table(df, "v", probs, ["g"]).collect()}
+    assert {(g, p) for g in a for p in probs} == set(b)
+    assert all(abs(a[g][probs.index(p)] - q) < 1e-9 for (g, p), q in b.items())
+    lo, hi = d.agg(F.percentile("v", [0.05, 0.95])).first()[0]
+    w1 = d.agg(F.avg(F.greatest(F.lit(lo), F.least(F.lit(hi), "v")))).first()[0]
+    assert abs(w1 - A.winsorized_mean(df, "v", 0.05).first()[0]) < 1e-9
+    m = {r.g: r.v for r in A.series_by(df, "g", "v", "median").collect()}
+    assert m[None] == 1.5 and abs(m["hot"] - a["hot"][3]) < 1e-9
+
+
+def test_describe_keeps_a_column_without_values(spark):
+    df = spark.range(10).select(F.col("id").cast("double").alias("a"), F.lit(None).cast("double").alias("b"))
+    r = {x.column: x for x in A.describe_numeric(df, ["a", "b"]).collect()}
+    assert r["a"].p50 == 4.5 and r["b"]["count"] == 0 and r["b"].p50 is None
 
 
 def test_global_rank_matches_window_rank(spark):
     df = spark.range(500).select((F.col("id") % 37).cast("double").alias("v"), "id").union(
         spark.createDataFrame([(None, 999)], "v double, id long")).repartition(5)
-    a = {r.id: r.rank_v for r in W.rank_columns(df, {"v": True}, total=None).collect()}
-    b = {r.id: r.rank_v for r in W.rank_columns(df, {"v": True}, total=None, window_limit=10).collect()}
+    from pyspark.sql import Window
+    w = Window.partitionBy(F.col("v").isNull()).orderBy(F.desc("v"))
+    a = {r.id: r.r for r in df.withColumn("r", F.when(F.col("v").isNotNull(), F.rank().over(w))).collect()}
+    b = {r.id: r.rank_v for r in W.rank_columns(df, {"v": True}, total=None).collect()}
     assert a == b and a[999] is None
 
 
@@ -191,3 +205,48 @@ def test_calendar_lags_dense_path_matches_joins(spark):
     for r in got:
         for k in (1, 2, 3):
             assert r[f"v_lag{k}"] == few[k][(r.entity, r.period)]
+
+
+def test_calendar_lags_keep_rows_off_the_month_grid(spark):
+    rows = [("a", D(2020, 1, 31), 1.0), ("a", D(2020, 2, 29), 2.0), ("a", D(2020, 3, 15), 3.0), ("a", D(2020, 4, 15), 4.0),
+            (None, D(2020, 1, 1), 5.0), (None, D(2020, 2, 1), 6.0)]
+    df = spark.createDataFrame(rows, "entity string, period date, v double")
+    for lags in ([1], [1, 2, 3, 12, 24]):
+        got = {(r.entity, r.period): r.v_lag1 for r in W.add_lags(df, "entity", "period", ["v"], lags, mode="calendar").collect()}
+        assert got == {("a", D(2020, 1, 31)): None, ("a", D(2020, 2, 29)): 1.0, ("a", D(2020, 3, 15)): None,
+                       ("a", D(2020, 4, 15)): 3.0, (None, D(2020, 1, 1)): None, (None, D(2020, 2, 1)): 5.0}
+
+
+def test_too_few_months_for_the_folds(spark):
+    df = spark.createDataFrame([(D(2020, m, 1),) for m in range(1, 8)], "period date")
+    with pytest.raises(Exception, match="too few"):
+        W.month_folds(df, "period", n_splits=3, min_train=5, val=4).collect()
+
+
+def test_folds_need_no_join_over_rows(spark):
+    df = spark.range(50).select(F.col("id"), F.add_months(F.lit("2020-01-01").cast("date"), F.col("id").cast("int")).alias("period"))
+    for out in (W.row_folds(df, ["id"], 5), W.month_folds(df, "period", 3, 20, 5)):
+        assert "NestedLoop" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_repeat_for_each_has_no_size_limit(spark):
+    from chronopanel.operators.joins import repeat_for_each
+    a, b = spark.range(7).withColumnRenamed("id", "a"), spark.range(3000).withColumnRenamed("id", "b")
+    for small in (b, b.repartition(5)):
+        out = repeat_for_each(a, small)
+        assert out.count() == 21000 and out.distinct().count() == 21000 and out.columns == ["a", "b"]
+
+
+def test_best_order_of_simulated_seasonal_series():
+    import numpy as np
+    from chronopanel.operators import forecast as FC
+    g, wins = np.random.default_rng(3), 0
+    for _ in range(10):
+        y = np.zeros(109)
+        e = g.standard_normal(109)
+        for t in range(13, 109):
+            y[t] = e[t] + y[t - 1] + y[t - 12] - y[t - 13]
+        fits = [(FC.css_fit(y, *o, FC.max_lag_of(FC.DEFAULT_ORDERS)), o) for o in FC.DEFAULT_ORDERS]
+        assert len({f["nobs"] for f, _ in fits}) == 1
+        wins += min(fits, key=lambda x: x[0]["bic"])[1] == ((0, 1, 0), (0, 1, 0, 12))
+    assert wins >= 7
