@@ -1,23 +1,27 @@
-"""Tree attributions (M14): path-dependent TreeSHAP for Spark tree ensembles.
-
-The fitted trees are exported once to flat arrays (size bounded by the
-model, not the data) and shipped to executors inside the mapInPandas
-closure; rows are explained partition by partition and unpivoted to the
-long attribution table (entity keys, feature, shap_value, feature_value,
-abs_shap, direction, pred, base_value). Additivity holds per row:
-pred = base_value + sum(shap_value).
+"""Tree attributions (M14): path-dependent Shapley values for Spark tree
+ensembles.
+
+The fitted trees are exported once to flat arrays, and every root-to-leaf
+path is reduced to its conditions (size bounded by the model, not the data).
+Tasks read the assembled feature vector and evaluate each leaf for a whole
+Arrow batch at a time. Output is the long attribution table (keys, feature,
+feature_value, shap_value, abs_shap, direction, pred, base_value); slots are
+named by the vector's ML attributes, so one-hot categories are explained like
+any other feature. Additivity holds per row: pred = base_value + sum.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
-import pandas as pd
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._util import as_list
 
-__all__ = ["export_trees", "tree_shap_row", "expected_value", "tree_shap", "conditional_expectation"]
+__all__ = ["export_trees", "leaf_paths", "shap_values", "expected_value", "tree_shap", "conditional_expectation"]
 
 
 def export_trees(model) -> list[dict]:
@@ -27,8 +31,9 @@ def export_trees(model) -> list[dict]:
 
     The model is written with Spark ML's own writer to the shared checkpoint
     folder and its node table is read back with one Spark job, so a forest
-    of hundreds of deep trees is exported without per-node driver calls.
-    Splits must be continuous (``x <= threshold`` goes left)."""
+    of hundreds of deep trees is exported without per-node driver calls. A
+    continuous split sends ``x <= threshold`` left; a categorical one (one-hot
+    slots) sends the values of ``left_set`` left."""
     import uuid
 
     from pyspark.sql import SparkSession
@@ -43,8 +48,6 @@ def export_trees(model) -> list[dict]:
     rows = nodes.select("treeID", "nodeData.id", "nodeData.prediction", "nodeData.impurityStats",
                         "nodeData.leftChild", "nodeData.rightChild", "nodeData.split.featureIndex",
                         "nodeData.split.leftCategoriesOrThreshold", "nodeData.split.numCategories").toPandas()
-    if (rows["numCategories"].fillna(-1) >= 0).any():
-        raise ValueError("categorical splits are not supported; assemble numeric features")
     n_trees = int(rows["treeID"].max()) + 1
     weights = list(model.treeWeights) if hasattr(model, "treeWeights") else [1.0]
     is_forest = type(model).__name__.startswith("RandomForest")
@@ -56,10 +59,13 @@ def export_trees(model) -> list[dict]:
         right = t["rightChild"].to_numpy().astype(int)
         leaf = left < 0
         feat = np.where(leaf, -1, t["featureIndex"].fillna(-1).to_numpy().astype(int))
-        thr = np.array([float(v[0]) if (v is not None and len(v)) else 0.0 for v in t["leftCategoriesOrThreshold"]])
+        cat = t["numCategories"].fillna(-1).to_numpy() >= 0
+        given = [list(v) if v is not None else [] for v in t["leftCategoriesOrThreshold"]]
+        thr = np.array([float(v[0]) if v and not c else 0.0 for v, c in zip(given, cat)])
         cover = np.array([float(v[0]) for v in t["impurityStats"]])
         assert (t["id"].to_numpy() == np.arange(n)).all()
         out.append(dict(left=left, right=right, feature=feat, threshold=np.where(leaf, 0.0, thr),
+                        left_set=[np.array(v, float) if c and not end else None for v, c, end in zip(given, cat, leaf)],
                         value=t["prediction"].to_numpy().astype(float), cover=cover,
                         weight=(1.0 / n_trees) if is_forest else float(weights[tid])))
     return out
@@ -71,70 +77,56 @@ def expected_value(tree: dict) -> float:
     return float(np.sum(tree["value"][leaves] * tree["cover"][leaves]) / np.sum(tree["cover"][leaves]))
 
 
-def _goes_left(tree, node, x) -> bool:
-    v = x[tree["feature"][node]]
-    return bool(v <= tree["threshold"][node])  # NaN goes right, like Spark
-
-
-def tree_shap_row(tree: dict, x: np.ndarray, phi: np.ndarray) -> None:
-    """Add the path-dependent Shapley values of one tree for one row to phi
-    (Lundberg, Erion & Lee 2018, Algorithm 2)."""
-    L, R, feat, val, cov = tree["left"], tree["right"], tree["feature"], tree["value"], tree["cover"]
-
-    def extend(path, pz, po, pi):
-        d = len(path["f"])
-        path["f"].append(pi), path["z"].append(pz), path["o"].append(po), path["w"].append(1.0 if d == 0 else 0.0)
-        w = path["w"]
-        for i in range(d - 1, -1, -1):
-            w[i + 1] += po * w[i] * (i + 1) / (d + 1)
-            w[i] = pz * w[i] * (d - i) / (d + 1)
-
-    def unwind(path, k):
-        d = len(path["f"]) - 1
-        o, z, w = path["o"][k], path["z"][k], path["w"]
-        nxt = w[d]
-        for i in range(d - 1, -1, -1):
-            if o != 0:
-                tmp = w[i]
-                w[i] = nxt * (d + 1) / ((i + 1) * o)
-                nxt = tmp - w[i] * z * (d - i) / (d + 1)
-            else:
-                w[i] = w[i] * (d + 1) / (z * (d - i))
-        for key in ("f", "z", "o"):
-            del path[key][k]
-        w.pop()
-
-    def unwound_sum(path, k):
-        d = len(path["f"]) - 1
-        o, z, w = path["o"][k], path["z"][k], path["w"]
-        nxt, total = w[d], 0.0
-        for i in range(d - 1, -1, -1):
-            if o != 0:
-                tmp = nxt * (d + 1) / ((i + 1) * o)
-                total += tmp
-                nxt = w[i] - tmp * z * (d - i) / (d + 1)
-            else:
-                total += (w[i] / z) / ((d - i) / (d + 1))
-        return total
-
-    def recurse(node, path, pz, po, pi):
-        path = {k: list(v) for k, v in path.items()}
-        extend(path, pz, po, pi)
-        if L[node] < 0:
-            for k in range(1, len(path["f"])):
-                phi[path["f"][k]] += unwound_sum(path, k) * (path["o"][k] - path["z"][k]) * val[node]
-            return
-        hot, cold = (L[node], R[node]) if _goes_left(tree, node, x) else (R[node], L[node])
-        iz, io = 1.0, 1.0
-        f = feat[node]
-        if f in path["f"][1:]:
-            k = path["f"].index(f, 1)
-            iz, io = path["z"][k], path["o"][k]
-            unwind(path, k)
-        recurse(hot, path, cov[hot] / cov[node] * iz, io, f)
-        recurse(cold, path, cov[cold] / cov[node] * iz, 0.0, f)
-
-    recurse(0, {"f": [], "z": [], "o": [], "w": []}, 1.0, 1.0, -1)
+def _left(tree: dict, node: int, v):
+    """Do the values go left? NaN goes right, like in Spark."""
+    own = tree["left_set"][node] if "left_set" in tree else None
+    return np.isin(v, own) if own is not None else v <= tree["threshold"][node]
+
+
+def leaf_paths(tree: dict) -> list[tuple[float, list[tuple[int, float, list]]]]:
+    """Per leaf: its value and, for each feature on its path, (feature, share,
+    conditions). ``share`` is the product of the cover ratios at the feature's
+    splits: the chance to stay on the path when the feature is unknown. A
+    condition is (node, stays left)."""
+    out, todo = [], [(0, {})]
+    while todo:
+        node, seen = todo.pop()
+        if tree["left"][node] < 0:
+            out.append((float(tree["value"][node]), [(f, z, c) for f, (z, c) in seen.items()]))
+            continue
+        f = int(tree["feature"][node])
+        z, c = seen.get(f, (1.0, []))
+        for child, left in ((tree["left"][node], True), (tree["right"][node], False)):
+            todo.append((int(child), {**seen, f: (z * float(tree["cover"][child] / tree["cover"][node]), [*c, (node, left)])}))
+    return out
+
+
+def shap_values(tree: dict, x: np.ndarray, paths=None) -> np.ndarray:
+    """Shapley values (rows x features) of one tree under its cover
+    distribution. A leaf with d path features is the game v(S) = value *
+    prod(S: o) * prod(not S: z), with o = 1 where the row meets the feature's
+    conditions. Its Shapley value for feature f is value * (o_f - z_f) times
+    the coefficients of prod_{j != f}(z_j + o_j t) weighted by
+    k! (d - 1 - k)! / d!."""
+    phi = np.zeros(x.shape)
+    for value, feats in leaf_paths(tree) if paths is None else paths:
+        d = len(feats)
+        met = []
+        for f, _, conditions in feats:
+            ok = np.ones(len(x), bool)
+            for node, left in conditions:
+                ok &= _left(tree, node, x[:, f]) == left
+            met.append(ok.astype(float))
+        weight = [math.factorial(k) * math.factorial(d - 1 - k) / math.factorial(d) for k in range(d)]
+        for i, (f, z, _) in enumerate(feats):
+            poly = np.zeros((d, len(x)))
+            poly[0] = 1.0
+            for j, (_, zj, _) in enumerate(feats):
+                if j != i:
+                    poly[1:] = zj * poly[1:] + met[j] * poly[:-1]
+                    poly[0] *= zj
+            phi[:, f] += value * (met[i] - z) * (np.array(weight) @ poly)
+    return phi
 
 
 def conditional_expectation(tree: dict, x: np.ndarray, S: set) -> float:
@@ -144,24 +136,27 @@ def conditional_expectation(tree: dict, x: np.ndarray, S: set) -> float:
             return tree["value"][node]
         f = tree["feature"][node]
         if f in S:
-            return go(tree["left"][node] if _goes_left(tree, node, x) else tree["right"][node])
+            return go(tree["left"][node] if _left(tree, node, x[f]) else tree["right"][node])
         lc, rc = tree["left"][node], tree["right"][node]
         return (go(lc) * tree["cover"][lc] + go(rc) * tree["cover"][rc]) / tree["cover"][node]
     return float(go(0))
 
 
-def tree_shap(model, df: DataFrame, features, keys, feature_col: str = "features") -> DataFrame:
-    """Long attribution rows for every row of ``df`` (which holds the
-    assembled vector ``feature_col`` and the raw ``features`` columns)."""
-    features, keys = as_list(features), as_list(keys)
+def slot_names(df: DataFrame, feature_col: str) -> list[str]:
+    """Names of the vector's slots from its ML attributes."""
+    meta = df.schema[feature_col].metadata.get("ml_attr", {})
+    named = {int(a["idx"]): str(a.get("name", f"f_{a['idx']}")) for kind in meta.get("attrs", {}).values() for a in kind}
+    return [named.get(i, f"f_{i}") for i in range(int(meta.get("num_attrs", len(named))))]
+
+
+def tree_shap(model, df: DataFrame, keys, feature_col: str = "features") -> DataFrame:
+    """Long attribution rows for every row of ``df``, which holds the assembled
+    vector ``feature_col`` and the model's ``prediction``."""
+    keys, names = as_list(keys), slot_names(df, feature_col)
     trees = export_trees(model)
+    paths = [leaf_paths(t) for t in trees]
     base = float(sum(t["weight"] * expected_value(t) for t in trees))
-    nfeat = len(features)
-    x = df.select(*keys, *features, F.col("prediction").alias("pred"))
-    # explaining a row costs O(trees x leaves x depth^2) Python steps: spread
-    # the rows over all task slots (hash of the keys) rather than inheriting
-    # the few partitions of a small scored table
-    x = x.repartition(max(x.sparkSession.sparkContext.defaultParallelism, 1), *[F.col(k) for k in keys])
+    x = df.select(*keys, F.col("prediction").alias("pred"), vector_to_array(feature_col).alias("_x"))
     key_types = dict(x.dtypes)
     schema = ", ".join([f"`{k}` {key_types[k]}" for k in keys] +
                        ["feature string", "feature_value double", "shap_value double", "abs_shap double",
@@ -169,21 +164,15 @@ def tree_shap(model, df: DataFrame, features, keys, feature_col: str = "features
 
     def explain(batches):
         for pdf in batches:
-            X = pdf[features].to_numpy(dtype=float)
-            rows = []
-            for r in range(len(pdf)):
-                phi = np.zeros(nfeat)
-                for t in trees:
-                    p = np.zeros(nfeat)
-                    tree_shap_row(t, X[r], p)
-                    phi += t["weight"] * p
-                for j, f in enumerate(features):
-                    s = float(phi[j])
-                    rows.append([pdf[k].iloc[r] for k in keys] +
-                                [f, float(X[r, j]), s, abs(s), "up" if s >= 0 else "down",
-                                 float(pdf["pred"].iloc[r]), base])
-            yield pd.DataFrame(rows, columns=keys + ["feature", "feature_value", "shap_value", "abs_shap",
-                                                     "direction", "pred", "base_value"])
+            if not len(pdf):
+                continue
+            values = np.stack(pdf["_x"].to_numpy()).astype(float)
+            phi = sum(t["weight"] * shap_values(t, values, p) for t, p in zip(trees, paths))
+            out = pdf[[*keys, "pred"]].loc[pdf.index.repeat(len(names))].reset_index(drop=True)
+            flat = phi.ravel()
+            yield out.assign(feature=np.tile(names, len(pdf)), feature_value=values.ravel(), shap_value=flat, abs_shap=np.abs(flat),
+                             direction=np.where(flat >= 0, "up", "down"), base_value=base)[
+                [*keys, "feature", "feature_value", "shap_value", "abs_shap", "direction", "pred", "base_value"]]
     return x.mapInPandas(explain, schema)
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -37,7 +36,7 @@ def scenario_features(t):
     fc = P.scenario_fc(t)
     w = Window.partitionBy("entity", "scenario").orderBy("period")
     fc = fc.withColumn("_l1p", F.lag("pred_log").over(w))
-    h = model_panel(t).select("period", "entity", F.col("l1").alias("_l1h"), "l12", "ls")
+    h = model_panel(t).select("period", "entity", "region", F.col("l1").alias("_l1h"), "l12", "ls")
     x = fc.join(h, ["period", "entity"], "left")
     return x.withColumn("l1", F.coalesce("_l1p", "_l1h")).drop("_l1p", "_l1h").dropna(subset=FEATURES)
 
@@ -115,9 +114,8 @@ def tune_gbt(t):
 
 def _forest(t, num_trees=20, depth=4):
     d = model_panel(t, complete=True).filter(F.col("y").isNotNull())
-    stages = [VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="keep")]
     est = RandomForestRegressor(featuresCol="features", labelCol="y", numTrees=num_trees, maxDepth=depth, seed=42)
-    return M.refit(d, "y", stages, est)
+    return M.refit(d, "y", _stages(), est)
 
 
 @register("score_scenarios", "M09 M10 A22", materialize=["nation_month"])
@@ -130,7 +128,20 @@ def score_scenarios(t):
 def tree_shap(t):
     model = _forest(t)
     scored = model.transform(scenario_features(t))
-    return X.tree_shap(model.stages[-1], scored, FEATURES, ["period", "entity", "scenario"])
+    return X.tree_shap(model.stages[-1], scored, ["period", "entity", "scenario"])
+
+
+@register("tree_shap_additivity", "M14", materialize=["nation_month"], ctes=["scenario_fc", "nation_lags"], sql="""
+w AS (SELECT period, entity, scenario, lag(pred_log) OVER (PARTITION BY entity, scenario ORDER BY period) AS l1p FROM scenario_fc),
+h AS (SELECT period, entity, avg_price_lag1, avg_price_lag12, sales_count FROM nation_lags)
+SELECT w.period, w.entity, w.scenario, 0.0::DOUBLE AS rest, CAST(count(*) OVER () AS BIGINT) AS n_rows
+FROM w JOIN h ON h.period = w.period AND h.entity = w.entity
+WHERE coalesce(l1p, ln(avg_price_lag1)) IS NOT NULL AND avg_price_lag12 IS NOT NULL AND sales_count IS NOT NULL""")
+def tree_shap_additivity(t):
+    """What the attributions of a row leave of its prediction: nothing."""
+    g = tree_shap(t).groupBy("period", "entity", "scenario").agg(
+        F.abs(F.round(F.first("pred") - F.first("base_value") - F.sum("shap_value"), 6)).alias("rest"))
+    return g.withColumn("n_rows", g.select(F.count("*")).scalar())
 
 
 @register("bvar_forecast", "M12 W03 W07", materialize=["nation_month"])

@@ -42,8 +42,7 @@ def test_tree_shap_exact_on_tiny_tree(spark):
     tree = X.export_trees(m)[0]
     for r in range(5):
         x = pdf[["a", "b", "c"]].to_numpy()[r]
-        phi = np.zeros(3)
-        X.tree_shap_row(tree, x, phi)
+        phi = X.shap_values(tree, x[None, :])[0]
         exact = np.zeros(3)
         for i in range(3):
             others = [j for j in range(3) if j != i]
@@ -62,7 +61,7 @@ def test_tree_shap_additivity_forest(spark):
     va = VectorAssembler(inputCols=["a", "b", "c"], outputCol="features")
     d = va.transform(df)
     m = RandomForestRegressor(labelCol="y", numTrees=5, maxDepth=3, seed=1).fit(d)
-    long = X.tree_shap(m, m.transform(d), ["a", "b", "c"], ["id"])
+    long = X.tree_shap(m, m.transform(d), ["id"])
     g = long.groupBy("id").agg(F.sum("shap_value").alias("s"), F.first("pred").alias("p"),
                                F.first("base_value").alias("b")).collect()
     assert len(g) == 60
@@ -71,6 +70,22 @@ def test_tree_shap_additivity_forest(spark):
     assert long.count() == 60 * 3
 
 
+def test_tree_shap_explains_one_hot_slots(spark):
+    from chronopanel.operators import models as M
+    df, _ = _tiny(spark, n=80)
+    df = df.withColumn("g", F.when(F.col("id") % 3 == 0, "u").when(F.col("id") % 3 == 1, "v").otherwise("w"))
+    df = df.withColumn("y", F.col("y") + F.when(F.col("g") == "v", 3.0).otherwise(0.0))
+    model = M.refit(df, "y", M.feature_pipeline(cat=["g"], num=["a", "b", "c"]),
+                    RandomForestRegressor(labelCol="y", numTrees=6, maxDepth=4, seed=2))
+    scored = model.transform(df)
+    long = X.tree_shap(model.stages[-1], scored, ["id"])
+    names = [r.name for r in M.feature_map(scored).orderBy("index").collect()]
+    assert {r.feature for r in long.select("feature").distinct().collect()} == set(names)
+    g = long.groupBy("id").agg(F.sum("shap_value").alias("s"), F.first("pred").alias("p"), F.first("base_value").alias("b")).collect()
+    assert len(g) == 80 and all(abs(r.b + r.s - r.p) < 1e-9 for r in g)
+    assert long.where("feature rlike '_v$'").agg(F.avg("abs_shap")).first()[0] > 0.1
+
+
 def _bvar_direct(y, p, h, l1, l2, l3):
     T, k = y.shape
     Y = y[p:]
