@@ -15,29 +15,20 @@ from .q_aggs import _PRED_SQL, model_metrics
 from .q_reshape import _INV_SQL, _leaders_sql
 
 D6 = 6
-# Entity names of the nation panel (a rule, not data): NATION_0 .. NATION_24.
-NATIONS = [f"NATION_{i}" for i in range(25)]
 
 
-def questions(t):
-    """Questions derived from the forecast table: one per (period, entity,
-    scenario) row, worded by scenario (explain / compare / invest)."""
-    fc = P.scenario_fc(t)
-    m = F.date_format("period", "yyyy-MM")
-    txt = (F.when(F.col("scenario") == "base",
-                  F.format_string("Why will %s move in %s? Explain the drivers.", "entity", m))
-           .when(F.col("scenario") == "low",
-                 F.format_string("Compare %s vs NATION_0 in %s under the low scenario", "entity", m))
-           .otherwise(F.format_string("Which district is best to invest for a stable return in %s, high case?", m)))
-    return fc.select("period", "entity", F.col("scenario").alias("src"), txt.alias("text"))
+def messages(t):
+    """Every given text: (src, id, turn, text), with the nation names next to
+    each row."""
+    c = t("conversations").select(F.lit("conversations").alias("src"), F.col("conv_id").alias("id"), "turn", "text")
+    d = t("documents").select(F.lit("documents").alias("src"), F.col("doc_id").alias("id"), F.lit(0).cast("bigint").alias("turn"), "text")
+    return c.unionByName(d).withColumn("_entities", fn.entity_list(t("nation"), "n_name", "n_nationkey"))
 
 
-_Q_SQL = """questions AS (
-  SELECT period, entity, scenario AS src,
-         CASE scenario WHEN 'base' THEN printf('Why will %s move in %s? Explain the drivers.', entity, strftime(period, '%Y-%m'))
-              WHEN 'low' THEN printf('Compare %s vs NATION_0 in %s under the low scenario', entity, strftime(period, '%Y-%m'))
-              ELSE printf('Which district is best to invest for a stable return in %s, high case?', strftime(period, '%Y-%m')) END AS text
-  FROM scenario_fc)"""
+_Q_SQL = """messages AS (
+  SELECT 'conversations' AS src, conv_id AS id, turn, text, lower(text) AS low FROM conversations
+  UNION ALL SELECT 'documents', doc_id, CAST(0 AS BIGINT), text, lower(text) FROM documents),
+names AS (SELECT list(n_name ORDER BY n_nationkey) AS names FROM nation)"""
 
 
 def _lst(words):
@@ -57,11 +48,10 @@ def _intent_sql(col):
             f"ELSE 'forecast' END")
 
 
-def _entities_sql(col):
-    t = f"lower({col})"
-    exact = f"list_filter({_lst(NATIONS)}, lambda e: instr({t}, lower(e)) > 0)"
-    tk = f"regexp_replace(lower(trim({t})), '[^\\pL\\pN]', '', 'g')"
-    loose = f"list_filter({_lst(NATIONS)}, lambda e: instr({tk}, regexp_replace(lower(e), '[^\\pL\\pN]', '', 'g')) > 0)"
+def _entities_sql():
+    exact = "list_filter(names, lambda e: instr(low, lower(e)) > 0)"
+    tk = "regexp_replace(trim(low), '[^\\pL\\pN]', '', 'g')"
+    loose = f"list_filter(names, lambda e: instr({tk}, regexp_replace(lower(e), '[^\\pL\\pN]', '', 'g')) > 0)"
     return f"CASE WHEN len({exact}) > 0 THEN {exact} ELSE {loose} END"
 
 
@@ -83,24 +73,22 @@ def classify_intent(t):
     return c.unionByName(d)
 
 
-@register("extract_slots", "P31", materialize=["nation_month"], ctes=["scenario_fc"], sql=_Q_SQL + f""",
-s AS (SELECT period, entity, src, {_MONTH_SQL.format(c='text')} AS month, {_SCEN_SQL.format(c='text')} AS scenario,
-             {_entities_sql('text')} AS ents FROM questions)
-SELECT period, entity, src, month, scenario, CAST(len(ents) AS BIGINT) AS n_entities, ents[1] AS entity_1,
-       ents[2] AS entity_2 FROM s""")
+@register("extract_slots", "P31", sql=_Q_SQL + f""",
+s AS (SELECT src, id, turn, {_MONTH_SQL.format(c='text')} AS month, {_SCEN_SQL.format(c='text')} AS scenario,
+             {_entities_sql()} AS ents FROM messages, names)
+SELECT src, id, turn, month, scenario, CAST(len(ents) AS BIGINT) AS n_entities, ents[1] AS entity_1, ents[2] AS entity_2 FROM s""")
 def extract_slots(t):
-    q = questions(t)
-    e = fn.find_entities(F.col("text"), NATIONS)
-    return q.select("period", "entity", "src", fn.find_month("text").alias("month"),
-                    fn.find_scenario("text").alias("scenario"), F.size(e).cast("bigint").alias("n_entities"),
-                    F.try_element_at(e, F.lit(1)).alias("entity_1"), F.try_element_at(e, F.lit(2)).alias("entity_2"))
+    x = messages(t).select("src", "id", "turn", fn.find_month("text").alias("month"), fn.find_scenario("text").alias("scenario"),
+                           fn.find_entities(F.col("text"), F.col("_entities")).alias("e"))
+    return x.select("src", "id", "turn", "month", "scenario", F.size("e").cast("bigint").alias("n_entities"),
+                    F.try_element_at("e", F.lit(1)).alias("entity_1"), F.try_element_at("e", F.lit(2)).alias("entity_2"))
 
 
-@register("route_questions", "Q08 P31 P32", materialize=["nation_month"], ctes=["scenario_fc"], sql=_Q_SQL + f""",
-s AS (SELECT period, entity, src, text, {_intent_sql('text')} AS intent,
+@register("route_questions", "Q08 P31 P32", sql=_Q_SQL + f""",
+s AS (SELECT src, id, turn, {_intent_sql('text')} AS intent,
              coalesce({_MONTH_SQL.format(c='text')}, '2001-01') AS month, {_SCEN_SQL.format(c='text')} AS scenario,
-             {_entities_sql('text')} AS ents FROM questions)
-SELECT period, entity, src, text, intent, month, scenario,
+             {_entities_sql()} AS ents FROM messages, names)
+SELECT src, id, turn, intent, month, scenario,
        CASE WHEN intent = 'investment' THEN 'investment_insight'
             WHEN intent = 'compare' AND len(ents) >= 2 THEN 'compare_entities'
             WHEN intent = 'explain' THEN 'auto_summary'
@@ -108,7 +96,7 @@ SELECT period, entity, src, text, intent, month, scenario,
        CAST(len(ents) AS BIGINT) AS n_entities, ents[1] AS entity_1, ents[2] AS entity_2
 FROM s""")
 def route_questions(t):
-    return Rp.route_questions(questions(t), NATIONS, default_month="2001-01")
+    return Rp.route_questions(messages(t), F.col("_entities"), default_month="2001-01").drop("text", "_entities")
 
 
 @register("parse_bullets", "P33 P30", ctes=["nation_month"], digits={"value": 2}, sql=r"""

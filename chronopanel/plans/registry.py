@@ -84,5 +84,5 @@ def runner(q: Query) -> Callable[[SparkSession, str], DataFrame]:
 
 def load_all() -> dict[str, Query]:
     from . import (q_aggs, q_joins, q_models, q_reports, q_reshape, q_scalars,  # noqa: F401
-                   q_windows)
+                   q_sources, q_windows)
     return REGISTRY

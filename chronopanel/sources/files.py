@@ -49,22 +49,35 @@ def write_summary(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def read_summary(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    r = spark.read.option("multiLine", True)
+def read_summary(spark: SparkSession, path: str, schema=None, multi_line: bool = False) -> DataFrame:
+    """JSON documents, one a line as ``write_summary`` writes them, or
+    with ``multi_line`` one document a file."""
+    r = spark.read.option("multiLine", multi_line)
     return (r.schema(schema) if schema else r).json(path)
 
 
-def latest_snapshot(spark: SparkSession, folder: str, prefer=(), pattern: str = "*.csv") -> DataFrame:
-    """Files of a folder ranked for freshness: preferred names first (in
-    the given order), then newest modification time. Reads only file
-    metadata (``binaryFile`` source, content column pruned)."""
+# Words of a file name that mark a forecast file.
+SNAPSHOT_WORDS = ("scenario", "merged", "forecast", "pred")
+
+
+def latest_snapshot(spark: SparkSession, folder: str, prefer=(), pattern: str = "*.{parquet,csv,xlsx,xls}",
+                    words=SNAPSHOT_WORDS, of_folder: bool = False) -> DataFrame:
+    """The files of a folder with their ``preference`` and ``is_latest``
+    for the one to load: the newest of the files with a preferred stem; else
+    the newest whose name holds one of ``words``; else the newest. With
+    ``of_folder`` the name is that of the folder around a file, so a table of
+    several files counts as one. Reads only file metadata (``binaryFile``
+    source, content column pruned)."""
     files = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
              .load(folder).select("path", "modificationTime", "length"))
-    name = F.element_at(F.split("path", "/"), -1)
-    pref = F.array_position(F.array(*[F.lit(p) for p in prefer]), name) if prefer else F.lit(0)
-    rank = F.when(pref > 0, pref).otherwise(F.lit(len(prefer) + 1))
-    return files.select(name.alias("file"), "path", "modificationTime", "length",
-                        rank.alias("preference")).orderBy("preference", F.desc("modificationTime"), "file")
+    name = F.element_at(F.split("path", "/"), -2 if of_folder else -1)
+    stem = F.regexp_replace(name, r"\.[^.]*$", "")
+    known = stem.isin(list(prefer)) if prefer else F.lit(False)
+    marked = F.lower(stem).rlike("|".join(words)) if words else F.lit(False)
+    rows = files.select(name.alias("file"), "path", "modificationTime", "length",
+                        F.when(known, 1).when(marked, 2).otherwise(3).alias("preference"))
+    first = rows.agg(F.min(F.struct("preference", -F.unix_micros("modificationTime"), "file")).alias("m")).select("m.file").scalar()
+    return rows.withColumn("is_latest", F.col("file") == first)
 
 
 def save_model(model, path: str, features=None) -> None:

@@ -59,8 +59,20 @@ def test_latest_snapshot(spark):
             f.write("a\n1\n")
         time.sleep(0.05)
     os.utime(os.path.join(d, "pref.csv"), (1, 1))
-    r = [x.file for x in latest_snapshot(spark, d, prefer=["pref.csv"]).collect()]
-    assert r[0] == "pref.csv" and r[1] == "new.csv"
+    for name, at in (("old_forecast.csv", 50), ("scenario_b.csv", 60)):
+        with open(os.path.join(d, name), "w") as f:
+            f.write("a\n1\n")
+        os.utime(os.path.join(d, name), (at, at))
+
+    def latest(**how):
+        rows = [x.file for x in latest_snapshot(spark, d, **how).collect() if x.is_latest]
+        assert len(rows) == 1
+        return rows[0]
+
+    assert latest(prefer=["pref", "old"]) == "old.csv"      # the newest of the preferred ones
+    assert latest(prefer=["pref", "absent"]) == "pref.csv"
+    assert latest() == "scenario_b.csv"                      # the newest whose name marks a forecast
+    assert latest(words=()) == "new.csv"                     # the newest
 
 
 def test_schema_guards(spark):
