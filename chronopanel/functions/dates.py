@@ -147,18 +147,20 @@ def _parse_rule(s: Column, fmts) -> Column:
 
 
 def best_date_format(df: DataFrame, col: str, rules: dict | None = None) -> DataFrame:
-    """Score each rule by (rows parsed, distinct months) in ONE aggregate.
+    """Score each rule by (rows parsed, distinct months).
 
-    Returns a one-row DataFrame: the winning rule name and its two scores.
-    Ties go to the earlier rule, as in a strict ``>`` scan.
+    Date texts repeat, so each distinct text is parsed once and votes with its
+    number of rows. Returns a one-row DataFrame: the winning rule name and its
+    two scores. Ties go to the earlier rule, as in a strict ``>`` scan.
     """
     rules = rules or DATE_FORMATS
-    s = F.trim(F.col(col).cast("string"))
+    df = df.groupBy(F.trim(F.col(col).cast("string")).alias("_t")).agg(F.count("*").alias("_n"))
+    s = F.col("_t")
     aggs = []
     for i, (name, fmts) in enumerate(rules.items()):
         p = _parse_rule(s, fmts)
         # distinct months via a set: bounded by the calendar, one pass, no Expand
-        aggs.append(F.struct(F.count(p).alias("parsed"),
+        aggs.append(F.struct(F.coalesce(F.sum(F.when(p.isNotNull(), F.col("_n"))), F.lit(0)).alias("parsed"),
                              F.size(F.collect_set(F.trunc(p, "month"))).cast("bigint").alias("months"),
                              F.lit(-i).alias("neg_order"), F.lit(name).alias("rule")))
     scores = df.agg(F.array(*aggs).alias("s")).select(F.explode("s").alias("s")).select("s.*")

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._util import as_list
-from .windows import _global_index, month_folds
+from .windows import _global_index, fold_table, month_positions
 
 __all__ = ["ols", "gram_blocks", "lasso_path_cv", "lasso_select", "select_features", "align_features",
            "feature_pipeline", "feature_map", "cv_fits", "tune_forest", "tune_gbt", "cv_table", "refit", "score_scenarios"]
@@ -160,15 +160,15 @@ def lasso_path_cv(stats: dict, n_splits: int, n_alphas: int = 200, eps: float =
 
 
 def lasso_select(df: DataFrame, y: str, xs, order, n_splits: int = 5, n_alphas: int = 200,
-                 eps: float = 1e-3, scale: str = "all") -> DataFrame:
+                 eps: float = 1e-3, scale: str = "fold") -> DataFrame:
     """Feature selection with LASSO and expanding row folds (``TimeSeriesSplit``).
 
     One distributed pass: rows get a global position (range-partitioned
-    sort), are standardised (``scale="all"`` fits the scaler on all rows as
-    the reference does) and summed into per-block Gram statistics; the
+    sort), are standardised and summed into per-block Gram statistics; the
     alpha path and the coordinate descent run on the k x k statistics.
-    ``scale="fold"`` also re-standardises inside each training fold (the
-    corrected default of SURVEY X16 is available; "all" reproduces).
+    ``scale="fold"`` standardises again inside each training fold, so
+    validation rows do not reach the scaler; ``scale="all"`` leaves it fitted
+    on all rows.
     Output: feature, coef (standardised scale), abs_coef, selected, alpha,
     cv_rmse mean and spread (population std over folds).
     """
@@ -256,25 +256,39 @@ def _rmse(pred: DataFrame, y: str) -> tuple[float, int]:
 def cv_fits(df: DataFrame, y: str, stages, make_estimator, grid: dict, period: str = "period",
             n_splits: int = 5, min_train: int = 24, val: int = 6, threads: int = 4) -> DataFrame:
     """Fit every (parameter set, month fold) pair (expanding month folds) and
-    score the validation months. Each fit is a distributed Spark ML job; a
-    bounded thread pool keeps several in flight. The tagged data is
-    checkpointed once so the folds do not recompute the lineage."""
+    score the validation months.
+
+    Rows carry their month's position and are written once; a fold is a filter
+    on the position, not a copy. The feature stages are fitted once for each
+    fold on its training months, and its assembled rows are kept while the
+    fold's parameter sets are fitted. Each fit is a distributed Spark ML job;
+    a bounded thread pool keeps several folds in flight."""
     from ..session import checkpoint_dir
     checkpoint_dir(df.sparkSession)
-    tagged = month_folds(df, period, n_splits, min_train, val).checkpoint(eager=True)
+    ends = {r["fold"]: r["train_end"] for r in
+            fold_table(df.select(period), period, n_splits, min_train, val).select("fold", "train_end").distinct().collect()}
+    placed = df.join(month_positions(df, period), period).checkpoint(eager=True)
     keys = sorted(grid)
     combos = [dict(zip(keys, v)) for v in itertools.product(*[grid[k] for k in keys])]
 
-    def run(arg):
-        ci, params, fold = arg
-        part = tagged.filter(F.col("fold") == fold)
-        model = Pipeline(stages=list(stages) + [make_estimator(params)]).fit(part.filter("role = 'train'"))
-        rmse, nv = _rmse(model.transform(part.filter("role = 'validation'")), y)
-        return (ci, str(sorted(params.items())), fold, rmse, nv)
+    def run(fold):
+        end = ends[fold]
+        train = placed.filter(F.col("_pos") < end)
+        features = Pipeline(stages=list(stages)).fit(train)
+        keep = lambda d: features.transform(d).select(y, "features").persist()
+        fit_on, score_on = keep(train), keep(placed.filter((F.col("_pos") >= end) & (F.col("_pos") < end + val)))
+        try:
+            out = []
+            for ci, params in enumerate(combos):
+                rmse, nv = _rmse(make_estimator(params).fit(fit_on).transform(score_on), y)
+                out.append((ci, str(sorted(params.items())), fold, rmse, nv))
+            return out
+        finally:
+            fit_on.unpersist()
+            score_on.unpersist()
 
-    jobs = [(ci, p, f) for ci, p in enumerate(combos) for f in range(n_splits)]
     with ThreadPoolExecutor(max_workers=threads) as ex:
-        res = list(ex.map(run, jobs))
+        res = [r for rows in ex.map(run, sorted(ends)) for r in rows]
     return df.sparkSession.createDataFrame(res, "config int, params string, fold int, rmse double, n_val long")
 
 

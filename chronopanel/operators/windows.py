@@ -16,7 +16,7 @@ from ._util import as_list, col
 __all__ = [
     "add_lags", "yoy", "log_return", "rebase", "pct_change", "drawdown", "global_rank",
     "levels_from_dlog", "tail_per_group", "rank_columns", "driver_cards",
-    "upsample_linear", "month_folds", "row_folds", "fold_table",
+    "upsample_linear", "month_folds", "month_positions", "row_folds", "fold_table",
 ]
 
 
@@ -186,11 +186,17 @@ def upsample_linear(df: DataFrame, by, order: str, cols, step_months: int | None
 
 
 # W12 -----------------------------------------------------------------------
+def month_positions(df: DataFrame, period: str) -> DataFrame:
+    """(period, _pos): the 0-based place of each distinct period. One row for
+    each month of the calendar, so the ordered window is small."""
+    p = df.select(period).filter(F.col(period).isNotNull()).distinct()
+    return p.withColumn("_pos", F.dense_rank().over(Window.orderBy(period)) - 1)
+
+
 def fold_table(periods: DataFrame, period: str, n_splits: int, min_train: int, val: int) -> DataFrame:
     """(fold, period, role) for month-based expanding folds. ``periods`` is a
     DataFrame of distinct periods (small: one row per month)."""
-    p = periods.select(period).distinct()
-    p = p.withColumn("_pos", F.dense_rank().over(Window.orderBy(period)) - 1)
+    p = month_positions(periods, period)
     p = p.withColumn("_total", p.select(F.count("*")).scalar())
     total = F.col("_total")
     max_end = total - val

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import aggs as A
 from ..operators import reshape as R
 from ..operators.columns import order_by_list
+from ..session import checkpoint_dir
 from . import panels as P
 from .registry import register
 
@@ -97,10 +98,12 @@ SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS period,
        sum(o_totalprice) AS revenue
 FROM orders GROUP BY 1, 2""")
 def union_entities(t):
-    o = t("orders")
-    parts = {name: o.filter(F.col("o_orderpriority") == raw).groupBy(P.month_of("o_orderdate").alias("period"))
-             .agg(F.sum("o_totalprice").alias("revenue")) for name, raw in _PRI.items()}
-    return R.union_entities(parts)
+    """One pass over the orders, split into one table for each priority and
+    put together again."""
+    checkpoint_dir(t.spark)
+    o = t("orders").groupBy(P.month_of("o_orderdate").alias("period"), F.col("o_orderpriority").alias("pri")).agg(
+        F.sum("o_totalprice").alias("revenue")).checkpoint()
+    return R.union_entities({name: o.filter(F.col("pri") == raw).drop("pri") for name, raw in _PRI.items()})
 
 
 @register("to_long", "U02", ctes=["nation_month"], digits={"value": D6}, sql="""

@@ -139,7 +139,7 @@ def test_lasso_cv_matches_direct(spark):
     y = Xm[:, 0] * 1.5 - Xm[:, 2] + rng.normal(scale=0.3, size=n)
     pdf = pd.DataFrame(Xm, columns=[f"x{i}" for i in range(k)])
     pdf["y"], pdf["t"] = y, range(n)
-    out = M.lasso_select(spark.createDataFrame(pdf), "y", [f"x{i}" for i in range(k)], order=["t"],
+    out = M.lasso_select(spark.createDataFrame(pdf), "y", [f"x{i}" for i in range(k)], order=["t"], scale="all",
                          n_splits=5, n_alphas=50).toPandas()
     # direct: same standardisation, same folds, same coordinate descent on raw matrices
     Z = (Xm - Xm.mean(0)) / Xm.std(0)
