@@ -34,7 +34,7 @@ from .words import RaggedMemo, Words, flat, slices
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
-MEMO_SEGMENTS = 2_000_000
+MEMO_SEGMENTS = 800_000
 
 
 class Vocabulary:

@@ -26,7 +26,7 @@ from .seekable import SeekableReader, SeekableWriter
 from .store import commit_file, filesystem, shared_folder, worker_cache, written
 from .words import RaggedMemo, Words, flat, slices
 
-MEMO_WORDS = 1_500_000
+MEMO_WORDS = 1_000_000
 FRAME_IDS = 1 << 28
 _INDEX = np.dtype([("has_id", "u1"), ("doc_id", "<i8"), ("n", "<i8"), ("first_frame", "<i8")])
 
@@ -124,7 +124,7 @@ def _write_partition(folder: str, tokenizer: str, end_id: int, level: int):
                 yield from batches
 
             for batch in every():
-                for piece in slices(batch, "text", 8 << 20):
+                for piece in slices(batch, "text", 4 << 20):
                     for doc_id, ids in zip(piece.column("doc_id").to_pylist(), encoder.encode(piece.column("text"))):
                         a = np.append(ids, end).astype(width)
                         index.append((doc_id is not None, doc_id or 0, len(a), len(file.frames)))

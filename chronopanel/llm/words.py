@@ -193,7 +193,7 @@ def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offs[0]: offs[-1]], offs - offs[0]
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20):
+def slices(batch: pa.RecordBatch, column: str, most: int = 2 << 20):
     """Slices of a batch with about ``most`` bytes of text each (one row at
     least), so that temporary arrays stay small."""
     c = batch.column(column)
