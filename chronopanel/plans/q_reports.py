@@ -140,9 +140,19 @@ def auto_summary(t):
     return Rp.auto_summary(P.attrib_long(t), k=3)
 
 
-_REPORT_SQL = """
+_PATH_SQL = """
 path AS (SELECT entity, scenario, min(period) AS start_period, max(period) AS end_period, arg_max(pred, period) AS future_price
-         FROM scenario_fc GROUP BY 1, 2),
+         FROM scenario_fc GROUP BY 1, 2),"""
+_MONTH_PATH_SQL = """
+path AS (SELECT entity, scenario, min(period) AS start_period, max(period) FILTER (WHERE period = m) AS end_period,
+                avg(pred) FILTER (WHERE period = m) AS future_price
+         FROM scenario_fc, (SELECT CAST(min(period) + INTERVAL 5 MONTH AS DATE) AS m FROM scenario_fc) GROUP BY 1, 2),"""
+_DRIVERS_SQL = """
+hg AS (SELECT entity, scenario, feature, avg(shap_value) AS mean_shap, avg(abs(shap_value)) AS mean_abs_shap FROM attrib_long GROUP BY 1, 2, 3),
+hs AS (SELECT *, CASE WHEN mean_shap > 0 THEN 'up' WHEN mean_shap < 0 THEN 'down' END AS side FROM hg),
+hd AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY entity, scenario, side ORDER BY CASE WHEN side = 'up' THEN -mean_abs_shap ELSE mean_shap END, feature) AS rank
+                      FROM hs WHERE side IS NOT NULL) WHERE rank <= 3),"""
+_REPORT_SQL = """
 st AS (SELECT entity, min(start_period) AS start FROM path GROUP BY 1),
 hj AS (SELECT h.entity, h.period, h.avg_price, st.start FROM nation_month h JOIN st ON h.entity = st.entity),
 anc AS (SELECT entity, CASE WHEN max(period) FILTER (WHERE period < start) IS NOT NULL THEN max(period) FILTER (WHERE period < start) ELSE max(period) END AS anchor_period,
@@ -150,11 +160,7 @@ anc AS (SELECT entity, CASE WHEN max(period) FILTER (WHERE period < start) IS NO
                     ELSE arg_max(avg_price, period) END AS current_price FROM hj GROUP BY 1),
 rep0 AS (SELECT p.*, a.anchor_period, a.current_price,
                 CASE WHEN a.current_price IS NOT NULL AND a.current_price <> 0 THEN p.future_price / a.current_price - 1 END AS change
-         FROM path p LEFT JOIN anc a ON p.entity = a.entity),
-hg AS (SELECT entity, scenario, feature, avg(shap_value) AS mean_shap, avg(abs(shap_value)) AS mean_abs_shap FROM attrib_long GROUP BY 1, 2, 3),
-hs AS (SELECT *, CASE WHEN mean_shap > 0 THEN 'up' WHEN mean_shap < 0 THEN 'down' END AS side FROM hg),
-hd AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY entity, scenario, side ORDER BY CASE WHEN side = 'up' THEN -mean_abs_shap ELSE mean_shap END, feature) AS rank
-                      FROM hs WHERE side IS NOT NULL) WHERE rank <= 3),
+         FROM path p LEFT JOIN anc a ON p.entity = a.entity),""" + _DRIVERS_SQL + """
 lists AS (SELECT entity, scenario,
                  array_to_string(list(feature ORDER BY rank) FILTER (WHERE side = 'up'), ', ') AS drivers_up,
                  array_to_string(list(feature ORDER BY rank) FILTER (WHERE side = 'down'), ', ') AS drivers_down
@@ -173,20 +179,50 @@ rep AS (SELECT r.*,
              LEFT JOIN cards c ON r.entity = c.entity AND r.scenario = c.scenario)"""
 
 
-@register("forecast_report", "Q03 J07 A16 P27 P28 W10 P30", materialize=["nation_month"], ctes=["nation_month", "scenario_fc", "attrib_long"],
-          digits={"current_price": 4, "future_price": 4, "change": 9}, sql=_REPORT_SQL + """
+_REPORT_SELECT = """
 SELECT entity, scenario, start_period, end_period, anchor_period, current_price, future_price, change, direction, strength,
        drivers_up, drivers_down, CAST(n_high AS BIGINT) AS n_high, CAST(n_medium AS BIGINT) AS n_medium,
+       array_to_string(list_filter(['model_based', CASE WHEN scenario IN ('low', 'high') THEN 'scenario_conditional' END,
+         CASE WHEN direction = 'stable' AND n_high + n_medium > 0 THEN 'offsetting_drivers' END,
+         CASE WHEN strength = 'strong' AND n_high = 0 THEN 'no_dominant_driver' END,
+         CASE WHEN drivers_up IS NULL AND drivers_down IS NULL THEN 'no_attribution' END], lambda r: r IS NOT NULL), ',') AS risks,
        printf('%s (%s): %s %s move to %.2f by %s', entity, scenario, strength, direction, round(future_price * 100.0) / 100.0,
               strftime(end_period, '%Y-%m')) AS text
-FROM rep""")
+FROM rep"""
+# panels that the report uses more than once
+_REPORT_PANELS = ["nation_month", "scenario_fc", "attrib_long"]
+
+
+@register("forecast_report", "Q03 J07 A16 P27 P28 W10 P30", materialize=_REPORT_PANELS, ctes=["nation_month", "scenario_fc", "attrib_long"],
+          digits={"current_price": 4, "future_price": 4, "change": 9}, sql=_PATH_SQL + _REPORT_SQL + _REPORT_SELECT)
 def forecast_report(t):
     return Rp.forecast_report(P.scenario_fc(t), P.nation_month(t).select("entity", "period", "avg_price"),
                               P.attrib_long(t))
 
 
-@register("compare_entities", "Q04 Q03", materialize=["nation_month"], ctes=["nation_month", "scenario_fc", "attrib_long"],
-          digits={"change_a": 9, "change_b": 9}, sql=_REPORT_SQL + """,
+@register("forecast_report_month", "Q03", materialize=_REPORT_PANELS, ctes=["nation_month", "scenario_fc", "attrib_long"],
+          digits={"current_price": 4, "future_price": 4, "change": 9}, sql=_MONTH_PATH_SQL + _REPORT_SQL + _REPORT_SELECT)
+def forecast_report_month(t):
+    """The sixth forecast month instead of the horizon's end."""
+    fc = P.scenario_fc(t)
+    month = fc.select(F.add_months(F.min("period"), 5)).scalar()
+    return Rp.forecast_report(fc, P.nation_month(t).select("entity", "period", "avg_price"), P.attrib_long(t), month=month)
+
+
+@register("forecast_cards", "Q03 W10 A16", materialize=["nation_month"], ctes=["scenario_fc", "attrib_long"], digits={"share": 9}, sql=_DRIVERS_SQL + """
+c AS (SELECT *, sum(mean_abs_shap) OVER (PARTITION BY entity, scenario) AS tot,
+             row_number() OVER (PARTITION BY entity, scenario ORDER BY mean_abs_shap DESC, feature) AS card_rank FROM hd),
+d AS (SELECT *, CASE WHEN tot > 0 THEN mean_abs_shap / tot END AS share FROM c),
+e AS (SELECT *, CASE WHEN share >= 0.25 THEN 'high' WHEN share >= 0.10 THEN 'medium' ELSE 'low' END AS importance FROM d)
+SELECT entity, scenario, CAST(card_rank AS BIGINT) AS card_rank, feature, side AS direction, importance, share,
+       printf('%s (%s, %s)', feature, importance, side) AS label FROM e""")
+def forecast_cards(t):
+    return Rp.report_cards(P.attrib_long(t), ["entity", "scenario"]).select(
+        "entity", "scenario", "card_rank", "feature", "direction", "importance", "share", "label")
+
+
+@register("compare_entities", "Q04 Q03", materialize=_REPORT_PANELS, ctes=["nation_month", "scenario_fc", "attrib_long"],
+          digits={"change_a": 9, "change_b": 9}, sql=_PATH_SQL + _REPORT_SQL + """,
 g AS (SELECT scenario, max(CASE WHEN entity = 'NATION_1' THEN change END) AS change_a,
              max(CASE WHEN entity = 'NATION_2' THEN change END) AS change_b
       FROM rep WHERE entity IN ('NATION_1', 'NATION_2') GROUP BY scenario)
@@ -258,20 +294,7 @@ def spatial_table(t):
     fc = P.scenario_fc(t)
     last = fc.select(F.max("period")).scalar()
     ents = t("nation").select(F.col("n_name").alias("entity"))
-    hist = P.nation_month(t).select("entity", "period", "avg_price")
-    f = fc.filter(F.col("period") == last)
-    x = Rp.spatial_table(f, hist, ents, "high")
-    # the anchor is taken before the scenario's first month, not the chosen month
-    starts = fc.filter(F.col("scenario") == "high").groupBy("entity").agg(F.min("period").alias("start"))
-    from ..operators.joins import asof_anchor
-    anc = asof_anchor(hist, starts, value="avg_price").select("entity", F.col("anchor_value").alias("_cp"))
-    x = x.join(anc, "entity", "left").withColumn("current_price", F.col("_cp")).drop("_cp")
-    reason = (F.when(F.col("current_price").isNull() & F.col("future_price").isNull(), "no history and no forecast")
-              .when(F.col("current_price").isNull(), "no history").when(F.col("future_price").isNull(), "no forecast"))
-    return x.select("entity", "current_price", "future_price",
-                    (F.col("future_price") - F.col("current_price")).alias("change"),
-                    (fn.pct_change_of("future_price", "current_price") * 100).alias("change_pct"),
-                    reason.alias("reason"))
+    return Rp.spatial_table(fc, P.nation_month(t).select("entity", "period", "avg_price"), ents, "high", month=last)
 
 
 @register("model_report", "Q09 A24 P29 P30", materialize=["nation_month"], ctes=["nation_month"], sql=_PRED_SQL + """,

@@ -19,7 +19,7 @@ from ..operators import reshape as R
 from ..operators import windows as W
 from ..operators._util import as_list
 
-__all__ = ["predict_slice", "auto_summary", "forecast_report", "compare_entities", "investment_insight",
+__all__ = ["predict_slice", "auto_summary", "forecast_report", "report_cards", "compare_entities", "investment_insight",
            "dataset_summary", "spatial_table", "route_questions", "model_report", "driver_bars"]
 
 
@@ -56,16 +56,20 @@ def auto_summary(shap: DataFrame, k: int = 3, keys=("entity", "scenario", "perio
 # Q03 -----------------------------------------------------------------------
 def forecast_report(fc: DataFrame, hist: DataFrame, shap: DataFrame, value: str = "avg_price",
                     k: int = 3, strong: float = 0.08, moderate: float = 0.03,
-                    percent_thresholds: bool = False) -> DataFrame:
+                    percent_thresholds: bool = False, month=None) -> DataFrame:
     """For every (entity, scenario): anchor level (last history month before
-    the forecast start), forecast level at the horizon end, change, trend
-    band, top upward / downward drivers, driver-card count by importance,
-    and a one-line text. The change is a fraction compared with fractional
+    the forecast start), forecast level at the horizon end (or the mean over
+    ``month``, a date or a column), change, trend band, top upward / downward
+    drivers, driver-card count by importance, risk codes and a one-line text. The change is a fraction compared with fractional
     thresholds; ``percent_thresholds=True`` reproduces the reference's unit
     mix-up (a percent compared with fractional thresholds, SURVEY X13)."""
     keys = ["entity", "scenario"]
-    path = fc.groupBy(*keys).agg(F.min("period").alias("start_period"), F.max("period").alias("end_period"),
-                                 F.max_by("pred", "period").alias("future_price"))
+    if month is None:
+        end, level = F.max("period"), F.max_by("pred", "period")
+    else:
+        fc = fc.withColumn("_at", F.col("period") == F.lit(month).cast("date"))
+        end, level = F.max(F.when(F.col("_at"), F.col("period"))), F.avg(F.when(F.col("_at"), F.col("pred")))
+    path = fc.groupBy(*keys).agg(F.min("period").alias("start_period"), end.alias("end_period"), level.alias("future_price"))
     starts = path.groupBy("entity").agg(F.min("start_period").alias("start"))
     anchor = J.asof_anchor(hist, starts, value=value)
     rep = path.join(anchor.select("entity", "anchor_period", F.col("anchor_value").alias("current_price")),
@@ -73,22 +77,35 @@ def forecast_report(fc: DataFrame, hist: DataFrame, shap: DataFrame, value: str
     change = fn.pct_change_of("future_price", "current_price")
     banded = F.col("change") * 100 if percent_thresholds else F.col("change")
     rep = rep.withColumn("change", change).withColumn("band", fn.trend_band(banded, strong, moderate))
-    hd = A.horizon_drivers(shap, keys, k=k)
-    lists = hd.groupBy(*keys).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("side") == "up", F.struct("rank", "feature")))),
-                                 lambda s: s["feature"]), ", ").alias("drivers_up"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("side") == "down", F.struct("rank", "feature")))),
-                                 lambda s: s["feature"]), ", ").alias("drivers_down"))
-    cards = W.driver_cards(hd.select(*keys, "feature", F.col("mean_abs_shap").alias("magnitude")), keys)
-    ncards = cards.groupBy(*keys).agg(F.count_if(F.col("importance") == "high").alias("n_high"),
-                                      F.count_if(F.col("importance") == "medium").alias("n_medium"))
-    rep = rep.join(lists, keys, "left").join(ncards, keys, "left")
+    cards = report_cards(shap, keys, k)
+    named = lambda side: F.array_join(F.transform(F.array_sort(F.collect_list(
+        F.when(F.col("direction") == side, F.struct("side_rank", "feature")))), lambda x: x["feature"]), ", ")
+    told = cards.groupBy(*keys).agg(named("up").alias("drivers_up"), named("down").alias("drivers_down"),
+                                    F.count_if(F.col("importance") == "high").alias("n_high"),
+                                    F.count_if(F.col("importance") == "medium").alias("n_medium"))
+    rep = rep.join(told, keys, "left")
+    high, medium = F.coalesce("n_high", F.lit(0)), F.coalesce("n_medium", F.lit(0))
+    risks = F.array_join(F.array_compact(F.array(
+        F.lit("model_based"),
+        F.when(F.lower(F.trim("scenario")).isin("low", "high"), "scenario_conditional"),
+        F.when((F.col("band.direction") == "stable") & (high + medium > 0), "offsetting_drivers"),
+        F.when((F.col("band.strength") == "strong") & (high == 0), "no_dominant_driver"),
+        F.when(F.col("n_high").isNull(), "no_attribution"))), ",")
     text = fn.narrate("%s (%s): %s %s move to %.2f by %s", "entity", "scenario", F.col("band.strength"),
                       F.col("band.direction"), fn.cents("future_price"), F.date_format("end_period", "yyyy-MM"))
     return rep.select(*keys, "start_period", "end_period", "anchor_period", "current_price", "future_price", "change",
                       F.col("band.direction").alias("direction"), F.col("band.strength").alias("strength"),
-                      "drivers_up", "drivers_down", F.coalesce("n_high", F.lit(0)).alias("n_high"),
-                      F.coalesce("n_medium", F.lit(0)).alias("n_medium"), text.alias("text"))
+                      "drivers_up", "drivers_down", high.alias("n_high"), medium.alias("n_medium"), risks.alias("risks"),
+                      F.when(F.col("future_price").isNotNull(), text).alias("text"))
+
+
+def report_cards(shap: DataFrame, keys, k: int = 3) -> DataFrame:
+    """The top upward and downward drivers of each slice as cards, by
+    magnitude: rank, direction, importance, share of the slice's total, label."""
+    hd = A.horizon_drivers(shap, keys, k=k).select(*keys, "feature", F.col("side").alias("direction"), F.col("rank").alias("side_rank"),
+                                                   F.col("mean_abs_shap").alias("magnitude"))
+    cards = W.driver_cards(hd, keys)
+    return cards.withColumn("label", F.format_string("%s (%s, %s)", "feature", "importance", "direction"))
 
 
 # Q04 -----------------------------------------------------------------------
@@ -142,7 +159,8 @@ def dataset_summary(df: DataFrame, period: str = "period", top: int = 1) -> Data
 def spatial_table(fc: DataFrame, hist: DataFrame, entities: DataFrame, scenario: str, month=None,
                   value: str = "avg_price") -> DataFrame:
     """One row per entity of the entity list (left join): anchor level,
-    forecast level at ``month`` (default: horizon end), change, percent,
+    forecast level at ``month`` (a date or a column; default: horizon end),
+    change, percent,
     and the reason when something is missing."""
     f = fc.filter(F.col("scenario") == scenario)
     if month is not None:
