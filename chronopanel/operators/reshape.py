@@ -179,9 +179,10 @@ def time_split(df: DataFrame, period: str, ranges: dict, out: str = "split") ->
 
 
 def capped_sample(df: DataFrame, n: int, key, by=(), seed: int = 42) -> DataFrame:
-    """At most ``n`` rows per group (or overall), chosen by a seeded hash of
-    the key: the same rows whatever the partitioning."""
-    h = F.xxhash64(*[F.col(k) for k in as_list(key)], F.lit(seed))
+    """At most ``n`` rows per group (or overall), chosen by the MD5 of the
+    key's text and the seed: the same rows whatever the partitioning, and in
+    any engine."""
+    h = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in as_list(key)], F.lit(str(seed))).cast("binary"))
     by = as_list(by)
     if not by:
         return df.withColumn("_h", h).orderBy("_h", *as_list(key)).limit(n).drop("_h")

@@ -81,16 +81,33 @@ def _stages():
     return M.feature_pipeline(cat=["region"], num=FEATURES, scale=False)
 
 
-@register("feature_pipeline", "M05")
+_PANEL_SQL = """
+mp AS (SELECT period, entity, region, ln(avg_price_lag1) AS l1, ln(avg_price_lag12) AS l12, ln(sales_count) AS ls
+       FROM nation_lags WHERE avg_price_lag1 IS NOT NULL AND avg_price_lag12 IS NOT NULL),
+reg AS (SELECT region, row_number() OVER (ORDER BY count(*) DESC, region) - 1 AS idx FROM mp GROUP BY region)"""
+
+
+@register("feature_pipeline", "M05", ctes=["nation_lags"], digits={"l1": 6, "l12": 6, "ls": 6}, sql=_PANEL_SQL + """,
+s AS (SELECT avg(l1) AS a1, stddev_samp(l1) AS d1, avg(l12) AS a2, stddev_samp(l12) AS d2, avg(ls) AS a3, stddev_samp(ls) AS d3 FROM mp)
+SELECT period, entity, CAST(idx AS BIGINT) AS region_slot, CAST(1 + (SELECT count(*) FROM reg) + 3 AS BIGINT) AS n_slots,
+       (l1 - a1) / d1 AS l1, (l12 - a2) / d2 AS l12, (ls - a3) / d3 AS ls
+FROM mp JOIN reg ON reg.region = mp.region, s""")
 def feature_pipeline(t):
     from pyspark.ml import Pipeline
-    d = model_panel(t)
+    from pyspark.ml.functions import vector_to_array
+    d = model_panel(t, complete=True)
     model = Pipeline(stages=M.feature_pipeline(cat=["region"], num=FEATURES, scale=True)).fit(d)
-    out = model.transform(d)
-    return out.select("period", "entity", F.col("features").cast("string").alias("features"))
+    out = model.transform(d).select("period", "entity", vector_to_array("features").alias("v"))
+    scaled = [F.element_at("v", i - len(FEATURES)).alias(c) for i, c in enumerate(FEATURES)]
+    return out.select("period", "entity", (F.array_position("v", F.lit(1.0)) - 1).alias("region_slot"),
+                      F.size("v").cast("bigint").alias("n_slots"), *scaled)
 
 
-@register("feature_map", "P36 M05")
+@register("feature_map", "P36 M05", ctes=["nation_lags"], sql=_PANEL_SQL + """,
+n AS (SELECT count(*) AS k FROM reg)
+SELECT CAST(idx AS BIGINT) AS "index", 'region_oh_' || region AS name, 'binary' AS kind FROM reg
+UNION ALL SELECT CAST(k AS BIGINT), 'region_oh___unknown', 'binary' FROM n
+UNION ALL SELECT CAST(k + 1 + i AS BIGINT), ['l1', 'l12', 'ls'][i + 1], 'numeric' FROM n, range(3) r(i)""")
 def feature_map(t):
     from pyspark.ml import Pipeline
     d = model_panel(t, complete=True)
