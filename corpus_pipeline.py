@@ -20,16 +20,20 @@ from chronopanel.llm import decontaminate, jaccard_join, language_id, quality_ru
 from chronopanel.llm.store import sized, written
 from chronopanel.session import table
 
-#: A document whose best language has a smaller mean probability than this is
-#: in no learned language.
-MIN_SCORE = 0.35
+#: A document whose best language is at most so many times as likely as all
+#: languages being equal is in no learned language.
+UNSURE = 1.2
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without letters or without a likely language."""
     net = language_id.train(docs.where(~language_id.held_out()))
-    told = language_id.label(docs, net, out_col="_language")
-    return told.where((F.col("_language.lang_pred") != "und") & (F.col("_language.score") >= MIN_SCORE)).drop("_language")
+    name = "_language"
+    while name in docs.columns:
+        name += "_"
+    told = language_id.label(docs, net, out_col=name)
+    sure = F.col(f"{name}.score") > UNSURE / max(len(net.langs) if net else 1, 2)
+    return told.where((F.col(f"{name}.lang_pred") != "und") & sure).drop(name)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
