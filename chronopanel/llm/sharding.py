@@ -133,7 +133,9 @@ def size_of(text: Column) -> Column:
 def lay_out(df: DataFrame, old_shard: Column, size: Column, order: list[Column], partitions: int | None = None) -> DataFrame:
     """The present layout: ``row`` (all columns), old, size, block (a range of
     the sort order, one file each) and at (position inside the block)."""
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # ranges hold equal numbers of rows, so those of the largest rows hold
+    # several times the mean of bytes: more, smaller blocks keep them small
+    n = partitions or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col("old"), F.col("size").desc(), *[F.col(f"k{i}") for i in range(len(order))]]
     rows = (df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.coalesce(old_shard, F.lit(0)).cast("int").alias("old"),
                       size.alias("size"), *[k.alias(f"k{i}") for i, k in enumerate(order)])
