@@ -50,7 +50,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .store import sized, written
+from .store import sized, tidy, written
 from .words import Words, _mix, slices
 
 SHINGLE = 5
@@ -107,7 +107,7 @@ def describe(docs: DataFrame) -> DataFrame:
     """(doc_id, n, k1, k2, counts, sample) of every document; k1 and k2 are a
     128-bit key of the set."""
     total = max(docs.count(), 1)
-    return written(docs.mapInArrow(_describe(SAMPLE_DOCS / total), "doc_id long, n long, k1 long, k2 long, counts binary, sample binary"), "near-sets")
+    return written(docs.mapInArrow(tidy(_describe(SAMPLE_DOCS / total)), "doc_id long, n long, k1 long, k2 long, counts binary, sample binary"), "near-sets")
 
 
 def frequent(described: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -164,7 +164,7 @@ def cells(reps: DataFrame, often) -> DataFrame:
     Frequent shingles can have regions of any size (a group of copies may hold
     a third of all rows): their smallest document is found by partial
     aggregation, and the join with it is split where a region is large."""
-    regions = written(reps.mapInArrow(_regions(often), "s long, doc long, hot boolean"), "near-regions")
+    regions = written(reps.mapInArrow(tidy(_regions(often)), "s long, doc long, hot boolean"), "near-regions")
     so_far = Window.partitionBy("s").orderBy("doc").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rare = regions.where("not hot").select("doc", F.first("doc").over(so_far).alias("pivot"))
     hot = regions.where("hot").select("s", "doc")
@@ -377,7 +377,7 @@ def near_components(documents: DataFrame, id_col: str = "doc_id", text_col: str
     sizes = known.select(F.col("doc_id").alias("doc"), "n", "counts")
     members = written(pruned(found, sizes).groupBy("pivot", "doc").agg(F.max("n").alias("n")), "near-members")
     wanted = written(members.select("doc").distinct(), "near-wanted")
-    sets = written(docs.join(sized(wanted.withColumnRenamed("doc", "doc_id")), "doc_id", "left_semi").mapInArrow(_sets, "doc long, set binary"), "near-shingles")
+    sets = written(docs.join(sized(wanted.withColumnRenamed("doc", "doc_id")), "doc_id", "left_semi").mapInArrow(tidy(_sets), "doc long, set binary"), "near-shingles")
     edges = join_cells(members, sets, unit)
     # rows that share an id join the classes of all their texts
     same = known.join(classes, ["n", "k1", "k2"]).where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))

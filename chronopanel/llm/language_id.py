@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .store import tidy
 from .words import flat, slices
 
 HIDDEN = 10
@@ -302,7 +303,7 @@ def label(df: DataFrame, net: Network | None, text_col: str = "text", out_col: s
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
     answer = "struct<lang_pred:string,score:double,n_positions:bigint,vote:double" + (
         ",spans:array<struct<start:bigint,end:bigint,lang:string>>" if spans else "") + ">"
-    return df.mapInArrow(_label(net, text_col, out_col, spans), f"{schema}, `{out_col}` {answer}")
+    return df.mapInArrow(tidy(_label(net, text_col, out_col, spans)), f"{schema}, `{out_col}` {answer}")
 
 
 def held_out(id_col: str = "doc_id"):

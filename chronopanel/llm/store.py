@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 import uuid
 
+import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,6 +55,21 @@ def commit_file(folder: str, name: str, write) -> str:
     return f"{folder.rstrip('/')}/{name}"
 
 
+def tidy(run):
+    """``run`` over the batches of a task; at its end the Python worker, which
+    lives on, gives memory that it no longer uses back to the system."""
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc
+            if trim:
+                trim(0)
+
+    return wrapped
+
+
 def worker_cache(name: str, make):
     """A value that stays in a Python worker from task to task. Functions are
     shipped by value, so module globals would start anew with each task."""

@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .store import worker_cache
+from .store import tidy, worker_cache
 from .words import RaggedMemo, Words, flat, slices
 
 SPACE = "▁"
@@ -269,7 +269,7 @@ def encode(df: DataFrame, model: str, text_col: str = "text", out_col: str = "id
     """``df`` with the array column ``out_col`` of piece ids."""
     if out_col in df.columns:
         raise ValueError(f"{out_col} is a column of the input; choose another out_col")
-    return df.mapInArrow(_encode(model, text_col, out_col, False), f"{_schema(df, set())}, `{out_col}` array<int>")
+    return df.mapInArrow(tidy(_encode(model, text_col, out_col, False)), f"{_schema(df, set())}, `{out_col}` array<int>")
 
 
 def decode(df: DataFrame, model: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
@@ -289,7 +289,7 @@ def decode(df: DataFrame, model: str, ids_col: str = "ids", out_col: str = "deco
 def digests(df: DataFrame, model: str, text_col: str = "text") -> DataFrame:
     """Instead of the text: n_ids, the crc32 of the ids as unsigned 32-bit
     integers, and whether decoding them gives the text back."""
-    return df.mapInArrow(_encode(model, text_col, "", True), f"{_schema(df, {text_col})}, n_ids long, ids_crc32 long, round_trip boolean")
+    return df.mapInArrow(tidy(_encode(model, text_col, "", True)), f"{_schema(df, {text_col})}, n_ids long, ids_crc32 long, round_trip boolean")
 
 
 def model_path() -> str:

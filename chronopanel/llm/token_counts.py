@@ -31,7 +31,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .store import worker_cache
+from .store import tidy, worker_cache
 from .words import flat, slices
 
 RULES = ("first", "last", "most", "share")
@@ -161,7 +161,7 @@ def count_tokens(df: DataFrame, vocabulary: str, id_col: str = "doc_id", text_co
     cols = [F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")]
     if sections_col:
         cols.append(F.col(sections_col).alias("sections"))
-    return df.select(*cols).mapInArrow(_count(vocabulary, rule, sections_col is None),
+    return df.select(*cols).mapInArrow(tidy(_count(vocabulary, rule, sections_col is None)),
                                        "id long, section int, name string, start long, end long, n_tokens double, n_crossing long")
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .seekable import SeekableReader, SeekableWriter
-from .store import commit_file, filesystem, shared_folder, worker_cache, written
+from .store import commit_file, filesystem, shared_folder, tidy, worker_cache, written
 from .words import RaggedMemo, Words, flat, slices
 
 MEMO_WORDS = 1_000_000
@@ -150,7 +150,7 @@ def write_ids(df: DataFrame, folder: str, tokenizer: str, end_id: int = 1, id_co
             .repartitionByRange(n, F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
             .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
             .select(F.spark_partition_id().alias("part"), "doc_id", "text"))
-    done = written(rows.mapInArrow(_write_partition(folder, tokenizer, end_id, level),
+    done = written(rows.mapInArrow(tidy(_write_partition(folder, tokenizer, end_id, level)),
                                    "part int, path string, n_docs long, n_ids long"), "ids-manifest")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
     return done.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
