@@ -22,10 +22,11 @@ chosen where documents come near each other at all:
    linked sets differ in at most (|x| + |y|) / 7 shingles. Documents without
    a possible partner leave the cell. A set of n shingles has about n / 8
    slices, at four bits each.
-5. A cell that is too large for one task is split again by its pivot's ball:
-   the members within eps of the pivot are linked through it and need no
-   comparison with each other; the others meet each other, and those within
-   2 eps of the pivot also meet the ball, block by block.
+5. A cell that is too large for one task is split again by the ball of its
+   smallest member that is left: the members within eps of that centre are
+   linked through it and need no comparison with each other; the others meet
+   each other, and those within 2 eps of the centre also meet the ball, block
+   by block.
 6. Small cells and blocks are joined exactly on the whole sets by an inverted
    index in a task. It returns the edges of a spanning forest: enough for the
    components, and no group emits all its pairs.
@@ -278,35 +279,41 @@ def _sets(batches):
 
 
 def _ball(batches):
-    """Distances to the pivot; of each (pivot, salt) the pivot's own row comes
-    first and is all that is held."""
-    key, center = None, None
+    """Distances to the cell's centre; of each (pivot, salt) the centre's row
+    comes first and is all that is held."""
+    key, middle, center = None, None, None
     for b in batches:
         out = []
         for pivot, salt, doc, is_member, n, raw in zip(*(b.column(c).to_pylist() for c in ("pivot", "salt", "doc", "is_member", "n", "set"))):
             s = np.frombuffer(raw, np.uint64)
             if (pivot, salt) != key:
-                key, center = (pivot, salt), s
+                if is_member:
+                    raise ValueError(f"cell {pivot} has no centre in part {salt}")
+                key, middle, center = (pivot, salt), doc, s
             if is_member:
                 i = len(np.intersect1d(center, s, assume_unique=True))
-                out.append((pivot, doc, n, 1.0 - i / (len(center) + len(s) - i), 100 * i >= 75 * (len(center) + len(s) - i)))
+                out.append((pivot, middle, doc, n, 1.0 - i / (len(center) + len(s) - i), 100 * i >= 75 * (len(center) + len(s) - i)))
         if out:
-            p, d, n, dist, linked = zip(*out)
-            yield pa.record_batch([pa.array(p, pa.int64()), pa.array(d, pa.int64()), pa.array(n, pa.int64()), pa.array(dist), pa.array(linked)],
-                                  names=["pivot", "doc", "n", "d", "linked"])
+            p, c, d, n, dist, linked = zip(*out)
+            yield pa.record_batch([pa.array(p, pa.int64()), pa.array(c, pa.int64()), pa.array(d, pa.int64()), pa.array(n, pa.int64()), pa.array(dist), pa.array(linked)],
+                                  names=["pivot", "center", "doc", "n", "d", "linked"])
 
 
 def split_large(large: DataFrame, sets: DataFrame, unit: int, salts: int = 32) -> tuple[DataFrame, DataFrame]:
-    """Large cells (pivot, doc, n): the links of the pivots' balls, and the
-    units (unit, doc) in which the remaining pairs meet."""
+    """Large cells (pivot, doc, n): the links of the cells' balls, and the
+    units (unit, doc) in which the remaining pairs meet. The centre of a ball
+    is the cell's smallest member that is left: the pivot, unless the slices
+    told it apart. All parts of a cell use the same one of its sets."""
     salted = large.join(sets, "doc").select("pivot", F.pmod(F.xxhash64("doc"), F.lit(salts)).alias("salt"), "doc", F.lit(1).alias("is_member"), "n", "set")
-    centers = (large.select("pivot").distinct().join(sets, F.col("pivot") == F.col("doc"))
+    middle = large.groupBy("pivot").agg(F.min("doc").alias("doc"))
+    one = sets.join(middle.select("doc").distinct(), "doc", "left_semi").groupBy("doc").agg(F.min("set").alias("set"))
+    centers = (middle.join(one, "doc")
                .select("pivot", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("salt"), "doc", F.lit(0).alias("is_member"),
                        F.lit(0).cast("long").alias("n"), "set"))
     parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     balls = written(salted.unionByName(centers).repartition(parts, "pivot", "salt").sortWithinPartitions("pivot", "salt", "is_member")
-                    .mapInArrow(_ball, "pivot long, doc long, n long, d double, linked boolean"), "near-balls")
-    links = balls.where("linked and pivot <> doc").select(F.col("pivot").alias("a"), F.col("doc").alias("b"))
+                    .mapInArrow(_ball, "pivot long, center long, doc long, n long, d double, linked boolean"), "near-balls")
+    links = balls.where("linked and center <> doc").select(F.col("center").alias("a"), F.col("doc").alias("b"))
     blocks = balls.groupBy("pivot").agg(F.ceil(F.sum(F.when(F.col("linked"), F.col("n")).otherwise(0)) * 2 / unit).cast("int").alias("n_in"),
                                         F.ceil(F.sum(F.when(F.col("linked"), 0).otherwise(F.col("n"))) * 2 / unit).cast("int").alias("n_out"))
     rows = balls.join(blocks, "pivot").where("n_out > 0")
@@ -314,7 +321,7 @@ def split_large(large: DataFrame, sets: DataFrame, unit: int, salts: int = 32) -
     name = lambda i, j: F.concat_ws("/", F.col("pivot"), i, j)
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     inner = rows.where("linked").withColumn("j", each("n_out")).select(name(F.concat(F.lit("in"), at(F.col("n_in"))), F.col("j")).alias("unit"), "doc")
-    # beyond 2 eps of the pivot no member of the ball can be near (a rounding step is left)
+    # beyond 2 eps of the centre no member of the ball can be near (a rounding step is left)
     rim = (rows.where("not linked and n_in > 0 and d <= 0.5000001").withColumn("i", each("n_in"))
            .select(name(F.concat(F.lit("in"), F.col("i")), at(F.col("n_out"))).alias("unit"), "doc"))
     outer = (rows.where("not linked").withColumn("j", each("n_out"))

@@ -52,6 +52,31 @@ def test_large_cells_are_split_exactly(spark, monkeypatch):
     check(rows, run(spark, rows, unit=150))
 
 
+def test_large_cell_without_its_pivot(spark, monkeypatch):
+    """The pivots 0 to 9 are halves of longer texts: they share regions with
+    them, but the slices tell them apart and they leave their cells."""
+    monkeypatch.setattr(J, "FREQUENT", 10 ** 6)
+    rows = []
+    for k in range(10):
+        base = [f"b{k}x{i}" for i in range(100)]
+        rows.append((k, " ".join(base[:50])))
+        rows += [(100 + 10 * k + i, " ".join([*base[:90], f"x{i}", *base[91:]])) for i in range(4)]
+    check(rows, run(spark, rows, unit=150))
+
+
+def test_cells_use_one_centre(spark):
+    """Members without their pivot, and a centre whose id has two texts."""
+    g = np.random.default_rng(5)
+    x, y = (np.sort(g.integers(0, 2 ** 63, 100).astype(np.uint64)) for _ in range(2))
+    sets = {1: [x, y], 2: [x], 3: [y], 4: [np.sort(g.integers(0, 2 ** 63, 100).astype(np.uint64))]}
+    members = spark.createDataFrame([(0, d, 100) for d in sets], "pivot long, doc long, n long")
+    rows = spark.createDataFrame([(d, bytearray(s.tobytes())) for d, ss in sets.items() for s in ss], "doc long, set binary")
+    got = J.components(J.join_cells(members, rows, unit=150)).collect()
+    assert {r["node"]: r["component"] for r in got} == {2: 1, 3: 1}
+    links, _ = J.split_large(members, rows, 150)
+    assert {(r["a"], r["b"]) for r in links.collect()} in ({(1, 2)}, {(1, 3)})
+
+
 def test_one_hot_group(spark):
     g = random.Random(9)
     base = [f"b{i}" for i in range(80)]
