@@ -178,7 +178,8 @@ def cells(reps: DataFrame, often) -> DataFrame:
 def possible(n: np.ndarray, counts: list[bytes]) -> np.ndarray:
     """Members of a cell for which the slices allow a linked partner. Sets of
     4/3 of a set's size have as many slices or twice as many; those are summed
-    in pairs."""
+    in pairs, and the sums stop at 15 as the counts do: each is then the count
+    of the wider slice."""
     order = np.argsort(n, kind="stable")
     n, c = n[order], [unpacked(counts[k]) for k in order]
     out, width, rows, base = np.zeros(len(n), bool), 0, None, 0
@@ -189,7 +190,7 @@ def possible(n: np.ndarray, counts: list[bytes]) -> np.ndarray:
         if len(c[i]) != width or base + len(rows) < stop:
             width, base = len(c[i]), i
             last = int(np.searchsorted(n, 2 * max(n[i], 8 * width), "right"))
-            rows = np.stack([x if len(x) == width else x.reshape(width, -1).sum(axis=1, dtype=np.int16) for x in c[i:max(last, stop)]])
+            rows = np.stack([x if len(x) == width else np.minimum(x.reshape(width, -1).sum(axis=1, dtype=np.int16), 15) for x in c[i:max(last, stop)]])
         j = slice(i + 1, stop)
         differ = np.abs(rows[i + 1 - base: stop - base] - rows[i - base]).sum(axis=1, dtype=np.int64)
         ok = 7 * np.maximum(differ, n[j] - n[i]) <= n[j] + n[i]

@@ -113,6 +113,17 @@ def test_prefix_and_slices_lose_no_link():
             assert J.possible(np.array([len(x), len(y)]), [J.slice_counts(s) for s in (x, y)]).all()
 
 
+def test_slices_lose_no_nested_set():
+    """A set inside another at the threshold, with half as many slices."""
+    g = np.random.default_rng(6)
+    for small, large, times in ((1000, 1333, 40), (1003, 1333, 40), (1600, 2133, 40), (16000, 21333, 5)):
+        assert 100 * small >= 75 * large and J.n_slices(small) < J.n_slices(large)
+        for _ in range(times):
+            x = np.unique(g.integers(0, 2 ** 64, large, dtype=np.uint64))
+            y = np.sort(g.choice(x, small, replace=False))
+            assert len(x) == large and J.possible(np.array([small, large]), [J.slice_counts(s) for s in (y, x)]).all()
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(1, 60)] + [(100, 101), (200, 100), (7, 3), (5, 5)]
     got = {r["node"]: r["component"] for r in J.components(spark.createDataFrame(chain, "a long, b long")).collect()}
