@@ -378,7 +378,9 @@ def near_components(documents: DataFrame, id_col: str = "doc_id", text_col: str
     told = describe(docs)
     known = told.where("doc_id is not null and n > 0")
     classes = written(known.groupBy("n", "k1", "k2").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "near-classes")
-    copies = written(known.join(classes.where("copies > 1"), ["n", "k1", "k2"]).where("doc_id <> rep").select("doc_id").distinct(), "near-copies")
+    # an id that stands for the class of one of its texts stays, with all of them
+    copies = written(known.join(classes.where("copies > 1"), ["n", "k1", "k2"]).where("doc_id <> rep").select("doc_id").distinct()
+                     .join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_anti"), "near-copies")
     often = spark.sparkContext.broadcast(frequent(told))
     reps = docs.where("doc_id is not null").join(sized(copies), "doc_id", "left_anti")
     found = cells(reps, often)

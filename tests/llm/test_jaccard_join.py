@@ -94,6 +94,14 @@ def test_awkward_rows(spark):
     check(rows, run(spark, rows))
 
 
+def test_id_with_a_copied_and_a_unique_text(spark):
+    one, two = ([f"{k}{i}" for i in range(60)] for k in "ab")
+    rows = [(3, " ".join(one)), (5, " ".join(one)), (5, " ".join(two)), (9, " ".join([*two, "more"])), (12, " ".join(two[1:]))]
+    got = run(spark, rows)
+    check(rows, got)
+    assert {r["component_id"] for r in got} == {3}
+
+
 def test_empty_table(spark):
     assert J.near_components(documents(spark).limit(0)).collect() == []
 
