@@ -119,8 +119,13 @@ def to_long(t):
 SELECT period, entity, avg_price, avg_price_lag1 FROM nation_lags
 WHERE avg_price_lag1 IS NOT NULL AND period BETWEEN DATE '1995-01-01' AND DATE '2001-12-31'""")
 def union_splits(t):
+    """The first three quarters of the panel's months and the rest."""
     x = P.nation_lags(t).select("period", "entity", "avg_price", "avg_price_lag1")
-    s = R.time_split(x, "period", {"train": ("1995-01-01", "1999-12-31"), "test": ("2000-01-01", "2001-12-31")})
+    nm = P.nation_month(t)
+    first, last = nm.select(F.min("period")).scalar(), nm.select(F.max("period")).scalar()
+    months = F.round(F.months_between(last, first)) + 1
+    cut = F.add_months(first, F.floor(months * 0.75).cast("int"))
+    s = R.time_split(x, "period", {"train": (first, F.add_months(cut, -1)), "test": (cut, last)})
     a = s.filter("split = 'train'").drop("split")
     b = s.filter("split = 'test'").drop("split")
     return R.union_splits(a, b, drop_missing_cols=["avg_price_lag1"])

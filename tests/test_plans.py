@@ -1,5 +1,7 @@
 """Plan-shape tests: the physical plans we rely on at scale."""
 
+from pyspark.sql import functions as F
+
 from chronopanel.plans.registry import load_all, runner
 
 from .conftest import SMALL
@@ -49,3 +51,17 @@ def test_hot_group_quantiles_use_many_partitions(spark):
     r = A.exact_quantiles(df, "v", [0.5], ["g"]).first()
     e = df.agg(F.percentile("v", 0.5)).first()[0]
     assert abs(r.q - e) < 1e-12
+
+
+def test_union_splits_keeps_every_month(spark, tmp_path):
+    """Orders of other years: as many rows as before they were moved."""
+    q = load_all()["union_splits"]
+    rows = sorted((r["period"].month, r["entity"], r["avg_price"]) for r in runner(q)(spark, SMALL).collect())
+    for years in (-10, 10):
+        for name in ("customer", "nation", "region", "orders"):
+            df = spark.read.parquet(f"{SMALL}/{name}.parquet")
+            if name == "orders":
+                df = df.withColumn("o_orderdate", F.col("o_orderdate") + F.expr(f"INTERVAL '{years}' YEAR"))
+            df.write.parquet(f"{tmp_path}/{years}/{name}.parquet")
+        moved = runner(q)(spark, f"{tmp_path}/{years}").collect()
+        assert rows and sorted((r["period"].month, r["entity"], r["avg_price"]) for r in moved) == rows
