@@ -19,6 +19,8 @@ MARK_KIND = np.zeros(256, np.uint8)
 MARK_KIND[33:48] = MARK_KIND[58:65] = MARK_KIND[91:97] = MARK_KIND[123:127] = 2
 MARK_KIND[65:91] = MARK_KIND[97:123] = 1
 MARK_KIND[39] = 0
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -55,10 +57,13 @@ class Words:
 
     tables: dict = {}
 
-    def __init__(self, texts: pa.Array, lower: bool = False, marks: bool = False, spaces: bytes = b" \t\n\x0b\x0c\r", alone: int | None = None):
+    def __init__(self, texts: pa.Array, lower: bool | str = False, marks: bool = False, spaces: bytes = b" \t\n\x0b\x0c\r", alone: int | None = None):
         """``marks``: also cut between an ASCII letter and an ASCII mark other
-        than the apostrophe. ``alone``: a byte that is a word by itself."""
+        than the apostrophe. ``alone``: a byte that is a word by itself.
+        ``lower="ascii"``: A-Z are lower-cased in words of ASCII alone; ``data``
+        then holds the words as they are hashed."""
         data, offs = flat(texts)
+        only_ascii, lower = lower == "ascii", lower is True
         if (lower, spaces) not in self.tables:
             self.tables[lower, spaces] = _tables(lower, spaces)
         self.t, self.sep, self.pow, self.inv = self.tables[lower, spaces]
@@ -80,9 +85,23 @@ class Words:
         self.start = np.flatnonzero(before & ~is_sep)
         self.end = np.flatnonzero(after & ~is_sep) + 1
         self.data, self.offs, self.lower = data, offs, lower
+        if only_ascii and n:
+            self.data = self._lowered(data)
         self.first = np.searchsorted(self.start, offs)
         self.hash = self._hashes()
 
+    def _lowered(self, data: np.ndarray) -> np.ndarray:
+        high = np.flatnonzero(data > 127)
+        low = LOWER[data]
+        if len(high):
+            k = np.unique(np.searchsorted(self.start, high, "right") - 1)  # words with such a byte
+            edge = np.zeros(len(data) + 1, np.int8)
+            edge[self.start[k]] += 1
+            edge[self.end[k]] -= 1
+            kept = np.cumsum(edge[:-1], dtype=np.int8).view(bool)
+            low[kept] = data[kept]
+        return low
+
     def _hashes(self) -> np.ndarray:
         start, size = self.start, self.end - self.start
         out = np.empty(len(start), np.uint64)
