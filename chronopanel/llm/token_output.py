@@ -36,9 +36,10 @@ class WordEncoder:
     letters and marks: a text's ids are its words' ids in order, so each word
     is encoded once by the tokenizers library and remembered, within a bound.
 
-    ``cuts_words`` checks that of the tokenizer; A-Z may be lower-cased for
-    the same reason (the tokenizer does so itself). Texts that hold a special
-    token's string are encoded whole."""
+    ``cuts_words`` checks that of the tokenizer. Words of ASCII alone may be
+    lower-cased (the tokenizer does so itself); others are encoded as written,
+    since it composes characters before it lower-cases them. Texts that hold a
+    special token's string are encoded whole."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -90,8 +91,9 @@ class WordEncoder:
         raw, offs = flat(texts)
         low = raw.tobytes().lower()
         apart = {int(np.searchsorted(offs, m.start(), "right")) - 1 for s in self.special for m in re.finditer(re.escape(s), low)}
-        w = Words(texts, lower=True, marks=True)
-        make = lambda where: self._words([low[a:b].decode() for a, b in zip(w.start[where].tolist(), w.end[where].tolist())])
+        w = Words(texts, lower="ascii", marks=True)
+        words = w.data.tobytes()
+        make = lambda where: self._words([words[a:b].decode() for a, b in zip(w.start[where].tolist(), w.end[where].tolist())])
         ids, size = self.memo.get(w.hash, make) if len(w.hash) else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
         cut = np.concatenate([[0], np.cumsum(size)])[w.first]
         out = [ids[a:b] for a, b in zip(cut[:-1], cut[1:])]

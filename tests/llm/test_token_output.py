@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import zstandard
 from tokenizers import Tokenizer
@@ -64,3 +65,12 @@ def test_words_alone_equal_whole_texts():
     odd = ["", None, "a<|endoftext|>b <|ENDOFTEXT|> c", "It's <|startoftext|>", "x" * 100000, "É́ K İx ΑΣ ς \x1cd",
            "'S 'LL don't.''s --'d 123abc4 a1.b2", " \n\t ", "中文 text—dash “quotes” ½²"]
     assert [o.tolist() for o in e.encode(pa.array(odd))] == e.whole([t or "" for t in odd])
+
+
+def test_letters_before_combining_marks():
+    """Characters compose before they are lower-cased: T + U+0308 stays two."""
+    tok, enc = Tokenizer.from_file(PATH), O.WordEncoder(PATH)
+    texts = [a + chr(m) for a in "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ" for m in range(0x300, 0x370)]
+    texts += [f"x {t}y, Z{t}." for t in texts]
+    for t, got in zip(texts, enc.encode(pa.array(texts))):
+        assert got.tolist() == tok.encode(t, add_special_tokens=False).ids, t
