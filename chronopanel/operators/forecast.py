@@ -11,7 +11,8 @@ M13 (seasonal ARIMA grid): each (series, order) pair is fitted in
 the group size is bounded by the calendar, not by the raw rows). The fit is
 conditional least squares over the points that every order of the grid can
 use, so the orders' BIC values compare; they are not the exact-likelihood
-values of a state-space fit.
+values of a state-space fit. Driver series may enter as regressors with
+seasonal ARMA errors; ``driver_chain`` forecasts the driver first.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ._util import as_list
 
-__all__ = ["bvar_forecast", "bvar_solve", "seasonal_grid", "DEFAULT_ORDERS", "css_fit", "css_forecast"]
+__all__ = ["bvar_forecast", "bvar_solve", "seasonal_grid", "DEFAULT_ORDERS", "css_fit", "css_forecast", "driver_chain"]
 
 
 # M12 -----------------------------------------------------------------------
@@ -137,7 +138,7 @@ DEFAULT_ORDERS = [((p, 1, q), (P, 1, Q, 12)) for p in (0, 1) for q in (0, 1) for
 def _difference(y, d, D, s):
     z = np.asarray(y, float)
     for _ in range(d):
-        z = np.diff(z)
+        z = np.diff(z, axis=0)
     for _ in range(D):
         z = z[s:] - z[:-s]
     return z
@@ -153,15 +154,60 @@ def _product(short: np.ndarray, seasonal: np.ndarray, s: int, sign: float) -> np
     return sign * np.convolve(one, two)[1:]
 
 
-def _filtered(z: np.ndarray, c: float, phi: np.ndarray, theta: np.ndarray) -> np.ndarray:
-    """Residuals with zero residuals before the first usable point."""
-    e = np.zeros(len(z))
-    if len(z) > len(phi):
-        e[len(phi):] = z[len(phi):] - c - sum((f * z[len(phi) - i: len(z) - i] for i, f in enumerate(phi, 1) if f), np.zeros(1))
+def _back_filtered(g: np.ndarray, first: int, theta: np.ndarray) -> np.ndarray:
+    """Columns of ``g`` divided by the moving-average polynomial, in place:
+    row t loses theta_i times row t - i. Rows before ``first`` are zero."""
+    g[:first] = 0.0
     lags = [(i, f) for i, f in enumerate(theta, 1) if f]
-    for t in range(len(phi), len(z)) if lags else ():
-        e[t] -= sum(f * e[t - i] for i, f in lags if t >= i)
-    return e
+    for t in range(first, len(g)) if lags else ():
+        for i, f in lags:
+            if t - i >= first:
+                g[t] -= f * g[t - i]
+    return g
+
+
+def _lagged(w: np.ndarray, poly: np.ndarray) -> np.ndarray:
+    """poly(L) w, rows before the polynomial's length being incomplete."""
+    out = poly[0] * w
+    for i in np.flatnonzero(poly[1:]) + 1:
+        out[i:] += poly[i] * w[: len(w) - i]
+    return out
+
+
+class _SeasonalArma:
+    """Regression with seasonal ARMA errors on differenced data: parameters
+    (c, regressors, short AR, seasonal AR, short MA, seasonal MA), residuals
+    from zero residuals before the first usable point, and their derivatives
+    from the same filter, all columns at once."""
+
+    def __init__(self, z: np.ndarray, x: np.ndarray, order, seasonal, start: int):
+        (self.p, _, self.q), (self.P, _, self.Q, self.s) = order, seasonal
+        self.z, self.x, self.start, self.first = z, x, start, self.p + self.s * self.P
+
+    def split(self, par: np.ndarray) -> list[np.ndarray]:
+        return np.split(par[1:], np.cumsum([self.x.shape[1], self.p, self.P, self.q]))
+
+    def polynomials(self, par):
+        _, a, b, m, n = self.split(par)
+        return _product(a, b, self.s, -1.0), _product(m, n, self.s, 1.0)
+
+    def residuals(self, par: np.ndarray) -> np.ndarray:
+        phi, theta = self.polynomials(par)
+        w = self.z - self.x @ self.split(par)[0]
+        return _back_filtered(_lagged(w, np.r_[1.0, -phi]) - par[0], self.first, theta)
+
+    def derivatives(self, par: np.ndarray, e: np.ndarray) -> np.ndarray:
+        beta, a, b, m, n = self.split(par)
+        phi, theta = self.polynomials(par)
+        w, s = self.z - self.x @ beta, self.s
+        shift = lambda v, i: np.r_[np.zeros(min(i, len(v))), v[: max(len(v) - i, 0)]]
+        spread = lambda c, sign: np.r_[1.0, np.kron(sign * c, np.r_[np.zeros(s - 1), 1.0])] if len(c) else np.ones(1)
+        season_w, short_w = _lagged(w, spread(b, -1.0)), _lagged(w, np.r_[1.0, -a])
+        season_e, short_e = _lagged(e, spread(n, 1.0)), _lagged(e, np.r_[1.0, m])
+        g = [-np.ones(len(w)), *(-_lagged(self.x, np.r_[1.0, -phi])).T]
+        g += [-shift(season_w, i) for i in range(1, self.p + 1)] + [-shift(short_w, s * j) for j in range(1, self.P + 1)]
+        g += [-shift(season_e, i) for i in range(1, self.q + 1)] + [-shift(short_e, s * j) for j in range(1, self.Q + 1)]
+        return _back_filtered(np.stack(g, axis=1), self.first, theta)
 
 
 def max_lag_of(orders) -> int:
@@ -169,82 +215,96 @@ def max_lag_of(orders) -> int:
     return max((p + s * P for (p, _, _), (P, _, _, s) in orders), default=0)
 
 
-def css_fit(y, order, seasonal, start: int | None = None, steps: int = 30):
-    """Conditional least squares of a seasonal ARMA with product polynomials
-    on the differenced series, by damped Gauss-Newton steps from zero
-    coefficients and the mean. ``start`` is the first scored point; with the
-    grid's largest lag all orders are scored on the same points. Returns
-    dict(c, phi, theta, sigma2, llf, aic, bic, hqic, nobs) or raises."""
+def css_fit(y, order, seasonal, start: int | None = None, steps: int = 30, exog=None):
+    """Conditional least squares of a regression with seasonal ARMA errors
+    (product polynomials) on the differenced series: by damped Gauss-Newton
+    steps from the least-squares regression without ARMA terms, the
+    regressors' coefficients being moved together with the others. ``exog``
+    has one row per value of ``y`` and one column per regressor. ``start`` is
+    the first scored point; with the grid's largest lag all orders are scored
+    on the same points. Returns dict(c, beta, phi, theta, sigma2, llf, aic,
+    bic, hqic, nobs) or raises."""
     p, d, q = order
     P, D, Q, s = seasonal
     z = _difference(y, d, D, s)
+    x = np.zeros((len(np.asarray(y)), 0)) if exog is None else np.asarray(exog, float).reshape(len(z) + d + s * D, -1)
+    x = _difference(x, d, D, s)
     start = max(p + s * P, start or 0)
-    nobs, k = len(z) - start, p + q + P + Q
-    if nobs < k + 8:
+    nobs, arma, r = len(z) - start, p + q + P + Q, x.shape[1]
+    if nobs < arma + r + 8:
         raise ValueError("series too short")
-
-    def unpack(x):
-        a, b, m, n = np.split(x[1:], np.cumsum([p, P, q]))
-        return x[0], _product(a, b, s, -1.0), _product(m, n, s, 1.0)
-
-    residuals = lambda x: _filtered(z, *unpack(x))[start:]
-    x = np.r_[z.mean(), np.zeros(k)]
-    e, damp = residuals(x), 1e-3
-    for _ in range(steps if k else 0):
-        jac = np.stack([(residuals(x + h) - e) / 1e-6 for h in 1e-6 * np.eye(k + 1)], axis=1)
+    if not (np.isfinite(z).all() and np.isfinite(x).all()):
+        raise ValueError("missing values")
+    model = _SeasonalArma(z, x, order, seasonal, start)
+    flat = np.linalg.lstsq(np.c_[np.ones(nobs), x[start:]], z[start:], rcond=None)[0]
+    par = np.r_[flat, np.zeros(arma)]
+    full, damp = model.residuals(par), 1e-3
+    for _ in range(steps if arma else 0):
+        e, jac = full[start:], model.derivatives(par, full)[start:]
         grad, hess = jac.T @ e, jac.T @ jac
         while True:
-            move = np.linalg.solve(hess + damp * np.diag(np.diag(hess) + 1e-12), -grad)
-            trial = x + move
-            trial[1:] = np.clip(trial[1:], -0.999, 0.999)
-            new = residuals(trial)
-            if new @ new < e @ e or damp > 1e6:
+            trial = par + np.linalg.solve(hess + damp * np.diag(np.diag(hess) + 1e-12), -grad)
+            trial[1 + r:] = np.clip(trial[1 + r:], -0.999, 0.999)
+            new = model.residuals(trial)
+            gain = float(e @ e - new[start:] @ new[start:])
+            if gain > 0 or damp > 1e6:
                 break
             damp *= 10
-        gain = e @ e - new @ new
         if gain <= 0:
             break
-        x, e, damp = trial, new, damp / 10
-        if gain <= 1e-10 * (e @ e):
+        par, full, damp = trial, new, damp / 10
+        if gain <= 1e-10 * float(e @ e):
             break
-    if not k:  # the mean is the least-squares constant over the scored points
-        x = np.r_[z[start:].mean()]
-        e = residuals(x)
-    c, phi, theta = unpack(x)
+    e = full[start:]
+    phi, theta = model.polynomials(par)
     sigma2 = float(np.mean(e ** 2))
     with np.errstate(divide="ignore"):       # a perfect fit has sigma2 = 0, llf = +inf
         llf = float(-0.5 * nobs * (np.log(2 * np.pi * sigma2) + 1.0))
-    used = k + 2
-    return dict(c=float(c), phi=phi, theta=theta, sigma2=sigma2, llf=llf, nobs=nobs, aic=-2 * llf + 2 * used,
-                bic=-2 * llf + used * float(np.log(nobs)), hqic=-2 * llf + 2 * used * float(np.log(np.log(nobs))))
+    used = arma + r + 2
+    return dict(c=float(par[0]), beta=par[1: 1 + r], phi=phi, theta=theta, residuals=full, sigma2=sigma2, llf=llf, nobs=nobs,
+                aic=-2 * llf + 2 * used, bic=-2 * llf + used * float(np.log(nobs)), hqic=-2 * llf + 2 * used * float(np.log(np.log(nobs))))
 
 
-def css_forecast(y, fit, order, seasonal, horizon):
-    """Forecast with future shocks 0. The differences are undone by one
-    recursion: (1 - L)^d (1 - L^s)^D y = z."""
+def css_forecast(y, fit, order, seasonal, horizon, exog=None, exog_future=None):
+    """Forecast with future shocks 0: of the errors u = y - X beta, whose
+    differences are undone by one recursion ((1 - L)^d (1 - L^s)^D u = z), plus
+    the regressors' future values times beta. Only as many steps as there are
+    future values."""
     (_, d, _), (_, D, _, s) = order, seasonal
-    y, phi, theta = np.asarray(y, float), fit["phi"], fit["theta"]
-    z = _difference(y, d, D, s)
-    e = np.r_[_filtered(z, fit["c"], phi, theta), np.zeros(horizon)]
+    phi, theta, beta = fit["phi"], fit["theta"], fit["beta"]
+    u, ahead = np.asarray(y, float), np.zeros(horizon)
+    if len(beta):
+        future = np.asarray(exog_future, float).reshape(-1, len(beta))[:horizon]
+        u, ahead, horizon = u - np.asarray(exog, float).reshape(len(u), -1) @ beta, future @ beta, len(future)
+    z = _difference(u, d, D, s)
+    e = np.r_[fit["residuals"], np.zeros(horizon)]
     z = np.r_[z, np.zeros(horizon)]
     back = np.ones(1)
     for unit in [np.array([1.0, -1.0])] * d + [np.r_[1.0, np.zeros(s - 1), -1.0]] * D:
         back = np.convolve(back, unit)
     back = -back[1:]
-    levels = np.r_[y, np.zeros(horizon)]
+    levels = np.r_[u, np.zeros(horizon)]
     last = lambda x, t, w: float(x[t - len(w): t][::-1] @ w) if len(w) else 0.0
     for h in range(horizon):
         t = len(z) - horizon + h
         z[t] = fit["c"] + last(z, t, phi) + last(e, t, theta)
-        levels[len(y) + h] = z[t] + last(levels, len(y) + h, back)
-    return levels[len(y):]
+        levels[len(u) + h] = z[t] + last(levels, len(u) + h, back)
+    return levels[len(u):] + ahead
 
 
-def seasonal_grid(df: DataFrame, by, order: str, value: str, orders=None, horizon: int = 12) -> tuple[DataFrame, DataFrame]:
+def seasonal_grid(df: DataFrame, by, order: str, value: str, orders=None, horizon: int = 12, exog=(),
+                  exog_future: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Fit every order of the grid to every series; rank by BIC per series
     (failures kept as rows with status); forecast with the best order.
-    Returns (grid results, forecasts)."""
-    by = as_list(by)
+    Returns (grid results, forecasts).
+
+    ``exog`` names driver columns of ``df`` that enter as regressors (rows
+    without a driver value are left out of the fit); ``exog_future`` holds
+    their values after the last month, as (by, order, exog) rows. A series is
+    forecast for the months right after its last one that have all drivers."""
+    by, exog = as_list(by), as_list(exog)
+    if bool(exog) != (exog_future is not None):
+        raise ValueError("exog and exog_future go together")
     orders = orders or DEFAULT_ORDERS
     common = max_lag_of(orders)
     spark = df.sparkSession
@@ -252,37 +312,70 @@ def seasonal_grid(df: DataFrame, by, order: str, value: str, orders=None, horizo
                                "order_id int, pdq string, pdqs string")
     # one row per (series, period): a group never exceeds the calendar length,
     # whatever the number of raw rows behind a hot series
+    drivers = [F.avg(F.col(c).cast("double")).alias(f"_x{i}") for i, c in enumerate(exog)]
     series = (df.filter(F.col(value).isNotNull()).groupBy(*by, order)
-                .agg(F.avg(F.col(value).cast("double")).alias("_y")))
+                .agg(F.avg(F.col(value).cast("double")).alias("_y"), *drivers))
+    names = [f"_x{i}" for i in range(len(exog))]
+    for c in names:
+        series = series.filter(F.col(c).isNotNull())
+    last = series.groupBy(*by).agg(F.max(order).alias("_last"))
+    if exog:
+        ahead = exog_future.groupBy(*by, order).agg(*drivers).join(last, by).filter(
+            (F.col(order) > F.col("_last")) & (F.col(order) <= F.add_months("_last", horizon)))
+        series = series.unionByName(ahead.select(*by, order, F.lit(None).cast("double").alias("_y"), *names))
     from .joins import repeat_for_each
     x = repeat_for_each(series, og)
     types = dict(df.dtypes)
     schema = ", ".join([f"`{b}` {types[b]}" for b in by] +
                        ["order_id int", "pdq string", "pdqs string", "bic double", "aic double", "hqic double",
-                        "nobs int", "status string", "forecast array<double>"])
+                        "nobs int", "beta array<double>", "status string", "forecast array<double>"])
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order)
         oid = int(pdf["order_id"].iloc[0])
         o, so = orders[oid]
         key = [pdf[b].iloc[0] for b in by]
+        known = pdf["_y"].notna().to_numpy()
+        y, past, future = pdf["_y"].to_numpy()[known], pdf[names].to_numpy()[known], pdf.loc[~known]
+        # drivers right after the last month, up to the first gap
+        when = pd.to_datetime(future[order])
+        month = (when.dt.year * 12 + when.dt.month).to_numpy()
+        end = pd.Timestamp(pdf[order].iloc[int(known.sum()) - 1]) if known.any() else pd.Timestamp(0)
+        steps = int(np.cumprod(month == end.year * 12 + end.month + 1 + np.arange(len(month))).sum()) if len(month) else 0
         try:
-            f = css_fit(pdf["_y"].to_numpy(), o, so, common)
-            fc = css_forecast(pdf["_y"].to_numpy(), f, o, so, horizon)
-            row = key + [oid, str(o), str(so), f["bic"], f["aic"], f["hqic"], f["nobs"], "ok", list(map(float, fc))]
+            f = css_fit(y, o, so, common, exog=past if names else None)
+            fc = css_forecast(y, f, o, so, horizon, past, future[names].to_numpy()[:steps])
+            row = key + [oid, str(o), str(so), f["bic"], f["aic"], f["hqic"], f["nobs"], list(map(float, f["beta"])), "ok", list(map(float, fc))]
         except Exception as ex:  # noqa: BLE001 - failures are kept as rows
-            row = key + [oid, str(o), str(so), None, None, None, None, f"failed: {type(ex).__name__}", None]
-        return pd.DataFrame([row], columns=by + ["order_id", "pdq", "pdqs", "bic", "aic", "hqic", "nobs", "status",
+            row = key + [oid, str(o), str(so), None, None, None, None, None, f"failed: {type(ex).__name__}", None]
+        return pd.DataFrame([row], columns=by + ["order_id", "pdq", "pdqs", "bic", "aic", "hqic", "nobs", "beta", "status",
                                                  "forecast"])
 
     res = x.groupBy(*by, "order_id").applyInPandas(fit, schema)
     w = Window.partitionBy(*by).orderBy(F.col("bic").asc_nulls_last(), "order_id")
     res = res.withColumn("rank", F.row_number().over(w))
-    last = series.groupBy(*by).agg(F.max(order).alias("_last"))
     best = res.filter((F.col("rank") == 1) & (F.col("status") == "ok")).join(last, by)
     fc = best.select(*by, "pdq", "pdqs", "_last", F.posexplode("forecast").alias("_i", "forecast")).select(
         *by, "pdq", "pdqs", F.add_months("_last", F.col("_i") + 1).alias(order), "forecast")
-    return res.drop("forecast"), fc
+    return (res if exog else res.drop("beta")).drop("forecast"), fc
+
+
+def driver_chain(df: DataFrame, by, order: str, driver: str, value: str, orders=None, horizon: int = 12) -> tuple[DataFrame, DataFrame]:
+    """Two-stage forecast: the grid on ``driver``, then the grid on ``value``
+    with the driver as regressor and its forecast as the regressor's future.
+    Returns (grid results of the value, rows of by, order, driver and value
+    forecasts)."""
+    by = as_list(by)
+    _, first = seasonal_grid(df, by, order, driver, orders, horizon)
+    ahead = first.select(*by, order, F.col("forecast").alias(driver))
+    # the driver's fits feed both the value's fits and the result
+    from ..session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    ahead = ahead.checkpoint(eager=True)
+    grid, second = seasonal_grid(df, by, order, value, orders, horizon, exog=[driver], exog_future=ahead)
+    both = second.select(*by, order, "pdq", "pdqs", F.col("forecast").alias(f"{value}_forecast")).join(
+        ahead.withColumnRenamed(driver, f"{driver}_forecast"), [*by, order])
+    return grid, both.select(*by, order, "pdq", "pdqs", f"{driver}_forecast", f"{value}_forecast")
 
 
 # Python workers must not need this package installed: functions of this

@@ -184,3 +184,55 @@ def seasonal_forecast(t):
     nm = P.nation_month(t).groupBy("period", "region").agg(F.sum("sales_count").cast("double").alias("sales"))
     _, fc = FC.seasonal_grid(nm, "region", "period", "sales", horizon=12)
     return fc
+
+
+WALK = [((0, 1, 0), (0, 1, 0, 12))]
+# Twelve months of the seasonal random walk with drift: the differences'
+# constant c gives y[T+h] = y[T+h-12] + (y[T] - y[T-12]) + c h.
+_REGION_SQL = """
+s AS (SELECT region, period, sum(sales_count)::DOUBLE AS x, sum(total_price) AS y,
+             row_number() OVER (PARTITION BY region ORDER BY period) AS t FROM nation_month GROUP BY region, period),
+z AS (SELECT region, t, x - lag(x, 1) OVER w - lag(x, 12) OVER w + lag(x, 13) OVER w AS zx,
+             y - lag(y, 1) OVER w - lag(y, 12) OVER w + lag(y, 13) OVER w AS zy FROM s WINDOW w AS (PARTITION BY region ORDER BY t)),
+l AS (SELECT region, max(t) AS T, max(period) AS last FROM s GROUP BY region),
+wx AS (SELECT region, avg(zx) AS c, var_pop(zx) AS v, count(zx) AS n FROM z WHERE zx IS NOT NULL GROUP BY region),
+fx AS (SELECT l.region, h, CAST(l.last + to_months(CAST(h AS INTEGER)) AS DATE) AS period, a.x + b.x - d.x + wx.c * h AS f, v, n
+       FROM l JOIN wx USING (region) CROSS JOIN range(1, 13) r(h) JOIN s a ON a.region = l.region AND a.t = l.T - 12 + h
+       JOIN s b ON b.region = l.region AND b.t = l.T JOIN s d ON d.region = l.region AND d.t = l.T - 12)"""
+
+
+def region_series(t):
+    """(period, region, sales, revenue) by month."""
+    return P.nation_month(t).groupBy("period", "region").agg(
+        F.sum("sales_count").cast("double").alias("sales"), F.sum("total_price").alias("revenue"))
+
+
+@register("seasonal_walk", "M13 U09", materialize=["nation_month"], ctes=["nation_month"], digits={"forecast": 4, "bic": 5}, sql=_REGION_SQL + """
+SELECT region, period, f AS forecast, n * (ln(2 * pi() * v) + 1) + 2 * ln(n) AS bic, CAST(n AS BIGINT) AS nobs FROM fx""")
+def seasonal_walk(t):
+    """The grid's simplest order, whose fit and forecast have a closed form."""
+    res, fc = FC.seasonal_grid(region_series(t), "region", "period", "sales", orders=WALK, horizon=12)
+    return fc.select("region", "period", "forecast").join(res.select("region", "bic", "nobs"), "region")
+
+
+@register("seasonal_chain", "M13 U09", materialize=["nation_month"])
+def seasonal_chain(t):
+    """Two-stage forecast over the whole grid: order counts first, then
+    revenue with the counts as regressor."""
+    _, fc = FC.driver_chain(region_series(t), "region", "period", "sales", "revenue", horizon=12)
+    return fc
+
+
+@register("seasonal_chain_walk", "M13 U09", materialize=["nation_month"], ctes=["nation_month"],
+          digits={"sales_forecast": 4, "revenue_forecast": 2, "beta": 5, "bic": 5}, sql=_REGION_SQL + """,
+wy AS (SELECT region, regr_slope(zy, zx) AS b, regr_intercept(zy, zx) AS c, (regr_syy(zy, zx) - regr_slope(zy, zx) * regr_sxy(zy, zx)) / regr_count(zy, zx) AS v
+       FROM z WHERE zx IS NOT NULL GROUP BY region),
+u AS (SELECT s.region, t, y - b * x AS u FROM s JOIN wy USING (region))
+SELECT fx.region, fx.period, fx.f AS sales_forecast, wy.b * fx.f + a.u + p.u - q.u + wy.c * h AS revenue_forecast, wy.b AS beta,
+       n * (ln(2 * pi() * wy.v) + 1) + 3 * ln(n) AS bic
+FROM fx JOIN wy ON wy.region = fx.region JOIN l ON l.region = fx.region JOIN u a ON a.region = l.region AND a.t = l.T - 12 + h
+     JOIN u p ON p.region = l.region AND p.t = l.T JOIN u q ON q.region = l.region AND q.t = l.T - 12""")
+def seasonal_chain_walk(t):
+    """The two-stage forecast with the order that has a closed form."""
+    grid, fc = FC.driver_chain(region_series(t), "region", "period", "sales", "revenue", orders=WALK, horizon=12)
+    return fc.drop("pdq", "pdqs").join(grid.select("region", F.get("beta", F.lit(0)).alias("beta"), "bic"), "region")

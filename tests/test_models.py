@@ -193,3 +193,69 @@ def test_feature_map_from_metadata(spark):
     fm = M.feature_map(m.transform(df)).toPandas()
     assert list(fm["index"]) == list(range(len(fm)))
     assert fm["name"].iloc[-1] == "x" and any(n.startswith("g_oh_") for n in fm["name"])
+
+
+def _monthly(t0, n):
+    return [pd.Timestamp(2000 + (t0 + t) // 12, (t0 + t) % 12 + 1, 1).date() for t in range(n)]
+
+
+def test_derivatives_of_the_seasonal_regression():
+    rng = np.random.default_rng(0)
+    x = np.cumsum(rng.standard_normal((70, 2)), 0)
+    y = np.cumsum(rng.standard_normal(70)) + x @ [1.5, -2.0]
+    for (p, d, q), (P, D, Q, s) in FC.DEFAULT_ORDERS + [((2, 1, 2), (1, 1, 1, 4)), ((1, 0, 2), (0, 0, 2, 4))]:
+        m = FC._SeasonalArma(FC._difference(y, d, D, s), FC._difference(x, d, D, s), (p, d, q), (P, D, Q, s), 0)
+        par = np.r_[0.1, 1.0, -1.0, rng.uniform(-0.4, 0.4, p + P + q + Q)]
+        numeric = np.stack([(m.residuals(par + h) - m.residuals(par - h)) / 2e-6 for h in 1e-6 * np.eye(len(par))], 1)
+        assert np.allclose(m.derivatives(par, m.residuals(par)), numeric, atol=1e-6)
+
+
+def _driven(seed=4, n=240, beta=(2.5, -0.7), phi=0.6, theta12=0.4):
+    """Levels whose regression errors are an integrated seasonal ARMA."""
+    rng = np.random.default_rng(seed)
+    x = np.cumsum(rng.standard_normal((n, len(beta))) * 3, 0)
+    e, z = rng.standard_normal(n + 13) * 0.5, np.zeros(n + 13)
+    for t in range(12, n + 13):
+        z[t] = phi * z[t - 1] + e[t] + theta12 * e[t - 12]
+    u = np.zeros(n + 13)
+    for t in range(13, n + 13):
+        u[t] = u[t - 1] + u[t - 12] - u[t - 13] + z[t]
+    return x, x @ np.array(beta) + u[13:]
+
+
+def test_known_regression_coefficients_are_recovered():
+    x, y = _driven()
+    fit = FC.css_fit(y, (1, 1, 0), (0, 1, 1, 12), exog=x)
+    assert np.allclose(fit["beta"], [2.5, -0.7], atol=0.05)
+    assert abs(fit["phi"][0] - 0.6) < 0.12 and abs(fit["theta"][11] - 0.4) < 0.15
+    # no regressor that helps: a worse BIC without it
+    assert FC.css_fit(y, (1, 1, 0), (0, 1, 1, 12))["bic"] > fit["bic"] + 100
+
+
+def test_regression_without_arma_terms_is_least_squares():
+    x, y = _driven(n=60)
+    fit = FC.css_fit(y, (0, 1, 0), (0, 1, 0, 12), exog=x)
+    z, d = FC._difference(y, 1, 1, 12), FC._difference(x, 1, 1, 12)
+    want = np.linalg.lstsq(np.c_[np.ones(len(z)), d], z, rcond=None)[0]
+    assert np.allclose([fit["c"], *fit["beta"]], want, atol=1e-9)
+
+
+def test_chain_uses_the_drivers_forecast_and_stops_at_its_gaps(spark):
+    x, y = _driven(n=96)
+    rows = [("a", p, float(a), float(b)) for p, a, b in zip(_monthly(0, 96), x[:, 0], y)]
+    rows += [("b", p, None if i == 3 else float(a), float(b)) for i, (p, a, b) in enumerate(zip(_monthly(0, 96), x[:, 1], y))]
+    df = spark.createDataFrame(rows, "s string, period date, x double, y double")
+    walk = [((0, 1, 0), (0, 1, 0, 12))]
+    grid, fc = FC.driver_chain(df, "s", "period", "x", "y", orders=walk, horizon=6)
+    a = fc.filter("s = 'a'").orderBy("period").toPandas()
+    assert list(a["period"]) == _monthly(96, 6)
+    fx = FC.css_forecast(x[:, 0], FC.css_fit(x[:, 0], *walk[0]), *walk[0], 6)
+    fit = FC.css_fit(y, *walk[0], exog=x[:, :1])
+    assert np.allclose(a["x_forecast"], fx) and np.allclose(a["y_forecast"], FC.css_forecast(y, fit, *walk[0], 6, x[:, :1], fx))
+    assert np.allclose(grid.filter("s = 'a'").first()["beta"], fit["beta"])
+    assert fc.filter("s = 'b'").count() == 6
+    # a future with a gap in its third month, and a series without any future
+    ahead = spark.createDataFrame([("a", p, 1.0) for i, p in enumerate(_monthly(96, 6)) if i != 2], "s string, period date, x double")
+    _, cut = FC.seasonal_grid(df, "s", "period", "y", walk, 6, exog=["x"], exog_future=ahead)
+    assert [r["period"] for r in cut.filter("s = 'a'").orderBy("period").collect()] == _monthly(96, 2)
+    assert cut.filter("s = 'b'").count() == 0
