@@ -126,7 +126,8 @@ def _first_rows(df: DataFrame, id_col: str, vec_col: str, scale: int, entries: i
     kind = df.schema[id_col].dataType.simpleString()
     x = df.select(F.col(id_col).alias("i"), F.col(vec_col).alias("v")).mapInArrow(tidy(run), f"i {kind}, x array<long>")
     rows = x.orderBy(F.col("i").asc_nulls_last(), "x").limit(entries).collect()
-    return np.array([r["x"] for r in rows], np.int64).reshape(len(rows), -1)
+    one_length(np.array([len(r["x"]) for r in rows]))
+    return np.array([r["x"] for r in rows], np.int64).reshape(len(rows), -1 if rows else 0)
 
 
 def _round_sums(books: np.ndarray, scale: int):
