@@ -3,13 +3,14 @@
 Every operator is one or two ``groupBy`` / ``agg`` stages. Group totals are
 attached with scalar subqueries or a keyed join, never with an unpartitioned
 window over fact rows. Quantiles of fact columns are exact with linear
-interpolation and have one code path, ``exact_quantiles``; ``percentile`` is
-used only where a group is bounded by the calendar (one row per period).
+interpolation (``exact_quantiles``: small groups directly, large ones by
+bracketing); ``percentile`` alone is used only where a group is bounded by the
+calendar (one row per period).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._util import as_list
@@ -20,18 +21,20 @@ __all__ = [
     "overview", "regression_metrics", "benchmark_profile", "investment_metrics",
     "top_drivers", "horizon_drivers", "rank_entities", "coverage", "infer_frequency",
     "importance", "available", "scenario_fan", "weighted_mean", "model_selection",
-    "split_summary", "forecast_path", "exact_quantiles", "quantile_table",
+    "split_summary", "forecast_path", "exact_quantiles", "quantile_table", "row_fingerprint",
 ]
 
 
 # A01 -----------------------------------------------------------------------
-def collapse(df: DataFrame, period: str, cols, how="sum") -> DataFrame:
+def collapse(df: DataFrame, period: str, cols, how="sum", order=()) -> DataFrame:
     """Collapse a panel to one series row per period. ``how`` is one
     aggregate name for all columns or a dict column -> name. A ``sum`` over
-    only-missing values gives 0 (pandas semantics)."""
-    cols = as_list(cols)
+    only-missing values gives 0 (pandas semantics). ``first`` takes the first
+    present value by the ``order`` columns, which it needs; among rows that
+    tie there, the smallest value."""
+    cols, order = as_list(cols), as_list(order)
     hows = how if isinstance(how, dict) else {c: how for c in cols}
-    aggs = []
+    aggs, medians = [], []
     for c in cols:
         h = hows[c]
         if h == "sum":
@@ -39,12 +42,19 @@ def collapse(df: DataFrame, period: str, cols, how="sum") -> DataFrame:
         elif h == "mean":
             aggs.append(F.avg(c).alias(c))
         elif h == "first":
-            aggs.append(F.min_by(c, F.when(F.col(c).isNotNull(), F.monotonically_increasing_id())).alias(c))
-        elif h in ("min", "max", "median"):
-            aggs.append((F.percentile(c, 0.5) if h == "median" else getattr(F, h)(c)).alias(c))
+            if not order:
+                raise ValueError("how='first' needs order columns")
+            aggs.append(F.min_by(c, F.when(F.col(c).isNotNull(), F.struct(*order, c))).alias(c))
+        elif h in ("min", "max"):
+            aggs.append(getattr(F, h)(c).alias(c))
+        elif h == "median":
+            medians.append(c)
         else:
             raise ValueError(f"unknown aggregate {h!r}")
-    return df.groupBy(period).agg(*aggs)
+    out = df.groupBy(period).agg(*aggs, F.count("*").alias("_n")).drop("_n")
+    for c in medians:
+        out = _join_keys(out, exact_quantiles(df, c, [0.5], [period]).select(period, F.col("q").alias(c)), [period])
+    return out.select(period, *cols)
 
 
 # A02 -----------------------------------------------------------------------
@@ -207,9 +217,21 @@ def missing_summary(df: DataFrame, cols=None, top: int | None = None) -> DataFra
 
 
 # A11 -----------------------------------------------------------------------
+def row_fingerprint(df: DataFrame) -> list[Column]:
+    """Two 64-bit hashes of a whole row: equal rows have equal ones, unequal
+    rows differ but for a chance of 2^-128 a pair. Which values are missing
+    enters as text, since the hash passes over them; nested values enter as
+    JSON for the same reason."""
+    flat = [F.to_json(F.struct(F.col(f"`{f.name}`"))) if f.dataType.typeName() in ("array", "map", "struct", "variant") else F.col(f"`{f.name}`")
+            for f in df.schema.fields]
+    gaps = F.concat(*[F.when(F.col(f"`{f.name}`").isNull(), "0").otherwise("1") for f in df.schema.fields])
+    return [F.xxhash64(gaps, *flat).alias("_h1"), F.xxhash64(*flat[::-1], gaps, F.lit(1)).alias("_h2")]
+
+
 def overview(df: DataFrame, period: str) -> DataFrame:
-    """rows, columns, first and last period, duplicate rows (one row)."""
-    n_distinct = df.distinct().select(F.count("*")).scalar()
+    """rows, columns, first and last period, duplicate rows (one row). Rows
+    are told apart by a 128-bit fingerprint, which is all that is shuffled."""
+    n_distinct = df.select(*row_fingerprint(df)).distinct().select(F.count("*")).scalar()
     return df.agg(F.count("*").alias("rows"), F.min(period).alias("period_min"),
                   F.max(period).alias("period_max")).select(
         "rows", F.lit(len(df.columns)).cast("bigint").alias("cols"), "period_min", "period_max",
@@ -460,43 +482,75 @@ def forecast_path(fc: DataFrame, keys=("entity", "scenario"), period: str = "per
 
 
 # Exact quantiles at scale ----------------------------------------------------
+#: Groups of at most so many rows are sorted by one task each.
+DIRECT_ROWS = 10_000
+
+
+def _interpolated(lo, hi, place) -> Column:
+    """Between the values of the ranks next to ``place``."""
+    f = place - F.floor(place)
+    return F.when(f == 0, lo).otherwise((1 - f) * lo + f * hi)
+
+
 def exact_quantiles(df: DataFrame, value: str, probs, by=()) -> DataFrame:
     """Exact linear-interpolated quantiles; missing values and NaN dropped.
     Output: by..., p, q.
 
-    Equal values of a group become one row with their count (summed before the
-    shuffle), so a value that a third of the rows share is one row. Those rows
-    are range-sorted by (group, value): a large group spreads over many
-    partitions, and the totals of each partition and group give every row its
-    first and last rank. Only rows that hold a wanted rank are kept.
+    Groups are counted first. One of at most ``DIRECT_ROWS`` rows takes Spark's
+    exact ``percentile``. In a larger one each wanted rank is bracketed: a
+    mergeable sketch gives two values that the rank lies between, and one more
+    pass counts the rows below the brackets and gathers only the rows inside,
+    equal values summed to one row before the shuffle. The sketch's resolution
+    grows with the square root of the largest group, so a task sorts about as
+    many values as the square root of its group. No sort or copy of the table.
     """
     from ..session import checkpoint_dir
     by, probs = as_list(by), [float(p) for p in as_list(probs)]
     if not by:
         return exact_quantiles(df.withColumn("_all", F.lit(0)), value, probs, ["_all"]).drop("_all")
-    spark = df.sparkSession
-    checkpoint_dir(spark)
+    checkpoint_dir(df.sparkSession)
     x = df.select(*by, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    s = (x.groupBy(*by, "_v").agg(F.count("*").alias("_c")).repartitionByRange(n, *by, "_v")
-          .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
-    per = s.groupBy(*by, "_pid").agg(F.sum("_c").alias("_pc"))
-    earlier = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
-    every = Window.partitionBy(*by)
-    rank = lambda p, f: f((F.col("_n") - 1) * p).cast("long")
-    per = (per.withColumns({"_before": F.coalesce(F.sum("_pc").over(earlier), F.lit(0)), "_n": F.sum("_pc").over(every)})
-              .select(*by, "_pid", "_before", "_n"))
-    inside = Window.partitionBy(*by, "_pid").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = _join_keys(s.withColumn("_upto", F.sum("_c").over(inside)), per, by + ["_pid"], "inner")
-    rows = rows.withColumns({"_last": F.col("_before") + F.col("_upto") - 1, "_first": F.col("_before") + F.col("_upto") - F.col("_c")})
-    held = lambda r: (r >= F.col("_first")) & (r <= F.col("_last"))
-    wants = [F.struct(F.lit(p).alias("p"), (rank(p, F.floor)).alias("lo"), (rank(p, F.ceil)).alias("hi"),
-                      ((F.col("_n") - 1) * p - F.floor((F.col("_n") - 1) * p)).alias("f")) for p in probs]
-    hits = rows.withColumn("w", F.explode(F.filter(F.array(*wants), lambda w: held(w["lo"]) | held(w["hi"]))))
-    g = hits.groupBy(*by, F.col("w.p").alias("p")).agg(
-        F.max(F.when(held(F.col("w.lo")), F.col("_v"))).alias("_vl"), F.max(F.when(held(F.col("w.hi")), F.col("_v"))).alias("_vh"),
-        F.max("w.f").alias("_f"))
-    return g.select(*by, "p", (F.col("_vl") + (F.col("_vh") - F.col("_vl")) * F.col("_f")).alias("q"))
+    sizes = x.groupBy(*by).agg(F.count("*").alias("_n")).checkpoint(eager=True)      # one row a group
+    most, n_big, n_all = sizes.agg(F.max("_n"), F.count_if(F.col("_n") > DIRECT_ROWS), F.count("*")).first()
+    small = x if not n_big else _join_keys(x, sizes.filter(F.col("_n") <= DIRECT_ROWS), by, "inner").drop("_n")
+    each = F.array(*[F.struct(F.lit(p).alias("p"), F.col("_q")[i].alias("q")) for i, p in enumerate(probs)])
+    direct = small.groupBy(*by).agg(F.percentile("_v", F.array(*[F.lit(p) for p in probs])).alias("_q")).select(*by, F.inline(each))
+    if not n_big:
+        return direct
+    bracketed = _bracketed(x, sizes.filter(F.col("_n") > DIRECT_ROWS), by, probs, most, n_big)
+    return bracketed if n_big == n_all else direct.unionByName(bracketed)
+
+
+def _bracketed(x: DataFrame, sizes: DataFrame, by: list[str], probs: list[float], most: int, groups: int) -> DataFrame:
+    place = lambda p: (F.col("_n") - 1) * F.lit(p)
+    small = F.broadcast if groups <= 100_000 else (lambda d: d)
+    big = _join_keys(x, small(sizes), by, "inner")
+    accuracy = int(min(max(8 * most ** 0.5, 1000), 100_000))
+    # two errors of the sketch to each side, and the ends of the data
+    wide = 2.0 / accuracy
+    ends = [(max(p - wide, 0.0), min(p + wide, 1.0)) for p in sorted(probs)]
+    sketch = F.percentile_approx("_v", [e for pair in ends for e in pair], accuracy)
+    limits = big.groupBy(*by).agg(sketch.alias("_s"), F.min("_v").alias("_min"), F.max("_v").alias("_max"), F.max("_n").alias("_n"))
+    limits = limits.select(*by, "_n", *[(F.col("_min") if lo == 0 else F.col("_s")[2 * i]).alias(f"_l{i}") for i, (lo, _) in enumerate(ends)],
+                           *[(F.col("_max") if hi == 1 else F.col("_s")[2 * i + 1]).alias(f"_h{i}") for i, (_, hi) in enumerate(ends)]).checkpoint(eager=True)  # one row a large group
+    y = _join_keys(big.drop("_n"), small(limits), by, "inner")
+    # the zone of a value: how many brackets end below it; in its zone's
+    # bracket it is kept, before it it is only counted
+    zone = sum((F.col("_v") > F.col(f"_h{i}")).cast("int") for i in range(len(probs)))
+    inside = F.coalesce(*[F.when((zone == i) & (F.col("_v") >= F.col(f"_l{i}")), F.col("_v")) for i in range(len(probs))])
+    counted = y.groupBy(*by, zone.alias("_z"), inside.alias("_v")).agg(F.count("*").alias("_c"), F.first("_n").alias("_n"))
+    order = Window.partitionBy(*by).orderBy("_z", F.asc_nulls_first("_v")).rowsBetween(Window.unboundedPreceding, 0)
+    rows = counted.withColumn("_upto", F.sum("_c").over(order)).withColumn("_from", F.col("_upto") - F.col("_c"))
+    held = lambda r: (F.col("_from") <= r) & (r < F.col("_upto"))
+    wants = []
+    for i, p in enumerate(probs):
+        wants += [F.max(F.when(held(F.floor(place(p))), F.col("_v"))).alias(f"_a{i}"), F.max(F.when(held(F.ceil(place(p))), F.col("_v"))).alias(f"_b{i}")]
+    g = rows.groupBy(*by).agg(*wants, F.first("_n").alias("_n"))
+    # a rank outside its bracket has no value here; the sketch's bound excludes that
+    missed = F.raise_error(F.lit("a quantile lies outside its bracket")).cast("double")
+    each = F.array(*[F.struct(F.lit(p).alias("p"), _interpolated(F.coalesce(f"_a{i}", missed), F.coalesce(f"_b{i}", missed), place(p)).alias("q"))
+                     for i, p in enumerate(probs)])
+    return g.select(*by, F.inline(each))
 
 
 def quantile_table(df: DataFrame, value: str, probs, by=()) -> DataFrame:

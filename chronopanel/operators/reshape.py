@@ -54,10 +54,11 @@ def leaders(metrics: DataFrame, k: int = 3, entity: str = "entity") -> DataFrame
     (ties by return), highest return (ties by stability) and most defensive
     (smallest sum of the volatility, drawdown and spread ranks, ties by
     stability), and the one with the highest risk (drawdown size, spread,
-    volatility). Missing metrics come last. One pass: each row is fanned out
+    volatility). Missing metrics come last. ``metrics`` may be ranked already
+    (``investment_ranks``). One pass: each row is fanned out
     to the boards and ranked by one window partitioned by board, of which
     Spark keeps ``k`` rows a task before the shuffle."""
-    x = investment_ranks(metrics)
+    x = metrics if "defensive_rank_sum" in metrics.columns else investment_ranks(metrics)
     neg = lambda c: -F.col(c)
     specs = [("stable", F.col("stability_score"), [neg("stability_score"), neg("expected_return_base")], k),
              ("return", F.col("expected_return_base"), [neg("expected_return_base"), neg("stability_score")], k),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ._util import as_list, col
 
 __all__ = [
-    "add_lags", "yoy", "log_return", "rebase", "pct_change", "drawdown", "global_rank",
+    "add_lags", "yoy", "log_return", "rebase", "pct_change", "drawdown", "global_rank", "global_ranks",
     "levels_from_dlog", "tail_per_group", "rank_columns", "driver_cards",
     "upsample_linear", "month_folds", "month_positions", "row_folds", "fold_table",
 ]
@@ -33,8 +33,17 @@ def add_lags(df: DataFrame, by, order: str, cols, lags, mode: str = "rows",
 
     ``mode="rows"`` shifts k rows within the entity (a missing month makes
     the lag reach further back, like ``groupby.shift``). ``mode="calendar"``
-    takes the value exactly k months earlier via a keyed self-join, NULL if
-    that month is absent.
+    takes the value at ``add_months(date, -k)``: a day that the earlier month
+    lacks (31 March, one month back) is that month's last day. If the entity
+    has no row there, a month's last day falls back on the earlier month's last
+    day, so that month-end panels find theirs; else NULL. Where an entity has
+    several rows on a date the value is theirs if they agree (missing values
+    left aside), else NULL. Rows without a date get NULL and give none.
+
+    Calendar lags are range frames over one order key, 32 x month + day: the
+    same day k months earlier lies 32 k below, a clamped day or month end at
+    most 3 from that. All lags share the partitioning and the order: one
+    exchange, one sort.
     """
     cols, lags, by = as_list(cols), as_list(lags), as_list(by)
     if mode == "rows":
@@ -42,16 +51,26 @@ def add_lags(df: DataFrame, by, order: str, cols, lags, mode: str = "rows",
         return df.withColumns({name.format(col=c, k=k): F.lag(c, k).over(w) for c in cols for k in lags})
     if mode != "calendar":
         raise ValueError(mode)
-    # every row offers its values to the dates k months later; offers are
-    # gathered by (entity, date), one column per lag, and joined once
-    offers = F.array(*[F.struct(F.lit(k).alias("k"), F.add_months(order, k).alias("d")) for k in lags])
-    src = df.select(*by, *cols, F.explode(offers).alias("_s"))
-    picked = src.groupBy(*by, F.col("_s.d").alias(order)).agg(
-        *[F.max(F.when(F.col("_s.k") == k, F.col(c))).alias(name.format(col=c, k=k)) for k in lags for c in cols])
-    r = picked.select(*[F.col(x).alias(f"_r_{x}") for x in [*by, order]], *[name.format(col=c, k=k) for k in lags for c in cols])
-    # the join key is the row's own date as a date, so that dates off the month grid find theirs too
-    cond = [df[x].eqNullSafe(F.col(f"_r_{x}")) for x in by] + [F.to_date(df[order]) == F.col(f"_r_{order}")]
-    return df.join(r, cond, "left").drop(*[f"_r_{x}" for x in [*by, order]])
+    d = F.to_date(F.col(order))
+    place = ((F.year(d) * 12 + F.month(d)) * 32 + F.day(d)).cast("int")
+    w = (Window.partitionBy(*by) if by else Window).orderBy("_place")
+    x = df.withColumns({"_day": d, "_place": place})
+    # the date's own value, the same on all its rows
+    same = w.rangeBetween(0, 0)
+    agreed = [F.when(F.min(c).over(same) == F.max(c).over(same), F.max(c).over(same)).alias(f"_{i}") for i, c in enumerate(cols)]
+    x = x.withColumn("_own", F.struct("_day", *agreed))
+    x = x.withColumn("_end", F.when(F.col("_day") == F.last_day("_day"), F.col("_own")))
+    found = {f"_at{k}": F.last("_own").over(w.rangeBetween(-32 * k - 3, -32 * k)) for k in lags}
+    found |= {f"_end{k}": F.max("_end").over(w.rangeBetween(-32 * k - 3, -32 * k + 3)) for k in lags}
+    x = x.withColumns(found)
+
+    def earlier(k, i):
+        day = F.add_months("_day", -k)
+        ends = F.col("_end").isNotNull() & (F.col(f"_end{k}._day") == F.last_day(day))
+        return F.when(F.col(f"_at{k}._day") == day, F.col(f"_at{k}._{i}")).when(ends, F.col(f"_end{k}._{i}"))
+
+    x = x.withColumns({name.format(col=c, k=k): earlier(k, i) for k in lags for i, c in enumerate(cols)})
+    return x.drop("_day", "_place", "_own", "_end", *found)
 
 
 # W02-W05 -------------------------------------------------------------------
@@ -103,42 +122,79 @@ def tail_per_group(df: DataFrame, by, order: str, n: int) -> DataFrame:
 
 
 # W09 -----------------------------------------------------------------------
-def global_rank(df: DataFrame, c: str, desc: bool = False, out: str | None = None) -> DataFrame:
-    """``rank()`` ("min" method) of ``c`` over the whole table without a
-    single-partition window: the distinct values and their counts are
-    range-sorted, each value's rank is 1 + the count of strictly better
-    rows (per-partition totals give the offsets), and the ranks are joined
-    back on the value. NULL values get no rank."""
+def _slots(df: DataFrame, c: str) -> dict[str, Column]:
+    """A column's values in the slot of its kind, so that columns of several
+    kinds can share one table and keep their own order."""
+    kind = df.schema[c].dataType.typeName()
+    v = F.col(c)
+    if kind in ("double", "float"):
+        slot, value = "f", v
+    elif kind in ("string", "decimal"):
+        slot, value = kind[0], v
+    else:
+        slot, value = "i", F.unix_date(v) if kind == "date" else F.unix_micros(v.cast("timestamp")) if kind.startswith("timestamp") else v
+    kinds = {"i": "bigint", "f": "double", "d": "decimal(38,18)", "s": "string"}
+    return {k: (value if k == slot else F.lit(None)).cast(t) for k, t in kinds.items()}
+
+
+def global_ranks(df: DataFrame, cols) -> DataFrame:
+    """(column, i, f, d, s, before, upto, total) for every distinct value of
+    every column over the whole table, without a single-partition window and
+    in one pass for all columns: the columns are melted to (column, value),
+    equal values summed to one row, and those rows range-partitioned once, so
+    a value that many rows share is one row and no partition holds a column.
+    ``before`` counts the smaller values, ``upto`` those up to this one. NULL
+    values are left out."""
     from ..session import checkpoint_dir
     checkpoint_dir(df.sparkSession)
-    out = out or f"rank_{c}"
-    g = df.filter(F.col(c).isNotNull()).groupBy(c).agg(F.count("*").alias("_cnt"))
-    key = F.desc(c) if desc else F.asc(c)
-    s = g.orderBy(key).withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
-    tot = s.groupBy("_pid").agg(F.sum("_cnt").alias("_ptot"))
-    tot = tot.withColumn("_off", F.coalesce(F.sum("_ptot").over(
-        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    within = Window.partitionBy("_pid").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
-    r = (s.join(F.broadcast(tot.select("_pid", "_off")), "_pid")
-           .withColumn(out, (1 + F.col("_off") + F.coalesce(F.sum("_cnt").over(within), F.lit(0))).cast("bigint"))
-           .select(c, out))
-    return df.join(r, c, "left")
+    key = ["column", "i", "f", "d", "s"]
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), *[v.alias(k) for k, v in _slots(df, c).items()]) for c in as_list(cols)])
+    melted = df.select(F.explode(pairs).alias("p")).select("p.*").filter(" or ".join(f"{k} is not null" for k in key[1:]))
+    counted = melted.groupBy(*key).agg(F.count("*").alias("_cnt"))
+    placed = counted.repartitionByRange(*key).withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
+    per = placed.groupBy("column", "_pid").agg(F.sum("_cnt").alias("_part"))           # one row a partition
+    each = Window.partitionBy("column")
+    per = per.select("column", "_pid", F.sum("_part").over(each).alias("total"),
+                     F.coalesce(F.sum("_part").over(each.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    within = Window.partitionBy("column", "_pid").orderBy("i", "f", "d", "s").rowsBetween(Window.unboundedPreceding, 0)
+    out = placed.withColumn("_sum", F.sum("_cnt").over(within)).join(per, ["column", "_pid"])
+    return out.select(*key, (F.col("_off") + F.col("_sum") - F.col("_cnt")).alias("before"), (F.col("_off") + F.col("_sum")).alias("upto"), "total")
+
+
+def global_rank(df: DataFrame, c: str, desc: bool = False, out: str | None = None) -> DataFrame:
+    """``rank()`` ("min" method) of one column over the whole table."""
+    return _ranked(df, {c: desc}, {c: out or f"rank_{c}"})
+
+
+def _ranked(df: DataFrame, specs: dict, names: dict) -> DataFrame:
+    """Ranks of all columns, joined back once: rows that agree in all ranked
+    columns have the same ranks, so the key of the join is the tuple of their
+    values."""
+    ranks = global_ranks(df, list(specs))
+    cols = list(specs)
+    own = F.struct(*cols)
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), *[v.alias(k) for k, v in _slots(df, c).items()]) for c in cols])
+    tuples = df.select(*cols).distinct().withColumn("_key", own).withColumn("_p", F.explode(pairs)).select("_key", "_p.*")
+    cond = [tuples["column"] == ranks["column"]] + [tuples[k].eqNullSafe(ranks[k]) for k in ("i", "f", "d", "s")]
+    found = tuples.join(ranks, cond).select("_key", tuples["column"].alias("_c"), "before", "upto", "total")
+    rank = lambda c: F.col("total") - F.col("upto") + 1 if specs[c] else F.col("before") + 1
+    wide = found.groupBy("_key").agg(*[F.max(F.when(F.col("_c") == c, rank(c))).cast("bigint").alias(names[c]) for c in cols])
+    return df.withColumn("_own", own).join(wide, F.col("_own") == F.col("_key"), "left").drop("_own", "_key")
 
 
 def rank_columns(df: DataFrame, specs: dict, by=(), total: str | None = "rank_sum") -> DataFrame:
     """``rank()`` ("min" method) of each column; spec value ``True`` means
     descending. Missing values get no rank. Optional rank sum. With group
-    keys the window is partitioned by them; a ranking over the whole table is
-    always distributed (``global_rank``)."""
+    keys the window is partitioned by them; rankings over the whole table are
+    distributed and take one pass for all columns (``global_ranks``)."""
     by = as_list(by)
-    out = df
-    for c, desc in specs.items():
-        if by:
-            o = F.desc(c) if desc else F.asc(c)
-            w = Window.partitionBy(*by, F.col(c).isNull()).orderBy(o)
+    if by:
+        out = df
+        for c, desc in specs.items():
+            w = Window.partitionBy(*by, F.col(c).isNull()).orderBy(F.desc(c) if desc else F.asc(c))
             out = out.withColumn(f"rank_{c}", F.when(F.col(c).isNotNull(), F.rank().over(w)).cast("bigint"))
-        else:
-            out = global_rank(out, c, desc)
+    else:
+        out = _ranked(df, specs, {c: f"rank_{c}" for c in specs})
     if total:
         out = out.withColumn(total, sum((F.col(f"rank_{c}") for c in specs), F.lit(0)).cast("bigint"))
     return out

@@ -22,6 +22,14 @@ def collapse_series(t):
                       {"sales_count": "sum", "total_price": "sum", "avg_price": "mean"})
 
 
+@register("collapse_first_median", "A01", ctes=["nation_month"], digits={"avg_price": D6, "sales_count": D6, "total_price": 2}, sql="""
+SELECT period, arg_min(avg_price, entity) AS avg_price, quantile_cont(sales_count, 0.5) AS sales_count, max(total_price) AS total_price
+FROM nation_month GROUP BY period""")
+def collapse_first_median(t):
+    return A.collapse(P.nation_month(t), "period", ["avg_price", "sales_count", "total_price"],
+                      {"avg_price": "first", "sales_count": "median", "total_price": "max"}, order="entity")
+
+
 @register("series_median", "A02", ctes=["nation_month"], digits={"avg_price": D6}, sql="""
 SELECT period, region, quantile_cont(avg_price, 0.5) AS avg_price FROM nation_month GROUP BY 1, 2""")
 def series_median(t):

@@ -55,6 +55,22 @@ def lag_features_calendar(t):
     return W.add_lags(nm, "entity", "period", ["avg_price"], [1, 12], mode="calendar")
 
 
+@register("lag_features_daily", "W01", digits={"value_sum": D6, "value_sum_lag1": D6, "value_sum_lag2": D6}, sql="""
+d AS (SELECT CAST(ts AS DATE) AS period, event_type AS entity, count(*) AS events, sum(value) AS value_sum FROM events GROUP BY 1, 2),
+l AS (SELECT a.*, k, coalesce(b.period, e.period) AS source
+      FROM d a CROSS JOIN (VALUES (1), (2)) v(k)
+      LEFT JOIN d b ON b.entity = a.entity AND b.period = CAST(a.period - to_months(k) AS DATE)
+      LEFT JOIN d e ON e.entity = a.entity AND a.period = last_day(a.period) AND e.period = last_day(CAST(a.period - to_months(k) AS DATE)))
+SELECT l.period, l.entity, any_value(l.events) AS events, any_value(l.value_sum) AS value_sum,
+       max(s.events) FILTER (k = 1) AS events_lag1, max(s.value_sum) FILTER (k = 1) AS value_sum_lag1,
+       max(s.events) FILTER (k = 2) AS events_lag2, max(s.value_sum) FILTER (k = 2) AS value_sum_lag2
+FROM l LEFT JOIN d s ON s.entity = l.entity AND s.period = l.source GROUP BY l.period, l.entity""")
+def lag_features_daily(t):
+    """Calendar lags of a daily panel: month ends clamp to the earlier month's
+    last day."""
+    return W.add_lags(P.event_day(t), "entity", "period", ["events", "value_sum"], [1, 2], mode="calendar")
+
+
 @register("yoy_change", "W02", ctes=["nation_month"], digits={"sales_count_yoy": D6}, sql="""
 SELECT period, entity, sales_count,
        CASE WHEN lag(sales_count, 12) OVER w <> 0

@@ -127,12 +127,13 @@ def investment_insight(metrics: DataFrame, k: int = 3) -> DataFrame:
     """Ranks on stability, return, volatility, drawdown and spread, the
     defensive rank sum, the leader boards each entity is on, and a profile
     text per entity (the first board that it leads)."""
-    lb = R.leaders(metrics, k=k)
+    ranked = R.investment_ranks(metrics)
+    lb = R.leaders(ranked, k=k)
     order = F.array(*[F.lit(b) for b in ("stable", "return", "defensive", "risk")])
     texts = F.array(*[F.lit(t) for t in ("most stable", "highest return", "most defensive", "highest risk")])
     boards = lb.groupBy("entity").agg(F.array_join(F.array_sort(F.collect_list("board")), ",").alias("boards"),
                                       F.min(F.when(F.col("position") == 1, F.array_position(order, F.col("board")))).alias("_first"))
-    out = R.investment_ranks(metrics).join(boards, "entity", "left")
+    out = ranked.join(boards, "entity", "left")
     profile = F.coalesce(F.get(texts, (F.col("_first") - 1).cast("int")), F.lit("balanced"))
     return out.select("entity", "rank_stability", "rank_return", "rank_vol", "rank_downside", "rank_spread", "defensive_rank_sum",
                       F.coalesce("boards", F.lit("")).alias("boards"), profile.alias("profile"))

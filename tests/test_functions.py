@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -217,6 +218,88 @@ def test_calendar_lags_keep_rows_off_the_month_grid(spark):
                        ("a", D(2020, 4, 15)): 3.0, (None, D(2020, 1, 1)): None, (None, D(2020, 2, 1)): 5.0}
 
 
+def test_calendar_lags_of_a_daily_panel(spark):
+    """Every day of four months: the value of add_months(d, -k), whatever the
+    month's length, with repeated and missing dates."""
+    import datetime
+    days = [D(2020, 1, 1) + datetime.timedelta(i) for i in range(121)]
+    rows = [("a", d, float(i), str(i)) for i, d in enumerate(days)] + [("b", d, -float(i), None) for i, d in enumerate(days) if i % 3]
+    rows += [("a", D(2020, 2, 3), 33.0, "33"), ("a", D(2020, 2, 4), None, "34"), ("a", None, 1.0, "x")]
+    df = spark.createDataFrame(rows, "entity string, period date, v double, s string")
+    got = W.add_lags(df, "entity", "period", ["v", "s"], [1, 2], mode="calendar")
+    assert got._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert got.count() == len(rows) and got.columns == ["entity", "period", "v", "s", "v_lag1", "s_lag1", "v_lag2", "s_lag2"]
+    at = {}
+    for e, d, v, s in rows:
+        at.setdefault((e, d), []).append((v, s))
+
+    def agreed(found):
+        return found.pop() if len(found) == 1 else None
+
+    ends = lambda d: (d + datetime.timedelta(1)).day == 1
+    for r in got.collect():
+        for k in (1, 2):
+            want = [None, None]
+            if r.period is not None:
+                back = (pd.Timestamp(r.period) - pd.DateOffset(months=k)).date()
+                last = (pd.Timestamp(back) + pd.offsets.MonthEnd(0)).date()
+                src = at.get((r.entity, back)) or (at.get((r.entity, last)) if ends(r.period) else None) or []
+                want = [agreed({x[i] for x in src if x[i] is not None}) for i in (0, 1)]
+            assert [r[f"v_lag{k}"], r[f"s_lag{k}"]] == want, (r, k)
+
+
+def test_quantiles_by_bracketing(spark, monkeypatch):
+    """One group holds most rows, one value a third of them; small groups,
+    missing keys and values besides."""
+    monkeypatch.setattr(A, "DIRECT_ROWS", 500)
+    df = spark.range(60000).select(F.when(F.col("id") % 10 < 8, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 97)).alias("g"),
+                                   F.when(F.col("id") % 3 == 0, 7.0).otherwise(F.round(F.sin(F.col("id")) * 1000, 3)).alias("v"))
+    df = df.union(spark.createDataFrame([("hot", None), (None, 1.0), (None, 2.0), ("hot", float("nan"))], "g string, v double")).repartition(6)
+    probs = [0.0, 0.001, 0.05, 0.25, 0.5, 0.77, 0.999, 1.0]
+    d = df.where("v is not null and not isnan(v)")
+    want = {r.g: r.q for r in d.groupBy("g").agg(F.percentile("v", probs).alias("q")).collect()}
+    got = {(r.g, r.p): r.q for r in A.quantile_table(df, "v", probs, ["g"]).collect()}
+    assert {(g, p) for g in want for p in probs} == set(got)
+    assert all(abs(want[g][probs.index(p)] - q) < 1e-9 for (g, p), q in got.items())
+    every = d.agg(F.percentile("v", probs)).first()[0]
+    assert all(abs(every[probs.index(r.p)] - r.q) < 1e-9 for r in A.quantile_table(df, "v", probs).collect())
+    assert A.quantile_table(df.limit(0), "v", probs, ["g"]).collect() == []
+
+
+def test_ranks_of_many_columns_at_once(spark):
+    import datetime
+    from decimal import Decimal
+    kinds = "id long, a double, b long, c string, d date, e decimal(10,2), f boolean, g timestamp"
+    rows = [(i, None if i % 7 == 0 else float(i % 5), i % 4, "xyz"[i % 3], D(2020, 1, 1 + i % 6), Decimal(i % 8) / 4, i % 2 == 0,
+             datetime.datetime(2020, 1, 1, i % 9)) for i in range(60)] + [(99, float("nan"), None, None, None, None, None, None)]
+    df = spark.createDataFrame(rows, kinds).repartition(5)
+    specs = {"a": True, "b": False, "c": True, "d": False, "e": True, "f": False, "g": True}
+    from pyspark.sql import Window
+    want = df
+    for c, desc in specs.items():
+        w = Window.partitionBy(F.col(c).isNull()).orderBy(F.desc(c) if desc else F.asc(c))
+        want = want.withColumn(f"rank_{c}", F.when(F.col(c).isNotNull(), F.rank().over(w)).cast("bigint"))
+    key = lambda r: r.id
+    got = W.rank_columns(df, specs, total=None)
+    assert got.columns == want.columns
+    assert [[r[f"rank_{c}"] for c in specs] for r in sorted(got.collect(), key=key)] == [[r[f"rank_{c}"] for c in specs] for r in sorted(want.collect(), key=key)]
+
+
+def test_overview_counts_duplicates_by_fingerprint(spark):
+    rows = [(1, None, 2, [None, 1], "p"), (1, 2, None, [None, 1], "p"), (1, None, 2, [1, None], "p"), (1, None, 2, [None, 1], "p"), (1, None, 2, None, "p")]
+    df = spark.createDataFrame(rows, "a long, b long, c long, d array<long>, period string")
+    r = A.overview(df, "period").first()
+    assert (r["rows"], r["cols"], r["duplicate_rows"]) == (5, 5, 1)
+
+
+def test_collapse_first_needs_an_order(spark):
+    df = spark.createDataFrame([("p", 3, None), ("p", 2, 5.0), ("p", 1, None), ("p", 2, 4.0), ("q", 1, None)], "period string, o long, v double")
+    with pytest.raises(ValueError):
+        A.collapse(df, "period", ["v"], "first")
+    assert {r.period: r.v for r in A.collapse(df, "period", ["v"], "first", order="o").collect()} == {"p": 4.0, "q": None}
+    assert {r.period: r.v for r in A.collapse(df, "period", ["v"], "median").collect()} == {"p": 4.5, "q": None}
+
+
 def test_too_few_months_for_the_folds(spark):
     df = spark.createDataFrame([(D(2020, m, 1),) for m in range(1, 8)], "period date")
     with pytest.raises(Exception, match="too few"):
