@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 __all__ = [
     "norm_key", "norm_scenario", "SCENARIO_ALIASES", "narrate", "find_month",
-    "find_scenario", "find_entities", "entity_list", "classify_intent", "INTENT_RULES",
+    "find_scenario", "find_entities", "classify_intent", "INTENT_RULES",
     "pretty_feature", "bullet_metric", "cents",
 ]
 
@@ -75,16 +75,8 @@ def find_scenario(c, default: str = "base") -> Column:
 def find_entities(c, entities) -> Column:
     """P31 entity slot: entities named in the text, exact (case-free) match
     first; if none, a loose match on normalised keys. Order of the list kept.
-    ``entities`` is a parameter list, or an array column (name, low, norm) as
-    ``entity_list`` makes it from a dimension table."""
-    if isinstance(entities, Column):
-        def named(s: Column) -> Column:
-            exact = F.filter(entities, lambda e: F.contains(s["low"], e["low"]))
-            loose = F.filter(entities, lambda e: F.contains(s["norm"], e["norm"]))
-            return F.transform(F.when(F.size(exact) > 0, exact).otherwise(loose), lambda e: e["name"])
-        # the text is lowered and normalised once, not once for each entity
-        t = F.struct(F.lower(_c(c)).alias("low"), norm_key(F.lower(_c(c))).alias("norm"))
-        return F.get(F.transform(F.array(t), named), F.lit(0))
+    ``entities`` is a parameter list; names of a table are found by
+    ``operators.mentions``."""
     t = F.lower(_c(c))
     exact = F.array_compact(F.array(*[F.when(t.contains(e.lower()), F.lit(e)) for e in entities]))
     tk = norm_key(t)
@@ -92,13 +84,6 @@ def find_entities(c, entities) -> Column:
     return F.when(F.size(exact) > 0, exact).otherwise(loose)
 
 
-def entity_list(dim, name: str, order: str) -> Column:
-    """Scalar subquery: the names of a dimension table as one array, in
-    ``order``, with their lower-case and normalised forms."""
-    e = F.struct(F.col(order), F.col(name).alias("name"), F.lower(name).alias("low"), norm_key(name).alias("norm"))
-    return dim.where(F.col(name).isNotNull()).agg(F.array_sort(F.collect_list(e)).alias("e")).select("e").scalar()
-
-
 def _key(s: str) -> str:
     return "".join(ch for ch in s.strip().lower() if ch.isalnum())
 

@@ -8,9 +8,13 @@ features, not on rows. Only those k x k statistics reach the driver.
 from __future__ import annotations
 
 import itertools
+import math
+import sys
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -18,9 +22,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._util import as_list
-from .windows import _global_index, fold_table, month_positions
+from .windows import fold_table, month_positions, running_counts
 
-__all__ = ["ols", "gram_blocks", "lasso_path_cv", "lasso_select", "select_features", "align_features",
+__all__ = ["ols", "gram_blocks", "lasso_path_cv", "lasso_select", "fold_borders", "row_borders", "prefix_grams", "select_features", "align_features",
            "feature_pipeline", "feature_map", "cv_fits", "tune_forest", "tune_gbt", "cv_table", "refit", "score_scenarios"]
 
 
@@ -91,14 +95,19 @@ def _cd(C, c, alpha, b0=None, yy=None, tol=1e-4, max_iter=50_000):
     b = np.zeros(k) if b0 is None else b0.copy()
     d = np.diag(C).copy()
     d[d <= 0] = 1.0
+    own = np.diag(C).tolist()
     for _ in range(max_iter):
         w_max = d_max = 0.0
+        rest = c - C @ b                                 # kept up to date within a sweep
         for j in range(k):
-            r = c[j] - C[j] @ b + C[j, j] * b[j]
-            nb = np.sign(r) * max(abs(r) - alpha, 0.0) / d[j]
-            d_max = max(d_max, abs(nb - b[j]))
+            was = b.item(j)
+            r = rest.item(j) + own[j] * was
+            nb = math.copysign(max(abs(r) - alpha, 0.0), r) / d.item(j)
+            if nb != was:
+                rest -= C[j] * (nb - was)
+                b[j] = nb
+                d_max = max(d_max, abs(nb - was))
             w_max = max(w_max, abs(nb))
-            b[j] = nb
         if yy is None:
             if d_max < 1e-10:
                 break
@@ -121,24 +130,29 @@ def _sse(s, b, intercept):
     return (syy - 2 * b @ sxy - 2 * intercept * sy + b @ G @ b + 2 * intercept * (b @ sx) + n * intercept ** 2)
 
 
-def lasso_path_cv(stats: dict, n_splits: int, n_alphas: int = 200, eps: float = 1e-3,
-                  scale_in_fold: bool = False):
-    """LASSO over a log-spaced alpha path with expanding row folds. ``stats``
-    maps block 0..n_splits to sufficient statistics. Returns (alphas,
-    mean validation MSE per alpha, best alpha, coefficients on all rows,
-    validation MSE per fold at the best alpha). ``scale_in_fold``
-    re-standardises each training fold by its own spread (no information
-    from the validation rows), instead of the all-rows scaling."""
-    full = _merge(stats.values())
+def _scaled(s: dict, mean: np.ndarray, sd: np.ndarray) -> dict:
+    """The statistics of (x - mean) / sd."""
+    cross = np.outer(mean, s["sx"])
+    G = s["G"] - cross - cross.T + s["n"] * np.outer(mean, mean)
+    return s | dict(G=G / np.outer(sd, sd), sxy=(s["sxy"] - mean * s["sy"]) / sd, sx=(s["sx"] - s["n"] * mean) / sd)
+
+
+def _standard(s: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Means and population standard deviations (1 where there is no spread)."""
+    C, _, mx, _ = _centered(s)
+    var = np.diag(C)
+    return mx, np.where(var > 1e-14 * np.maximum(mx * mx, 1e-300), np.sqrt(np.maximum(var, 0.0)), 1.0)
+
+
+def _lasso_cv(full: dict, folds, n_alphas: int, eps: float, scale_in_fold: bool):
+    """The path over (training, validation) statistics, and the coefficients
+    on ``full`` at the alpha with the smallest mean error."""
     C, c, _, _ = _centered(full)
     amax = float(np.max(np.abs(c))) if len(c) else 0.0
     alphas = np.logspace(np.log10(amax), np.log10(amax * eps), n_alphas) if amax > 0 else np.array([0.0])
-    mse = np.zeros((n_splits, len(alphas)))
-    for f in range(n_splits):
-        tr = _merge(stats[b] for b in range(f + 1) if b in stats)
-        va = stats.get(f + 1)
-        if va is None or tr["n"] == 0:
-            mse[f] = np.nan
+    mse = np.full((len(folds), len(alphas)), np.nan)
+    for f, (tr, va) in enumerate(folds):
+        if va is None or tr["n"] == 0 or va["n"] == 0:
             continue
         Ct, ct, mx, my = _centered(tr)
         sd = np.sqrt(np.clip(np.diag(Ct), 1e-300, None)) if scale_in_fold else np.ones(len(ct))
@@ -159,38 +173,170 @@ def lasso_path_cv(stats: dict, n_splits: int, n_alphas: int = 200, eps: float =
     return alphas, mean, float(alphas[best]), b, mse[:, best]
 
 
+def lasso_path_cv(stats: dict, n_splits: int, n_alphas: int = 200, eps: float = 1e-3,
+                  scale_in_fold: bool = False):
+    """LASSO over a log-spaced alpha path with expanding row folds. ``stats``
+    maps block 0..n_splits to sufficient statistics. Returns (alphas,
+    mean validation MSE per alpha, best alpha, coefficients on all rows,
+    validation MSE per fold at the best alpha). ``scale_in_fold``
+    re-standardises each training fold by its own spread (no information
+    from the validation rows), instead of the all-rows scaling."""
+    folds = [(_merge(stats[b] for b in range(f + 1) if b in stats), stats.get(f + 1)) for f in range(n_splits)]
+    return _lasso_cv(_merge(stats.values()), folds, n_alphas, eps, scale_in_fold)
+
+
+def fold_borders(n: int, n_splits: int) -> list[tuple[int, int]]:
+    """(rows of training, end of validation) of expanding row folds over n rows."""
+    t = n // (n_splits + 1)
+    return [(n - (n_splits - i) * t, n - (n_splits - i - 1) * t) for i in range(n_splits)]
+
+
+def row_borders(df: DataFrame, order, n_rows: int, positions, rest=()) -> tuple[list, dict[int, tuple]]:
+    """Where the rows at ``positions`` (0-based, in the order of the columns
+    ``order``, then of ``rest``) begin, without numbering or sorting all rows.
+
+    Column by column: the distinct values' counts are added up
+    (``running_counts``); a position inside a value's rows is looked for among
+    the next column's values in those rows alone, until it falls on a border.
+    Returns the key columns in use and, per position, (key values, rows with
+    that very key that still come before the position)."""
+    levels = [[c] for c in as_list(order)] + ([as_list(rest)] if as_list(rest) else [])
+    keys, found, open_ = [], {}, {p: ((), p) for p in sorted(set(positions)) if 0 < p < n_rows}
+    spark = df.sparkSession
+    for level in levels:
+        if not open_:
+            break
+        prefixes = sorted({v for v, _ in open_.values()}, key=str)
+        at = {v: i for i, v in enumerate(prefixes)}
+        if keys:
+            # at most one prefix a position
+            wanted = spark.createDataFrame([(i, *v) for i, v in enumerate(prefixes)], "_prefix int, " + ", ".join(
+                f"`_k{j}` {df.schema[k].dataType.simpleString()}" for j, k in enumerate(keys)))
+            part = df.join(F.broadcast(wanted), [F.col(k).eqNullSafe(F.col(f"_k{j}")) for j, k in enumerate(keys)])
+        else:
+            part = df.withColumn("_prefix", F.lit(0))
+        counts = running_counts(part.groupBy("_prefix", *level).agg(F.count("*").alias("_c")), ["_prefix"], level, "_c")
+        hit = [(F.col("_prefix") == at[v]) & (F.col("before") <= o) & (F.col("upto") > o) for v, o in open_.values()]
+        any_hit = hit[0]
+        for h in hit[1:]:
+            any_hit = any_hit | h
+        rows = counts.filter(any_hit).collect()
+        keys += level
+        inside = {}
+        for p, (v, o) in open_.items():
+            r = next(r for r in rows if r["_prefix"] == at[v] and r["before"] <= o < r["upto"])
+            v = (*v, *[r[c] for c in level])
+            if o == r["before"]:
+                found[p] = (v, 0)
+            else:
+                inside[p] = (v, o - r["before"])
+        open_ = inside
+    return keys, found | open_
+
+
+def prefix_grams(df: DataFrame, y: str, xs, order, positions) -> dict[int, dict]:
+    """Sufficient statistics of the rows before each position of the order, as
+    prefix sums of one aggregate over the blocks between the positions. Rows
+    that tie in ``order`` are ordered by y and the features, so the blocks do
+    not depend on the partitioning; rows equal in all of them are shared out
+    by number."""
+    xs = as_list(xs)
+    n = df.count()
+    keys, borders = row_borders(df, order, n, positions, [y, *xs])
+    inner = sorted(borders)
+
+    def reached(values):
+        """Is the row's key at or after the border's (a prefix of the keys)?"""
+        out = F.lit(True)
+        for k, v in reversed(list(zip(keys, values))):
+            c = F.col(k)
+            v = F.lit(v).cast(df.schema[k].dataType)
+            out = F.coalesce((c > v) | ((c == v) & out), v.isNull() & (c.isNotNull() | out), F.lit(False))
+        return out.cast("int")
+
+    block = sum((reached(borders[p][0]) for p in inner), F.lit(0))
+    stats = gram_blocks(df.withColumn("_blk", block), y, xs, "_blk")
+    k = len(xs)
+    zero = dict(n=0, sy=0.0, syy=0.0, sx=np.zeros(k), sxy=np.zeros(k), G=np.zeros((k, k)))
+    out, total = {0: zero, n: zero}, zero
+    for i in range(len(inner) + 1):
+        total = _merge([total, stats.get(i, zero)])
+        if i < len(inner):
+            values, more = borders[inner[i]]
+            row = dict(zip(keys, values))
+            extra = zero
+            if more:  # ``more`` copies of one row come before the border
+                v, w = np.array([float(row[x]) for x in xs]), float(row[y])
+                extra = dict(n=more, sy=more * w, syy=more * w * w, sx=more * v, sxy=more * w * v, G=more * np.outer(v, v))
+            out[inner[i]] = _merge([total, extra])
+    out[n] = total
+    return out
+
+
+def _between(prefix: dict[int, dict], a: int, b: int) -> dict:
+    return {k: prefix[b][k] - prefix[a][k] for k in prefix[b]}
+
+
 def lasso_select(df: DataFrame, y: str, xs, order, n_splits: int = 5, n_alphas: int = 200,
-                 eps: float = 1e-3, scale: str = "fold") -> DataFrame:
+                 eps: float = 1e-3, scale: str = "fold", inner_splits: int = 3) -> DataFrame:
     """Feature selection with LASSO and expanding row folds (``TimeSeriesSplit``).
 
-    One distributed pass: rows get a global position (range-partitioned
-    sort), are standardised and summed into per-block Gram statistics; the
-    alpha path and the coordinate descent run on the k x k statistics.
+    The borders of all folds are found from cumulative counts (``row_borders``)
+    and one distributed pass sums the Gram blocks between them; the alpha paths
+    and the coordinate descents run on differences of their prefix sums, one
+    task for each outer fold.
     ``scale="fold"`` standardises again inside each training fold, so
     validation rows do not reach the scaler; ``scale="all"`` leaves it fitted
-    on all rows.
+    on all rows that the selection sees.
+
+    The nested error is that of the whole selection: each of the ``n_splits``
+    training folds chooses its own alpha by ``inner_splits`` folds of its own
+    rows and is scored on the rows after it.
     Output: feature, coef (standardised scale), abs_coef, selected, alpha,
-    cv_rmse mean and spread (population std over folds).
+    cv_rmse mean and spread over the folds at the chosen alpha, nested_rmse
+    mean and spread (population std over folds).
     """
     xs = as_list(xs)
-    d = df.select(*as_list(order), y, *xs).dropna()
-    mom = d.agg(*[F.avg(x).alias(f"m{i}") for i, x in enumerate(xs)],
+    d = df.select(*as_list(order), y, *[x for x in xs if x not in as_list(order)]).dropna()
+    mom = d.agg(F.count("*").alias("n"), *[F.avg(x).alias(f"m{i}") for i, x in enumerate(xs)],
                 *[F.stddev_pop(x).alias(f"s{i}") for i, x in enumerate(xs)]).first()
+    n = mom["n"]
     z = d.select(*as_list(order), y, *[((F.col(x) - mom[f"m{i}"]) /
-                                        (mom[f"s{i}"] if mom[f"s{i}"] else 1.0)).alias(x) for i, x in enumerate(xs)])
-    zi = _global_index(z, order, "_idx")
-    n = zi.select(F.count("*")).scalar()
-    t = F.floor(n / (n_splits + 1))
-    first = n - n_splits * t
-    blk = F.when(F.col("_idx") < first, 0).otherwise(F.floor((F.col("_idx") - first) / t) + 1).cast("int")
-    stats = gram_blocks(zi.withColumn("_blk", blk), y, xs, "_blk")
-    alphas, mean, best, b, fold_mse = lasso_path_cv(stats, n_splits, n_alphas, eps, scale_in_fold=(scale == "fold"))
-    rmse = np.sqrt(fold_mse)
-    rows = [(x, float(c), float(abs(c)), bool(abs(c) > 0), best, float(np.mean(rmse)), float(np.std(rmse)))
-            for x, c in zip(xs, b)]
+                                        (mom[f"s{i}"] if mom[f"s{i}"] else 1.0)).alias(f"_z{i}") for i, x in enumerate(xs)])
+    outer = fold_borders(n, n_splits)
+    nested = {end: fold_borders(end, inner_splits) for end, _ in outer}
+    every = [p for pairs in [outer, *nested.values()] for pair in pairs for p in pair]
+    prefix = prefix_grams(z, y, [f"_z{i}" for i in range(len(xs))], order, every)
+    in_fold = scale == "fold"
+    pairs = lambda borders, of=lambda s: s: [(of(_between(prefix, 0, a)), of(_between(prefix, a, b))) for a, b in borders]
+
+    def choose(batches):
+        """Fold 0 is the selection on all rows, fold f that of the f-th
+        training fold with the scaling of its own rows."""
+        for pdf in batches:
+            for f in pdf["fold"]:
+                if f == 0:
+                    _, _, best, b, fold_mse = _lasso_cv(prefix[n], pairs(outer), n_alphas, eps, in_fold)
+                    yield pd.DataFrame({"fold": [f], "alpha": [best], "coef": [b.tolist()], "errors": [np.sqrt(fold_mse).tolist()]})
+                    continue
+                end, stop = outer[f - 1]
+                mean, sd = _standard(_between(prefix, 0, end))
+                scaled = lambda s: _scaled(s, mean, sd)
+                train, test = pairs([(end, stop)], scaled)[0]
+                _, _, best, b, _ = _lasso_cv(train, pairs(nested[end], scaled), n_alphas, eps, in_fold)
+                _, _, mx, my = _centered(train)
+                error = np.sqrt(_sse(test, b, my - mx @ b) / test["n"]) if test["n"] else np.nan
+                yield pd.DataFrame({"fold": [f], "alpha": [best], "coef": [b.tolist()], "errors": [[float(error)]]})
+
+    spark = df.sparkSession
+    found = {r["fold"]: r for r in spark.range(n_splits + 1, numPartitions=n_splits + 1).select(F.col("id").cast("int").alias("fold"))
+             .mapInPandas(choose, "fold int, alpha double, coef array<double>, errors array<double>").collect()}
+    rmse, errors = found[0]["errors"], [found[f]["errors"][0] for f in range(1, n_splits + 1)]
+    rows = [(x, c, abs(c), abs(c) > 0, found[0]["alpha"], float(np.mean(rmse)), float(np.std(rmse)),
+             float(np.mean(errors)), float(np.std(errors))) for x, c in zip(xs, found[0]["coef"])]
     return df.sparkSession.createDataFrame(
         rows, "feature string, coef double, abs_coef double, selected boolean, alpha double, "
-              "cv_rmse_mean double, cv_rmse_std double")
+              "cv_rmse_mean double, cv_rmse_std double, nested_rmse_mean double, nested_rmse_std double")
 
 
 # M03 / M04 -----------------------------------------------------------------
@@ -326,3 +472,7 @@ def score_scenarios(model, df: DataFrame, keys=("period", "entity", "scenario"),
     their level back-transform, in long form."""
     out = model.transform(df)
     return out.select(*as_list(keys), F.col("prediction").alias(pred_log), F.exp("prediction").alias(pred))
+
+
+# Python workers must not need this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

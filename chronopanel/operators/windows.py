@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ._util import as_list, col
 
 __all__ = [
-    "add_lags", "yoy", "log_return", "rebase", "pct_change", "drawdown", "global_rank", "global_ranks",
+    "add_lags", "yoy", "log_return", "rebase", "pct_change", "drawdown", "global_rank", "global_ranks", "running_counts",
     "levels_from_dlog", "tail_per_group", "rank_columns", "driver_cards",
     "upsample_linear", "month_folds", "month_positions", "row_folds", "fold_table",
 ]
@@ -145,20 +145,29 @@ def global_ranks(df: DataFrame, cols) -> DataFrame:
     a value that many rows share is one row and no partition holds a column.
     ``before`` counts the smaller values, ``upto`` those up to this one. NULL
     values are left out."""
-    from ..session import checkpoint_dir
-    checkpoint_dir(df.sparkSession)
     key = ["column", "i", "f", "d", "s"]
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), *[v.alias(k) for k, v in _slots(df, c).items()]) for c in as_list(cols)])
     melted = df.select(F.explode(pairs).alias("p")).select("p.*").filter(" or ".join(f"{k} is not null" for k in key[1:]))
     counted = melted.groupBy(*key).agg(F.count("*").alias("_cnt"))
-    placed = counted.repartitionByRange(*key).withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
-    per = placed.groupBy("column", "_pid").agg(F.sum("_cnt").alias("_part"))           # one row a partition
-    each = Window.partitionBy("column")
-    per = per.select("column", "_pid", F.sum("_part").over(each).alias("total"),
+    return running_counts(counted, ["column"], key[1:], "_cnt").drop("_cnt")
+
+
+def running_counts(counted: DataFrame, by, order, count: str) -> DataFrame:
+    """``counted`` (distinct keys with their counts) with ``before``, ``upto``
+    and ``total``: the counts of the smaller keys of the group, those up to this
+    one, and all. Keys are range-partitioned once; the totals of each partition
+    and group, one row each, give the offsets."""
+    from ..session import checkpoint_dir
+    checkpoint_dir(counted.sparkSession)
+    by, order = as_list(by), as_list(order)
+    placed = counted.repartitionByRange(*by, *order).withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
+    per = placed.groupBy(*by, "_pid").agg(F.sum(count).alias("_part"))
+    each = Window.partitionBy(*by)
+    per = per.select(*by, "_pid", F.sum("_part").over(each).alias("total"),
                      F.coalesce(F.sum("_part").over(each.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    within = Window.partitionBy("column", "_pid").orderBy("i", "f", "d", "s").rowsBetween(Window.unboundedPreceding, 0)
-    out = placed.withColumn("_sum", F.sum("_cnt").over(within)).join(per, ["column", "_pid"])
-    return out.select(*key, (F.col("_off") + F.col("_sum") - F.col("_cnt")).alias("before"), (F.col("_off") + F.col("_sum")).alias("upto"), "total")
+    within = Window.partitionBy(*by, "_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    out = placed.withColumn("_sum", F.sum(count).over(within)).join(per, [*by, "_pid"])
+    return out.select(*counted.columns, (F.col("_off") + F.col("_sum") - F.col(count)).alias("before"), (F.col("_off") + F.col("_sum")).alias("upto"), "total")
 
 
 def global_rank(df: DataFrame, c: str, desc: bool = False, out: str | None = None) -> DataFrame:

@@ -53,19 +53,56 @@ def ols_simple(t):
     return M.ols(x, "y", ["x"]).select("name", "coef", "std_err", "t_stat")
 
 
-@register("ols", "M01 S11")
+@register("ols", "M01")
 def ols(t):
     return M.ols(model_panel(t), "y", FEATURES)
 
 
-@register("lasso_select", "M02 W13")
-def lasso_select(t):
+def lasso_panel(t):
+    """(period, entity, y = log price, logs of lagged prices and counts)."""
     x = W.add_lags(P.nation_month(t).select("period", "entity", "avg_price", "sales_count"), "entity", "period",
                    ["avg_price", "sales_count"], [1, 2, 3, 6, 12])
     x = x.select("period", "entity", F.log("avg_price").alias("y"),
                  *[F.log(c).alias(c) for c in x.columns if "_lag" in c])
-    feats = [c for c in x.columns if "_lag" in c]
-    return M.lasso_select(x, "y", feats, order=["period", "entity"], n_splits=5, n_alphas=200)
+    return x
+
+
+@register("lasso_select", "M02", materialize=["nation_month"])
+def lasso_select(t):
+    x = lasso_panel(t)
+    return M.lasso_select(x, "y", [c for c in x.columns if "_lag" in c], order=["period", "entity"], n_splits=5, n_alphas=200)
+
+
+# One feature: the coefficient is the covariance, shrunk by alpha, so the whole
+# selection with its outer and inner folds has a closed form. Model 0 is the
+# selection on all rows; models 1 to 5 are the outer training folds.
+@register("lasso_single", "M02", materialize=["nation_month"], ctes=["nation_lags"], digits={
+    "coef": 7, "alpha": 7, "cv_rmse_mean": 7, "cv_rmse_std": 7, "nested_rmse_mean": 7, "nested_rmse_std": 7}, sql="""
+r AS (SELECT ln(avg_price) AS y, ln(avg_price_lag12) AS x, row_number() OVER (ORDER BY period, entity) - 1 AS i
+      FROM nation_lags WHERE avg_price_lag12 IS NOT NULL),
+c AS (SELECT count(*) AS n FROM r),
+m AS (SELECT 0 AS m, n AS size, 5 AS k, n AS stop FROM c UNION ALL
+      SELECT CAST(j AS INTEGER), n - (6 - j) * (n // 6), 3, n - (5 - j) * (n // 6) FROM c, range(1, 6) o(j)),
+f AS (SELECT m, f, size - (k - f) * (size // (k + 1)) AS a, size - (k - f - 1) * (size // (k + 1)) AS b FROM m, range(5) g(f) WHERE f < k),
+fs AS (SELECT m, avg(y) AS my, avg(x) AS mx, stddev_pop(x) AS sd, covar_pop(x, y) / stddev_pop(x) AS cov FROM m JOIN r ON i < size GROUP BY m),
+al AS (SELECT m, j, pow(10, log10(abs(cov)) + (log10(abs(cov) * 0.001) - log10(abs(cov))) * j / 199.0) AS alpha FROM fs, range(200) g(j)),
+tr AS (SELECT m, f, avg(y) AS my, avg(x) AS mx, stddev_pop(x) AS sd, covar_pop(x, y) / stddev_pop(x) AS cov FROM f JOIN r ON i < a GROUP BY m, f),
+va AS (SELECT m, f, count(*) AS n, sum(y) AS sy, sum(x) AS sx, sum(x * y) AS sxy, sum(x * x) AS sxx, sum(y * y) AS syy
+       FROM f JOIN r ON i >= a AND i < b GROUP BY m, f),
+p AS (SELECT tr.m, tr.f, j, alpha, sign(cov) * greatest(abs(cov) - alpha, 0) / sd AS b, my, mx FROM tr JOIN al ON al.m = tr.m),
+e AS (SELECT p.m, p.f, j, alpha, (syy - 2 * b * sxy - 2 * (my - mx * b) * sy + b * b * sxx + 2 * (my - mx * b) * b * sx + n * (my - mx * b) * (my - mx * b)) / n AS mse
+      FROM p JOIN va ON va.m = p.m AND va.f = p.f),
+best AS (SELECT m, arg_min(j, (mse, j)) AS j, arg_min(alpha, (mse, j)) AS alpha FROM (SELECT m, j, alpha, avg(mse) AS mse FROM e GROUP BY m, j, alpha) GROUP BY m),
+cv AS (SELECT avg(sqrt(mse)) AS cv_rmse_mean, stddev_pop(sqrt(mse)) AS cv_rmse_std FROM e JOIN best ON best.m = e.m AND best.j = e.j WHERE e.m = 0),
+nb AS (SELECT m.m, size, stop, my, mx, sign(cov) * greatest(abs(cov) - alpha, 0) / sd AS b FROM m JOIN fs ON fs.m = m.m JOIN best ON best.m = m.m WHERE m.m > 0),
+ne AS (SELECT avg(e) AS nested_rmse_mean, stddev_pop(e) AS nested_rmse_std
+       FROM (SELECT m, sqrt(avg((y - my - (x - mx) * b) * (y - my - (x - mx) * b))) AS e FROM nb JOIN r ON i >= size AND i < stop GROUP BY m))
+SELECT 'avg_price_lag12' AS feature, sign(cov) * greatest(abs(cov) - alpha, 0) AS coef, alpha, cv_rmse_mean, cv_rmse_std, nested_rmse_mean, nested_rmse_std
+FROM fs, best, cv, ne WHERE fs.m = 0 AND best.m = 0""")
+def lasso_single(t):
+    x = P.nation_lags(t).select("period", "entity", F.log("avg_price").alias("y"), F.log("avg_price_lag12").alias("avg_price_lag12"))
+    out = M.lasso_select(x, "y", ["avg_price_lag12"], order=["period", "entity"], n_splits=5, n_alphas=200)
+    return out.select("feature", "coef", "alpha", "cv_rmse_mean", "cv_rmse_std", "nested_rmse_mean", "nested_rmse_std")
 
 
 @register("align_features", "M03 M04", ctes=["nation_lags"], digits={"avg_price_lag1": 6, "avg_price_lag12": 6}, sql="""
@@ -135,13 +172,13 @@ def _forest(t, num_trees=20, depth=4):
     return M.refit(d, "y", _stages(), est)
 
 
-@register("score_scenarios", "M09 M10 A22", materialize=["nation_month"])
+@register("score_scenarios", "M09 M10", materialize=["nation_month"])
 def score_scenarios(t):
     model = _forest(t)
     return M.score_scenarios(model, scenario_features(t))
 
 
-@register("tree_shap", "M14 J09 A20", materialize=["nation_month"])
+@register("tree_shap", "M14", materialize=["nation_month"])
 def tree_shap(t):
     model = _forest(t)
     scored = model.transform(scenario_features(t))
@@ -172,7 +209,7 @@ def bvar_forecast(t):
     return W.levels_from_dlog(fc, "entity", "period", "dlog_price", "anchor", out="price_level").drop("anchor")
 
 
-@register("seasonal_grid", "M13 L02", materialize=["nation_month"])
+@register("seasonal_grid", "M13", materialize=["nation_month"])
 def seasonal_grid(t):
     nm = P.nation_month(t).groupBy("period", "region").agg(F.sum("sales_count").cast("double").alias("sales"))
     res, _ = FC.seasonal_grid(nm, "region", "period", "sales", horizon=12)

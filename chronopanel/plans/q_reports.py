@@ -8,6 +8,7 @@ from .. import functions as fn
 from ..functions.text import INTENT_RULES
 from ..operators import aggs as A
 from ..operators import windows as W
+from ..operators.mentions import with_mentions
 from . import panels as P
 from . import reports as Rp
 from .registry import register
@@ -18,11 +19,11 @@ D6 = 6
 
 
 def messages(t):
-    """Every given text: (src, id, turn, text), with the nation names next to
-    each row."""
+    """Every given text: (src, id, turn, text, entities), with the nations that
+    it names."""
     c = t("conversations").select(F.lit("conversations").alias("src"), F.col("conv_id").alias("id"), "turn", "text")
     d = t("documents").select(F.lit("documents").alias("src"), F.col("doc_id").alias("id"), F.lit(0).cast("bigint").alias("turn"), "text")
-    return c.unionByName(d).withColumn("_entities", fn.entity_list(t("nation"), "n_name", "n_nationkey"))
+    return with_mentions(c.unionByName(d), "text", t("nation"), "n_name", "n_nationkey")
 
 
 _Q_SQL = """messages AS (
@@ -79,7 +80,7 @@ s AS (SELECT src, id, turn, {_MONTH_SQL.format(c='text')} AS month, {_SCEN_SQL.f
 SELECT src, id, turn, month, scenario, CAST(len(ents) AS BIGINT) AS n_entities, ents[1] AS entity_1, ents[2] AS entity_2 FROM s""")
 def extract_slots(t):
     x = messages(t).select("src", "id", "turn", fn.find_month("text").alias("month"), fn.find_scenario("text").alias("scenario"),
-                           fn.find_entities(F.col("text"), F.col("_entities")).alias("e"))
+                           F.col("entities").alias("e"))
     return x.select("src", "id", "turn", "month", "scenario", F.size("e").cast("bigint").alias("n_entities"),
                     F.try_element_at("e", F.lit(1)).alias("entity_1"), F.try_element_at("e", F.lit(2)).alias("entity_2"))
 
@@ -96,7 +97,7 @@ SELECT src, id, turn, intent, month, scenario,
        CAST(len(ents) AS BIGINT) AS n_entities, ents[1] AS entity_1, ents[2] AS entity_2
 FROM s""")
 def route_questions(t):
-    return Rp.route_questions(messages(t), F.col("_entities"), default_month="2001-01").drop("text", "_entities")
+    return Rp.route_questions(messages(t), F.col("entities"), default_month="2001-01").drop("text")
 
 
 @register("parse_bullets", "P33 P30", ctes=["nation_month"], digits={"value": 2}, sql=r"""

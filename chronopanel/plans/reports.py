@@ -183,8 +183,9 @@ def spatial_table(fc: DataFrame, hist: DataFrame, entities: DataFrame, scenario:
 def route_questions(messages: DataFrame, entities, text: str = "text", default_month=None,
                     default_entity=None) -> DataFrame:
     """Intent and slots of each question, with context defaults, and the
-    query that answers it."""
-    ents = fn.find_entities(F.col(text), entities)
+    query that answers it. ``entities`` is a list of names or an array column
+    of those in the text (``operators.mentions``)."""
+    ents = entities if isinstance(entities, Column) else fn.find_entities(F.col(text), entities)
     month = fn.find_month(F.col(text))
     if default_month is not None:
         month = F.coalesce(month, F.lit(default_month))

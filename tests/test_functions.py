@@ -333,3 +333,48 @@ def test_best_order_of_simulated_seasonal_series():
         assert len({f["nobs"] for f, _ in fits}) == 1
         wins += min(fits, key=lambda x: x[0]["bic"])[1] == ((0, 1, 0), (0, 1, 0, 12))
     assert wins >= 7
+
+
+def _mentioned(texts, names):
+    import re
+    norm = lambda t: "".join(re.findall(r"[^\W_]", t.strip().lower()))
+    out = {}
+    for t in texts:
+        if t is None:
+            out[t] = []
+            continue
+        exact = [n for n in names if n and n.lower() in t.lower()]
+        out[t] = exact or [n for n in names if n and norm(n) and norm(n) in norm(t.lower())]
+    return out
+
+
+def test_names_in_texts_against_all_pairs(spark, monkeypatch):
+    import random
+    from chronopanel.operators import mentions as T
+    monkeypatch.setattr(T, "BLOCK", 64)      # windows over block borders
+    g = random.Random(2)
+    names = ["UK", "a", "Auckland City", "North Shore City", "Île-de-France", "ÎLE", "Kāpiti Coast", "Côte d'Ivoire", "U.S.", "--", "", None, "東京", "Ab",
+             "North", "north shore", "x" * 300]
+    words = ["uk", "north", "shore", "city", "auckland", "NORTH SHORE", "île", "de", "france", "Kāpiti", "coast", "u s", "côte d ivoire", "-", "--", "東", "京", "b", "zz", "."]
+    texts = [" ".join(g.choices(words, k=g.randint(0, 30))) for _ in range(300)] + [None, "", "x" * 400, "x" * 299, "y" * 5000 + "Auckland City", "au"]
+    texts += ["north shore city"] * 200      # many equal texts
+    df = spark.createDataFrame([(i, t, i, "s") for i, t in enumerate(texts)], "id long, text string, entities2 long, key string").repartition(6)
+    dim = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "name string, pos long")
+    want = _mentioned(texts, names)
+    got = T.with_mentions(df, "text", dim, "name", "pos")
+    assert got.columns == ["id", "text", "entities2", "key", "entities"]
+    rows = got.collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        assert r["entities"] == want[r["text"]], r
+    assert {tuple(r["entities"]) for r in T.with_mentions(df, "text", dim.limit(0), "name", "pos").collect()} == {()}
+
+
+def test_many_names(spark):
+    """A hundred thousand names; what a task holds is the bit table."""
+    from chronopanel.operators import mentions as T
+    dim = spark.range(100000).select(F.concat(F.lit("Place "), F.conv(F.col("id") * 7919 + 100000, 10, 36)).alias("name"), "id")
+    rows = dim.where("id % 25000 = 3").orderBy("id").collect()
+    df = spark.createDataFrame([(i, f"we went to {r['name']}, then home") for i, r in enumerate(rows)] + [(99, "no such place at all")], "i long, text string")
+    got = {r["i"]: r["entities"] for r in T.with_mentions(df, "text", dim, "name", "id").collect()}
+    assert all(rows[i]["name"] in got[i] for i in range(len(rows))) and got[99] == []

@@ -259,3 +259,74 @@ def test_chain_uses_the_drivers_forecast_and_stops_at_its_gaps(spark):
     _, cut = FC.seasonal_grid(df, "s", "period", "y", walk, 6, exog=["x"], exog_future=ahead)
     assert [r["period"] for r in cut.filter("s = 'a'").orderBy("period").collect()] == _monthly(96, 2)
     assert cut.filter("s = 'b'").count() == 0
+
+
+def _direct_lasso(X, y, alphas):
+    """Coordinate descent on centred rows, warm along the path."""
+    Xc, yc, b, out = X - X.mean(0), y - y.mean(), np.zeros(X.shape[1]), []
+    for a in alphas:
+        for _ in range(2000):
+            was = b.copy()
+            for j in range(len(b)):
+                r = yc - Xc @ b + Xc[:, j] * b[j]
+                c = Xc[:, j] @ r / len(y)
+                b[j] = np.sign(c) * max(abs(c) - a, 0) / max(Xc[:, j] @ Xc[:, j] / len(y), 1e-300)
+            if np.abs(b - was).max() < 1e-12:
+                break
+        out.append(b.copy())
+    return out
+
+
+def _direct_cv(X, y, splits, n_alphas, eps=1e-3):
+    amax = np.abs((X - X.mean(0)).T @ (y - y.mean())).max() / len(y)
+    alphas = np.logspace(np.log10(amax), np.log10(amax * eps), n_alphas)
+    mse = np.zeros((len(splits), n_alphas))
+    for f, (a, b) in enumerate(splits):
+        for i, w in enumerate(_direct_lasso(X[:a], y[:a], alphas)):
+            e = y[a:b] - y[:a].mean() - (X[a:b] - X[:a].mean(0)) @ w
+            mse[f, i] = (e ** 2).mean()
+    best = int(mse.mean(0).argmin())
+    return _direct_lasso(X, y, alphas[: best + 1])[-1]
+
+
+def test_nested_error_equals_a_direct_fit_on_rows(spark):
+    """Five outer folds of three inner ones; borders lie inside periods, and
+    rows tie in the order columns."""
+    rng = np.random.default_rng(8)
+    n, k = 131, 4
+    X = rng.standard_normal((n, k)) * [1, 4, 0.3, 2] + np.linspace(0, 2, n)[:, None]
+    y = X @ [1.0, -0.5, 0.0, 0.2] + rng.standard_normal(n) * 0.5
+    period, entity = np.arange(n) // 17, rng.permutation(n) % 6
+    pdf = pd.DataFrame(X, columns=[f"x{i}" for i in range(k)]).assign(y=y, period=period, entity=entity)
+    df = spark.createDataFrame(pdf.sample(frac=1, random_state=1)).repartition(5)
+    out = M.lasso_select(df, "y", [f"x{i}" for i in range(k)], order=["period", "entity"], scale="all", n_alphas=40).toPandas()
+    # the blocks' order standardises by all rows before ties are broken, which keeps the order
+    s = pdf.sort_values(["period", "entity", "y", "x0", "x1", "x2", "x3"])
+    X, y = s[[f"x{i}" for i in range(k)]].to_numpy(), s["y"].to_numpy()
+    errors = []
+    for end, stop in M.fold_borders(n, 5):
+        mean, sd = X[:end].mean(0), X[:end].std(0)
+        Z = (X[:stop] - mean) / sd
+        w = _direct_cv(Z[:end], y[:end], M.fold_borders(end, 3), 40)
+        e = y[end:stop] - y[:end].mean() - Z[end:stop] @ w
+        errors.append(np.sqrt((e ** 2).mean()))
+    assert abs(out["nested_rmse_mean"][0] - np.mean(errors)) < 2e-3
+    assert abs(out["nested_rmse_std"][0] - np.std(errors)) < 2e-3
+    assert out["nested_rmse_mean"][0] > out["cv_rmse_mean"][0] - 1e-9 or out["nested_rmse_mean"][0] < out["cv_rmse_mean"][0] * 1.2
+
+
+def test_prefix_sums_at_any_position(spark):
+    """Hot periods, missing keys and many equal rows: the rows before each
+    position, without numbering the rows."""
+    rng = np.random.default_rng(3)
+    rows = [("p1", "hot", 1.0, 2.0)] * 60 + [(None, None, 5.0, 1.0)] * 4
+    rows += [(f"p{rng.integers(3)}", f"e{rng.integers(5)}" if rng.random() > 0.1 else None, float(rng.integers(4)), float(rng.integers(3))) for _ in range(90)]
+    df = spark.createDataFrame(rows, "period string, entity string, y double, x double").repartition(7)
+    positions = [0, 1, 3, 5, 40, 77, 78, 100, len(rows) - 1, len(rows)]
+    got = M.prefix_grams(df, "y", ["x"], ["period", "entity"], positions)
+    rows.sort(key=lambda r: [(v is not None, v if v is not None else "") for v in r[:2]] + [r[2], r[3]])
+    for p in positions:
+        part = np.array([[r[2], r[3]] for r in rows[:p]]).reshape(-1, 2)
+        s = got[p]
+        assert (s["n"], s["sy"], s["syy"]) == (p, part[:, 0].sum(), (part[:, 0] ** 2).sum())
+        assert (s["sx"][0], s["sxy"][0], s["G"][0, 0]) == (part[:, 1].sum(), (part[:, 0] * part[:, 1]).sum(), (part[:, 1] ** 2).sum())
