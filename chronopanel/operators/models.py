@@ -7,6 +7,7 @@ features, not on rows. Only those k x k statistics reach the driver.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import math
 import sys
@@ -17,15 +18,17 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._util import as_list
+from .explain import export_trees, staged_predictions
 from .windows import fold_table, month_positions, running_counts
 
 __all__ = ["ols", "gram_blocks", "lasso_path_cv", "lasso_select", "fold_borders", "row_borders", "prefix_grams", "select_features", "align_features",
-           "feature_pipeline", "feature_map", "cv_fits", "tune_forest", "tune_gbt", "cv_table", "refit", "score_scenarios"]
+           "feature_pipeline", "feature_map", "cv_fits", "tune_forest", "tune_gbt", "staged_grid", "fold_errors", "cv_table", "refit", "score_scenarios"]
 
 
 # M01 -----------------------------------------------------------------------
@@ -234,14 +237,14 @@ def row_borders(df: DataFrame, order, n_rows: int, positions, rest=()) -> tuple[
     return keys, found | open_
 
 
-def prefix_grams(df: DataFrame, y: str, xs, order, positions) -> dict[int, dict]:
+def prefix_grams(df: DataFrame, y: str, xs, order, positions, n: int | None = None) -> dict[int, dict]:
     """Sufficient statistics of the rows before each position of the order, as
     prefix sums of one aggregate over the blocks between the positions. Rows
     that tie in ``order`` are ordered by y and the features, so the blocks do
     not depend on the partitioning; rows equal in all of them are shared out
     by number."""
     xs = as_list(xs)
-    n = df.count()
+    n = df.count() if n is None else n
     keys, borders = row_borders(df, order, n, positions, [y, *xs])
     inner = sorted(borders)
 
@@ -306,7 +309,7 @@ def lasso_select(df: DataFrame, y: str, xs, order, n_splits: int = 5, n_alphas:
     outer = fold_borders(n, n_splits)
     nested = {end: fold_borders(end, inner_splits) for end, _ in outer}
     every = [p for pairs in [outer, *nested.values()] for pair in pairs for p in pair]
-    prefix = prefix_grams(z, y, [f"_z{i}" for i in range(len(xs))], order, every)
+    prefix = prefix_grams(z, y, [f"_z{i}" for i in range(len(xs))], order, every, n)
     in_fold = scale == "fold"
     pairs = lambda borders, of=lambda s: s: [(of(_between(prefix, 0, a)), of(_between(prefix, a, b))) for a, b in borders]
 
@@ -451,6 +454,93 @@ def tune_gbt(df: DataFrame, y: str, stages, grid: dict, seed: int = 42, **kw) ->
     return cv_fits(df, y, stages, est, grid, **kw)
 
 
+#: Grid keys that one fitted ensemble serves, by the estimator's name.
+STAGED = {"forest": ("numTrees", "maxDepth", "minSplit"), "gbt": ("maxIter",)}
+
+
+def staged_grid(df: DataFrame, y: str, stages, kind: str, grid: dict, keys=(), period: str = "period", n_splits: int = 5,
+                min_train: int = 24, val: int = 6, seed: int = 42, threads: int = 4) -> DataFrame:
+    """Predictions of every setting of a grid on its validation folds, from far
+    fewer fits: (config, params, fold, the columns of ``keys``, y, pred).
+
+    A boosted ensemble of n rounds begins with those of fewer rounds; a forest
+    of n trees grown to depth d holds the smaller forests, the shallower ones
+    and those that split no node of fewer than ``minSplit`` rows. So each
+    setting of the other parameters is fitted once per fold, with the largest
+    ``numTrees`` and ``maxDepth`` (``maxIter``), and all its stages are scored
+    in one walk through its trees. Spark draws a forest's samples for all its
+    trees together: a smaller forest is one of that size, not the one that a
+    fit of its own would draw. ``maxDepth`` None is Spark's limit of 30."""
+    from ..session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    keys, staged = as_list(keys), STAGED[kind]
+    names = sorted(grid)
+    rest = [k for k in names if k not in staged]
+    deep = lambda d: 30 if d is None else d
+    combos = [dict(zip(names, v)) for v in itertools.product(*[grid[k] for k in names])]
+    config = {tuple(sorted(c.items(), key=str)): i for i, c in enumerate(combos)}
+    sizes = sorted(grid.get("numTrees" if kind == "forest" else "maxIter", [20]))
+    depths, splits = grid.get("maxDepth", [5]), grid.get("minSplit", [1])
+    ends = {r["fold"]: r["train_end"] for r in
+            fold_table(df.select(period), period, n_splits, min_train, val).select("fold", "train_end").distinct().collect()}
+    placed = df.join(month_positions(df, period), period).checkpoint(eager=True)
+    types = dict(df.dtypes)
+    schema = ", ".join(["config int", "params string", "fold int"] + [f"`{k}` {types[k]}" for k in keys] + [f"`{y}` double", "pred double"])
+
+    def estimator(setting):
+        if kind == "forest":
+            return RandomForestRegressor(featuresCol="features", labelCol=y, seed=seed, numTrees=sizes[-1], maxDepth=max(map(deep, depths)), **setting)
+        return GBTRegressor(featuresCol="features", labelCol=y, seed=seed, maxIter=sizes[-1], **setting)
+
+    def scorer(trees, setting, fold):
+        def run(batches):
+            for pdf in batches:
+                if not len(pdf):
+                    continue
+                x = np.stack(pdf["_x"].to_numpy()).astype(float)
+                if kind == "forest":
+                    sums = staged_predictions(trees.value, x, sizes, [None if d is None else d for d in depths], splits)
+                    share = len(trees.value) / np.array(sizes, float)
+                    stages = [({"numTrees": n, "maxDepth": d, "minSplit": m}, sums[i, j, k] * share[i])
+                              for i, n in enumerate(sizes) for j, d in enumerate(depths) for k, m in enumerate(splits)]
+                else:
+                    sums = staged_predictions(trees.value, x, sizes)
+                    stages = [({"maxIter": n}, sums[i, 0, 0]) for i, n in enumerate(sizes)]
+                for own, pred in stages:
+                    params = setting | {k: v for k, v in own.items() if k in grid}
+                    yield pdf[[*keys, y]].assign(config=config[tuple(sorted(params.items(), key=str))], params=str(sorted(params.items(), key=str)),
+                                                 fold=fold, pred=pred)[["config", "params", "fold", *keys, y, "pred"]]
+
+        return run
+
+    def fit(fold):
+        end, out = ends[fold], []
+        train = placed.filter(F.col("_pos") < end)
+        features = Pipeline(stages=list(stages)).fit(train)
+        fit_on = features.transform(train).select(y, "features").persist()
+        score_on = features.transform(placed.filter((F.col("_pos") >= end) & (F.col("_pos") < end + val)))
+        score_on = score_on.select(*keys, F.col(y).cast("double").alias(y), vector_to_array("features").alias("_x"))
+        try:
+            for values in itertools.product(*[grid[k] for k in rest]):
+                setting = dict(zip(rest, values))
+                model = estimator(setting).fit(fit_on)
+                trees = df.sparkSession.sparkContext.broadcast(export_trees(model, df.sparkSession))
+                out.append(score_on.mapInPandas(scorer(trees, setting, fold), schema))
+            return out
+        finally:
+            fit_on.unpersist()
+
+    with ThreadPoolExecutor(max_workers=threads) as ex:
+        parts = [d for found in ex.map(fit, sorted(ends)) for d in found]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def fold_errors(predictions: DataFrame, y: str) -> DataFrame:
+    """RMSE and rows of every configuration and fold, as ``cv_table`` takes them."""
+    e = F.col(y) - F.col("pred")
+    return predictions.groupBy("config", "params", "fold").agg(F.sqrt(F.avg(e * e)).alias("rmse"), F.count("*").alias("n_val"))
+
+
 def cv_table(results: DataFrame) -> DataFrame:
     """Mean and spread of the fold RMSE per configuration, ranked; the best
     configuration has rank 1 (smallest mean, then config id)."""

@@ -166,6 +166,68 @@ def tune_gbt(t):
     return M.cv_table(res)
 
 
+FOREST_GRID = {"numTrees": [5, 10, 20], "maxDepth": [2, 4, 8], "minSplit": [2, 10], "minInstancesPerNode": [1, 4],
+               "featureSubsetStrategy": ["sqrt", "all"]}
+BOOST_GRID = {"maxIter": [3, 6, 9], "maxDepth": [2, 3], "stepSize": [0.1, 0.3]}
+_FOLD_SQL = """
+p AS (SELECT period, entity, avg_price FROM nation_lags WHERE avg_price_lag1 IS NOT NULL AND avg_price_lag12 IS NOT NULL),
+pos AS (SELECT period, row_number() OVER (ORDER BY period) - 1 AS i, count(*) OVER () AS total FROM (SELECT DISTINCT period FROM p)),
+f AS (SELECT CAST(f AS BIGINT) AS fold, CASE WHEN f = 2 THEN max(total) - 6 ELSE CAST(floor(36 + (max(total) - 6 - 36) / 2.0 * f) AS BIGINT) END AS train_end
+      FROM pos, range(3) r(f) GROUP BY f)
+SELECT CAST(c AS BIGINT) AS config, fold, CAST(count(*) AS BIGINT) AS n_val, sum(ln(avg_price)) AS y_sum, 0.0::DOUBLE AS rest
+FROM range({configs}) g(c), f JOIN pos ON i >= train_end AND i < train_end + 6 JOIN p USING (period) GROUP BY c, fold"""
+
+
+def _staged(t, kind, grid):
+    return M.staged_grid(model_panel(t, complete=True), "y", _stages(), kind, grid, keys=["period", "entity"], n_splits=3, min_train=36, val=6)
+
+
+def _fold_check(t, kind, grid):
+    """Rows and log prices of every setting's validation folds, and how far the
+    reported error is from one taken over the stored predictions."""
+    from ..session import checkpoint_dir
+    checkpoint_dir(t.spark)
+    pred = _staged(t, kind, grid).checkpoint(eager=True)
+    said = M.fold_errors(pred, "y")
+    again = pred.groupBy("config", "fold").agg(F.sum("y").alias("y_sum"), F.sqrt(F.sum(F.pow(F.col("pred") - F.col("y"), 2)) / F.count("pred")).alias("_again"))
+    return said.join(again, ["config", "fold"]).select(
+        "config", "fold", "n_val", "y_sum", F.abs(F.round(F.col("rmse") - F.col("_again"), 9)).alias("rest"))
+
+
+@register("staged_forest", "M06 M08 W12", materialize=["nation_month"], ctes=["nation_lags"], digits={"y_sum": 5}, sql=_FOLD_SQL.format(configs=72))
+def staged_forest(t):
+    """72 settings x 3 folds from 12 fits."""
+    return _fold_check(t, "forest", FOREST_GRID)
+
+
+@register("staged_gbt", "M07 M08 W12", materialize=["nation_month"], ctes=["nation_lags"], digits={"y_sum": 5}, sql=_FOLD_SQL.format(configs=12))
+def staged_gbt(t):
+    """12 settings x 3 folds from 12 fits."""
+    return _fold_check(t, "gbt", BOOST_GRID)
+
+
+# One tree of one split, of month number and year (fewer distinct values than
+# bins, so every midpoint is tried): the split feature's value is the side's
+# mean less the mean of all rows, the other feature's is 0.
+@register("tree_shap_stump", "M14", materialize=["nation_month"], ctes=["nation_month"], digits={"shap_value": 6, "pred": 6, "base_value": 6}, sql="""
+d AS (SELECT period, entity, ln(avg_price) AS y, month(period)::DOUBLE AS mon, year(period)::DOUBLE AS yr FROM nation_month),
+v AS (SELECT 'mon' AS f, mon AS x, y FROM d UNION ALL SELECT 'yr', yr, y FROM d),
+g AS (SELECT f, x, count(*) AS n, sum(y) AS s FROM v GROUP BY f, x),
+c AS (SELECT f, (x + lead(x) OVER w) / 2 AS cut, sum(n) OVER w AS nl, sum(s) OVER w AS sl, sum(n) OVER (PARTITION BY f) AS n, sum(s) OVER (PARTITION BY f) AS s
+      FROM g WINDOW w AS (PARTITION BY f ORDER BY x)),
+b AS (SELECT f, cut, sl / nl AS l, (s - sl) / (n - nl) AS r, s / n AS base FROM c WHERE cut IS NOT NULL ORDER BY sl * sl / nl + (s - sl) * (s - sl) / (n - nl) DESC LIMIT 1),
+p AS (SELECT period, entity, base, CASE WHEN CASE f WHEN 'mon' THEN mon ELSE yr END <= cut THEN l ELSE r END AS pred, f FROM d, b)
+SELECT period, entity, k AS feature, CASE WHEN k = f THEN pred - base ELSE 0 END AS shap_value, pred, base AS base_value
+FROM p, (VALUES ('mon'), ('yr')) n(k)""")
+def tree_shap_stump(t):
+    d = P.nation_month(t).select("period", "entity", F.log("avg_price").alias("y"), F.month("period").cast("double").alias("mon"),
+                                 F.year("period").cast("double").alias("yr"))
+    est = RandomForestRegressor(featuresCol="features", labelCol="y", numTrees=1, maxDepth=1, featureSubsetStrategy="all", bootstrap=False, seed=1)
+    model = M.refit(d, "y", M.feature_pipeline(num=["mon", "yr"]), est)
+    return X.tree_shap(model.stages[-1], model.transform(d), ["period", "entity"]).select(
+        "period", "entity", "feature", "shap_value", "pred", "base_value")
+
+
 def _forest(t, num_trees=20, depth=4):
     d = model_panel(t, complete=True).filter(F.col("y").isNotNull())
     est = RandomForestRegressor(featuresCol="features", labelCol="y", numTrees=num_trees, maxDepth=depth, seed=42)

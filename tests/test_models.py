@@ -330,3 +330,75 @@ def test_prefix_sums_at_any_position(spark):
         s = got[p]
         assert (s["n"], s["sy"], s["syy"]) == (p, part[:, 0].sum(), (part[:, 0] ** 2).sum())
         assert (s["sx"][0], s["sxy"][0], s["G"][0, 0]) == (part[:, 1].sum(), (part[:, 0] * part[:, 1]).sum(), (part[:, 1] ** 2).sum())
+
+
+def _spark_trees(spark, est, pdf, cols):
+    from pyspark.ml.feature import VectorAssembler
+    d = VectorAssembler(inputCols=cols, outputCol="features").transform(spark.createDataFrame(pdf))
+    model = est.fit(d)
+    return model, d, X.export_trees(model, spark)
+
+
+def test_deep_forest_attributions_against_brute_force(spark):
+    """100 trees of depth 12: features repeat along the paths."""
+    from pyspark.ml.regression import RandomForestRegressor
+    rng = np.random.default_rng(11)
+    v = rng.standard_normal((260, 4)).round(1)
+    pdf = pd.DataFrame(v, columns=list("abcd")).assign(y=np.sin(3 * v[:, 0]) + v[:, 1] * v[:, 2] + rng.normal(scale=0.1, size=260))
+    est = RandomForestRegressor(labelCol="y", numTrees=100, maxDepth=12, seed=3)
+    model, _, trees = _spark_trees(spark, est, pdf, list("abcd"))
+    assert max(X._depth(t) for t in trees) == 12 and len(trees) == 100
+    phi = sum(t["weight"] * X.shap_values(t, v) for t in trees)
+    base = sum(t["weight"] * X.expected_value(t) for t in trees)
+    pred = X.staged_predictions(trees, v)[0, 0, 0]
+    assert np.allclose(base + phi.sum(1), pred, atol=1e-9)
+    for t in trees[:12]:                                   # every subset, row by row
+        own = X.shap_values(t, v[:2])
+        for r in range(2):
+            for i in range(4):
+                rest = [j for j in range(4) if j != i]
+                want = sum(math.factorial(len(s)) * math.factorial(3 - len(s)) / 24 *
+                           (X.conditional_expectation(t, v[r], {*s, i}) - X.conditional_expectation(t, v[r], set(s)))
+                           for k in range(4) for s in itertools.combinations(rest, k))
+                assert abs(own[r, i] - want) < 1e-9
+
+
+def test_stages_equal_the_smaller_models(spark):
+    from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+    rng = np.random.default_rng(12)
+    v = rng.standard_normal((300, 3)).round(1)
+    pdf = pd.DataFrame(v, columns=list("abc")).assign(y=v[:, 0] * 2 + np.abs(v[:, 1]) + rng.normal(scale=0.2, size=300))
+    one = lambda est: np.array([r["prediction"] for r in (lambda m, d, _: m.transform(d).collect())(*_spark_trees(spark, est, pdf, list("abc")))])
+    boost = lambda n: GBTRegressor(labelCol="y", maxIter=n, maxDepth=3, stepSize=0.2, seed=5)
+    _, _, trees = _spark_trees(spark, boost(12), pdf, list("abc"))
+    got = X.staged_predictions(trees, v, [1, 5, 12])
+    for i, n in enumerate((1, 5, 12)):
+        assert np.allclose(got[i, 0, 0], one(boost(n)), atol=1e-9)
+    tree = lambda d: RandomForestRegressor(labelCol="y", numTrees=1, maxDepth=d, featureSubsetStrategy="all", bootstrap=False, seed=5)
+    _, _, trees = _spark_trees(spark, tree(7), pdf, list("abc"))
+    got = X.staged_predictions(trees, v, depths=[0, 2, 4, None], min_split=[1, 60])
+    assert np.allclose(got[0, 0, 0], pdf["y"].mean())
+    for i, d in ((1, 2), (2, 4), (3, 7)):
+        assert np.allclose(got[0, i, 0], one(tree(d)), atol=1e-9)
+    t = trees[0]
+    for r in range(20):                                    # no node of fewer than 60 rows is split
+        k = 0
+        while t["left"][k] >= 0 and t["cover"][k] >= 60:
+            k = t["left"][k] if v[r, t["feature"][k]] <= t["threshold"][k] else t["right"][k]
+        assert got[0, 3, 1, r] == t["value"][k]
+
+
+def test_staged_grid_of_the_usual_shape(spark):
+    """Every setting and fold has its predictions, from one fit for each
+    setting of what cannot be staged; the error table comes from them."""
+    rng = np.random.default_rng(13)
+    rows = [(p, e, float(x), float(np.sin(x) + rng.normal(scale=0.1))) for p in _monthly(0, 40) for e, x in zip("abcd", rng.standard_normal(4))]
+    df = spark.createDataFrame(rows, "period date, entity string, x double, y double")
+    grid = {"numTrees": [2, 5], "maxDepth": [2, None], "minSplit": [2, 10], "minInstancesPerNode": [1, 4]}
+    pred = M.staged_grid(df, "y", M.feature_pipeline(cat=["entity"], num=["x"]), "forest", grid, keys=["period", "entity"], n_splits=2, min_train=24, val=6)
+    got = pred.toPandas()
+    assert got.groupby(["config", "fold"]).size().unique().tolist() == [24] and got["config"].nunique() == 16 and got["fold"].nunique() == 2
+    table = M.cv_table(M.fold_errors(pred, "y")).orderBy("rank").toPandas()
+    want = got.assign(e=(got["y"] - got["pred"]) ** 2).groupby(["config", "fold"])["e"].mean().pow(0.5).groupby("config").mean()
+    assert np.allclose(table.set_index("config")["mean_rmse"].sort_index(), want)
+    assert table["mean_rmse"].is_monotonic_increasing and table["params"].str.contains("minSplit").all()
