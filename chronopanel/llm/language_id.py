@@ -178,6 +178,12 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_co
     return fit(langs, pairs, **how) if langs else None
 
 
+def _product(weights: np.ndarray, state: np.ndarray, out: np.ndarray) -> None:
+    """weights @ state, each column's terms added in the same order wherever
+    the column stands: a library's matrix product does not promise that."""
+    np.einsum("kj,jb->kb", weights, state, out=out, optimize=False)
+
+
 class Labeller:
     """The network as it runs in tasks: gates' halves folded into the weights
     (a sigmoid is a tanh of half its argument), all windows of a batch side by
@@ -205,7 +211,7 @@ class Labeller:
             state = np.zeros((h, b), np.float32)
             for t in range(length) if side == 0 else range(length - 1, -1, -1):
                 np.take(self.table[side], x[t], axis=1, out=inp, mode="clip")
-                np.matmul(self.rec[side], state, out=rec)
+                _product(self.rec[side], state, rec)
                 gate = inp[: 2 * h]
                 gate += rec[: 2 * h]
                 np.tanh(gate, out=gate)
@@ -218,9 +224,9 @@ class Labeller:
                 state *= gate[:h]
                 state += n
                 if side == 0:
-                    np.matmul(self.net.out[0], state, out=logits[t])
+                    _product(self.net.out[0], state, logits[t])
                 else:
-                    np.matmul(self.net.out[1], state, out=add)
+                    _product(self.net.out[1], state, add)
                     logits[t] += add
         logits += self.net.bias[:, None]
         logits -= logits.max(axis=1, keepdims=True)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import sys
 import types
@@ -15,9 +16,15 @@ from pyspark.sql import functions as F
 from chronopanel.session import checkpoint_dir
 
 
+_OPEN: list[list[str]] = []   # folders made in each open ``helper_tables``
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new, not yet existing folder below the shared one."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    for made in _OPEN:
+        made.append(path)
+    return path
 
 
 def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
@@ -29,6 +36,23 @@ def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def helper_tables(spark: SparkSession, keep: str):
+    """Removes the folders that were made below the shared one inside the
+    block, at its end, other than those named ``keep-...``. What is computed
+    from them must have been written by then."""
+    made: list[str] = []
+    _OPEN.append(made)
+    try:
+        yield
+    finally:
+        _OPEN.remove(made)
+    for path in made:
+        if not path.rsplit("/", 1)[1].startswith(keep + "-"):
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def sized(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
     """Hint a broadcast for a narrow table that was counted to have at most
     ``rows`` rows. A larger one is joined by a shuffle."""

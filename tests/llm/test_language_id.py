@@ -86,3 +86,19 @@ def test_nothing_to_learn_from(spark):
     assert L.train(docs.where("lang is null")) is None
     assert {r["language"]["lang_pred"] for r in L.label(docs, None).collect()} == {"und"}
     assert L.predicted_languages(spark, docs.limit(0)).collect() == []
+
+
+def test_a_text_has_one_answer_wherever_it_stands():
+    g = np.random.default_rng(0)
+    text, answers = "Das ist ein Satz mit etwas Länge, einmal hier. " * 9, set()
+    net = L.Network.start(["a", "b", "c"], L.HIDDEN)
+    for w in net.weights():
+        w += (g.standard_normal(w.shape) * 0.3).astype(w.dtype)
+    lab = L.Labeller(net)
+    places = [(n, k) for n in (1, 2, 3, 5, 8, 9, 16, 17, 33, 64, 100, 257, 700) for k in sorted({0, n // 3, n // 2, n - 1})]
+    assert len(places) >= 40
+    for n, k in places:
+        others = ["".join(map(chr, g.integers(97, 123, g.integers(1, 900)))) for _ in range(n - 1)]
+        sums, votes, _ = lab.label_texts(*flat(pa.array(others[:k] + [text] + others[k:])), False)
+        answers.add((*sums[k].tolist(), *votes[k].tolist()))
+    assert len(answers) == 1
