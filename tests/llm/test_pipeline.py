@@ -58,3 +58,36 @@ def test_stages_on_awkward_rows(spark, tmp_path):
 def test_stages_on_an_empty_table(spark, tmp_path):
     for n, _ in P.STAGES:
         assert stage(spark, n, [], tmp_path).collect() == []
+
+
+def test_rows_that_share_an_id_are_told_apart_by_text(spark, tmp_path):
+    """Unlike texts of one id all stay, near copies among them do not, and
+    every run keeps the same rows."""
+    rows, _ = corpus()
+    texts = [r[1] for r in rows]
+    shared = [(7, texts[10] + " x", "aa", "s"), (7, texts[7] + " ende", "aa", "s"), (7, texts[7], "bb", "t"), (7, texts[7], "aa", "s"),
+              (500, texts[41][::-1], "aa", "s"), (500, texts[42][::-1], "aa", "s"), (500, texts[42][::-1], "cc", "s"), (None, texts[3], "aa", "s")]
+    given = [r for r in rows if r[0] in (7, 10, 20)] + shared
+    runs = [sorted(map(tuple, stage(spark, "near duplicates", given[i:] + given[:i], tmp_path).collect()), key=str) for i in (0, 3, 5)]
+    assert runs[0] == runs[1] == runs[2]
+    kept = [(r[0], r[1]) for r in runs[0]]
+    assert len(set(kept)) == len(kept)
+    # of the group of text 7 (three rows of id 7 and its near copy) one stays,
+    # and one of that of text 10; both unlike texts of id 500 stay
+    assert sum(t.startswith(texts[7]) for i, t in kept) == 1 and sum(t.startswith(texts[10]) for i, t in kept) == 1
+    assert {t for i, t in kept if i == 500} == {texts[41][::-1], texts[42][::-1]}
+    assert (20, texts[20]) in kept and (None, texts[3]) in kept
+
+
+def test_helper_tables_go_when_a_stage_is_written(spark, tmp_path):
+    import os
+
+    from chronopanel.session import checkpoint_dir
+    rows, items = corpus()
+    save(documents(spark, rows, extra=False), tmp_path)
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    home = checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(home))
+    P.run(spark, str(tmp_path)).collect()
+    made = set(os.listdir(home)) - before
+    assert len(made) == 4 and all(m.startswith("pipeline-stage-") for m in made)
