@@ -46,7 +46,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if d:
-        spark.sparkContext.setCheckpointDir(d)
+        # naming the folder again would make one more empty folder in it
+        if d.rstrip("/") not in (spark.sparkContext.getCheckpointDir() or ""):
+            spark.sparkContext.setCheckpointDir(d)
         return d
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for the cluster")
