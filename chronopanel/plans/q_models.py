@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.ml.regression import RandomForestRegressor
+import uuid
+
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from ..operators import explain as X
 from ..operators import forecast as FC
 from ..operators import models as M
 from ..operators import windows as W
+from ..sources.files import load_features, load_model, save_model
 from . import panels as P
 from .registry import register
 
@@ -335,3 +338,75 @@ def seasonal_chain_walk(t):
     """The two-stage forecast with the order that has a closed form."""
     grid, fc = FC.driver_chain(region_series(t), "region", "period", "sales", "revenue", orders=WALK, horizon=12)
     return fc.drop("pdq", "pdqs").join(grid.select("region", F.get("beta", F.lit(0)).alias("beta"), "bic"), "region")
+
+
+# Least squares on one feature: the fitted, saved and scored model has a closed form.
+_LINE_SQL = """
+x AS (SELECT ln(avg_price) AS y, ln(avg_price_lag1) AS x FROM nation_lags WHERE avg_price_lag1 IS NOT NULL AND avg_price_lag12 IS NOT NULL),
+m AS (SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM x)"""
+
+
+def _line(t):
+    est = LinearRegression(featuresCol="features", labelCol="y", solver="normal", regParam=0.0)
+    return M.refit(model_panel(t, complete=True), "y", M.feature_pipeline(num=["l1"]), est)
+
+
+@register("saved_model", "S11 M04", materialize=["nation_month"], ctes=["nation_lags"], digits={"pred": 6}, sql=_LINE_SQL + """
+SELECT period, entity, a + b * ln(avg_price_lag1) AS pred, 'l1' AS features FROM nation_lags, m WHERE avg_price_lag1 IS NOT NULL""")
+def saved_model(t):
+    """A model is saved with its feature list, loaded again, and scores rows
+    whose columns are aligned to that list."""
+    from ..session import checkpoint_dir
+    path = f"{checkpoint_dir(t.spark).rstrip('/')}/saved-model-{uuid.uuid4().hex}"
+    save_model(_line(t), path, features=["l1"])
+    features = load_features(t.spark, path)
+    rows = M.align_features(model_panel(t).drop("y").dropna(subset=["l1"]), features, fill=None, keep=["period", "entity"])
+    return load_model(path).transform(rows).select("period", "entity", F.col("prediction").alias("pred"), F.lit(",".join(features)).alias("features"))
+
+
+@register("score_scenarios_line", "M09 M10", materialize=["nation_month"], ctes=["scenario_fc", "nation_lags"], digits={"pred_log_model": 6, "pred_model": 3},
+          sql=_LINE_SQL + """,
+w AS (SELECT period, entity, scenario, lag(pred_log) OVER (PARTITION BY entity, scenario ORDER BY period) AS l1p FROM scenario_fc),
+h AS (SELECT period, entity, avg_price_lag1, avg_price_lag12, sales_count FROM nation_lags),
+p AS (SELECT w.period, w.entity, w.scenario, a + b * coalesce(l1p, ln(avg_price_lag1)) AS v FROM w JOIN h ON h.period = w.period AND h.entity = w.entity, m
+      WHERE coalesce(l1p, ln(avg_price_lag1)) IS NOT NULL AND avg_price_lag12 IS NOT NULL AND sales_count IS NOT NULL)
+SELECT period, entity, scenario, v AS pred_log_model, exp(v) AS pred_model FROM p""")
+def score_scenarios_line(t):
+    """Refit on all rows, then one pass over all scenarios, with the level
+    back-transform."""
+    return M.score_scenarios(_line(t), scenario_features(t))
+
+
+# One variable, one lag: normal equations of two unknowns with the prior's
+# precisions 0.01 (constant) and 1 / 0.18^2 (own lag, prior mean 1).
+@register("bvar_single", "M12", materialize=["nation_month"], ctes=["nation_month"], digits={"log_sales": 7}, sql="""
+d AS (SELECT entity, period, ln(sales_count) AS y, lag(ln(sales_count)) OVER (PARTITION BY entity ORDER BY period) AS x FROM nation_month),
+s AS (SELECT entity, count(x) + 0.01 AS n, sum(x) AS sx, sum(x * x) + 1 / (0.18 * 0.18) AS sxx, sum(y) FILTER (x IS NOT NULL) AS sy,
+             sum(x * y) + 1 / (0.18 * 0.18) AS sxy, max(period) AS last, arg_max(y, period) AS y0 FROM d GROUP BY entity),
+b AS (SELECT entity, last, y0, (n * sxy - sx * sy) / (n * sxx - sx * sx) AS b, (sxx * sy - sx * sxy) / (n * sxx - sx * sx) AS a FROM s)
+SELECT entity, h AS step, CAST(last + to_months(CAST(h AS INTEGER)) AS DATE) AS period, pow(b, h) * y0 + a * (1 - pow(b, h)) / (1 - b) AS log_sales
+FROM b, range(1, 7) r(h)""")
+def bvar_single(t):
+    nm = P.nation_month(t).select("period", "entity", F.log("sales_count").alias("log_sales"))
+    return FC.bvar_forecast(nm, "entity", "period", ["log_sales"], p=1, horizon=6)
+
+
+# Normal equations of three regressors through the inverse of their centred
+# cross products.
+@register("ols_three", "M01", materialize=["nation_month"], ctes=["nation_lags"], digits={"coef": 6, "std_err": 6, "t_stat": 4}, sql="""
+x AS (SELECT ln(avg_price) AS y, ln(avg_price_lag1) AS p, ln(avg_price_lag12) AS q, ln(sales_count) AS r FROM nation_lags
+      WHERE avg_price_lag1 IS NOT NULL AND avg_price_lag12 IS NOT NULL),
+s AS (SELECT count(*) AS n, avg(y) AS my, avg(p) AS mp, avg(q) AS mq, avg(r) AS mr, count(*) * var_pop(y) AS yy,
+             count(*) * covar_pop(p, y) AS py, count(*) * covar_pop(q, y) AS qy, count(*) * covar_pop(r, y) AS ry,
+             count(*) * var_pop(p) AS pp, count(*) * var_pop(q) AS qq, count(*) * var_pop(r) AS rr,
+             count(*) * covar_pop(p, q) AS pq, count(*) * covar_pop(p, r) AS pr, count(*) * covar_pop(q, r) AS qr FROM x),
+d AS (SELECT *, pp * (qq * rr - qr * qr) - pq * (pq * rr - qr * pr) + pr * (pq * qr - qq * pr) AS det FROM s),
+i AS (SELECT *, (qq * rr - qr * qr) / det AS ipp, (pp * rr - pr * pr) / det AS iqq, (pp * qq - pq * pq) / det AS irr,
+             (pr * qr - pq * rr) / det AS ipq, (pq * qr - pr * qq) / det AS ipr, (pq * pr - pp * qr) / det AS iqr FROM d),
+b AS (SELECT *, ipp * py + ipq * qy + ipr * ry AS bp, ipq * py + iqq * qy + iqr * ry AS bq, ipr * py + iqr * qy + irr * ry AS br FROM i),
+e AS (SELECT *, (yy - bp * py - bq * qy - br * ry) / (n - 4) AS s2, my - bp * mp - bq * mq - br * mr AS b0,
+             1.0 / n + mp * mp * ipp + mq * mq * iqq + mr * mr * irr + 2 * (mp * mq * ipq + mp * mr * ipr + mq * mr * iqr) AS i0 FROM b),
+c AS (SELECT unnest(['l1', 'l12', 'ls', 'const']) AS name, unnest([bp, bq, br, b0]) AS coef, unnest([sqrt(s2 * ipp), sqrt(s2 * iqq), sqrt(s2 * irr), sqrt(s2 * i0)]) AS std_err FROM e)
+SELECT name, coef, std_err, coef / std_err AS t_stat FROM c""")
+def ols_three(t):
+    return M.ols(model_panel(t), "y", FEATURES).select("name", "coef", "std_err", "t_stat")

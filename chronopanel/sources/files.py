@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 __all__ = ["read_table", "write_csv", "write_parquet", "write_summary", "read_summary",
-           "latest_snapshot", "save_model", "load_model"]
+           "latest_snapshot", "save_model", "load_model", "load_features"]
 
 BOM = "﻿"
 
@@ -90,6 +90,11 @@ def save_model(model, path: str, features=None) -> None:
             .coalesce(1).write.mode("overwrite").parquet(path.rstrip("/") + "_features")
 
 
+def load_features(spark: SparkSession, path: str) -> list[str]:
+    """The feature list that ``save_model`` wrote next to the model."""
+    return [r["feature"] for r in spark.read.parquet(path.rstrip("/") + "_features").orderBy("position").collect()]
+
+
 def load_model(path: str, cls=None):
     from pyspark.ml import PipelineModel
     cls = cls or PipelineModel
