@@ -28,6 +28,10 @@ from pyspark.sql import functions as F
 
 from .store import shared_folder, written
 
+BLOCK_BYTES = 32 << 20
+#: the plan has a row for each block, which every task holds
+MOST_BLOCKS = 200_000
+
 OVERHEAD = 8
 SIZE_CLASSES = 48  # a row's class is the bit length of its size
 
@@ -130,19 +134,45 @@ def size_of(text: Column) -> Column:
     return (F.coalesce(F.octet_length(text), F.lit(0)) + OVERHEAD).cast("long")
 
 
-def lay_out(df: DataFrame, old_shard: Column, size: Column, order: list[Column], partitions: int | None = None) -> DataFrame:
-    """The present layout: ``row`` (all columns), old, size, block (a range of
-    the sort order, one file each) and at (position inside the block)."""
-    # ranges hold equal numbers of rows, so those of the largest rows hold
-    # several times the mean of bytes: more, smaller blocks keep them small
-    n = partitions or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = [F.col("old"), F.col("size").desc(), *[F.col(f"k{i}") for i in range(len(order))]]
-    rows = (df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.coalesce(old_shard, F.lit(0)).cast("int").alias("old"),
-                      size.alias("size"), *[k.alias(f"k{i}") for i, k in enumerate(order)])
-            .repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-            .select("row", "old", "size", F.monotonically_increasing_id().alias("id")))
-    return written(rows.select("row", "old", "size", F.shiftright("id", 33).cast("int").alias("block"),
-                               F.col("id").bitwiseAND((1 << 33) - 1).alias("at")), "shard-blocks")
+def _block_cuts(steps: list[tuple], target: int) -> tuple[list[tuple[int, int, int, int]], int]:
+    """Blocks of about ``target`` bytes from (old, step, bytes), largest steps
+    first within a shard: small steps share a block, a large one takes several.
+    Returns (old, step, first block, blocks) and the number of blocks."""
+    cuts, n, held, last = [], 0, 0, None
+    for old, step, size in sorted(steps, key=lambda s: (s[0], -s[1])):
+        parts = -(-size // target)
+        if old != last or parts > 1 or held + size > target:
+            first, held = n, 0 if parts == 1 else target
+            n += max(parts, 1)
+        cuts.append((old, step, first, max(parts, 1)))
+        held, last = held + size, old
+    return cuts, n
+
+
+def lay_out(df: DataFrame, old_shard: Column, size: Column, order: list[Column], partitions: int | None = None,
+            block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The present layout: ``row`` (all columns), old, size, block (one file
+    each) and at (position inside the file). Blocks are cut by bytes, from the
+    bytes of each shard's size steps (1/64 of a power of two wide), so no block
+    is much larger than ``block_bytes`` unless a row is, or rows that are equal
+    in size and ``order`` are; the rows of a step that alone exceeds that are
+    dealt to several blocks by their hash. ``partitions`` instead asks for
+    about so many blocks."""
+    spark = df.sparkSession
+    names = [f"k{i}" for i in range(len(order))]
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.coalesce(old_shard, F.lit(0)).cast("int").alias("old"),
+                     size.alias("size"), *[k.alias(n) for n, k in zip(names, order)])
+    rows = rows.withColumn("step", F.expr("cast(64 * length(bin(size)) + shiftright(64 * size, length(bin(size)) - 1) as long)"))
+    steps = [tuple(r) for r in rows.groupBy("old", "step").agg(F.sum("size")).collect()]   # at most 4096 a shard
+    total = sum(s[2] for s in steps)
+    target = max(-(-total // partitions) if partitions else block_bytes, -(-total // MOST_BLOCKS), 1)
+    cuts, n = _block_cuts(steps, target)
+    cut = F.broadcast(spark.createDataFrame(cuts, "old int, step long, first int, parts int"))
+    block = (F.col("first") + F.pmod(F.xxhash64(*names), F.col("parts"))).cast("int")
+    laid = (rows.join(cut, ["old", "step"]).select("row", "old", "size", *names, block.alias("block")).repartitionById(max(n, 1), "block")
+            .sortWithinPartitions("block", F.col("size").desc(), *names)
+            .select("row", "old", "size", "block", F.monotonically_increasing_id().alias("id")))
+    return written(laid.select("row", "old", "size", "block", F.col("id").bitwiseAND((1 << 33) - 1).alias("at")), "shard-blocks")
 
 
 def plan(layout: DataFrame, shards: int) -> tuple[dict, DataFrame, DataFrame]:

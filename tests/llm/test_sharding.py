@@ -48,3 +48,25 @@ def test_skewed_old_layout(spark):
     rows = [(i, "z" * (i % 50), None, "hot" if i % 3 else str(i)) for i in range(500)]
     out = sharding.sharded_documents(spark, documents(spark, rows, extra=False)).collect()
     check_law(out, rows, 24)
+
+
+def test_blocks_are_cut_by_bytes(spark):
+    """One long row, many short ones, a hot shard and a hot size."""
+    g = random.Random(9)
+    rows = [(i, "a" * (40_000 if i == 7 else 100 if i % 3 == 0 else g.randint(0, 400)), None, "hot" if i % 3 else str(i % 5)) for i in range(1500)]
+    docs = documents(spark, rows, extra=False)
+    old = F.when(F.col("source") == "hot", 0).otherwise(F.col("source").cast("int"))
+    layout = sharding.lay_out(docs, old, sharding.size_of(F.col("text")), [F.col("doc_id")], block_bytes=5000)
+    sizes = layout.groupBy("block").agg(F.sum("size").alias("b"), F.count_distinct("old").alias("o"), F.max("size").alias("m")).collect()
+    assert all(r["o"] == 1 and (r["b"] <= 9000 or r["m"] > 40_000) for r in sizes) and len(sizes) > 40
+    found, out = sharding.reshard(layout, 6)
+    got = out.select("row.doc_id", "shard", "slot").collect()
+    assert sorted(r["doc_id"] for r in got) == list(range(1500))
+    for k in range(6):
+        assert sorted(r["slot"] for r in got if r["shard"] == k) == list(range(250))
+
+
+def test_cuts_of_blocks():
+    cuts, n = sharding._block_cuts([(0, 1, 4), (0, 2, 5), (0, 3, 30), (1, 1, 3), (0, 4, 2)], 10)
+    assert cuts == [(0, 4, 0, 1), (0, 3, 1, 3), (0, 2, 4, 1), (0, 1, 4, 1), (1, 1, 5, 1)] and n == 6
+    assert sharding._block_cuts([], 10) == ([], 0)
