@@ -51,7 +51,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .store import sized, tidy, written
+from .store import remove_table, sized, tidy, written
 from .words import Words, _mix, slices
 
 SHINGLE = 5
@@ -172,6 +172,7 @@ def cells(reps: DataFrame, often) -> DataFrame:
     low = hot.groupBy("s").agg(F.min("doc").alias("pivot"))
     near = written(rare.where("pivot <> doc").select("pivot", "doc")
                    .unionByName(hot.join(low, "s").where("pivot <> doc").select("pivot", "doc")).distinct(), "near-cells")
+    remove_table(regions)
     return near.unionByName(near.select("pivot", F.col("pivot").alias("doc")).distinct())
 
 
@@ -386,9 +387,11 @@ def near_components(documents: DataFrame, id_col: str = "doc_id", text_col: str
     found = cells(reps, often)
     sizes = known.select(F.col("doc_id").alias("doc"), "n", "counts")
     members = written(pruned(found, sizes).groupBy("pivot", "doc").agg(F.max("n").alias("n")), "near-members")
+    remove_table(found)
     wanted = written(members.select("doc").distinct(), "near-wanted")
     sets = written(docs.join(sized(wanted.withColumnRenamed("doc", "doc_id")), "doc_id", "left_semi").mapInArrow(tidy(_sets), "doc long, set binary"), "near-shingles")
     edges = join_cells(members, sets, unit)
+    remove_table(sets)
     # rows that share an id join the classes of all their texts
     same = known.join(classes, ["n", "k1", "k2"]).where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     comps = components(edges.unionByName(same))
