@@ -28,6 +28,7 @@ from .words import RaggedMemo, Words, flat, slices
 
 MEMO_WORDS = 1_000_000
 FRAME_IDS = 1 << 28
+FILE_TEXT = 16 << 20     # bytes of text for each file
 _INDEX = np.dtype([("has_id", "u1"), ("doc_id", "<i8"), ("n", "<i8"), ("first_frame", "<i8")])
 
 
@@ -145,11 +146,12 @@ def _write_partition(folder: str, tokenizer: str, end_id: int, level: int):
 def write_ids(df: DataFrame, folder: str, tokenizer: str, end_id: int = 1, id_col: str = "doc_id",
               text_col: str = "text", partitions: int | None = None, level: int = 1) -> DataFrame:
     """Write the files; returns the manifest (part, path, n_docs, n_ids, start),
-    one row per file, where ``start`` counts the ids of all files before it."""
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    one row per file, where ``start`` counts the ids of all files before it. The
+    number of files comes from the texts' bytes."""
+    if partitions is None:
+        partitions = (df.agg(F.sum(F.octet_length(text_col))).first()[0] or 0) // FILE_TEXT + 1
     rows = (df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-            .repartitionByRange(n, F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
+            .repartitionByRange(partitions, F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
             .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
             .select(F.spark_partition_id().alias("part"), "doc_id", "text"))
     done = written(rows.mapInArrow(tidy(_write_partition(folder, tokenizer, end_id, level)),
