@@ -49,8 +49,20 @@ def helper_tables(spark: SparkSession, keep: str):
         _OPEN.remove(made)
     for path in made:
         if not path.rsplit("/", 1)[1].startswith(keep + "-"):
-            at = spark._jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+            remove_folder(spark, path)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def remove_table(df: DataFrame) -> None:
+    """Remove the folder of a table that ``written`` gave. Nothing that still
+    reads it may be left."""
+    files = df.inputFiles()
+    if files:
+        remove_folder(df.sparkSession, files[0].rsplit("/", 1)[0])
 
 
 def sized(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
