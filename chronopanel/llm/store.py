@@ -52,6 +52,23 @@ def helper_tables(spark: SparkSession, keep: str):
             remove_folder(spark, path)
 
 
+@contextlib.contextmanager
+def shuffles_removed(spark: SparkSession):
+    """Queries inside the block remove their shuffle files when they end, not
+    when the driver's garbage collector finds them: for steps that write what
+    they computed."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if was is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, was)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
