@@ -11,29 +11,36 @@ chosen where documents come near each other at all:
 2. Of two linked sets x and y, at most floor(|x| / 4) shingles of x miss in
    y. In any fixed order of all shingles, the first floor(|x| / 4) + 1 of x
    (its prefix) and the first of y therefore share one. The documents with
-   one prefix shingle are a region; every linked pair meets in a region.
-3. Each region goes whole to the cell of its pivot, its smallest document.
-   A document lies in the cells of all pivots with which it shares a region:
-   its nearest ones, and those across the boundary. Every linked pair is in
-   one cell, and cells are few: near copies share their pivots.
+   one prefix shingle are a region; every linked pair meets in a region. In
+   order of size a region is cut wherever the next set is more than 4/3 as
+   large: no link crosses that gap.
+3. Each region goes whole to the cell of its pivot, its first document by size
+   and id. A document lies in the cells of all pivots with which it shares a
+   region: its nearest ones, and those across the boundary. Every linked pair
+   is in one cell, and cells are few: near copies share their pivots.
 4. Inside a cell a triangle inequality tells strangers apart before any set
    is moved: with the slices U_j of the hash range as pivots in the metric of
    the symmetric difference, |x ^ y| >= sum_j | |x & U_j| - |y & U_j| |, and
    linked sets differ in at most (|x| + |y|) / 7 shingles. Documents without
    a possible partner leave the cell. A set of n shingles has about n / 8
-   slices, at four bits each.
-5. A cell that is too large for one task is split again by the ball of its
+   slices, at four bits each. A large cell is compared block by block.
+   A pair meets again in the cell of every stranger that shares one of its
+   shingles, and strangers grow with the table. So the possible partners of
+   all cells are chained to groups, over ids alone, and the sets of a group
+   move once, however many cells it was found in.
+5. Of a group that is too large for one task the cells are joined one by one. A
+   cell that is itself too large is split again by the ball of its
    smallest member that is left: the members within eps of that centre are
    linked through it and need no comparison with each other; the others meet
    each other, and those within 2 eps of the centre also meet the ball, block
    by block.
-6. Small cells and blocks are joined exactly on the whole sets by an inverted
-   index in a task. It returns the edges of a spanning forest: enough for the
+6. Groups, small cells and blocks are joined exactly on the whole sets by an
+   inverted index in a task. It returns the edges of a spanning forest: enough for the
    components, and no group emits all its pairs.
 
-The order of shingles is by hash, except that shingles found often in a
-bounded sample of documents come last; it affects the size of the regions
-only, never the result.
+The order of shingles is by how rare their words are, then by hash, except
+that shingles found often come last; both are told from a bounded sample of
+documents. The order affects the size of the regions only, never the result.
 
 Defined cases: a document with fewer words than n has its whole sequence as
 one shingle; without words or text it has no shingle and is a component of
@@ -51,17 +58,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .store import remove_table, sized, tidy, written
+from .store import remove_table, shuffles_removed, sized, tidy, written
 from .words import Words, _mix, slices
 
 SHINGLE = 5
 SLICES = 128              # slices of a small set
 SAMPLE_DOCS = 5000        # documents of the sample that finds frequent shingles
-SAMPLE_SHINGLES = 2000    # at most so many of each
+SAMPLE_SHINGLES = 2000    # at most so many shingles and words of each
+WORD_BITS = 20            # words are counted by so many bits of their hash
 FREQUENT = 3              # found in so many of the sample's documents
 MOST_FREQUENT = 200_000   # at most so many are put last
 UNIT_SHINGLES = 3_000_000  # shingles that one task joins at a time
 CELL_DOCS = 4096          # members of a cell that one task compares by slices
+SIZE_STEPS = 8            # size classes between a set and one of 4/3 its size
 
 
 # --- one row per document ----------------------------------------------------
@@ -72,7 +81,9 @@ def _describe(share: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in slices(whole, "text"):
-                sets = Words(b.column("text"), lower=True).shingle_sets(SHINGLE)
+                words = Words(b.column("text"), lower=True)
+                sets = words.shingle_sets(SHINGLE)
+                slots = word_slots(words)
                 n = np.array([len(s) for s in sets], np.int64)
                 k1 = np.array([_mix(s).sum(dtype=np.uint64) for s in sets], np.uint64)
                 k2 = np.array([_mix(s ^ np.uint64(0xD6E8FEB86659FD93)).sum(dtype=np.uint64) for s in sets], np.uint64)
@@ -81,11 +92,16 @@ def _describe(share: float):
                     b.column("doc_id"), pa.array(n), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)),
                     pa.array([slice_counts(s) for s in sets], pa.binary()),
                     pa.array([s[:SAMPLE_SHINGLES].tobytes() if p else None for s, p in zip(sets, pick)], pa.binary()),
-                ], names=["doc_id", "n", "k1", "k2", "counts", "sample"])
+                    pa.array([slots[a:min(z, a + SAMPLE_SHINGLES)].tobytes() if p else None for a, z, p in zip(words.first[:-1], words.first[1:], pick)], pa.binary()),
+                ], names=["doc_id", "n", "k1", "k2", "counts", "sample", "words"])
 
     return run
 
 
+def word_slots(words: Words) -> np.ndarray:
+    return (words.hash >> np.uint64(64 - WORD_BITS)).astype(np.uint32)
+
+
 def n_slices(n: int) -> int:
     """A power of two, n / 8 or more."""
     return max(SLICES, 1 << (max(n - 1, 0) // 8).bit_length())
@@ -105,17 +121,24 @@ def unpacked(raw: bytes) -> np.ndarray:
 
 
 def describe(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, k1, k2, counts, sample) of every document; k1 and k2 are a
-    128-bit key of the set."""
+    """(doc_id, n, k1, k2, counts, sample, words) of every document; k1 and k2
+    are a 128-bit key of the set."""
     total = max(docs.count(), 1)
-    return written(docs.mapInArrow(tidy(_describe(SAMPLE_DOCS / total)), "doc_id long, n long, k1 long, k2 long, counts binary, sample binary"), "near-sets")
-
-
-def frequent(described: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles found often in the sample, sorted, and their rank by how often."""
-    rows = described.where("sample is not null").dropDuplicates(["k1", "k2"]).select("sample").limit(2 * SAMPLE_DOCS).collect()
+    return written(docs.mapInArrow(tidy(_describe(SAMPLE_DOCS / total)),
+                                   "doc_id long, n long, k1 long, k2 long, counts binary, sample binary, words binary"), "near-sets")
+
+
+def frequent(described: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Shingles found often in the sample, sorted, their rank by how often, and
+    the cost of each word slot: 16 times the logarithm of how often its words
+    were found."""
+    rows = described.where("sample is not null").dropDuplicates(["k1", "k2"]).select("sample", "words").limit(2 * SAMPLE_DOCS).collect()
+    found = np.zeros(1 << WORD_BITS, np.int64)
+    for r in rows:
+        np.add.at(found, np.frombuffer(r[1], np.uint32), 1)
+    cost = np.round(16 * np.log2(found + 1)).astype(np.uint16)
     if not rows:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), cost
     h, c = np.unique(np.concatenate([np.frombuffer(r[0], np.uint64) for r in rows]), return_counts=True)
     often = c >= FREQUENT
     h, c = h[often], c[often]
@@ -124,50 +147,82 @@ def frequent(described: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         order = order[-MOST_FREQUENT:]
     rank = np.full(len(h), -1, np.int64)
     rank[order] = np.arange(len(order))
-    return h[rank >= 0], rank[rank >= 0]
+    return h[rank >= 0], rank[rank >= 0], cost
 
 
 # --- regions and cells -------------------------------------------------------
 
-def prefix(s: np.ndarray, often: np.ndarray, rank: np.ndarray) -> np.ndarray:
+def shingles(words: Words, cost: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Sorted distinct shingles of each text, and what each one's words cost."""
+    h, at = words.ngrams(SHINGLE)
+    upto = np.zeros(len(words.hash) + 1, np.int64)
+    np.cumsum(cost[word_slots(words)], out=upto[1:])
+    last = np.repeat(words.first[1:], np.diff(words.first))
+    paid = (upto[np.minimum(at + SHINGLE, last[at])] - upto[at]).astype(np.uint16)
+    cut, sets, costs = np.searchsorted(at, words.first), [], []
+    for a, b in zip(cut[:-1], cut[1:]):
+        order = np.argsort(h[a:b], kind="stable")
+        s = h[a:b][order]
+        keep = np.ones(len(s), bool)
+        np.not_equal(s[1:], s[:-1], out=keep[1:])
+        sets.append(s[keep])
+        costs.append(paid[a:b][order][keep])
+    return sets, costs
+
+
+def prefix(s: np.ndarray, often: np.ndarray, rank: np.ndarray, cost: np.ndarray | None = None) -> np.ndarray:
     """The first floor(n / 4) + 1 shingles of a sorted set in the order that
-    puts frequent ones last."""
+    puts cheap ones first and frequent ones last."""
     k = len(s) // 4 + 1
-    if not len(often):
-        return s[:k]
-    at = np.searchsorted(often, s)
-    at[at == len(often)] = 0
-    is_often = often[at] == s
-    rare = s[~is_often][:k]
-    if len(rare) == k:
+    is_often = np.zeros(len(s), bool)
+    if len(often):
+        at = np.searchsorted(often, s)
+        at[at == len(often)] = 0
+        is_often = often[at] == s
+    rare = s[~is_often]
+    rare = rare[:k] if cost is None else rare[np.argsort(cost[~is_often], kind="stable")[:k]]
+    if len(rare) == k or not is_often.any():
         return rare
     hot = s[is_often]
     return np.concatenate([rare, hot[np.argsort(rank[at[is_often]], kind="stable")][: k - len(rare)]])
 
 
+def size_class(n: np.ndarray) -> np.ndarray:
+    """Classes of linked sets differ by ``SIZE_STEPS`` at most, or by one more
+    where a logarithm is rounded."""
+    return np.floor(np.log(np.maximum(n, 1)) * (SIZE_STEPS / np.log(4 / 3))).astype(np.int32)
+
+
 def _regions(often):
     def run(batches):
-        h, rank = often.value
+        h, rank, cost = often.value
         for whole in batches:
             for b in slices(whole, "text"):
-                first = [prefix(s, h, rank) if len(s) else s for s in Words(b.column("text"), lower=True).shingle_sets(SHINGLE)]
-                ids = np.repeat(b.column("doc_id").to_numpy(), [len(x) for x in first])
+                sets, costs = shingles(Words(b.column("text"), lower=True), cost)
+                first = [prefix(s, h, rank, c) if len(s) else s for s, c in zip(sets, costs)]
+                many = [len(x) for x in first]
+                ids = np.repeat(b.column("doc_id").to_numpy(), many)
+                size = np.repeat(size_class(np.array([len(s) for s in sets], np.int64)), many)
                 s = np.concatenate(first)
                 hot = np.isin(s, h, assume_unique=False) if len(h) else np.zeros(len(s), bool)
-                yield pa.record_batch([pa.array(s.view(np.int64)), pa.array(ids), pa.array(hot)], names=["s", "doc", "hot"])
+                # 48 bits tell regions apart; two that fall together are one
+                yield pa.record_batch([pa.array((s >> np.uint64(16)).view(np.int64)), pa.array(size), pa.array(ids), pa.array(hot)], names=["s", "size", "doc", "hot"])
 
     return run
 
 
 def cells(reps: DataFrame, often) -> DataFrame:
     """(pivot, doc) for all cells of two documents or more. A region of a
-    shingle that is not frequent is read once, in order, behind one shuffle.
-    Frequent shingles can have regions of any size (a group of copies may hold
-    a third of all rows): their smallest document is found by partial
-    aggregation, and the join with it is split where a region is large."""
-    regions = written(reps.mapInArrow(tidy(_regions(often)), "s long, doc long, hot boolean"), "near-regions")
-    so_far = Window.partitionBy("s").orderBy("doc").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rare = regions.where("not hot").select("doc", F.first("doc").over(so_far).alias("pivot"))
+    shingle that is not frequent is read once, in order of size, behind one
+    shuffle, and cut where no link crosses. Frequent shingles can have regions
+    of any size (a group of copies may hold a third of all rows): their
+    smallest document is found by partial aggregation, and the join with it is
+    split where a region is large."""
+    regions = written(reps.mapInArrow(tidy(_regions(often)), "s long, size int, doc long, hot boolean"), "near-regions")
+    by_size = Window.partitionBy("s").orderBy("size", "doc")
+    so_far = by_size.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rare = (regions.where("not hot").select("s", "size", "doc", (F.col("size") - F.lag("size").over(by_size)).alias("gap"))
+            .select("doc", F.last(F.when(F.coalesce(F.col("gap") > SIZE_STEPS + 1, F.lit(True)), F.col("doc")), ignorenulls=True).over(so_far).alias("pivot")))
     hot = regions.where("hot").select("s", "doc")
     low = hot.groupBy("s").agg(F.min("doc").alias("pivot"))
     near = written(rare.where("pivot <> doc").select("pivot", "doc")
@@ -177,13 +232,19 @@ def cells(reps: DataFrame, often) -> DataFrame:
 
 
 def possible(n: np.ndarray, counts: list[bytes]) -> np.ndarray:
-    """Members of a cell for which the slices allow a linked partner. Sets of
+    """Members of a cell for which the slices allow a linked partner."""
+    return partners(n, counts) >= 0
+
+
+def partners(n: np.ndarray, counts: list[bytes]) -> np.ndarray:
+    """For each member of a cell the number of its group: members for which the
+    slices allow a link are in one group, those without any are in -1. Sets of
     4/3 of a set's size have as many slices or twice as many; those are summed
     in pairs, and the sums stop at 15 as the counts do: each is then the count
     of the wider slice."""
     order = np.argsort(n, kind="stable")
     n, c = n[order], [unpacked(counts[k]) for k in order]
-    out, width, rows, base = np.zeros(len(n), bool), 0, None, 0
+    group, width, rows, base = np.full(len(n), -1, np.int64), 0, None, 0
     for i in range(len(n) - 1):
         stop = int(np.searchsorted(n, 4 * n[i] // 3, "right"))
         if stop == i + 1:
@@ -195,26 +256,60 @@ def possible(n: np.ndarray, counts: list[bytes]) -> np.ndarray:
         j = slice(i + 1, stop)
         differ = np.abs(rows[i + 1 - base: stop - base] - rows[i - base]).sum(axis=1, dtype=np.int64)
         ok = 7 * np.maximum(differ, n[j] - n[i]) <= n[j] + n[i]
-        out[j] |= ok
-        out[i] |= ok.any()
-    back = np.empty_like(out)
-    back[order] = out
+        if ok.any():
+            at = np.append(i + 1 + np.flatnonzero(ok), i)
+            known = np.unique(group[at])
+            known = known[known >= 0]
+            group[at] = to = known[0] if len(known) else i
+            if len(known) > 1:
+                group[np.isin(group, known)] = to
+    back = np.empty_like(group)
+    back[order] = group
     return back
 
 
 def _prune(table: pa.Table) -> pa.Table:
-    keep = possible(table.column("n").to_numpy(), table.column("counts").to_pylist())
-    return table.filter(pa.array(keep)).select(["pivot", "doc", "n"])
+    group = partners(table.column("n").to_numpy(), table.column("counts").to_pylist())
+    kept = table.select(["pivot", "doc", "n"]).filter(pa.array(group >= 0))
+    group, doc = group[group >= 0], kept.column("doc").to_numpy()
+    first = np.full(table.num_rows, np.iinfo(np.int64).max)
+    np.minimum.at(first, group, doc)
+    return kept.append_column("mate", pa.array(first[group]))
 
 
 def pruned(found: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Members (pivot, doc, n) with a possible partner. A cell with more than
-    ``CELL_DOCS`` members keeps them all, and no task gathers it."""
-    large = written(found.groupBy("pivot").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > CELL_DOCS).select("pivot"), "near-large")
-    rows = found.join(sizes, "doc")
-    small = rows.join(large, "pivot", "left_anti").select("pivot", "doc", "n", "counts")
-    return (small.groupBy("pivot").applyInArrow(_prune, "pivot long, doc long, n long")
-            .unionByName(rows.join(large, "pivot", "left_semi").select("pivot", "doc", "n")))
+    """Members (pivot, doc, n, mate) with a possible partner; mate is the
+    smallest document of their group in the cell. Of a cell with more than
+    ``CELL_DOCS`` members each task compares two blocks."""
+    block = max(CELL_DOCS // 2, 1)
+    large = written(found.groupBy("pivot").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > CELL_DOCS)
+                    .select("pivot", F.ceil(F.col("m") / block).cast("int").alias("blocks")), "near-large")
+    if large.isEmpty():
+        parts = found.withColumn("part", F.lit(0).cast("long"))
+    else:
+        own = F.pmod(F.xxhash64("doc", F.lit("block")), F.col("blocks"))
+        met = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1), lambda j: F.least(own, j) * F.col("blocks") + F.greatest(own, j))
+        parts = (found.join(sized(large), "pivot", "left")
+                 .select("pivot", "doc", F.explode(F.when(F.col("blocks").isNull(), F.array(F.lit(0).cast("long"))).otherwise(met)).alias("part")))
+    return (parts.join(sizes, "doc").select("pivot", "part", "doc", "n", "counts").groupBy("pivot", "part")
+            .applyInArrow(_prune, "pivot long, doc long, n long, mate long"))
+
+
+def gathered(near: DataFrame, unit: int) -> DataFrame:
+    """Members (pivot, doc, n) of the units that are joined. Possible partners
+    of all cells (pivot, doc, n, mate), chained, are a group; its pivot is its
+    smallest document, and each of its sets is in it alone. Documents of a group
+    with more than ``unit`` shingles stay in their cells; where such a cell has
+    the pivot of a group, the two are joined as one."""
+    chained = components(near.select(F.col("doc").alias("a"), F.col("mate").alias("b")))
+    groups = written(near.groupBy("doc").agg(F.max("n").alias("n")).join(chained.withColumnRenamed("node", "doc"), "doc", "left")
+                     .select(F.coalesce("component", "doc").alias("pivot"), "doc", "n"), "near-groups")
+    large = written(groups.groupBy("pivot").agg(F.sum("n").alias("w")).where(F.col("w") > unit).select("pivot"), "near-large-groups")
+    if large.isEmpty():
+        return groups
+    inside = groups.join(sized(large), "pivot", "left_semi").select("doc")
+    return (groups.join(sized(large), "pivot", "left_anti")
+            .unionByName(near.join(inside, "doc", "left_semi").groupBy("pivot", "doc").agg(F.max("n").alias("n")).select("pivot", "doc", "n")))
 
 
 # --- exact joins -------------------------------------------------------------
@@ -374,8 +469,17 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_components(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit: int = UNIT_SHINGLES) -> DataFrame:
     """One row per row of ``documents``: (doc_id, n_shingles, component_id)."""
-    spark = documents.sparkSession
     docs = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    with shuffles_removed(documents.sparkSession):
+        told, comps = _linked(docs, unit)
+    out = told.select("doc_id", F.col("n").alias("n_shingles"))
+    return (out.join(comps, out["doc_id"] == comps["node"], "left")
+            .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id")))
+
+
+def _linked(docs: DataFrame, unit: int) -> tuple[DataFrame, DataFrame]:
+    """The described documents, and the components of those that are linked."""
+    spark = docs.sparkSession
     told = describe(docs)
     known = told.where("doc_id is not null and n > 0")
     classes = written(known.groupBy("n", "k1", "k2").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "near-classes")
@@ -386,18 +490,16 @@ def near_components(documents: DataFrame, id_col: str = "doc_id", text_col: str
     reps = docs.where("doc_id is not null").join(sized(copies), "doc_id", "left_anti")
     found = cells(reps, often)
     sizes = known.select(F.col("doc_id").alias("doc"), "n", "counts")
-    members = written(pruned(found, sizes).groupBy("pivot", "doc").agg(F.max("n").alias("n")), "near-members")
+    near = written(pruned(found, sizes), "near-possible")
     remove_table(found)
+    members = written(gathered(near, unit), "near-members")
     wanted = written(members.select("doc").distinct(), "near-wanted")
     sets = written(docs.join(sized(wanted.withColumnRenamed("doc", "doc_id")), "doc_id", "left_semi").mapInArrow(tidy(_sets), "doc long, set binary"), "near-shingles")
     edges = join_cells(members, sets, unit)
     remove_table(sets)
     # rows that share an id join the classes of all their texts
     same = known.join(classes, ["n", "k1", "k2"]).where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    comps = components(edges.unionByName(same))
-    out = told.select("doc_id", F.col("n").alias("n_shingles"))
-    return (out.join(comps, out["doc_id"] == comps["node"], "left")
-            .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id")))
+    return told, components(edges.unionByName(same))
 
 
 def near_duplicates(spark: SparkSession, documents: DataFrame) -> DataFrame:
