@@ -4,6 +4,7 @@ import corpus_pipeline as P
 
 from .helpers import AWKWARD, documents, link_components, save
 from .test_decontaminate import brute as leaks
+from .test_jaccard_join import met_often, units_moved
 from .test_quality_rules import base
 
 
@@ -91,3 +92,11 @@ def test_helper_tables_go_when_a_stage_is_written(spark, tmp_path):
     P.run(spark, str(tmp_path)).collect()
     made = set(os.listdir(home)) - before
     assert len(made) == 4 and all(m.startswith("pipeline-stage-") for m in made)
+
+
+def test_near_duplicates_move_a_text_once(spark, tmp_path, monkeypatch):
+    """However many cells a pair is found in."""
+    rows = [(i, t, "aa", "s") for i, t in met_often()]
+    out, moved = units_moved(monkeypatch, lambda: stage(spark, "near duplicates", rows, tmp_path).collect())
+    assert sorted(r["doc_id"] for r in out) == [*range(16), 100]
+    assert sorted(r["doc"] for r in moved) == [100, 101]
